@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowguard.operators import drift
-from flowguard.plans.standins import (FLOW_DAY, FLOW_FEATURES, FLOW_LABEL,
-                                      REFERENCE_DAYS, flows)
+from flowguard.operators import clean, drift
+from flowguard.plans.standins import (FLOW_DAY, FLOW_FEATURES, FLOW_KEY, FLOW_LABEL,
+                                      REFERENCE_DAYS, dirty_flows, flows, table)
+from flowguard.sources import files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -81,3 +82,92 @@ def class_shift_counts(spark, sf_dir):
 def chi2_drift(spark, sf_dir):
     ref, cur = _ref_cur(spark, sf_dir)
     return finalize(drift.chi2_drift(ref, cur, FLOW_LABEL, FLOW_DAY))
+
+
+# ---------------------------------------------------------- sources, cleaning (S, P)
+
+@register
+def csv_union(spark, sf_dir):
+    """Two CSV folders with different headers (the second lacks user_id and has
+    its columns in another order) read back as one table united by name."""
+    fl = flows(spark, sf_dir)
+    base = files.scratch_path(spark, "csv")
+    files.write_csv(fl.where(F.col(FLOW_DAY) < 15), f"{base}/a")
+    files.write_csv(fl.where(F.col(FLOW_DAY) >= 15)
+                    .select("Label", "k", "value", FLOW_DAY, FLOW_KEY), f"{base}/b")
+    a = files.load_csv_files(spark, f"{base}/a")
+    b = files.load_csv_files(spark, f"{base}/b")
+    both = a.withColumn("part", F.lit("a")).unionByName(
+        b.withColumn("part", F.lit("b")), allowMissingColumns=True)
+    return finalize(both.drop(files.SOURCE_FILE))
+
+
+@register
+def clean_flows(spark, sf_dir):
+    return finalize(clean.clean_dataframe(dirty_flows(spark, sf_dir)))
+
+
+@register
+def clean_drop_report(spark, sf_dir):
+    return finalize(clean.clean_drop_report(dirty_flows(spark, sf_dir)))
+
+
+@register
+def label_repair(spark, sf_dir):
+    d = dirty_flows(spark, sf_dir).select(F.col("` Label `").alias("raw_label"))
+    return finalize(d.groupBy("raw_label").agg(F.count(F.lit(1)).alias("n"))
+                    .withColumn("label", clean.repaired_label("raw_label")))
+
+
+@register
+def downcast_plan(spark, sf_dir):
+    return finalize(clean.downcast_plan(table(spark, sf_dir, "lineitem")))
+
+
+@register
+def downcast_values(spark, sf_dir):
+    """Values after narrowing, widened back to long/double: equal to the input
+    for integers, float32 precision for floats. Not rounded, so the float
+    round-trip shows in every digit."""
+    li = table(spark, sf_dir, "lineitem")
+    out = clean.downcast(li)
+    widened = [F.col(f.name).cast("long").alias(f.name) if isinstance(f.dataType, clean.INT_TYPES)
+               else F.col(f.name).cast("double").alias(f.name)
+               if isinstance(f.dataType, clean.FLOAT_TYPES)
+               else F.col(f.name).cast("string").alias(f.name) for f in out.schema.fields]
+    return out.select(*widened)
+
+
+@register
+def drop_columns(spark, sf_dir):
+    return finalize(clean.drop_columns(flows(spark, sf_dir), ["k", "no_such_column"]))
+
+
+@register
+def class_subset(spark, sf_dir):
+    return finalize(clean.class_subset(flows(spark, sf_dir), FLOW_LABEL, ["click", "purchase"]))
+
+
+# Full week map for the stand-in, whose days run Monday to Sunday.
+WEEK_MAP = {"Monday": 0, "Tuesday": 1, "Wednesday": 2, "Thursday": 3, "Friday": 4,
+            "Saturday": 5, "Sunday": 6}
+
+
+@register
+def add_day(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select(
+        F.col("event_id").alias(FLOW_KEY), F.date_format("ts", "EEEE").alias("DayName"))
+    return finalize(clean.add_day_column(e, "DayName", WEEK_MAP))
+
+
+@register
+def head_rows(spark, sf_dir):
+    return finalize(clean.head_rows(flows(spark, sf_dir), [FLOW_KEY], 5))
+
+
+@register
+def parquet_roundtrip(spark, sf_dir):
+    """Cleaned flows written as Parquet partitioned by day, read back whole."""
+    path = files.scratch_path(spark, "parquet")
+    files.write_parquet(clean.clean_dataframe(dirty_flows(spark, sf_dir)), path, [FLOW_DAY])
+    return finalize(files.read_parquet(spark, path))

@@ -4,7 +4,7 @@ rounding floats to 6 places."""
 
 from __future__ import annotations
 
-from flowguard.plans.standins import FLOWS_SQL, REFERENCE_DAYS
+from flowguard.plans.standins import CLEAN_SQL, DIRTY_SQL, FLOWS_SQL, REFERENCE_DAYS
 
 ORACLE: dict[str, str] = {}
 
@@ -97,3 +97,87 @@ p AS (SELECT *, n_classes - 1 AS dof,
 SELECT CAST(Day AS BIGINT) AS Day, CAST(n_classes AS BIGINT) AS n_classes, ROUND(statistic, 6) AS statistic,
        CAST(dof AS BIGINT) AS dof, ROUND(p_value, 6) AS p_value,
        coalesce(p_value < 0.05, false) AS has_drift FROM p"""
+
+
+# ---------------------------------------------------------- sources, cleaning
+FLOW_COLS_SQL = "CAST(flow_id AS BIGINT) AS flow_id, CAST(Day AS BIGINT) AS Day, value, user_id, k, Label"
+
+ORACLE["csv_union"] = f"""WITH {FLOWS_SQL}
+SELECT CAST(flow_id AS BIGINT) AS flow_id, CAST(Day AS BIGINT) AS Day, value,
+       CASE WHEN Day < 15 THEN user_id END AS user_id, k, Label,
+       CASE WHEN Day < 15 THEN 'a' ELSE 'b' END AS part
+FROM flows"""
+
+ORACLE["clean_flows"] = f"""WITH {FLOWS_SQL}, {DIRTY_SQL}, {CLEAN_SQL}
+SELECT {FLOW_COLS_SQL} FROM clean"""
+
+ORACLE["clean_drop_report"] = f"""WITH {FLOWS_SQL}, {DIRTY_SQL}, {CLEAN_SQL}
+SELECT CAST((SELECT COUNT(*) FROM dirty) AS BIGINT) AS rows_in,
+       CAST((SELECT COUNT(*) FROM clean) AS BIGINT) AS rows_out,
+       CAST((SELECT COUNT(*) FROM dirty) - (SELECT COUNT(*) FROM clean) AS BIGINT) AS rows_dropped"""
+
+ORACLE["label_repair"] = f"""WITH {FLOWS_SQL}, {DIRTY_SQL}
+SELECT " Label " AS raw_label, CAST(COUNT(*) AS BIGINT) AS n,
+       trim(regexp_replace(replace(" Label ", '�', ' '), '\\s+', ' ', 'g')) AS label
+FROM dirty GROUP BY ALL"""
+
+_LI_INT = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+_LI_FLOAT = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_LI_TYPES = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint",
+             "l_linenumber": "int"}
+
+
+def _int_choice(c: str) -> str:
+    return (f"CASE WHEN min({c}) >= -128 AND max({c}) <= 127 THEN 'tinyint' "
+            f"WHEN min({c}) >= -32768 AND max({c}) <= 32767 THEN 'smallint' "
+            f"WHEN min({c}) >= -2147483648 AND max({c}) <= 2147483647 THEN 'int' ELSE 'bigint' END")
+
+
+def _float_choice(c: str) -> str:
+    return (f"CASE WHEN min({c}) >= -3.4028234663852886e38 AND max({c}) <= 3.4028234663852886e38 "
+            f"THEN 'float' ELSE 'double' END")
+
+
+ORACLE["downcast_plan"] = "\nUNION ALL\n".join(
+    [f"SELECT '{c}' AS column, '{_LI_TYPES[c]}' AS in_type, ROUND(CAST(min({c}) AS DOUBLE), 6) AS min, "
+     f"ROUND(CAST(max({c}) AS DOUBLE), 6) AS max, {_int_choice(c)} AS out_type FROM lineitem"
+     for c in _LI_INT]
+    + [f"SELECT '{c}' AS column, 'double' AS in_type, ROUND(min({c}), 6) AS min, "
+       f"ROUND(max({c}), 6) AS max, {_float_choice(c)} AS out_type FROM lineitem"
+       for c in _LI_FLOAT])
+
+_SQL_TYPE = {"tinyint": "TINYINT", "smallint": "SMALLINT", "int": "INTEGER",
+             "bigint": "BIGINT", "float": "FLOAT", "double": "DOUBLE"}
+
+
+def _roundtrip(c: str, kinds: tuple[str, ...], wide: str) -> str:
+    whens = " ".join(f"WHEN (SELECT t_{c} FROM lim) = '{t}' THEN CAST(CAST({c} AS {_SQL_TYPE[t]}) AS {wide})"
+                     for t in kinds)
+    return f"CASE {whens} END AS {c}"
+
+
+ORACLE["downcast_values"] = f"""WITH lim AS (SELECT
+  {", ".join(f"{_int_choice(c)} AS t_{c}" for c in _LI_INT)},
+  {", ".join(f"{_float_choice(c)} AS t_{c}" for c in _LI_FLOAT)} FROM lineitem)
+SELECT
+  {", ".join(_roundtrip(c, ("tinyint", "smallint", "int", "bigint"), "BIGINT") for c in _LI_INT)},
+  {", ".join(_roundtrip(c, ("float", "double"), "DOUBLE") for c in _LI_FLOAT)},
+  l_returnflag, l_linestatus, CAST(l_shipdate AS VARCHAR) AS l_shipdate
+FROM lineitem"""
+
+ORACLE["drop_columns"] = f"""WITH {FLOWS_SQL}
+SELECT CAST(flow_id AS BIGINT) AS flow_id, CAST(Day AS BIGINT) AS Day, value, user_id, Label FROM flows"""
+
+ORACLE["class_subset"] = f"""WITH {FLOWS_SQL}
+SELECT {FLOW_COLS_SQL} FROM flows WHERE Label IN ('click', 'purchase')"""
+
+ORACLE["add_day"] = """SELECT CAST(event_id AS BIGINT) AS flow_id, dayname(ts) AS DayName,
+  CAST(CASE dayname(ts) WHEN 'Monday' THEN 0 WHEN 'Tuesday' THEN 1 WHEN 'Wednesday' THEN 2
+       WHEN 'Thursday' THEN 3 WHEN 'Friday' THEN 4 WHEN 'Saturday' THEN 5 WHEN 'Sunday' THEN 6 END
+       AS BIGINT) AS Day
+FROM events"""
+
+ORACLE["head_rows"] = f"""WITH {FLOWS_SQL}
+SELECT {FLOW_COLS_SQL} FROM flows ORDER BY flow_id LIMIT 5"""
+
+ORACLE["parquet_roundtrip"] = ORACLE["clean_flows"]

@@ -46,3 +46,56 @@ FLOWS_SQL = f"""flows AS (
          CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k,
          event_type AS Label
   FROM events)"""
+
+
+def _band(tag: str, key: str = FLOW_KEY):
+    """First 4 hex digits of md5('<tag>:' || key): a stable value in 0000..ffff,
+    compared as text (same order in SQL)."""
+    return F.substring(F.md5(F.concat(F.lit(f"{tag}:"), F.col(key).cast("string"))), 1, 4)
+
+
+def dirty_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``flows`` as a raw capture would give it: blanks around column names, +-inf,
+    NaN and null in features, mis-decoded and missing labels. Every row is kept;
+    which rows carry dirt is fixed by a hash of the key (about 1-6 % each)."""
+    fl = flows(spark, sf_dir)
+    h1, h2, h3 = _band("d1"), _band("d2"), _band("d3")
+    bad_label = F.concat(F.lit("Web "), F.col("Label"), F.lit(" �  x"))
+    return fl.select(
+        F.col(FLOW_KEY).alias(" flow_id"),
+        F.col("Day").alias("Day "),
+        F.when(h1 < "0290", F.lit(float("inf"))).when(h1 < "0520", F.lit(float("nan")))
+        .otherwise(F.col("value")).alias("  value"),
+        F.when(h2 < "0290", F.lit(float("-inf"))).when(h2 < "03d8", F.lit(None))
+        .otherwise(F.col("user_id")).alias("user_id "),
+        F.col("k"),
+        F.when(h3 < "0ccc", bad_label).when(h3 < "0f5c", F.lit(None))
+        .otherwise(F.col("Label")).alias(" Label "),
+    )
+
+
+def _band_sql(tag: str) -> str:
+    return f"substr(md5('{tag}:' || CAST(flow_id AS VARCHAR)), 1, 4)"
+
+
+DIRTY_SQL = f"""dirty AS (
+  SELECT flow_id AS " flow_id", Day AS "Day ",
+         CASE WHEN {_band_sql('d1')} < '0290' THEN 'inf'::DOUBLE
+              WHEN {_band_sql('d1')} < '0520' THEN 'nan'::DOUBLE ELSE value END AS "  value",
+         CASE WHEN {_band_sql('d2')} < '0290' THEN '-inf'::DOUBLE
+              WHEN {_band_sql('d2')} < '03d8' THEN NULL ELSE user_id END AS "user_id ",
+         k,
+         CASE WHEN {_band_sql('d3')} < '0ccc' THEN 'Web ' || Label || ' �  x'
+              WHEN {_band_sql('d3')} < '0f5c' THEN NULL ELSE Label END AS " Label "
+  FROM flows)"""
+
+# SQL form of clean_dataframe over ``dirty``.
+CLEAN_SQL = """clean AS (
+  SELECT " flow_id" AS flow_id, "Day " AS Day, "  value" AS value, "user_id " AS user_id, k,
+         trim(regexp_replace(replace(" Label ", '�', ' '), '\\s+', ' ', 'g')) AS Label
+  FROM dirty
+  WHERE " flow_id" IS NOT NULL AND "Day " IS NOT NULL
+    AND "  value" IS NOT NULL AND NOT isnan("  value") AND NOT isinf("  value")
+    AND "user_id " IS NOT NULL AND NOT isnan("user_id ") AND NOT isinf("user_id ")
+    AND k IS NOT NULL AND NOT isnan(k) AND NOT isinf(k)
+    AND " Label " IS NOT NULL)"""

@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 # cluster's own configuration; the builder below is for local runs and tests.
 LOCAL_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
