@@ -79,5 +79,5 @@ def r6(c: str | Column) -> Column:
 
 
 def pct_text(c: str | Column) -> Column:
-    """0.1234 -> '12.3%'."""
-    return F.format_string("%.1f%%", col_of(c) * 100.0)
+    """0.1234 -> '12.3%' (rounded first, so no engine-specific tie rule applies)."""
+    return F.format_string("%.1f%%", F.round(col_of(c) * 100.0, 1))

@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowguard.operators import clean, drift
+from flowguard.operators import clean, drift, profile
 from flowguard.plans.standins import (FLOW_DAY, FLOW_FEATURES, FLOW_KEY, FLOW_LABEL,
-                                      REFERENCE_DAYS, dirty_flows, flows, table)
+                                      REFERENCE_DAYS, dirty_flows, flows, scored_flows,
+                                      table)
 from flowguard.sources import files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,3 +172,64 @@ def parquet_roundtrip(spark, sf_dir):
     path = files.scratch_path(spark, "parquet")
     files.write_parquet(clean.clean_dataframe(dirty_flows(spark, sf_dir)), path, [FLOW_DAY])
     return finalize(files.read_parquet(spark, path))
+
+
+# ---------------------------------------------------------------- profiles (A1-A9)
+LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register
+def class_distribution(spark, sf_dir):
+    return finalize(profile.class_distribution(flows(spark, sf_dir), FLOW_LABEL))
+
+
+@register
+def describe_numeric(spark, sf_dir):
+    return finalize(profile.describe_numeric(flows(spark, sf_dir), FLOW_FEATURES))
+
+
+@register
+def column_profile(spark, sf_dir):
+    return finalize(profile.column_profile(dirty_flows(spark, sf_dir)))
+
+
+@register
+def log_histogram(spark, sf_dir):
+    return finalize(profile.log_histogram(flows(spark, sf_dir), FLOW_FEATURES, 50))
+
+
+@register
+def binned_kde(spark, sf_dir):
+    return finalize(profile.binned_kde(flows(spark, sf_dir), FLOW_FEATURES, 50, 100))
+
+
+@register
+def box_stats(spark, sf_dir):
+    return finalize(profile.box_stats(flows(spark, sf_dir), FLOW_LABEL, ["value", "k"]))
+
+
+@register
+def factorized_corr(spark, sf_dir):
+    return finalize(profile.factorized_corr(flows(spark, sf_dir), FLOW_KEY,
+                                            ["value", "user_id", "k", FLOW_LABEL]))
+
+
+@register
+def value_corr(spark, sf_dir):
+    return finalize(profile.value_corr(table(spark, sf_dir, "lineitem"), LI_NUM))
+
+
+@register
+def redundant_pairs(spark, sf_dir):
+    """Pairs above 0.8 among the price columns and two prices derived from them."""
+    li = table(spark, sf_dir, "lineitem").select(
+        *LI_NUM,
+        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net_price"),
+        (F.col("l_extendedprice") * (1 + F.col("l_tax"))).alias("gross_price"))
+    corr = profile.value_corr(li, LI_NUM + ["net_price", "gross_price"])
+    return finalize(profile.redundant_pairs(corr, 0.8))
+
+
+@register
+def prediction_summary(spark, sf_dir):
+    return finalize(profile.prediction_summary(scored_flows(spark, sf_dir), "prediction"))

@@ -4,7 +4,8 @@ rounding floats to 6 places."""
 
 from __future__ import annotations
 
-from flowguard.plans.standins import CLEAN_SQL, DIRTY_SQL, FLOWS_SQL, REFERENCE_DAYS
+from flowguard.plans.standins import (CLEAN_SQL, DIRTY_SQL, FLOWS_SQL, REFERENCE_DAYS,
+                                      RULE_SQL)
 
 ORACLE: dict[str, str] = {}
 
@@ -181,3 +182,103 @@ ORACLE["head_rows"] = f"""WITH {FLOWS_SQL}
 SELECT {FLOW_COLS_SQL} FROM flows ORDER BY flow_id LIMIT 5"""
 
 ORACLE["parquet_roundtrip"] = ORACLE["clean_flows"]
+
+
+# ---------------------------------------------------------------- profiles
+ORACLE["class_distribution"] = f"""WITH {FLOWS_SQL}
+SELECT Label AS label, CAST(COUNT(*) AS BIGINT) AS count,
+       ROUND(CAST(COUNT(*) AS DOUBLE) / SUM(COUNT(*)) OVER (), 6) AS share
+FROM flows GROUP BY Label"""
+
+ORACLE["describe_numeric"] = f"""WITH {FLOWS_SQL}, {FLOW_LONG}
+SELECT feature AS column, CAST(COUNT(*) AS BIGINT) AS count, ROUND(AVG(v), 6) AS mean,
+       ROUND(STDDEV_SAMP(v), 6) AS std, ROUND(MIN(v), 6) AS min,
+       ROUND(quantile_cont(v, 0.25), 6) AS p25, ROUND(quantile_cont(v, 0.5), 6) AS p50,
+       ROUND(quantile_cont(v, 0.75), 6) AS p75, ROUND(MAX(v), 6) AS max
+FROM flow_long GROUP BY feature"""
+
+_DIRTY_COLS = [(" flow_id", "bigint"), ("Day ", "int"), ("  value", "double"),
+               ("user_id ", "double"), ("k", "double"), (" Label ", "string")]
+ORACLE["column_profile"] = f"""WITH {FLOWS_SQL}, {DIRTY_SQL}
+""" + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS column, '{t}' AS dtype, CAST(COUNT("{c}") AS BIGINT) AS non_null,
+       CAST(COUNT(*) - COUNT("{c}") AS BIGINT) AS nulls FROM dirty""" for c, t in _DIRTY_COLS)
+
+_LOG_HIST = f"""{FLOWS_SQL}, {FLOW_LONG},
+ll AS (SELECT feature, log10(v) AS lv FROM flow_long WHERE v > 0),
+rng AS (SELECT feature, MIN(lv) AS mn, MAX(lv) AS mx FROM ll GROUP BY feature),
+cnt AS (SELECT ll.feature, CAST(CASE WHEN mx = mn THEN 25
+          ELSE least(floor((lv - mn) / (mx - mn) * 50), 49) END AS INTEGER) AS bin,
+          COUNT(*) AS c FROM ll JOIN rng ON ll.feature = rng.feature GROUP BY ALL),
+grid AS (SELECT feature, mn, mx, CAST(unnest(range(0, 50)) AS INTEGER) AS bin FROM rng),
+hist AS (SELECT g.feature, g.bin, g.mn + g.bin * ((g.mx - g.mn) / 50) AS log_lo,
+           g.mn + (g.bin + 1) * ((g.mx - g.mn) / 50) AS log_hi, coalesce(c, 0) AS count
+         FROM grid g LEFT JOIN cnt ON cnt.feature = g.feature AND cnt.bin = g.bin)"""
+
+ORACLE["log_histogram"] = f"""WITH {_LOG_HIST}
+SELECT feature, CAST(bin AS BIGINT) AS bin, ROUND(log_lo, 6) AS log_lo, ROUND(log_hi, 6) AS log_hi,
+       CAST(count AS BIGINT) AS count FROM hist"""
+
+ORACLE["binned_kde"] = f"""WITH {_LOG_HIST},
+sp AS (SELECT feature, STDDEV_SAMP(lv) AS sd, COUNT(*) AS n FROM ll GROUP BY feature),
+pk AS (SELECT h.feature, MIN(log_lo) AS mn, MAX(log_hi) AS mx FROM hist h GROUP BY h.feature),
+par AS (SELECT pk.feature, mn, mx, n, sd * pow(CAST(n AS DOUBLE), -0.2) AS bw,
+          (mx - mn) / 99 AS step FROM pk JOIN sp ON sp.feature = pk.feature),
+g AS (SELECT par.*, unnest(range(0, 100)) AS gi FROM par),
+d AS (SELECT g.feature, g.gi, g.mn + g.gi * g.step AS x,
+        SUM(h.count * exp(-0.5 * ((g.mn + g.gi * g.step - (h.log_lo + h.log_hi) / 2.0) / g.bw)
+                             * ((g.mn + g.gi * g.step - (h.log_lo + h.log_hi) / 2.0) / g.bw)))
+          / (g.n * g.bw * sqrt(2.0 * pi())) AS density
+      FROM g JOIN hist h ON h.feature = g.feature GROUP BY g.feature, g.gi, g.mn, g.step, g.n, g.bw)
+SELECT feature, CAST(gi AS BIGINT) AS grid_index, ROUND(x, 6) AS x, ROUND(density, 6) AS density FROM d"""
+
+ORACLE["box_stats"] = f"""WITH {FLOWS_SQL}, {FLOW_LONG},
+lv AS (SELECT Label AS label, feature, v FROM flow_long WHERE feature IN ('value', 'k')),
+qs AS (SELECT label, feature, COUNT(*) AS n, quantile_cont(v, 0.25) AS q1,
+         quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3 FROM lv GROUP BY label, feature),
+fe AS (SELECT *, q1 - 1.5 * (q3 - q1) AS fence_lo, q3 + 1.5 * (q3 - q1) AS fence_hi FROM qs),
+wh AS (SELECT lv.label, lv.feature,
+         MIN(CASE WHEN v >= fence_lo AND v <= fence_hi THEN v END) AS whisker_lo,
+         MAX(CASE WHEN v >= fence_lo AND v <= fence_hi THEN v END) AS whisker_hi,
+         SUM(CASE WHEN v >= fence_lo AND v <= fence_hi THEN 0 ELSE 1 END) AS n_outliers
+       FROM lv JOIN fe ON fe.label = lv.label AND fe.feature = lv.feature GROUP BY lv.label, lv.feature)
+SELECT fe.label, fe.feature, CAST(n AS BIGINT) AS n, ROUND(q1, 6) AS q1, ROUND(median, 6) AS median,
+       ROUND(q3, 6) AS q3, ROUND(fence_lo, 6) AS fence_lo, ROUND(fence_hi, 6) AS fence_hi,
+       ROUND(whisker_lo, 6) AS whisker_lo, ROUND(whisker_hi, 6) AS whisker_hi,
+       CAST(n_outliers AS BIGINT) AS n_outliers
+FROM fe JOIN wh ON wh.label = fe.label AND wh.feature = fe.feature"""
+
+
+def _pairs_sql(cols, src):
+    sel = []
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            if i > j:
+                sel.append(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, "
+                           f"ROUND(corr(c_{a}, c_{b}), 6) AS corr FROM {src}")
+    return "\nUNION ALL\n".join(sel)
+
+
+_FCOLS = ["value", "user_id", "k", "Label"]
+ORACLE["factorized_corr"] = f"""WITH {FLOWS_SQL},
+""" + ",\n".join(
+    f"""f_{c} AS (SELECT {c} AS v, MIN(flow_id) AS fk FROM flows WHERE {c} IS NOT NULL GROUP BY {c}),
+k_{c} AS (SELECT v, row_number() OVER (ORDER BY fk) - 1 AS code FROM f_{c})""" for c in _FCOLS) + """,
+codes AS (SELECT flows.flow_id, """ + ", ".join(f"coalesce(k_{c}.code, -1) AS c_{c}" for c in _FCOLS) + """
+  FROM flows """ + " ".join(f"LEFT JOIN k_{c} ON k_{c}.v = flows.{c}" for c in _FCOLS) + """)
+""" + _pairs_sql(_FCOLS, "codes")
+
+_LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+ORACLE["value_corr"] = "WITH li AS (SELECT " + ", ".join(f"{c} AS c_{c}" for c in _LI_NUM) + \
+    " FROM lineitem)\n" + _pairs_sql(_LI_NUM, "li")
+_LI_RED = _LI_NUM + ["net_price", "gross_price"]
+ORACLE["redundant_pairs"] = (
+    "WITH li AS (SELECT " + ", ".join(f"{c} AS c_{c}" for c in _LI_NUM)
+    + ", l_extendedprice * (1 - l_discount) AS c_net_price, l_extendedprice * (1 + l_tax) AS c_gross_price"
+    + " FROM lineitem)\nSELECT * FROM (" + _pairs_sql(_LI_RED, "li") + ") WHERE abs(corr) > 0.8")
+
+ORACLE["prediction_summary"] = f"""WITH {FLOWS_SQL},
+s AS (SELECT {RULE_SQL} AS prediction, COUNT(*) AS count FROM flows GROUP BY ALL),
+t AS (SELECT *, CAST(count AS DOUBLE) / SUM(count) OVER () AS share FROM s)
+SELECT prediction, CAST(count AS BIGINT) AS count, ROUND(share * 100.0, 6) AS percent,
+       printf('%.1f%%', round(share * 100.0, 1)) AS percent_text FROM t"""

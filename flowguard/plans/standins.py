@@ -99,3 +99,19 @@ CLEAN_SQL = """clean AS (
     AND "user_id " IS NOT NULL AND NOT isnan("user_id ") AND NOT isinf("user_id ")
     AND k IS NOT NULL AND NOT isnan(k) AND NOT isinf(k)
     AND " Label " IS NOT NULL)"""
+
+
+def rule_prediction(value_col: str = "value"):
+    """A fixed stand-in classifier: bands of ``value`` -> event type. Gives the
+    metric queries a prediction column that SQL can compute too."""
+    v = F.col(value_col)
+    return (F.when(v < 5, "view").when(v < 10, "click").when(v < 20, "purchase")
+            .when(v < 40, "signup").otherwise("error"))
+
+
+RULE_SQL = """CASE WHEN value < 5 THEN 'view' WHEN value < 10 THEN 'click'
+  WHEN value < 20 THEN 'purchase' WHEN value < 40 THEN 'signup' ELSE 'error' END"""
+
+
+def scored_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flows(spark, sf_dir).withColumn("prediction", rule_prediction())
