@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowguard.operators import clean, drift, profile
+from flowguard.operators import clean, drift, profile, split
 from flowguard.plans.standins import (FLOW_DAY, FLOW_FEATURES, FLOW_KEY, FLOW_LABEL,
                                       REFERENCE_DAYS, dirty_flows, flows, scored_flows,
                                       table)
@@ -233,3 +233,31 @@ def redundant_pairs(spark, sf_dir):
 @register
 def prediction_summary(spark, sf_dir):
     return finalize(profile.prediction_summary(scored_flows(spark, sf_dir), "prediction"))
+
+
+# ---------------------------------------------------------------- splits (V1-V4, V8)
+
+@register
+def stratified_split(spark, sf_dir):
+    return finalize(split.stratified_split(flows(spark, sf_dir), FLOW_LABEL, FLOW_KEY, 0.3, 42))
+
+
+@register
+def stratified_folds(spark, sf_dir):
+    return finalize(split.stratified_folds(flows(spark, sf_dir), FLOW_LABEL, FLOW_KEY, 5, 42))
+
+
+@register
+def temporal_split(spark, sf_dir):
+    return finalize(split.temporal_split(flows(spark, sf_dir), FLOW_DAY, range(0, 21),
+                                         range(21, 30)))
+
+
+@register
+def walk_forward_folds(spark, sf_dir):
+    return finalize(split.walk_forward_folds(flows(spark, sf_dir), FLOW_DAY, 2))
+
+
+@register
+def permuted_column(spark, sf_dir):
+    return finalize(split.permute_column(flows(spark, sf_dir), FLOW_KEY, "value", 7))

@@ -282,3 +282,42 @@ s AS (SELECT {RULE_SQL} AS prediction, COUNT(*) AS count FROM flows GROUP BY ALL
 t AS (SELECT *, CAST(count AS DOUBLE) / SUM(count) OVER () AS share FROM s)
 SELECT prediction, CAST(count AS BIGINT) AS count, ROUND(share * 100.0, 6) AS percent,
        printf('%.1f%%', round(share * 100.0, 1)) AS percent_text FROM t"""
+
+
+# ---------------------------------------------------------------- splits
+_RANKED = """r AS (SELECT flows.*, row_number() OVER (PARTITION BY Label
+          ORDER BY md5('42:' || CAST(flow_id AS VARCHAR)), flow_id) AS rk FROM flows)"""
+ORACLE["stratified_split"] = f"""WITH {FLOWS_SQL},
+cc AS (SELECT Label, COUNT(*) AS c FROM flows GROUP BY Label),
+t AS (SELECT SUM(c) AS n, SUM(c) - CAST(ceil(SUM(c) * 0.3) AS BIGINT) AS nt FROM cc),
+b AS (SELECT Label, c, (nt * c) // n AS base, (nt * c) % n AS rem, nt FROM cc, t),
+qt AS (SELECT Label, c, base + CASE WHEN row_number() OVER (ORDER BY rem DESC, Label)
+          <= nt - SUM(base) OVER () THEN 1 ELSE 0 END AS n_train FROM b),
+{_RANKED}
+SELECT {FLOW_COLS_SQL}, CASE WHEN rk <= c - n_train THEN 'test' ELSE 'train' END AS split
+FROM r JOIN qt USING (Label)"""
+
+ORACLE["stratified_folds"] = f"""WITH {FLOWS_SQL}, {_RANKED}
+SELECT {FLOW_COLS_SQL}, CAST((rk - 1) % 5 AS BIGINT) AS fold FROM r"""
+
+ORACLE["temporal_split"] = f"""WITH {FLOWS_SQL}
+SELECT {FLOW_COLS_SQL}, CASE WHEN Day < 21 THEN 'train' ELSE 'test' END AS split FROM flows
+WHERE Day BETWEEN 0 AND 29"""
+
+ORACLE["walk_forward_folds"] = f"""WITH {FLOWS_SQL},
+d AS (SELECT Day, COUNT(*) AS n FROM flows GROUP BY Day),
+s AS (SELECT Day, n, row_number() OVER (ORDER BY Day) - 1 AS idx,
+        coalesce(SUM(n) OVER (ORDER BY Day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS train_size,
+        first_value(Day) OVER (ORDER BY Day) AS first_train_day,
+        lag(Day) OVER (ORDER BY Day) AS last_train_day FROM d)
+SELECT CAST(idx - 1 AS BIGINT) AS step, CAST(Day AS BIGINT) AS test_day,
+       CAST(first_train_day AS BIGINT) AS first_train_day, CAST(last_train_day AS BIGINT) AS last_train_day,
+       CAST(idx AS BIGINT) AS n_train_days, CAST(train_size AS BIGINT) AS train_size,
+       CAST(n AS BIGINT) AS test_size
+FROM s WHERE idx >= 2"""
+
+ORACLE["permuted_column"] = f"""WITH {FLOWS_SQL},
+a AS (SELECT flow_id, row_number() OVER (ORDER BY flow_id) AS pos FROM flows),
+b AS (SELECT value AS value_perm, row_number() OVER (
+        ORDER BY md5('7:' || CAST(flow_id AS VARCHAR)), flow_id) AS pos FROM flows)
+SELECT {FLOW_COLS_SQL}, value_perm FROM flows JOIN a USING (flow_id) JOIN b USING (pos)"""
