@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowguard.operators import clean, drift, profile, split
+from flowguard.operators import clean, drift, metrics, profile, scale, split
 from flowguard.plans.standins import (FLOW_DAY, FLOW_FEATURES, FLOW_KEY, FLOW_LABEL,
                                       REFERENCE_DAYS, dirty_flows, flows, scored_flows,
                                       table)
@@ -261,3 +261,56 @@ def walk_forward_folds(spark, sf_dir):
 @register
 def permuted_column(spark, sf_dir):
     return finalize(split.permute_column(flows(spark, sf_dir), FLOW_KEY, "value", 7))
+
+
+# ---------------------------------------------------------------- metrics (A10-A16, F5)
+
+@register
+def confusion_matrix(spark, sf_dir):
+    return finalize(metrics.confusion_matrix(scored_flows(spark, sf_dir), FLOW_LABEL, "prediction"))
+
+
+@register
+def confusion_matrix_norm(spark, sf_dir):
+    cm = metrics.confusion_matrix(scored_flows(spark, sf_dir), FLOW_LABEL, "prediction")
+    return finalize(metrics.confusion_matrix_norm(cm))
+
+
+@register
+def classification_report(spark, sf_dir):
+    return finalize(metrics.classification_report(scored_flows(spark, sf_dir), FLOW_LABEL,
+                                                  "prediction"))
+
+
+@register
+def train_test_gap(spark, sf_dir):
+    sp = split.stratified_split(scored_flows(spark, sf_dir), FLOW_LABEL, FLOW_KEY, 0.3, 42)
+    tr, te = split.train_test(sp)
+    return finalize(metrics.train_test_gap(tr, te, FLOW_LABEL, "prediction"))
+
+
+def _fold_scores(spark, sf_dir):
+    folds = split.stratified_folds(scored_flows(spark, sf_dir), FLOW_LABEL, FLOW_KEY, 5, 42)
+    return metrics.macro_metrics(folds, FLOW_LABEL, "prediction", by=["fold"])
+
+
+@register
+def macro_metrics(spark, sf_dir):
+    return finalize(_fold_scores(spark, sf_dir))
+
+
+@register
+def fold_summary(spark, sf_dir):
+    return finalize(metrics.fold_summary(
+        _fold_scores(spark, sf_dir),
+        ["accuracy", "precision_macro", "recall_macro", "f1_macro"]))
+
+
+@register
+def standard_scale(spark, sf_dir):
+    """Scaler fitted on the stratified train side, applied to both sides."""
+    sp = split.stratified_split(flows(spark, sf_dir), FLOW_LABEL, FLOW_KEY, 0.3, 42)
+    tr, te = split.train_test(sp)
+    a, b, _ = scale.scale_features(tr, te, FLOW_FEATURES)
+    both = a.withColumn("split", F.lit("train")).unionByName(b.withColumn("split", F.lit("test")))
+    return finalize(both)

@@ -321,3 +321,88 @@ a AS (SELECT flow_id, row_number() OVER (ORDER BY flow_id) AS pos FROM flows),
 b AS (SELECT value AS value_perm, row_number() OVER (
         ORDER BY md5('7:' || CAST(flow_id AS VARCHAR)), flow_id) AS pos FROM flows)
 SELECT {FLOW_COLS_SQL}, value_perm FROM flows JOIN a USING (flow_id) JOIN b USING (pos)"""
+
+
+# ---------------------------------------------------------------- metrics
+_SCORED = f"""{FLOWS_SQL}, scored AS (SELECT flows.*, {RULE_SQL} AS prediction FROM flows)"""
+_CM = f"""{_SCORED},
+cls AS (SELECT Label AS c FROM scored UNION SELECT prediction FROM scored),
+cells AS (SELECT Label AS label, prediction, COUNT(*) AS n FROM scored GROUP BY ALL),
+cm AS (SELECT a.c AS label, b.c AS prediction, coalesce(n, 0) AS count
+       FROM cls a, cls b LEFT JOIN cells ON cells.label = a.c AND cells.prediction = b.c)"""
+
+ORACLE["confusion_matrix"] = f"""WITH {_CM}
+SELECT label, prediction, CAST(count AS BIGINT) AS count FROM cm"""
+
+ORACLE["confusion_matrix_norm"] = f"""WITH {_CM},
+t AS (SELECT *, SUM(count) OVER (PARTITION BY label) AS row_total FROM cm)
+SELECT label, prediction, CAST(count AS BIGINT) AS count, CAST(row_total AS BIGINT) AS row_total,
+       ROUND(CASE WHEN row_total = 0 THEN NULL ELSE CAST(count AS DOUBLE) / row_total END, 6) AS share,
+       printf('%.1f%%', round(CAST(count AS DOUBLE) / row_total * 100.0, 1)) || chr(10) || '(' || CAST(count AS VARCHAR) || ')'
+         AS cell_text
+FROM t"""
+
+
+def _per_class(src: str, by: str = "") -> str:
+    bsel = f"{by}, " if by else ""
+    return f"""cc AS (
+  SELECT {bsel}c AS class, SUM(tp) AS tp, SUM(t) AS n_true, SUM(p) AS n_pred FROM (
+    SELECT {bsel}Label AS c, CASE WHEN Label = prediction THEN 1 ELSE 0 END AS tp, 1 AS t, 0 AS p FROM {src}
+    UNION ALL SELECT {bsel}prediction, 0, 0, 1 FROM {src}) GROUP BY ALL),
+pc AS (SELECT *, CASE WHEN n_pred = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / n_pred END AS precision,
+         CASE WHEN n_true = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / n_true END AS recall FROM cc),
+pf AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0.0
+         ELSE 2 * precision * recall / (precision + recall) END AS f1 FROM pc)"""
+
+
+ORACLE["classification_report"] = f"""WITH {_SCORED}, {_per_class("scored")}
+SELECT class AS row, ROUND(precision, 6) AS precision, ROUND(recall, 6) AS recall, ROUND(f1, 6) AS f1,
+       CAST(n_true AS BIGINT) AS support FROM pf
+UNION ALL SELECT 'accuracy', NULL, NULL, ROUND(CAST(SUM(tp) AS DOUBLE) / SUM(n_true), 6),
+       CAST(SUM(n_true) AS BIGINT) FROM pf
+UNION ALL SELECT 'macro avg', ROUND(AVG(precision), 6), ROUND(AVG(recall), 6), ROUND(AVG(f1), 6),
+       CAST(SUM(n_true) AS BIGINT) FROM pf
+UNION ALL SELECT 'weighted avg', ROUND(SUM(precision * n_true) / SUM(n_true), 6),
+       ROUND(SUM(recall * n_true) / SUM(n_true), 6), ROUND(SUM(f1 * n_true) / SUM(n_true), 6),
+       CAST(SUM(n_true) AS BIGINT) FROM pf"""
+
+_SPLIT_QUOTA = """cq AS (SELECT Label, COUNT(*) AS c FROM flows GROUP BY Label),
+tq AS (SELECT SUM(c) AS n, SUM(c) - CAST(ceil(SUM(c) * 0.3) AS BIGINT) AS nt FROM cq),
+bq AS (SELECT Label, c, (nt * c) // n AS base, (nt * c) % n AS rem, nt FROM cq, tq),
+qt AS (SELECT Label, c, base + CASE WHEN row_number() OVER (ORDER BY rem DESC, Label)
+          <= nt - SUM(base) OVER () THEN 1 ELSE 0 END AS n_train FROM bq)"""
+_SPLIT_ROWS = f"""{_SPLIT_QUOTA}, {_RANKED},
+sp AS (SELECT r.*, CASE WHEN rk <= c - n_train THEN 'test' ELSE 'train' END AS split
+       FROM r JOIN qt USING (Label))"""
+
+ORACLE["train_test_gap"] = f"""WITH {FLOWS_SQL}, {_SPLIT_ROWS},
+h AS (SELECT split, CASE WHEN Label = ({RULE_SQL}) THEN 1.0 ELSE 0.0 END AS hit FROM sp),
+a AS (SELECT AVG(CASE WHEN split = 'train' THEN hit END) AS tr, AVG(CASE WHEN split = 'test' THEN hit END) AS te FROM h)
+SELECT ROUND(tr, 6) AS train_score, ROUND(te, 6) AS test_score, ROUND(tr - te, 6) AS gap,
+       tr - te > 0.05 AS is_overfitting FROM a"""
+
+_FOLD_SCORES = f"""{FLOWS_SQL}, {_RANKED},
+fs AS (SELECT r.*, (rk - 1) % 5 AS fold, {RULE_SQL} AS prediction FROM r),
+{_per_class("fs", "fold")},
+ms AS (SELECT fold, SUM(n_true) AS n, CAST(SUM(tp) AS DOUBLE) / SUM(n_true) AS accuracy,
+         AVG(precision) AS precision_macro, AVG(recall) AS recall_macro, AVG(f1) AS f1_macro
+       FROM pf GROUP BY fold)"""
+
+ORACLE["macro_metrics"] = f"""WITH {_FOLD_SCORES}
+SELECT CAST(fold AS BIGINT) AS fold, CAST(n AS BIGINT) AS n, ROUND(accuracy, 6) AS accuracy,
+       ROUND(precision_macro, 6) AS precision_macro, ROUND(recall_macro, 6) AS recall_macro,
+       ROUND(f1_macro, 6) AS f1_macro FROM ms"""
+
+ORACLE["fold_summary"] = f"""WITH {_FOLD_SCORES},
+l AS (UNPIVOT ms ON accuracy, precision_macro, recall_macro, f1_macro INTO NAME metric VALUE score)
+SELECT metric, ROUND(AVG(score), 6) AS mean, ROUND(STDDEV_POP(score), 6) AS std,
+       CAST(COUNT(*) AS BIGINT) AS n_folds FROM l GROUP BY metric"""
+
+ORACLE["standard_scale"] = f"""WITH {FLOWS_SQL}, {_SPLIT_ROWS},
+st AS (SELECT AVG(value) AS mv, STDDEV_POP(value) AS sv, AVG(user_id) AS mu, STDDEV_POP(user_id) AS su,
+         AVG(k) AS mk, STDDEV_POP(k) AS sk FROM sp WHERE split = 'train')
+SELECT CAST(flow_id AS BIGINT) AS flow_id, CAST(Day AS BIGINT) AS Day,
+       ROUND((value - mv) / CASE WHEN sv = 0 THEN 1 ELSE sv END, 6) AS value,
+       ROUND((user_id - mu) / CASE WHEN su = 0 THEN 1 ELSE su END, 6) AS user_id,
+       ROUND((k - mk) / CASE WHEN sk = 0 THEN 1 ELSE sk END, 6) AS k, Label, split
+FROM sp, st"""
