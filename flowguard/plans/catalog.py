@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowguard.operators import clean, drift, metrics, profile, scale, split
+from flowguard.operators import clean, drift, metrics, profile, resample, scale, split
 from flowguard.plans.standins import (FLOW_DAY, FLOW_FEATURES, FLOW_KEY, FLOW_LABEL,
-                                      REFERENCE_DAYS, dirty_flows, flows, scored_flows,
+                                      EMB_FEATURES, REFERENCE_DAYS, dirty_flows,
+                                      embedding_rows, flows, scored_flows,
                                       table)
 from flowguard.sources import files
 
@@ -314,3 +315,29 @@ def standard_scale(spark, sf_dir):
     a, b, _ = scale.scale_features(tr, te, FLOW_FEATURES)
     both = a.withColumn("split", F.lit("train")).unionByName(b.withColumn("split", F.lit("test")))
     return finalize(both)
+
+
+# ---------------------------------------------------------------- SMOTE (V6)
+
+@register
+def smote_class_targets(spark, sf_dir):
+    return finalize(resample.class_targets(embedding_rows(spark, sf_dir), "label"))
+
+
+@register
+def smote_knn(spark, sf_dir):
+    """Exact 5 nearest vectors of the same class for every vector."""
+    knn = resample.knn_within_class(embedding_rows(spark, sf_dir), "vec_id", "label",
+                                    EMB_FEATURES, k=5, seed=42)
+    return finalize(knn.select(F.col("key").alias("vec_id"), "label", "nn_rank",
+                               F.col("nn_key").alias("nn_vec_id"), "dist"))
+
+
+@register
+def smote_rows(spark, sf_dir):
+    """Class counts after SMOTE: every class at the majority count."""
+    out = resample.smote(embedding_rows(spark, sf_dir), "vec_id", "label", EMB_FEATURES, 5, 42)
+    return finalize(out.groupBy("label").agg(
+        F.sum((~F.col("synthetic")).cast("long")).alias("n_original"),
+        F.sum(F.col("synthetic").cast("long")).alias("n_synthetic"),
+        F.count(F.lit(1)).alias("n_total")))

@@ -406,3 +406,21 @@ SELECT CAST(flow_id AS BIGINT) AS flow_id, CAST(Day AS BIGINT) AS Day,
        ROUND((user_id - mu) / CASE WHEN su = 0 THEN 1 ELSE su END, 6) AS user_id,
        ROUND((k - mk) / CASE WHEN sk = 0 THEN 1 ELSE sk END, 6) AS k, Label, split
 FROM sp, st"""
+
+
+# ---------------------------------------------------------------- SMOTE
+ORACLE["smote_class_targets"] = """WITH c AS (SELECT label, COUNT(*) AS n FROM embeddings GROUP BY label)
+SELECT CAST(label AS BIGINT) AS label, CAST(n AS BIGINT) AS n, CAST(MAX(n) OVER () AS BIGINT) AS target,
+       CAST(MAX(n) OVER () - n AS BIGINT) AS need FROM c"""
+
+ORACLE["smote_knn"] = """WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+pairs AS (SELECT a.vec_id, a.label, b.vec_id AS nn_vec_id,
+            sqrt(list_sum(list_transform(range(1, 65), lambda i: (a.v[i] - b.v[i]) * (a.v[i] - b.v[i])))) AS dist
+          FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, nn_vec_id) AS nn_rank FROM pairs)
+SELECT CAST(vec_id AS BIGINT) AS vec_id, CAST(label AS BIGINT) AS label, CAST(nn_rank AS BIGINT) AS nn_rank,
+       CAST(nn_vec_id AS BIGINT) AS nn_vec_id, ROUND(dist, 6) AS dist FROM r WHERE nn_rank <= 5"""
+
+ORACLE["smote_rows"] = """WITH c AS (SELECT label, COUNT(*) AS n FROM embeddings GROUP BY label)
+SELECT CAST(label AS BIGINT) AS label, CAST(n AS BIGINT) AS n_original,
+       CAST(MAX(n) OVER () - n AS BIGINT) AS n_synthetic, CAST(MAX(n) OVER () AS BIGINT) AS n_total FROM c"""

@@ -115,3 +115,14 @@ RULE_SQL = """CASE WHEN value < 5 THEN 'view' WHEN value < 10 THEN 'click'
 
 def scored_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flows(spark, sf_dir).withColumn("prediction", rule_prediction())
+
+
+EMB_DIM = 64
+EMB_FEATURES = [f"e{i}" for i in range(EMB_DIM)]
+
+
+def embedding_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, label, e0..e63 (doubles): the vectors as wide numeric rows."""
+    e = table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", "label",
+                    *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(EMB_DIM)])
