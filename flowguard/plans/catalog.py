@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowguard.operators import clean, drift, metrics, profile, resample, scale, split
+from flowguard.operators import (clean, drift, metrics, models, profile, resample, scale,
+                                 split, validate)
 from flowguard.plans.standins import (FLOW_DAY, FLOW_FEATURES, FLOW_KEY, FLOW_LABEL,
-                                      EMB_FEATURES, REFERENCE_DAYS, dirty_flows,
+                                      DOC_FEATURES, EMB_FEATURES, PERIOD, REFERENCE_DAYS,
+                                      dirty_flows, doc_quality, flows_by_period,
                                       embedding_rows, flows, scored_flows,
                                       table)
 from flowguard.sources import files
@@ -341,3 +343,201 @@ def smote_rows(spark, sf_dir):
         F.sum((~F.col("synthetic")).cast("long")).alias("n_original"),
         F.sum(F.col("synthetic").cast("long")).alias("n_synthetic"),
         F.count(F.lit(1)).alias("n_total")))
+
+
+# ------------------------------------------------------ models, scoring (M, S4-S7)
+# Seeded fits: no SQL twin; the driver checks rows and schema, tests check the
+# invariants (probabilities sum to 1, round trip equal, class counts).
+
+def _forest(**kw):
+    p = {"numTrees": 20, "maxDepth": 8, "seed": 42}
+    p.update(kw)
+    return lambda: models.make_estimator("forest", **p)
+
+
+def _report(model, test, label_col):
+    scored = models.score(model, test, label_col)
+    return metrics.classification_report(scored, label_col, models.PRED_LABEL)
+
+
+def _flow_split(spark, sf_dir):
+    return split.train_test(split.stratified_split(flows(spark, sf_dir), FLOW_LABEL, FLOW_KEY))
+
+
+def _doc_split(spark, sf_dir):
+    return split.train_test(split.stratified_split(doc_quality(spark, sf_dir), "quality", "doc_id"))
+
+
+@register
+def train_logreg(spark, sf_dir):
+    tr, te = _flow_split(spark, sf_dir)
+    est = models.make_estimator("logreg", n_rows=tr.count(), maxIter=1000)
+    m = models.fit_pipeline(tr, FLOW_FEATURES, FLOW_LABEL, est, scale=True)
+    return finalize(_report(m, te, FLOW_LABEL))
+
+
+@register
+def train_forest(spark, sf_dir):
+    tr, te = _flow_split(spark, sf_dir)
+    m = models.fit_pipeline(tr, FLOW_FEATURES, FLOW_LABEL, _forest()())
+    return finalize(_report(m, te, FLOW_LABEL))
+
+
+def _smote_train(tr):
+    return resample.smote(tr, "doc_id", "quality", DOC_FEATURES, 5, 42)
+
+
+@register
+def train_smote_forest(spark, sf_dir):
+    """SMOTE on the training side only, then the forest; scored on the untouched
+    test side."""
+    tr, te = _doc_split(spark, sf_dir)
+    m = models.fit_pipeline(_smote_train(tr), DOC_FEATURES, "quality", _forest()())
+    return finalize(_report(m, te, "quality"))
+
+
+@register
+def train_boosting(spark, sf_dir):
+    tr, te = _flow_split(spark, sf_dir)
+    est = models.make_estimator("boosting", maxIter=10, maxDepth=3)
+    m = models.fit_pipeline(tr, FLOW_FEATURES, FLOW_LABEL, est)
+    return finalize(_report(m, te, FLOW_LABEL))
+
+
+@register
+def compare_models(spark, sf_dir):
+    """Per-class reports of the three models on the same split, tagged by model."""
+    tr, te = _doc_split(spark, sf_dir)
+    lr = models.fit_pipeline(tr, DOC_FEATURES, "quality", models.make_estimator(
+        "logreg", n_rows=tr.count(), maxIter=1000), scale=True)
+    rf = models.fit_pipeline(tr, DOC_FEATURES, "quality", _forest()())
+    sm = models.fit_pipeline(_smote_train(tr), DOC_FEATURES, "quality", _forest()())
+    parts = [_report(m, te, "quality").withColumn("model", F.lit(name))
+             for name, m in (("logreg", lr), ("forest", rf), ("smote_forest", sm))]
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return finalize(out)
+
+
+def _saved_forest(spark, sf_dir):
+    tr, te = _flow_split(spark, sf_dir)
+    m = models.fit_pipeline(tr, FLOW_FEATURES, FLOW_LABEL, _forest()())
+    acc = metrics.macro_metrics(models.score(m, te, FLOW_LABEL), FLOW_LABEL,
+                                models.PRED_LABEL).first()["accuracy"]
+    path = files.scratch_path(spark, "model")
+    models.save_model(m, path, {"name": "forest", "accuracy": acc})
+    return path
+
+
+@register
+def score_table(spark, sf_dir):
+    """Scoring job: load a saved model, score flows written as CSV, write the
+    input rows plus the prediction as CSV, and summarise the predictions."""
+    path = _saved_forest(spark, sf_dir)
+    model, _ = models.load_model(path)
+    csv_dir = files.scratch_path(spark, "input")
+    files.write_csv(flows(spark, sf_dir), csv_dir)
+    data = files.load_csv_files(spark, csv_dir, keep_source=False)
+    scored = models.score(model, data.drop(FLOW_LABEL))
+    out_dir = files.scratch_path(spark, "predictions")
+    files.write_csv(scored.select(*data.drop(FLOW_LABEL).columns,
+                                  F.col(models.PRED_LABEL).alias("prediction")), out_dir)
+    written = files.load_csv_files(spark, out_dir, keep_source=False)
+    return finalize(profile.prediction_summary(written, "prediction"))
+
+
+@register
+def score_probabilities(spark, sf_dir):
+    path = _saved_forest(spark, sf_dir)
+    model, _ = models.load_model(path)
+    scored = models.score(model, flows(spark, sf_dir))
+    return finalize(models.class_probabilities(model, scored, [FLOW_KEY]))
+
+
+@register
+def model_roundtrip(spark, sf_dir):
+    """Save, load, score the whole table with both: n_rows, n_same, metadata."""
+    tr, _ = _flow_split(spark, sf_dir)
+    m = models.fit_pipeline(tr, FLOW_FEATURES, FLOW_LABEL, _forest()())
+    path = files.scratch_path(spark, "roundtrip")
+    models.save_model(m, path, {"name": "forest", "accuracy": 0.0})
+    m2, meta = models.load_model(path)
+    fl = flows(spark, sf_dir)
+    a = models.score(m, fl).select(FLOW_KEY, F.col(models.PRED_LABEL).alias("a"))
+    b = models.score(m2, fl).select(FLOW_KEY, F.col(models.PRED_LABEL).alias("b"))
+    cmp = a.join(b, FLOW_KEY).agg(F.count(F.lit(1)).alias("n_rows"),
+                                  F.sum((F.col("a") == F.col("b")).cast("long")).alias("n_same"))
+    return finalize(cmp.withColumn("name", F.lit(meta.get("name")))
+                    .withColumn("has_saved_at", F.lit("saved_at" in meta)))
+
+
+@register
+def prepared_dataset(spark, sf_dir):
+    """The prepared bundle: cleaned rows, stratified split, features kept by
+    forest importance (fitted on train), population scaling fitted on train; one
+    Parquet table with a split column, read back."""
+    cl = clean.clean_dataframe(dirty_flows(spark, sf_dir))
+    sp = split.stratified_split(cl, FLOW_LABEL, FLOW_KEY)
+    tr, te = split.train_test(sp)
+    imp = validate.select_by_importance(tr, FLOW_LABEL, FLOW_FEATURES, 20, 8)
+    keep = [r["feature"] for r in imp.where("selected").collect()]
+    a, b, _ = scale.scale_features(tr.select(FLOW_KEY, *keep, FLOW_LABEL),
+                                   te.select(FLOW_KEY, *keep, FLOW_LABEL), keep)
+    both = a.withColumn("split", F.lit("train")).unionByName(b.withColumn("split", F.lit("test")))
+    path = files.scratch_path(spark, "prepared")
+    files.write_parquet(both, path, ["split"])
+    return finalize(files.read_parquet(spark, path))
+
+
+# ------------------------------------------------------ loops (V4, V5, F1-F4, F6-F7)
+WIDE = EMB_FEATURES[:8]
+
+
+@register
+def cross_validate(spark, sf_dir):
+    per_fold, _ = validate.cross_validate(flows(spark, sf_dir), FLOW_KEY, FLOW_LABEL,
+                                          FLOW_FEATURES, _forest(), k=3, seed=42)
+    return finalize(per_fold)
+
+
+@register
+def walk_forward_scores(spark, sf_dir):
+    steps, _ = validate.walk_forward_scores(flows_by_period(spark, sf_dir), PERIOD, FLOW_LABEL,
+                                            FLOW_FEATURES, _forest(), 2, "f1_macro")
+    return finalize(steps)
+
+
+@register
+def select_by_importance(spark, sf_dir):
+    tr, _ = split.train_test(split.stratified_split(embedding_rows(spark, sf_dir), "label",
+                                                    "vec_id"))
+    return finalize(validate.select_by_importance(tr, "label", WIDE, 20, 8))
+
+
+@register
+def rfecv(spark, sf_dir):
+    ranking, _ = validate.rfecv(embedding_rows(spark, sf_dir), "vec_id", "label", WIDE,
+                                _forest(numTrees=10, maxDepth=5), min_features=5, cv=3)
+    return finalize(ranking)
+
+
+@register
+def permutation_importance(spark, sf_dir):
+    emb = embedding_rows(spark, sf_dir)
+    m = models.fit_pipeline(emb, WIDE, "label", _forest(numTrees=10, maxDepth=5)())
+    return finalize(validate.permutation_importance(m, emb, "vec_id", "label", WIDE, 3, 42))
+
+
+@register
+def compare_selectors(spark, sf_dir):
+    return finalize(validate.compare_selectors(
+        embedding_rows(spark, sf_dir), "vec_id", "label", WIDE,
+        _forest(numTrees=10, maxDepth=5), cv=3, min_features=5, n_repeats=2))
+
+
+@register
+def random_search(spark, sf_dir):
+    res, _ = validate.random_search(embedding_rows(spark, sf_dir), "vec_id", "label", WIDE,
+                                    "forest", validate.FOREST_SPACE, n_iter=2, cv=2, seed=42)
+    return finalize(res)

@@ -126,3 +126,31 @@ def embedding_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
     return e.select("vec_id", "label",
                     *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(EMB_DIM)])
+
+
+DOC_FEATURES = ["n_chars", "n_words", "n_lines", "n_upper", "n_digits"]
+
+
+def doc_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The imbalanced stand-in: labelled documents (quality 0/1, about 85/15) with
+    numeric features measured on the whole text."""
+    d = table(spark, sf_dir, "documents")
+    lab = table(spark, sf_dir, "labels")
+    t = F.col("text")
+    return d.join(lab, "doc_id").select(
+        "doc_id",
+        F.col("n_chars").cast("double").alias("n_chars"),
+        F.size(F.split(F.trim(t), r"\s+")).cast("double").alias("n_words"),
+        F.size(F.split(t, "\n")).cast("double").alias("n_lines"),
+        F.length(F.regexp_replace(t, "[^A-Z]", "")).cast("double").alias("n_upper"),
+        F.length(F.regexp_replace(t, "[^0-9]", "")).cast("double").alias("n_digits"),
+        F.col("quality").cast("string").alias("quality"))
+
+
+PERIOD = "Period"
+
+
+def flows_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """flows with Period = Day // 6: five capture periods, as the reference's five
+    capture days."""
+    return flows(spark, sf_dir).withColumn(PERIOD, F.floor(F.col(FLOW_DAY) / 6).cast("int"))
