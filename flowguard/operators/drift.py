@@ -171,3 +171,50 @@ def chi2_drift(reference: DataFrame, current: DataFrame, label_col: str,
            .withColumn("has_drift", F.coalesce(F.col("p_value") < F.lit(threshold),
                                                F.lit(False))))
     return res if batch_col else res.drop(b)
+
+
+class DriftMonitor:
+    """Batch-by-batch drift checks against a fixed reference table.
+
+    ``check`` returns a one-row report (batch number from 1, data drift summary,
+    prediction drift when a label column is given, needs_retraining = either).
+    Reports are appended to ``history_path`` (Parquet, one folder per batch
+    number, so a repeated batch replaces itself) or kept in memory as small
+    one-row DataFrames.
+    """
+
+    def __init__(self, reference: DataFrame, features: Sequence[str],
+                 label_col: str | None = None, data_threshold: float = 0.05,
+                 prediction_threshold: float = 0.05, history_path: str | None = None):
+        self.reference = reference
+        self.features = list(features)
+        self.label_col = label_col
+        self.data_threshold = data_threshold
+        self.prediction_threshold = prediction_threshold
+        self.history_path = history_path
+        self.history: list[DataFrame] = []
+
+    def check(self, current: DataFrame, with_labels: bool = True) -> DataFrame:
+        n = len(self.history) + 1
+        ks = ks_drift(self.reference, current, self.features, threshold=self.data_threshold)
+        summ = drift_summary(ks).select(
+            F.lit(n).alias("batch_number"), "n_features", "n_drifted", "drift_ratio",
+            F.col("has_drift").alias("data_drift"),
+            F.array_join("drifted_features", ",").alias("drifted_features"))
+        use_labels = with_labels and self.label_col and self.label_col in current.columns
+        row = summ.first().asDict()          # one row per side, assembled on the driver
+        chi = (chi2_drift(self.reference, current, self.label_col,
+                          threshold=self.prediction_threshold).first() if use_labels else None)
+        row["chi2_statistic"] = float(chi["statistic"]) if chi else None
+        row["chi2_p_value"] = (float(chi["p_value"]) if chi and chi["p_value"] is not None
+                               else None)
+        row["prediction_drift"] = bool(chi["has_drift"]) if chi else None
+        row["needs_retraining"] = bool(row["data_drift"]) or bool(row["prediction_drift"])
+        rep = current.sparkSession.createDataFrame(
+            [row], "batch_number int, n_features long, n_drifted long, drift_ratio double, "
+                   "data_drift boolean, drifted_features string, chi2_statistic double, "
+                   "chi2_p_value double, prediction_drift boolean, needs_retraining boolean")
+        if self.history_path:
+            rep.write.mode("overwrite").parquet(f"{self.history_path}/batch_number={n}")
+        self.history.append(rep)
+        return rep

@@ -541,3 +541,38 @@ def random_search(spark, sf_dir):
     res, _ = validate.random_search(embedding_rows(spark, sf_dir), "vec_id", "label", WIDE,
                                     "forest", validate.FOREST_SPACE, n_iter=2, cv=2, seed=42)
     return finalize(res)
+
+
+# ---------------------------------------------------------------- streaming (D4)
+
+@register
+def drift_stream(spark, sf_dir):
+    """Flows written one file per day, streamed a few files per micro-batch; each
+    micro-batch is checked against the first seven days, per day. Same numbers
+    as drift_by_day."""
+    from flowguard.streaming.drift_stream import read_reports, start_drift_stream
+    ref, cur = _ref_cur(spark, sf_dir)
+    src = files.scratch_path(spark, "stream-src")
+    cur.repartition(FLOW_DAY).write.mode("overwrite").partitionBy(FLOW_DAY).parquet(src)
+    stream = (spark.readStream.schema(spark.read.parquet(src).schema)
+              .option("maxFilesPerTrigger", 4).parquet(src))
+    reports = files.scratch_path(spark, "stream-reports")
+    q_ = start_drift_stream(stream, ref, FLOW_FEATURES, FLOW_DAY, reports,
+                            files.scratch_path(spark, "stream-ckpt"))
+    q_.awaitTermination()
+    return finalize(read_reports(spark, reports).drop("epoch"))
+
+
+@register
+def drift_monitor(spark, sf_dir):
+    """The batch monitor over three later periods of flows, with labels for the
+    first two and without for the third: one report row per batch."""
+    fl = flows(spark, sf_dir)
+    mon = drift.DriftMonitor(fl.where(F.col(FLOW_DAY) < REFERENCE_DAYS), FLOW_FEATURES,
+                             FLOW_LABEL)
+    reps = [mon.check(fl.where((F.col(FLOW_DAY) >= lo) & (F.col(FLOW_DAY) < hi)), labels)
+            for lo, hi, labels in ((7, 14, True), (14, 21, True), (21, 30, False))]
+    out = reps[0]
+    for r in reps[1:]:
+        out = out.unionByName(r)
+    return finalize(out)

@@ -424,3 +424,7 @@ SELECT CAST(vec_id AS BIGINT) AS vec_id, CAST(label AS BIGINT) AS label, CAST(nn
 ORACLE["smote_rows"] = """WITH c AS (SELECT label, COUNT(*) AS n FROM embeddings GROUP BY label)
 SELECT CAST(label AS BIGINT) AS label, CAST(n AS BIGINT) AS n_original,
        CAST(MAX(n) OVER () - n AS BIGINT) AS n_synthetic, CAST(MAX(n) OVER () AS BIGINT) AS n_total FROM c"""
+
+
+# ---------------------------------------------------------------- streaming
+ORACLE["drift_stream"] = ORACLE["drift_by_day"]
