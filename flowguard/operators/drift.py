@@ -48,6 +48,7 @@ def ks_drift(reference: DataFrame, current: DataFrame, features: Sequence[str],
         raise ValueError(f"unsupported drift method: {method}")
     b = batch_col or _BATCH
     cur = current if batch_col else current.withColumn(b, F.lit(0))
+    cur = cur.where(q(b).isNotNull())   # a null batch key has no batch to report
     ref_long = to_long(reference, features)
     cur_long = to_long(cur, features, id_cols=[b])
 
@@ -57,13 +58,19 @@ def ks_drift(reference: DataFrame, current: DataFrame, features: Sequence[str],
                                               F.lit(0).cast("long").alias("rc")))
            .groupBy("feature", "value").agg(F.sum("rc").alias("rc")))
 
-    ref_cdf = (running_sum(pts, ["value"], ["feature"], weight="rc", out="ref_le",
-                           method=prefix_method)
-               .select("feature", "value", "ref_le",
-                       (F.col("ref_le") - F.col("rc")).alias("ref_lt")))
-    cur_cdf = (running_sum(cur_pts, ["value"], [b, "feature"], weight="cc", out="cur_le",
-                           method=prefix_method)
-               .withColumn("cur_prev", F.col("cur_le") - F.col("cc")))
+    # both running counts in one distributed prefix pass: the reference points
+    # form one group per feature (null batch), each batch one group per feature
+    both = (pts.select(F.lit(None).cast(cur_pts.schema[b].dataType).alias(b), "feature",
+                       "value", F.col("rc").alias("w"))
+            .unionByName(cur_pts.select(b, "feature", "value", F.col("cc").alias("w"))))
+    cdf = running_sum(both, ["value"], [b, "feature"], weight="w", out="le",
+                      method=prefix_method)
+    ref_cdf = cdf.where(F.col(b).isNull()).select(
+        "feature", "value", F.col("le").alias("ref_le"),
+        (F.col("le") - F.col("w")).alias("ref_lt"))
+    cur_cdf = cdf.where(F.col(b).isNotNull()).select(
+        b, "feature", "value", F.col("w").alias("cc"), F.col("le").alias("cur_le"),
+        (F.col("le") - F.col("w")).alias("cur_prev"))
     # one row per feature: bounded by the feature list
     n_ref = F.broadcast(ref_pts.groupBy("feature").agg(F.sum("rc").alias("n_ref")))
     n_cur = cur_pts.groupBy(b, "feature").agg(F.sum("cc").alias("n_cur"))

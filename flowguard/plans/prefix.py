@@ -76,10 +76,16 @@ def running_sum(df: DataFrame, order_by: Sequence[str | Column],
     offsets = (tot.withColumn(_OFF, F.sum(_TOT).over(prev))
                .where(F.col(_OFF).isNotNull())
                .select(_BLK, *part, _OFF))
-    # at most num_blocks rows: safe to broadcast whatever the input size
-    joined = local.join(F.broadcast(offsets), on=[_BLK, *part], how="left")
+    # at most num_blocks rows: safe to broadcast whatever the input size. The join
+    # is null-safe so that a null group key is a group like any other.
+    offs = offsets.select(F.col(_BLK).alias("_o_blk"),
+                          *[F.col(c).alias(f"_o_{i}") for i, c in enumerate(part)], _OFF)
+    cond = F.col(_BLK) == F.col("_o_blk")
+    for i, c in enumerate(part):
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_o_{i}"))
+    joined = local.join(F.broadcast(offs), cond, how="left")
     return (joined.withColumn(out, F.col(_LOCAL) + F.coalesce(F.col(_OFF), F.lit(0)))
-            .drop(_BLK, _W, _LOCAL, _OFF))
+            .drop(_BLK, _W, _LOCAL, _OFF, "_o_blk", *[f"_o_{i}" for i in range(len(part))]))
 
 
 def row_number(df: DataFrame, order_by: Sequence[str | Column],
