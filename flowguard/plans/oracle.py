@@ -428,3 +428,44 @@ SELECT CAST(label AS BIGINT) AS label, CAST(n AS BIGINT) AS n_original,
 
 # ---------------------------------------------------------------- streaming
 ORACLE["drift_stream"] = ORACLE["drift_by_day"]
+
+
+# ---------------------------------------------------------------- monitor, round trip
+def _monitor_batch(n: int, lo: int, hi: int, labels: bool) -> str:
+    ks = _ks_sql(f"Day < {REFERENCE_DAYS}", f"Day >= {lo} AND Day < {hi}", None)
+    if labels:
+        chi = f"""(WITH {FLOWS_SQL},
+rc AS (SELECT Label AS label, COUNT(*) AS ref_count FROM flows WHERE Day < {REFERENCE_DAYS} GROUP BY Label),
+cc AS (SELECT Label AS label, COUNT(*) AS cur_count FROM flows WHERE Day >= {lo} AND Day < {hi} GROUP BY Label),
+g AS (SELECT label FROM rc UNION SELECT label FROM cc),
+e AS (SELECT coalesce(cc.cur_count, 0) AS o,
+        CAST(coalesce(rc.ref_count, 0) AS DOUBLE) / (SELECT SUM(ref_count) FROM rc)
+          * (SELECT SUM(cur_count) FROM cc) AS ex0
+      FROM g LEFT JOIN rc USING (label) LEFT JOIN cc USING (label)),
+s AS (SELECT COUNT(*) AS k, SUM(pow(o - (CASE WHEN ex0 = 0 THEN 1e-10 ELSE ex0 END), 2)
+        / (CASE WHEN ex0 = 0 THEN 1e-10 ELSE ex0 END)) AS x FROM e)
+SELECT x AS chi2_statistic,
+  CASE WHEN (k - 1) % 2 = 0 AND k > 1 THEN exp(-x / 2) * list_sum(list_transform(
+    range(0, CAST((k - 1) / 2 AS BIGINT)), lambda i: pow(x / 2, i) / factorial(CAST(i AS INTEGER)))) END
+    AS chi2_p_value FROM s)"""
+    else:
+        chi = "(SELECT CAST(NULL AS DOUBLE) AS chi2_statistic, CAST(NULL AS DOUBLE) AS chi2_p_value)"
+    return f"""SELECT CAST({n} AS BIGINT) AS batch_number, CAST(COUNT(*) AS BIGINT) AS n_features,
+  CAST(SUM(CAST(is_drifted AS BIGINT)) AS BIGINT) AS n_drifted,
+  ROUND(CAST(SUM(CAST(is_drifted AS BIGINT)) AS DOUBLE) / COUNT(*), 6) AS drift_ratio,
+  SUM(CAST(is_drifted AS BIGINT)) > 0 AS data_drift,
+  coalesce(array_to_string(list_sort(list(feature) FILTER (WHERE is_drifted)), ','), '') AS drifted_features,
+  ROUND(ANY_VALUE(c.chi2_statistic), 6) AS chi2_statistic, ROUND(ANY_VALUE(c.chi2_p_value), 6) AS chi2_p_value,
+  {"ANY_VALUE(c.chi2_p_value) < 0.05" if labels else "CAST(NULL AS BOOLEAN)"} AS prediction_drift,
+  (SUM(CAST(is_drifted AS BIGINT)) > 0) OR coalesce({"ANY_VALUE(c.chi2_p_value) < 0.05" if labels else "NULL"}, false)
+    AS needs_retraining
+FROM ({ks}) ks, {chi} c"""
+
+
+ORACLE["drift_monitor"] = "\nUNION ALL\n".join([
+    _monitor_batch(1, 7, 14, True), _monitor_batch(2, 14, 21, True),
+    _monitor_batch(3, 21, 30, False)])
+
+# Saving and loading must not change a single prediction: all rows equal.
+ORACLE["model_roundtrip"] = """SELECT CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(COUNT(*) AS BIGINT) AS n_same,
+  'forest' AS name, true AS has_saved_at FROM events"""
