@@ -436,14 +436,16 @@ def score_table(spark, sf_dir):
     input rows plus the prediction as CSV, and summarise the predictions."""
     path = _saved_forest(spark, sf_dir)
     model, _ = models.load_model(path)
+    fl = flows(spark, sf_dir).drop(FLOW_LABEL)
     csv_dir = files.scratch_path(spark, "input")
-    files.write_csv(flows(spark, sf_dir), csv_dir)
-    data = files.load_csv_files(spark, csv_dir, keep_source=False)
-    scored = models.score(model, data.drop(FLOW_LABEL))
+    files.write_csv(fl, csv_dir)
+    # a scoring job knows its input schema: no inference pass over the data
+    data = files.load_csv_files(spark, csv_dir, schema=fl.schema, keep_source=False)
+    scored = models.score(model, data)
     out_dir = files.scratch_path(spark, "predictions")
-    files.write_csv(scored.select(*data.drop(FLOW_LABEL).columns,
-                                  F.col(models.PRED_LABEL).alias("prediction")), out_dir)
-    written = files.load_csv_files(spark, out_dir, keep_source=False)
+    out = scored.select(*data.columns, F.col(models.PRED_LABEL).alias("prediction"))
+    files.write_csv(out, out_dir)
+    written = files.load_csv_files(spark, out_dir, schema=out.schema, keep_source=False)
     return finalize(profile.prediction_summary(written, "prediction"))
 
 
