@@ -21,6 +21,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,7 +67,10 @@ def knn_within_class(df: DataFrame, key_col: str, label_col: str, features: Sequ
     proj = sum((F.lit(w) * q(f).cast("double") for w, f in zip(u, feats)), F.lit(0.0))
     base = df.select(q(key_col).alias("key"), q(label_col).alias("label"),
                      *[q(f).cast("double").alias(f) for f in feats], proj.alias("p"))
-    ordered = row_number(base, ["p", "key"], ["label"], out="pos", method=prefix_method)
+    # reused four times below; a lost block is recomputed from the checkpoint
+    # inside row_number, so the positions stay the same
+    ordered = row_number(base, ["p", "key"], ["label"], out="pos",
+                         method=prefix_method).persist(StorageLevel.MEMORY_AND_DISK)
 
     # 2. upper bound r_x from the k projection neighbours on each side
     offs = F.explode(F.array(*[F.lit(o) for o in range(-k, k + 1) if o != 0]))
@@ -89,12 +93,13 @@ def knn_within_class(df: DataFrame, key_col: str, label_col: str, features: Sequ
              .select("label", F.when(F.col("w0") > 0, F.col("w0")).otherwise(F.lit(1.0))
                      .alias("w")))
     # slack of a few ulps so rounding in the projection never drops a true neighbour
-    xb = xb.join(width, "label").withColumn("rx", F.col("rx") * (1 + 1e-9) + 1e-12)
+    xb = (xb.join(width, "label").withColumn("rx", F.col("rx") * (1 + 1e-9) + 1e-12)
+          .persist(StorageLevel.MEMORY_AND_DISK))
     lo = F.floor((F.col("p") - F.col("rx")) / F.col("w")).cast("long")
     hi = F.floor((F.col("p") + F.col("rx")) / F.col("w")).cast("long")
     xs = xb.select("key", "label", "p", "rx", *feats,
                    F.explode(F.sequence(lo, hi)).alias("bucket"))
-    ys = ordered.join(width, "label").select(
+    ys = ordered.join(xb.select("label", "w").distinct(), "label").select(
         "key", "label", "p", *feats,
         F.floor(F.col("p") / F.col("w")).cast("long").alias("bucket"))
     cand = (xs.alias("x").join(ys.alias("y"), ["label", "bucket"])
