@@ -48,10 +48,12 @@ FLOWS_SQL = f"""flows AS (
   FROM events)"""
 
 
-def _band(tag: str, key: str = FLOW_KEY):
-    """First 4 hex digits of md5('<tag>:' || key): a stable value in 0000..ffff,
-    compared as text (same order in SQL)."""
-    return F.substring(F.md5(F.concat(F.lit(f"{tag}:"), F.col(key).cast("string"))), 1, 4)
+def _band(part: int, key: str = FLOW_KEY):
+    """Hex digits 4*part+1 .. 4*part+4 of md5('dirt:' || key): a stable value in
+    0000..ffff, compared as text (same order in SQL). One hash per row serves
+    all bands."""
+    h = F.md5(F.concat(F.lit("dirt:"), F.col(key).cast("string")))
+    return F.substring(h, 4 * part + 1, 4)
 
 
 def dirty_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +61,7 @@ def dirty_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     NaN and null in features, mis-decoded and missing labels. Every row is kept;
     which rows carry dirt is fixed by a hash of the key (about 1-6 % each)."""
     fl = flows(spark, sf_dir)
-    h1, h2, h3 = _band("d1"), _band("d2"), _band("d3")
+    h1, h2, h3 = _band(0), _band(1), _band(2)
     bad_label = F.concat(F.lit("Web "), F.col("Label"), F.lit(" �  x"))
     return fl.select(
         F.col(FLOW_KEY).alias(" flow_id"),
@@ -74,19 +76,19 @@ def dirty_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _band_sql(tag: str) -> str:
-    return f"substr(md5('{tag}:' || CAST(flow_id AS VARCHAR)), 1, 4)"
+def _band_sql(part: int) -> str:
+    return f"substr(md5('dirt:' || CAST(flow_id AS VARCHAR)), {4 * part + 1}, 4)"
 
 
 DIRTY_SQL = f"""dirty AS (
   SELECT flow_id AS " flow_id", Day AS "Day ",
-         CASE WHEN {_band_sql('d1')} < '0290' THEN 'inf'::DOUBLE
-              WHEN {_band_sql('d1')} < '0520' THEN 'nan'::DOUBLE ELSE value END AS "  value",
-         CASE WHEN {_band_sql('d2')} < '0290' THEN '-inf'::DOUBLE
-              WHEN {_band_sql('d2')} < '03d8' THEN NULL ELSE user_id END AS "user_id ",
+         CASE WHEN {_band_sql(0)} < '0290' THEN 'inf'::DOUBLE
+              WHEN {_band_sql(0)} < '0520' THEN 'nan'::DOUBLE ELSE value END AS "  value",
+         CASE WHEN {_band_sql(1)} < '0290' THEN '-inf'::DOUBLE
+              WHEN {_band_sql(1)} < '03d8' THEN NULL ELSE user_id END AS "user_id ",
          k,
-         CASE WHEN {_band_sql('d3')} < '0ccc' THEN 'Web ' || Label || ' �  x'
-              WHEN {_band_sql('d3')} < '0f5c' THEN NULL ELSE Label END AS " Label "
+         CASE WHEN {_band_sql(2)} < '0ccc' THEN 'Web ' || Label || ' �  x'
+              WHEN {_band_sql(2)} < '0f5c' THEN NULL ELSE Label END AS " Label "
   FROM flows)"""
 
 # SQL form of clean_dataframe over ``dirty``.
