@@ -33,3 +33,11 @@ def test_exact_quantiles_linear(spark):
     r = exact_quantiles(df, ["g"], "v", [0.25, 0.5, 0.75]).first()
     for name, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
         assert abs(r[name] - float(np.quantile(vals, p))) < 1e-12
+
+
+def test_null_group_key_is_a_group(spark):
+    df = spark.range(0, 1200).select(
+        F.col("id"), F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.lit("x")).alias("g"))
+    a = running_sum(df, ["id"], ["g"], None, "cum", method="blocks", num_blocks=6)
+    b = running_sum(df, ["id"], ["g"], None, "cum", method="window")
+    assert _rows(a, ["id", "cum"]) == _rows(b, ["id", "cum"])
