@@ -7,7 +7,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowguard.llm.common import table
+from flowguard.llm.decontaminate import contaminated
+from flowguard.llm.secret_scan import joined, scan_secrets
+from flowguard.llm.sentencepiece_scan import round_trip
+from flowguard.llm.simhash import simhash_components
 from flowguard.llm.substring_dedup import substring_dedup
+from flowguard.llm.token_counts import count_tokens
+
+#: Where the public tokenizers' files lie; a parameter of the operators.
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: counts of the base kinds and the spans of all."""
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+
+    def number(kind: str):
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", number("assign"), number("access"), number("hex"),
+        F.sha2(joined(F.filter("found", lambda s: s["base"])), 256).alias("base_sha256"),
+        joined(F.col("found")).alias("spans"))
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage, with the place and its edits."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,8 +42,29 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word SimHash differs in at most 4 bits."""
+    return simhash_components(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of the best unigram segmentation of every document."""
+    return count_tokens(table(spark, sf_dir, "documents"), MODEL)
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document and whether decoding gives the text back."""
+    out = round_trip(table(spark, sf_dir, "documents"), MODEL)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "round_trip")
+
+
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
+    "op2_decontaminate": op2_decontaminate,
     "op3_substring_dedup": op3_substring_dedup,
+    "op6_simhash": op6_simhash,
+    "op8_token_counts": op8_token_counts,
+    "op9_sentencepiece": op9_sentencepiece,
 }
 
 ORACLE: dict[str, str] = {}
