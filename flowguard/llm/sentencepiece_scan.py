@@ -143,13 +143,14 @@ def _scan(chunks: DataFrame, deepest: int, up, down, start: list, kind: str, bac
     """``state`` of every (key, n) of ``chunks`` with ``item``: what the items before it
     (or after it, ``backwards``) make of ``start``. ``up`` combines the items of up to FAN
     neighbours to one, ``down`` carries a state through them."""
-    schema = f"key string, n long, item {kind}"
+    schema = f"key string, n long, item array<{kind}>"
+    listed = pa.list_({"double": pa.float64(), "bigint": pa.int64()}[kind])
 
     def combine(rows: pa.Table) -> pa.Table:
         own = _rows(rows)
         out = up([r["item"] for r in own])
         return pa.table({"key": [own[0]["key"]], "n": pa.array([own[0]["n"] // FAN], pa.int64()),
-                         "item": pa.array([out], rows.schema.field("item").type)})
+                         "item": pa.array([out], listed)})
 
     levels = [chunks.select("key", "n", "item")]
     width = deepest
@@ -157,7 +158,7 @@ def _scan(chunks: DataFrame, deepest: int, up, down, start: list, kind: str, bac
         levels.append(levels[-1].withColumn("g", F.floor(F.col("n") / FAN)).groupBy("key", "g")
                       .applyInArrow(combine, schema))
         width = -(-width // FAN)
-    state = levels[-1].select("key", F.col("n").alias("g"), F.array(*[F.lit(x) for x in start]).alias("state"))
+    state = levels[-1].select("key", F.col("n").alias("g"), F.array(*[F.lit(x).cast(kind) for x in start]).alias("state"))
 
     def spread(left: pa.Table, right: pa.Table) -> pa.Table:
         own = _rows(left)
@@ -167,13 +168,12 @@ def _scan(chunks: DataFrame, deepest: int, up, down, start: list, kind: str, bac
             out.append((r["key"], r["n"], now))
             now = down(now, r["item"])
         return pa.table({"key": [o[0] for o in out], "g": pa.array([o[1] for o in out], pa.int64()),
-                         "state": pa.array([o[2] for o in out], right.schema.field("state").type)})
+                         "state": pa.array([o[2] for o in out], listed)})
 
-    state_kind = state.schema["state"].dataType.simpleString()
     for level in reversed(levels[:-1]):
         state = (level.withColumn("g", F.floor(F.col("n") / FAN)).groupBy("key", "g")
                  .cogroup(state.groupBy("key", "g"))
-                 .applyInArrow(spread, f"key string, g long, state {state_kind}"))
+                 .applyInArrow(spread, f"key string, g long, state array<{kind}>"))
     return state.select("key", F.col("g").alias("n"), "state")
 
 
@@ -213,7 +213,7 @@ def _giant_ids(texts: DataFrame, sent, chunk_chars: int) -> DataFrame:
 
     begin = [0.0] + [float("-inf")] * (states - 1)
     entry = _scan(pieces.mapInArrow(matrices, "key string, n long, item array<double>"), deepest, all_of,
-                  lambda v, m: times(np.array(v), _square(m)).tolist(), begin, "array<double>", False)
+                  lambda v, m: times(np.array(v), _square(m)).tolist(), begin, "double", False)
     placed = checkpointed(pieces.join(entry, ["key", "n"]))
 
     def enters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,7 +232,7 @@ def _giant_ids(texts: DataFrame, sent, chunk_chars: int) -> DataFrame:
         return out.tolist()
 
     leave = _scan(placed.mapInArrow(enters, "key string, n long, item array<bigint>"), deepest, chain,
-                  lambda j, m: [m[j[0]] if j[0] != _NONE else _NONE], [0], "array<bigint>", True)
+                  lambda j, m: [m[j[0]] if j[0] != _NONE else _NONE], [0], "bigint", True)
     ready = placed.join(leave.select("key", "n", F.col("state")[0].alias("leave")), ["key", "n"])
 
     def paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
