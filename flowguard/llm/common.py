@@ -153,3 +153,13 @@ def unpack_signed(blob: bytes) -> np.ndarray:
     wide = np.zeros((body.shape[1], 8), dtype=np.uint8)
     wide[:, :planes] = body.T
     return wide.reshape(-1).view("<i8") + np.int64(low)
+
+
+#: Most rows of a table of narrow rows (a key and a number) that is sent to every task.
+BROADCAST_ROWS = 500_000
+
+
+def checked_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``most`` rows, by count; as it is
+    otherwise, so that the join shuffles both sides."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df

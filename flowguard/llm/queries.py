@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 from flowguard.llm.common import table
 from flowguard.llm.decontaminate import contaminated
+from flowguard.llm.quality_classifier import THRESHOLD, fit_classifier, held_out, score_documents
+from flowguard.llm.quality_rules import quality_rules
 from flowguard.llm.secret_scan import joined, scan_secrets
 from flowguard.llm.sentencepiece_scan import round_trip
+from flowguard.llm.sharding import interleaved_shards
 from flowguard.llm.simhash import simhash_components
 from flowguard.llm.substring_dedup import substring_dedup
 from flowguard.llm.token_counts import count_tokens
@@ -42,11 +45,30 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; one fold of the ids is never trained on."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_classifier(docs, table(spark, sf_dir, "labels").where(~held_out()))
+    return score_documents(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of equal row counts and equal source mixture."""
+    out = interleaved_shards(table(spark, sf_dir, "documents"), shards=16)
+    return out.drop("source").withColumn("grown_shard", F.lit(None).cast("int"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 4-word SimHash differs in at most 4 bits."""
     return simhash_components(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule columns and n-gram likelihood-ratio verdict of every document."""
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of the best unigram segmentation of every document."""
     return count_tokens(table(spark, sf_dir, "documents"), MODEL)
@@ -62,7 +84,10 @@ QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontaminate": op2_decontaminate,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op5_sharding": op5_sharding,
     "op6_simhash": op6_simhash,
+    "op7_quality_rules": op7_quality_rules,
     "op8_token_counts": op8_token_counts,
     "op9_sentencepiece": op9_sentencepiece,
 }

@@ -189,7 +189,7 @@ def links(prints: DataFrame, max_bits: int = 4, hot_rows: int = HOT_ROWS,
     """Links ``a``, ``b`` that connect the same fingerprints as all pairs within
     ``max_bits`` do. ``prints``: distinct ``fp``."""
     n = prints.count()
-    whole = 1
+    whole = 2
     while whole < 4 and n > 16 * 2 ** (64 * whole / (max_bits + whole)):
         whole += 1
     pivots = Pivots(max_bits, whole)
