@@ -68,8 +68,9 @@ def likelihood_ratios(grams: DataFrame, buckets: int) -> list[float]:
     """log p_target - log p_raw of every bucket. ``grams``: grams array<int>, trusted
     boolean, over all documents. The counts are one sum per bucket; the list has
     ``buckets`` entries whatever the corpus."""
-    count = (grams.select(F.explode("grams").alias("b"), F.col("trusted").cast("long").alias("t"))
-             .groupBy("b").agg(F.count(F.lit(1)).alias("raw"), F.sum("t").alias("target")))
+    # explode_outer: explode would filter on the array first and compute it twice
+    count = (grams.select(F.explode_outer("grams").alias("b"), F.col("trusted").cast("long").alias("t"))
+             .where(F.col("b").isNotNull()).groupBy("b").agg(F.count(F.lit(1)).alias("raw"), F.sum("t").alias("target")))
     every = grams.sparkSession.range(buckets).select(F.col("id").cast("int").alias("b"))
     rows = (every.join(count, "b", "left").na.fill(0).orderBy("b").select("b", "raw", "target").collect())
     import math
