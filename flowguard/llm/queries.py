@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from flowguard.llm.common import table
 from flowguard.llm.decontaminate import contaminated
+from flowguard.llm.html_extract import extract_pages
 from flowguard.llm.quality_classifier import THRESHOLD, fit_classifier, held_out, score_documents
 from flowguard.llm.quality_rules import quality_rules
 from flowguard.llm.secret_scan import joined, scan_secrets
@@ -80,6 +81,11 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "round_trip")
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontaminate": op2_decontaminate,
@@ -90,6 +96,7 @@ QUERIES = {
     "op7_quality_rules": op7_quality_rules,
     "op8_token_counts": op8_token_counts,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 ORACLE: dict[str, str] = {}
