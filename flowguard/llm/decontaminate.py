@@ -228,6 +228,19 @@ def match_texts(texts: list[str | None], items: Items) -> list[tuple[int, int, i
     return out
 
 
+def _blocks(items: DataFrame, item_col: str, item_text_col: str, min_chars: int, block_bytes: int):
+    """The query set in blocks of about ``block_bytes``, whatever the number of items."""
+    bench = items.select(F.col(item_col).alias("item_id"), F.col(item_text_col).cast("string").alias("text")).where(
+        F.col("text").isNotNull())
+    blocks = max(1, math.ceil(text_bytes(bench, F.col("text")) / block_bytes))
+    for b in range(blocks):
+        rows = [(r["item_id"], normalise(r["text"])) for r in
+                bench.where(F.pmod(F.xxhash64("text", "item_id"), F.lit(blocks)) == b).toLocalIterator()]
+        rows = [r for r in rows if len(r[1]) >= max(1, min_chars)]
+        if rows:
+            yield rows
+
+
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", max_error: float = MAX_ERROR,
                  max_q: int = MAX_Q, min_chars: int = MIN_CHARS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -244,19 +257,10 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     doc_type = docs.schema[id_col].dataType.simpleString()
     item_type = items.schema[item_col].dataType.simpleString()
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    bench = items.select(F.col(item_col).alias("item_id"), F.col(item_text_col).cast("string").alias("text")).where(
-        F.col("text").isNotNull())
-    blocks = max(1, math.ceil(text_bytes(bench, F.col("text")) / block_bytes))
     schema = f"doc_id {doc_type}, item_id {item_type}, start long, end long, edits long"
     spark = docs.sparkSession
     parts = []
-    for b in range(blocks):
-        # one block of the query set: about block_bytes, whatever the number of items
-        rows = [(r["item_id"], normalise(r["text"])) for r in
-                bench.where(F.pmod(F.xxhash64("text", "item_id"), F.lit(blocks)) == b).toLocalIterator()]
-        rows = [r for r in rows if len(r[1]) >= max(1, min_chars)]
-        if not rows:
-            continue
+    for rows in _blocks(items, item_col, item_text_col, min_chars, block_bytes):
         sent = spark.sparkContext.broadcast((rows, max_error, max_q))
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -278,3 +282,24 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     if not parts:
         return spark.createDataFrame([], schema)
     return reduce(DataFrame.unionByName, parts)
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                      item_text_col: str = "text", max_error: float = MAX_ERROR, max_q: int = MAX_Q,
+                      min_chars: int = MIN_CHARS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text holds no item (as in ``contaminated``).
+    Rows are judged one by one, so null and repeated ids do not matter."""
+    for rows in _blocks(items, item_col, item_text_col, min_chars, block_bytes):
+        sent = docs.sparkSession.sparkContext.broadcast((rows, max_error, max_q))
+
+        def clean(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            rows, error, q = sent.value
+            index = Items([i for i, _ in rows], [t for _, t in rows], error, q)
+            for batch in batches:
+                for at in range(0, batch.num_rows, 256):
+                    part = batch.slice(at, 256)
+                    hit = {t for t, *_ in match_texts(part.column(text_col).to_pylist(), index)}
+                    yield part.filter(pa.array([i not in hit for i in range(part.num_rows)]))
+
+        docs = docs.mapInArrow(clean, docs.schema)
+    return docs

@@ -209,9 +209,10 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
 
 def score_documents(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text",
-                    passage_words: int = PASSAGE_WORDS, keep: list[str] | None = None) -> DataFrame:
-    """``score`` (0 to 1, higher: label 1 likelier) of every row of ``docs``, with its id as
-    ``doc_id`` and the columns named in ``keep``.
+                    passage_words: int = PASSAGE_WORDS, keep: list[str] | None = None,
+                    out_col: str = "score") -> DataFrame:
+    """``out_col`` (0 to 1, higher: label 1 likelier) of every row of ``docs``, with its id
+    as ``doc_id`` and the columns named in ``keep``.
 
     Only the text enters the score. Null and empty texts are one passage of zeros;
     repeated rows score alike; ids are passed through, nulls too. Without a model
@@ -238,7 +239,7 @@ def score_documents(docs: DataFrame, model: Model | None, id_col: str = "doc_id"
     kinds = src.drop("_text").schema
     out = src.mapInArrow(score, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kinds) + ", _score double")
     return out.select(F.col("_id").alias("doc_id"), *[F.col(f"_k{i}").alias(c) for i, c in enumerate(kept)],
-                      F.col("_score").alias("score"))
+                      F.col("_score").alias(out_col))
 
 
 def held_out(id_col: str = "doc_id"):

@@ -152,7 +152,8 @@ def trigram_index(texts: DataFrame, grams: list[str], blocks: int) -> DataFrame:
     """``block``, ``postings`` (trigram -> text keys) of ``texts`` (key, text)."""
     low = texts.select("key", F.lower("text").alias("low"))
     present = F.array_compact(F.array(*[F.when(F.contains("low", F.lit(g)), F.lit(g)) for g in grams]))
-    return (low.select("key", F.explode(present).alias("gram"))
+    # explode_outer: explode would filter on the array first and compute it twice
+    return (low.select("key", F.explode_outer(present).alias("gram")).where(F.col("gram").isNotNull())
             .groupBy("gram", F.pmod("key", F.lit(blocks)).alias("block"))
             .agg(F.collect_set("key").alias("keys"))
             .groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("gram", "keys"))).alias("postings")))
@@ -209,9 +210,10 @@ def find_spans(text: Column, rule: Rule, order: int) -> Column:
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 rules: list[Rule] | None = None, keep: list[str] | None = None) -> DataFrame:
-    """One row per row of ``docs``: the id as ``doc_id``, the columns named in
-    ``keep`` and ``found``, all spans as struct(start, order, end, kind, base, ..)
+                 rules: list[Rule] | None = None, keep: list[str] | None = None,
+                 out: str = "found") -> DataFrame:
+    """One row per row of ``docs``: the id as ``doc_id``, ``text``, the columns named in
+    ``keep`` and, as ``out``, all spans as struct(start, order, end, kind, base, ..)
     by start, then rule order. Positions are code points, ends exclusive.
 
     Null text counts as empty and has no spans; rows may repeat and ids may be null,
@@ -219,26 +221,39 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     columns are read. An empty table gives no rows.
     """
     rules = RULES if rules is None else rules
-    body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    src = docs.select(F.col(id_col).alias("doc_id"), F.struct(*[F.col(c) for c in keep or []]).alias("_kept")
-                      if keep else F.lit(None).alias("_kept"),
-                      body.alias("text"), F.xxhash64(body).alias("key"))
-    cand = candidates(src.select("key", "text"), rules)
+    kept = keep or []
+    body = F.coalesce("text", F.lit(""))
+    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                      *[F.col(c).alias(f"_k{i}") for i, c in enumerate(kept)]).withColumn("key", F.xxhash64(body))
+    cand = candidates(src.select("key", body.alias("text")), rules)
     marked = src.join(cand, "key", "left")
     spans = []
     for i, rule in enumerate(rules):
-        found = find_spans(F.col("text"), rule, i)
+        found = find_spans(body, rule, i)
         if trigram_query(rule.pattern) is not True:
             asked = F.coalesce("rules", F.lit(0).cast("long")).bitwiseAND(F.lit(1 << i)) != 0
         else:
             # a full scan; texts without any match long enough skip the cutting
-            asked = F.col("text").rlike(rule.pattern)
+            asked = body.rlike(rule.pattern)
             if rule.value == 0 and rule.pattern.endswith("+"):
-                asked = F.col("text").rlike(rule.pattern[:-1] + "{%d}" % max(1, rule.least))
+                asked = body.rlike(rule.pattern[:-1] + "{%d}" % max(1, rule.least))
         spans.append(F.when(asked, found))
     some = F.array_compact(F.array(*spans))
-    out = marked.select("doc_id", *([F.col("_kept")] if keep else []), F.array_sort(F.flatten(some)).alias("found"))
-    return out.select("doc_id", *([F.col("_kept")[c].alias(c) for c in keep or []]), "found")
+    return marked.select("doc_id", "text", *[F.col(f"_k{i}").alias(c) for i, c in enumerate(kept)],
+                         F.array_sort(F.flatten(some)).alias(out))
+
+
+def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
+    """``text`` with ``mark`` in place of every stretch that its spans (by start) cover."""
+    cut = F.aggregate(
+        spans, F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out")),
+        lambda acc, s: F.when(s["start"] >= acc["at"], F.struct(
+            s["end"].alias("at"), F.concat(acc["out"], F.array(F.substring(
+                text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.lit(mark))).alias("out")))
+        .otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))))
+    whole = F.transform(F.array(cut), lambda c: F.concat(
+        F.array_join(c["out"], ""), F.substring(text, (c["at"] + 1).cast("int"), F.length(text))))
+    return F.when(F.size(spans) > 0, F.get(whole, 0)).otherwise(text)
 
 
 def joined(spans: Column) -> Column:

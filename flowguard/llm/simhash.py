@@ -39,11 +39,12 @@ BIN_ROWS = 100_000
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle: int = 4) -> DataFrame:
-    """``doc_id``, ``fp`` (64 bits as a long) of every row. A-Z are lower-cased, words
+    """``doc_id``, ``row`` (a hash of id and text), ``fp`` (64 bits as a long) of every row. A-Z are lower-cased, words
     split at space and U+0009..U+000D; each run of ``shingle`` words (all words, if
     fewer), repeats included, is hashed by XXH64 with seed 42 over its space-joined
     UTF-8; a bit is 1 if it is set in over half the hashes. No word: 0."""
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                      _row_key(id_col, text_col).alias("row"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -72,9 +73,14 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
         for batch in batches:
             fp = [one(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(fp, pa.int64())],
+                                             ["doc_id", "row", "fp"])
 
-    return src.mapInArrow(encode, "doc_id long, fp long")
+    return src.mapInArrow(encode, "doc_id long, row long, fp long")
+
+
+def _row_key(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
 
 
 class Pivots:
@@ -225,11 +231,30 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     columns are read. An empty table gives no rows.
     """
     prints = checkpointed(fingerprints(docs, id_col, text_col, shingle))
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    joined = components(links(distinct.select("fp"), max_bits, hot_rows))
-    tagged = (distinct.join(joined.withColumnRenamed("node", "fp"), "fp", "left")
-              .withColumn("root", F.coalesce("root", "fp")))
-    named = tagged.groupBy("root").agg(F.min("least").alias("component_id"))
+    tagged = _rooted(prints, max_bits, hot_rows)
+    named = tagged.groupBy("root").agg(F.min("first.id").alias("component_id"))
     of_print = tagged.select("fp", "root").join(named, "root").select("fp", "component_id")
     return (prints.join(of_print, "fp", "left")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+
+
+def _rooted(prints: DataFrame, max_bits: int, hot_rows: int) -> DataFrame:
+    """``fp``, its component's ``root`` and the ``first`` row that has it: least id (null
+    ids last), then least row hash."""
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), "row"))
+    distinct = checkpointed(prints.groupBy("fp").agg(first.alias("first")).repartition(parts, "fp"))
+    joined = components(links(distinct.select("fp"), max_bits, hot_rows))
+    return (distinct.join(joined.withColumnRenamed("node", "fp"), "fp", "left")
+            .withColumn("root", F.coalesce("root", "fp")))
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
+               max_bits: int = 4, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay: of every component of
+    ``simhash_components`` the one with the least id (null ids last, then by a hash of
+    id and text); of repeated rows one."""
+    tagged = _rooted(checkpointed(fingerprints(docs, id_col, text_col, shingle)), max_bits, hot_rows)
+    stay = tagged.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_row"))
+    return (docs.withColumn("_row", _row_key(id_col, text_col)).join(stay, "_row", "left_semi")
+            .dropDuplicates(["_row"]).drop("_row"))
