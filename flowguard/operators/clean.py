@@ -92,7 +92,8 @@ FLOAT32_MAX = 3.4028234663852886e38
 
 
 def downcast_plan(df: DataFrame) -> DataFrame:
-    """One row per numeric column: column, in_type, min, max, out_type.
+    """One row per numeric column: column, in_type, min, max, out_type. NaN counts as
+    missing; the choice of integer types is made on the exact integers.
 
     Integers take the smallest type holding [min, max]; floats become float when
     in float range, else (also when all null) stay double. One aggregate pass.
@@ -103,8 +104,10 @@ def downcast_plan(df: DataFrame) -> DataFrame:
             [], "column string, in_type string, min double, max double, out_type string")
     aggs = []
     for i, f in enumerate(num):
-        aggs += [F.min(q(f.name)).cast("double").alias(f"mn{i}"),
-                 F.max(q(f.name)).cast("double").alias(f"mx{i}")]
+        c = q(f.name)
+        if isinstance(f.dataType, FLOAT_TYPES):
+            c = F.nanvl(c.cast("double"), F.lit(None).cast("double"))
+        aggs += [F.min(c).alias(f"mn{i}"), F.max(c).alias(f"mx{i}")]
     stats = df.agg(*aggs)
     rows = []
     for i, f in enumerate(num):
@@ -119,7 +122,8 @@ def downcast_plan(df: DataFrame) -> DataFrame:
                 F.lit("double"))
         rows.append(F.struct(F.lit(f.name).alias("column"),
                              F.lit(f.dataType.simpleString()).alias("in_type"),
-                             mn.alias("min"), mx.alias("max"), out.alias("out_type")))
+                             mn.cast("double").alias("min"), mx.cast("double").alias("max"),
+                             out.alias("out_type")))
     return stats.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
@@ -174,8 +178,8 @@ def add_day_column(df: DataFrame, source_column: str | None = None,
     day_map = dict(day_map or DAY_MAP)
     if source_column and source_column in df.columns:
         unknown = (df.select(q(source_column).alias("v"))
-                   .where(q("v").isNull() | ~q("v").isin(list(day_map))).distinct()
-                   .limit(20).collect())
+                   .where(q("v").isNull() | ~q("v").isin(list(day_map))).distinct().orderBy("v")
+                   .collect())
         if unknown:
             raise ValueError(f"unknown values in {source_column!r}: "
                              f"{[r['v'] for r in unknown]}; expected {list(day_map)}")

@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from flowguard.functions.columns import ks_pvalue, q
 from flowguard.functions.stats import chi2_sf
+from flowguard.plans.joins import checked_broadcast
 from flowguard.plans.prefix import running_sum
+from flowguard.session import checkpointed
 
 _BATCH = "_fg_batch"
 
@@ -31,12 +33,22 @@ def to_long(df: DataFrame, features: Sequence[str], id_cols: Sequence[str] = (),
     return long.where(F.col(value_col).isNotNull() & ~F.isnan(value_col))
 
 
+def reference_points(reference: DataFrame, features: Sequence[str]) -> DataFrame:
+    """feature, value, rc: how often each value occurs in the reference. Built once and
+    kept (checkpointed or written), it stands for the reference in every later check."""
+    return to_long(reference, features).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("rc"))
+
+
 def ks_drift(reference: DataFrame, current: DataFrame, features: Sequence[str],
              batch_col: str | None = None, threshold: float = 0.05,
-             method: str = "ks", prefix_method: str = "blocks") -> DataFrame:
+             method: str = "ks", prefix_method: str = "blocks",
+             ref_points: DataFrame | None = None) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov test of every feature, per batch.
 
-    Returns [batch_col,] feature, n_ref, n_cur, statistic, p_value, is_drifted.
+    Returns [batch_col,] feature, n_ref, n_cur, statistic, p_value, is_drifted. A
+    feature without values on one side of a batch has count 0 there, a null
+    statistic and p-value, and no drift. ``ref_points`` (see ``reference_points``) spares
+    the pass over the reference.
 
     D = sup |F_ref - F_cur|. F_cur is flat between consecutive points c_j of the
     batch and F_ref never falls, so the sup is reached at some c_j, either at the
@@ -49,10 +61,9 @@ def ks_drift(reference: DataFrame, current: DataFrame, features: Sequence[str],
     b = batch_col or _BATCH
     cur = current if batch_col else current.withColumn(b, F.lit(0))
     cur = cur.where(q(b).isNotNull())   # a null batch key has no batch to report
-    ref_long = to_long(reference, features)
     cur_long = to_long(cur, features, id_cols=[b])
 
-    ref_pts = ref_long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("rc"))
+    ref_pts = ref_points if ref_points is not None else reference_points(reference, features)
     cur_pts = cur_long.groupBy(b, "feature", "value").agg(F.count(F.lit(1)).alias("cc"))
     pts = (ref_pts.unionByName(cur_pts.select("feature", "value",
                                               F.lit(0).cast("long").alias("rc")))
@@ -71,22 +82,28 @@ def ks_drift(reference: DataFrame, current: DataFrame, features: Sequence[str],
     cur_cdf = cdf.where(F.col(b).isNotNull()).select(
         b, "feature", "value", F.col("w").alias("cc"), F.col("le").alias("cur_le"),
         (F.col("le") - F.col("w")).alias("cur_prev"))
-    # one row per feature: bounded by the feature list
+    # one row per feature, and per (batch, feature): the totals are joined to points by
+    # broadcast where counted small (the points of a feature share one key)
     n_ref = F.broadcast(ref_pts.groupBy("feature").agg(F.sum("rc").alias("n_ref")))
-    n_cur = cur_pts.groupBy(b, "feature").agg(F.sum("cc").alias("n_cur"))
+    n_cur = checkpointed(cur_pts.groupBy(b, "feature").agg(F.sum("cc").alias("n_cur")))
 
     gap = F.greatest(
         F.abs(F.col("ref_le") / F.col("n_ref") - F.col("cur_le") / F.col("n_cur")),
         F.abs(F.col("ref_lt") / F.col("n_ref") - F.col("cur_prev") / F.col("n_cur")))
     stat = (cur_cdf.join(ref_cdf, ["feature", "value"])
-            .join(n_ref, "feature").join(n_cur, [b, "feature"])
-            .groupBy(b, "feature", "n_ref", "n_cur")
-            .agg(F.max(gap).alias("statistic")))
+            .join(n_ref, "feature").join(checked_broadcast(n_cur), [b, "feature"])
+            .groupBy(b, "feature").agg(F.max(gap).alias("statistic")))
+    # a row for every feature of every batch, with or without values
+    every = (cur.select(q(b).alias(b)).distinct()
+             .withColumn("feature", F.explode(F.array(*[F.lit(f) for f in features]))))
+    stat = (every.join(n_ref, "feature", "left").join(n_cur, [b, "feature"], "left")
+            .join(stat, [b, "feature"], "left").na.fill(0, ["n_ref", "n_cur"]))
     p = ks_pvalue("statistic", "n_ref", "n_cur")
     out = stat.select(
         F.col(b), "feature", F.col("n_ref").cast("long").alias("n_ref"),
         F.col("n_cur").cast("long").alias("n_cur"), "statistic",
-        p.alias("p_value")).withColumn("is_drifted", F.col("p_value") < F.lit(threshold))
+        p.alias("p_value")).withColumn(
+            "is_drifted", F.coalesce(F.col("p_value") < F.lit(threshold), F.lit(False)))
     return out if batch_col else out.drop(b)
 
 
@@ -103,61 +120,53 @@ def drift_summary(ks: DataFrame, batch_col: str | None = None) -> DataFrame:
         .withColumn("has_drift", F.col("n_drifted") > 0))
 
 
-MAX_CLASSES = 10_000
-
-
-def class_list(df: DataFrame, label_col: str, max_classes: int = MAX_CLASSES) -> list:
-    """Sorted distinct labels; the label set of a classifier is small, and the bound
-    is checked before anything reaches the driver."""
-    rows = (df.select(q(label_col).alias("label")).distinct()
-            .limit(max_classes + 1).collect())
-    if len(rows) > max_classes:
-        raise ValueError(f"more than {max_classes} classes in {label_col}")
-    return sorted(r["label"] for r in rows if r["label"] is not None)
-
-
 def class_shift_counts(reference: DataFrame, current: DataFrame, label_col: str,
-                       batch_col: str | None = None) -> DataFrame:
+                       batch_col: str | None = None, ref_counts: DataFrame | None = None) -> DataFrame:
     """Counts and shares of each class on both sides over the union of classes.
 
-    With ``batch_col`` every batch is compared with the whole reference. A class of
-    the reference missing from a batch still gets a row (count 0): each batch row
-    is expanded by the reference class list (bounded, see ``class_list``) and the
-    result is one ``groupBy`` over the tagged union, no join of data rows.
+    With ``batch_col`` every batch is compared with the whole reference. Both sides are
+    counted first; everything after works on one row per (batch, class). A class of the
+    reference missing from a batch still gets a row (count 0). A null label is a class
+    like any other, on both sides. ``ref_counts`` (label, ref_count) may be given to
+    spare the pass over the reference.
     """
     b = batch_col or _BATCH
     cur = current if batch_col else current.withColumn(b, F.lit(0))
-    ref_counts = reference.groupBy(q(label_col).alias("label")).agg(
-        F.count(F.lit(1)).alias("ref_count"))
-    cur_counts = cur.groupBy(q(b).alias(b), q(label_col).alias("label")).agg(
-        F.count(F.lit(1)).alias("cur_count"))
-    # one row per class; the bound is checked before the rows reach the driver
-    ref_rows = ref_counts.where(F.col("label").isNotNull()).limit(MAX_CLASSES + 1).collect()
-    if len(ref_rows) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes in {label_col}")
-    if not ref_rows:
+    if ref_counts is None:
+        ref_counts = class_count_table(reference, label_col)
+    ref_counts = checkpointed(ref_counts)
+    total = ref_counts.agg(F.sum("ref_count")).first()[0]
+    if not total:
         raise ValueError("reference side is empty")
-    ref_map = F.create_map(*[x for r in ref_rows for x in (F.lit(r["label"]),
-                                                           F.lit(r["ref_count"]))])
-    ref_total = sum(r["ref_count"] for r in ref_rows)
-    labels = F.array(*[F.lit(r["label"]) for r in ref_rows])
+    cur_counts = checkpointed(cur.groupBy(q(b).alias(b), q(label_col).alias("label")).agg(
+        F.count(F.lit(1)).alias("cur_count")))
     batches = cur_counts.groupBy(b).agg(F.sum("cur_count").alias("cur_total"))
-    grid = (batches.select(b, "cur_total", F.explode(labels).alias("label"),
-                           F.lit(0).cast("long").alias("cur_count"))
-            .unionByName(cur_counts.join(batches, b)))
-    out = (grid.groupBy(b, "label", "cur_total")
-           .agg(F.sum("cur_count").alias("cur_count"))
-           .withColumn("ref_count", F.coalesce(F.element_at(ref_map, F.col("label")),
-                                               F.lit(0)).cast("long"))
-           .withColumn("ref_share", F.col("ref_count") / F.lit(float(ref_total)))
+    # classes and batches meet in one aggregated row of both lists
+    side = (ref_counts.select(F.struct("label", "ref_count").alias("r"), F.lit(None).cast(
+                f"struct<b:{batches.schema[b].dataType.simpleString()}>").alias("x"))
+            .unionByName(batches.select(F.lit(None).cast(
+                f"struct<label:{ref_counts.schema['label'].dataType.simpleString()},ref_count:bigint>").alias("r"),
+                F.struct(F.col(b).alias("b")).alias("x"))))
+    both = side.agg(F.collect_list("r").alias("rs"), F.collect_list("x").alias("xs"))
+    grid = (both.select("xs", F.explode("rs").alias("r")).select("r", F.explode("xs").alias("x"))
+            .select(F.col("x.b").alias(b), F.col("r.label").alias("label"), F.col("r.ref_count").alias("ref_count"),
+                    F.lit(0).cast("long").alias("cur_count"))
+            .unionByName(cur_counts.select(b, "label", F.lit(0).cast("long").alias("ref_count"), "cur_count")))
+    summed = grid.groupBy(b, "label").agg(F.sum("ref_count").alias("ref_count"), F.sum("cur_count").alias("cur_count"))
+    out = (summed.join(batches.withColumnRenamed(b, "_b"), F.col(b).eqNullSafe(F.col("_b"))).drop("_b")
+           .withColumn("ref_share", F.col("ref_count") / F.lit(float(total)))
            .withColumn("cur_share", F.col("cur_count") / F.col("cur_total"))
-           .select(b, "label", "ref_count", "cur_count", "ref_share", "cur_share",
-                   "cur_total"))
+           .select(b, "label", "ref_count", "cur_count", "ref_share", "cur_share", "cur_total"))
     return out if batch_col else out.drop(b)
 
 
+def class_count_table(reference: DataFrame, label_col: str) -> DataFrame:
+    return reference.groupBy(q(label_col).alias("label")).agg(F.count(F.lit(1)).alias("ref_count"))
+
+
 def chi2_drift(reference: DataFrame, current: DataFrame, label_col: str,
-               batch_col: str | None = None, threshold: float = 0.05) -> DataFrame:
+               batch_col: str | None = None, threshold: float = 0.05,
+               ref_counts: DataFrame | None = None) -> DataFrame:
     """Chi-square test of the batch's class counts against the reference shares.
 
     expected = ref_share * batch total (0 -> 1e-10, so a class new to the batch
@@ -166,7 +175,7 @@ def chi2_drift(reference: DataFrame, current: DataFrame, label_col: str,
     """
     b = batch_col or _BATCH
     cur = current if batch_col else current.withColumn(b, F.lit(0))
-    counts = class_shift_counts(reference, cur, label_col, b)
+    counts = class_shift_counts(reference, cur, label_col, b, ref_counts)
     exp = F.col("ref_share") * F.col("cur_total")
     exp = F.when(exp == 0, F.lit(1e-10)).otherwise(exp)
     res = (counts.groupBy(b).agg(
@@ -186,32 +195,48 @@ class DriftMonitor:
     ``check`` returns a one-row report (batch number from 1, data drift summary,
     prediction drift when a label column is given, needs_retraining = either).
     Reports are appended to ``history_path`` (Parquet, one folder per batch
-    number, so a repeated batch replaces itself) or kept in memory as small
-    one-row DataFrames.
+    number, so a batch repeated under its ``batch_id`` replaces itself) and kept as small
+    one-row DataFrames. A monitor on an existing history goes on after its last number.
     """
 
     def __init__(self, reference: DataFrame, features: Sequence[str],
                  label_col: str | None = None, data_threshold: float = 0.05,
                  prediction_threshold: float = 0.05, history_path: str | None = None):
-        self.reference = reference
         self.features = list(features)
         self.label_col = label_col
         self.data_threshold = data_threshold
         self.prediction_threshold = prediction_threshold
         self.history_path = history_path
         self.history: list[DataFrame] = []
-
-    def check(self, current: DataFrame, with_labels: bool = True) -> DataFrame:
-        n = len(self.history) + 1
-        ks = ks_drift(self.reference, current, self.features, threshold=self.data_threshold)
+        self.spark = reference.sparkSession
+        # the reference is read once; every check uses these two tables
+        self.points = checkpointed(reference_points(reference, self.features))
+        self.classes = (checkpointed(class_count_table(reference, label_col))
+                        if label_col and label_col in reference.columns else None)
+        self.next_number = self._last_number() + 1
+
+    def _last_number(self) -> int:
+        """The highest batch number in the history folder, 0 if there is none."""
+        if not self.history_path:
+            return 0
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.history_path)
+        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+            return 0
+        last = self.spark.read.parquet(self.history_path).agg(F.max("batch_number")).first()[0]
+        return int(last or 0)
+
+    def check(self, current: DataFrame, with_labels: bool = True, batch_id: int | None = None) -> DataFrame:
+        n = batch_id if batch_id is not None else self.next_number
+        self.next_number = max(self.next_number, n + 1)
+        ks = ks_drift(None, current, self.features, threshold=self.data_threshold, ref_points=self.points)
         summ = drift_summary(ks).select(
             F.lit(n).alias("batch_number"), "n_features", "n_drifted", "drift_ratio",
             F.col("has_drift").alias("data_drift"),
             F.array_join("drifted_features", ",").alias("drifted_features"))
-        use_labels = with_labels and self.label_col and self.label_col in current.columns
+        use_labels = with_labels and self.classes is not None and self.label_col in current.columns
         row = summ.first().asDict()          # one row per side, assembled on the driver
-        chi = (chi2_drift(self.reference, current, self.label_col,
-                          threshold=self.prediction_threshold).first() if use_labels else None)
+        chi = (chi2_drift(None, current, self.label_col, threshold=self.prediction_threshold,
+                          ref_counts=self.classes).first() if use_labels else None)
         row["chi2_statistic"] = float(chi["statistic"]) if chi else None
         row["chi2_p_value"] = (float(chi["p_value"]) if chi and chi["p_value"] is not None
                                else None)
@@ -222,6 +247,6 @@ class DriftMonitor:
                    "data_drift boolean, drifted_features string, chi2_statistic double, "
                    "chi2_p_value double, prediction_drift boolean, needs_retraining boolean")
         if self.history_path:
-            rep.write.mode("overwrite").parquet(f"{self.history_path}/batch_number={n}")
+            rep.drop("batch_number").write.mode("overwrite").parquet(f"{self.history_path}/batch_number={n}")
         self.history.append(rep)
         return rep

@@ -1,9 +1,9 @@
 """Classification quality from a scored table (true label + prediction columns).
 
-Everything derives from per-class counts: one aggregate over a tagged union of
-(true class) and (predicted class) rows, so per-class precision / recall / F1,
-macro and weighted means and accuracy come out of tables with one row per class
-(and group). No collect, no per-row Python.
+Everything derives from one count table: ``cells`` counts rows by (group, label,
+prediction) in a single pass over the scored rows, so a model is run once. Per-class,
+macro and weighted scores, the confusion matrix and accuracy come from that small
+table (classes squared per group). No collect, no per-row Python.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowguard.functions.columns import q
-from flowguard.operators.drift import class_list
+from flowguard.session import checkpointed
 
 
 def _safe_div(a, b):
@@ -23,19 +23,26 @@ def _safe_div(a, b):
     return F.when(b == 0, F.lit(0.0)).otherwise(a / b)
 
 
-def class_counts(df: DataFrame, label_col: str, pred_col: str, by: Sequence[str] = ()
-                 ) -> DataFrame:
+def cells(df: DataFrame, label_col: str, pred_col: str, by: Sequence[str] = ()) -> DataFrame:
+    """by..., label, prediction, count: the one pass over the scored rows. Written to the
+    checkpoint folder, so that what is computed from it does not score again."""
+    return checkpointed(df.groupBy(*[q(b).alias(b) for b in by], q(label_col).cast("string").alias("label"),
+                                   q(pred_col).cast("string").alias("prediction"))
+                        .agg(F.count(F.lit(1)).alias("count")))
+
+
+def class_counts(df: DataFrame | None, label_col: str = "label", pred_col: str = "prediction",
+                 by: Sequence[str] = (), counts: DataFrame | None = None) -> DataFrame:
     """by..., class, tp, n_true, n_pred over the union of true and predicted
-    classes of each group."""
+    classes of each group; from ``counts`` (see ``cells``) if given."""
     by = list(by)
-    truth = df.select(*[q(b) for b in by], q(label_col).cast("string").alias("class"),
-                      (q(label_col).cast("string") == q(pred_col).cast("string"))
-                      .cast("long").alias("tp"),
-                      F.lit(1).cast("long").alias("t"), F.lit(0).cast("long").alias("p"))
-    preds = df.select(*[q(b) for b in by], q(pred_col).cast("string").alias("class"),
-                      F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("t"),
-                      F.lit(1).cast("long").alias("p"))
-    return (truth.unionByName(preds).groupBy(*by, "class")
+    c = counts if counts is not None else cells(df, label_col, pred_col, by)
+    n, zero = F.col("count"), F.lit(0).cast("long")
+    sides = F.array(
+        F.struct(F.col("label").alias("class"), F.when(F.col("label") == F.col("prediction"), n)
+                 .otherwise(zero).alias("tp"), n.alias("t"), zero.alias("p")),
+        F.struct(F.col("prediction").alias("class"), zero.alias("tp"), zero.alias("t"), n.alias("p")))
+    return (c.select(*by, F.inline(sides)).groupBy(*by, "class")
             .agg(F.sum("tp").alias("tp"), F.sum("t").alias("n_true"), F.sum("p").alias("n_pred")))
 
 
@@ -47,12 +54,12 @@ def per_class_scores(counts: DataFrame) -> DataFrame:
                                         F.col("precision") + F.col("recall"))))
 
 
-def macro_metrics(df: DataFrame, label_col: str, pred_col: str, by: Sequence[str] = ()
-                  ) -> DataFrame:
+def macro_metrics(df: DataFrame | None, label_col: str = "label", pred_col: str = "prediction",
+                  by: Sequence[str] = (), counts: DataFrame | None = None) -> DataFrame:
     """by..., n, accuracy, precision_macro, recall_macro, f1_macro (means over the
     sorted union of classes of each group; 0 on zero division)."""
     by = list(by)
-    s = per_class_scores(class_counts(df, label_col, pred_col, by))
+    s = per_class_scores(class_counts(df, label_col, pred_col, by, counts))
     return s.groupBy(*by).agg(
         F.sum("n_true").alias("n"),
         (F.sum("tp") / F.sum("n_true")).alias("accuracy"),
@@ -60,10 +67,11 @@ def macro_metrics(df: DataFrame, label_col: str, pred_col: str, by: Sequence[str
         F.avg("f1").alias("f1_macro"))
 
 
-def classification_report(df: DataFrame, label_col: str, pred_col: str) -> DataFrame:
+def classification_report(df: DataFrame | None, label_col: str = "label", pred_col: str = "prediction",
+                          counts: DataFrame | None = None) -> DataFrame:
     """row, precision, recall, f1, support: one row per class, then 'accuracy'
     (f1 column holds it), 'macro avg' and 'weighted avg'."""
-    s = per_class_scores(class_counts(df, label_col, pred_col))
+    s = per_class_scores(class_counts(df, label_col, pred_col, (), counts))
     per = s.select(F.col("class").alias("row"), "precision", "recall", "f1",
                    F.col("n_true").alias("support"))
     tot = s.agg(F.sum("n_true").alias("n"), F.sum("tp").alias("tp"),
@@ -83,23 +91,39 @@ def classification_report(df: DataFrame, label_col: str, pred_col: str) -> DataF
     return per.unionByName(tot.select(F.explode(rows).alias("r")).select("r.*"))
 
 
-def confusion_matrix(df: DataFrame, label_col: str, pred_col: str) -> DataFrame:
-    """label, prediction, count over the sorted union of classes; zero cells kept.
-
-    The class list is bounded and checked (``class_list``); the grid is each
-    class row expanded by that list, then one left join of the cell counts.
-    """
-    both = df.select(q(label_col).cast("string").alias("c")).unionByName(
-        df.select(q(pred_col).cast("string").alias("c")))
-    classes = class_list(both, "c")
-    cells = df.groupBy(q(label_col).cast("string").alias("label"),
-                       q(pred_col).cast("string").alias("prediction")).agg(
-        F.count(F.lit(1)).alias("count"))
-    arr = F.array(*[F.lit(c) for c in classes])
-    grid = (df.sparkSession.range(1).select(F.explode(arr).alias("label"))
-            .select("label", F.explode(arr).alias("prediction")))
-    return (grid.join(cells, ["label", "prediction"], "left")
-            .select("label", "prediction", F.coalesce("count", F.lit(0)).cast("long").alias("count")))
+def confusion_matrix(df: DataFrame | None, label_col: str = "label", pred_col: str = "prediction",
+                     counts: DataFrame | None = None) -> DataFrame:
+    """label, prediction, count over the union of classes; zero cells kept. The class
+    list is one aggregated row that is exploded twice, so the grid needs no join of
+    classes with classes; a null label or prediction is a class of its own."""
+    c = counts if counts is not None else cells(df, label_col, pred_col)
+    name = lambda x: F.struct(F.col(x).isNull().alias("none"), F.col(x).alias("name"))
+    classes = c.select(F.explode(F.array(name("label"), name("prediction"))).alias("c")).agg(
+        F.collect_set("c").alias("all"))
+    grid = (classes.select("all", F.explode("all").alias("l")).select("l", F.explode("all").alias("p"))
+            .select(F.col("l.name").alias("label"), F.col("p.name").alias("prediction"),
+                    F.lit(0).cast("long").alias("count")))
+    return (grid.unionByName(c.select("label", "prediction", "count")).groupBy("label", "prediction")
+            .agg(F.sum("count").alias("count")))
+
+
+def evaluate(df: DataFrame, label_col: str, pred_col: str) -> DataFrame:
+    """The evaluation bundle as one table, from one count table: ``section`` 'matrix' (row =
+    label, col = prediction, value = count), 'class' and 'average' (row = class or
+    average, col = precision / recall / f1 / support) and 'macro' (col = n, accuracy and
+    the macro means)."""
+    c = cells(df, label_col, pred_col)
+    cm = confusion_matrix(None, counts=c).select(
+        F.lit("matrix").alias("section"), F.col("label").alias("row"), F.col("prediction").alias("col"),
+        F.col("count").cast("double").alias("value"))
+    rep = (classification_report(None, counts=c).withColumn("support", F.col("support").cast("double"))
+           .unpivot(["row"], ["precision", "recall", "f1", "support"], "col", "value")
+           .select(F.when(F.col("row").isin("accuracy", "macro avg", "weighted avg"), "average").otherwise("class")
+                   .alias("section"), "row", "col", "value").where(F.col("value").isNotNull()))
+    mac = (macro_metrics(None, counts=c).withColumn("n", F.col("n").cast("double"))
+           .unpivot([], ["n", "accuracy", "precision_macro", "recall_macro", "f1_macro"], "col", "value")
+           .select(F.lit("macro").alias("section"), F.lit("all").alias("row"), "col", "value"))
+    return cm.unionByName(rep).unionByName(mac)
 
 
 def confusion_matrix_norm(cm: DataFrame) -> DataFrame:

@@ -166,10 +166,10 @@ def save_model(model: PipelineModel, path: str, metadata: dict | None = None) ->
 def load_model(path: str) -> tuple[PipelineModel, dict]:
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
-    try:
-        model = PipelineModel.load(f"{path}/model")
-    except Exception as e:  # noqa: BLE001
-        raise FileNotFoundError(f"no model at {path}") from e
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/model")
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        raise FileNotFoundError(f"no model at {path}")
+    model = PipelineModel.load(f"{path}/model")
     meta_rows = spark.read.json(f"{path}/metadata").limit(1).collect()
     meta = json.loads(meta_rows[0]["meta"]) if meta_rows else {}
     return model, meta

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from flowguard.functions.columns import pct_text, q
 from flowguard.operators.drift import to_long
+from flowguard.plans.joins import checked_broadcast
 from flowguard.plans.prefix import row_number
 from flowguard.plans.quantiles import exact_quantiles
+from flowguard.session import checkpointed
 
 
 def class_distribution(df: DataFrame, label_col: str) -> DataFrame:
@@ -25,7 +27,8 @@ def class_distribution(df: DataFrame, label_col: str) -> DataFrame:
 
 def describe_numeric(df: DataFrame, columns: Sequence[str],
                      prefix_method: str = "blocks") -> DataFrame:
-    """column, count, mean, std (sample), min, p25, p50, p75, max.
+    """column, count, mean, std (sample), min, p25, p50, p75, max; a column without
+    values has count 0 and nulls.
 
     Moments in one aggregate over the long form; quartiles exact (linear) by
     ``exact_quantiles``, not by buffering a column in one task.
@@ -37,14 +40,20 @@ def describe_numeric(df: DataFrame, columns: Sequence[str],
         F.max("value").alias("max"))
     quart = exact_quantiles(long, ["column"], "value", [0.25, 0.5, 0.75],
                             ["p25", "p50", "p75"], prefix_method).drop("n")
-    return moments.join(quart, "column").select(
+    every = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    return every.join(moments.join(quart, "column"), "column", "left").na.fill(0, ["count"]).select(
         "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def column_profile(df: DataFrame) -> DataFrame:
-    """column, dtype, non_null, nulls: one aggregate of counts, then unpivot."""
+    """column, dtype, non_null, nulls: one aggregate of counts, then unpivot. NaN counts
+    as missing."""
     fields = df.schema.fields
-    counts = df.agg(*[F.count(q(f.name)).alias(f"c{i}") for i, f in enumerate(fields)],
+
+    def present(f):
+        return F.when(~F.isnan(q(f.name)), q(f.name)) if f.dataType.typeName() in ("float", "double") else q(f.name)
+
+    counts = df.agg(*[F.count(present(f)).alias(f"c{i}") for i, f in enumerate(fields)],
                     F.count(F.lit(1)).alias("_n"))
     rows = F.array(*[F.struct(F.lit(f.name).alias("column"),
                               F.lit(f.dataType.simpleString()).alias("dtype"),
@@ -131,7 +140,8 @@ def box_stats(df: DataFrame, label_col: str, columns: Sequence[str],
                           (F.col("q3") + 1.5 * iqr).alias("fence_hi"))
     v = F.col("value")
     inside = (v >= F.col("fence_lo")) & (v <= F.col("fence_hi"))
-    whisk = (long.join(fences.select("label", "feature", "fence_lo", "fence_hi"),
+    fences = checkpointed(fences)       # one row per class and feature
+    whisk = (long.join(checked_broadcast(fences.select("label", "feature", "fence_lo", "fence_hi")),
                        ["label", "feature"])
              .groupBy("label", "feature").agg(
                  F.min(F.when(inside, v)).alias("whisker_lo"),
@@ -140,16 +150,53 @@ def box_stats(df: DataFrame, label_col: str, columns: Sequence[str],
     return fences.join(whisk, ["label", "feature"])
 
 
+#: Up to so many columns one aggregate per pair is planned; beyond, one Gram pass.
+WIDE_COLUMNS = 16
+
+
 def _pair_corr(wide: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Strict lower triangle: one row per pair (i > j) in the given column order,
     all pairs in one aggregate pass."""
     pairs = [(a, b) for (i, a), (j, b) in itertools.product(enumerate(cols), repeat=2) if i > j]
     if not pairs:
         return wide.sparkSession.createDataFrame([], "feature_a string, feature_b string, corr double")
-    agg = wide.agg(*[F.corr(q(a), q(b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    rows = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                              F.col(f"c{i}").alias("corr")) for i, (a, b) in enumerate(pairs)])
-    return agg.select(F.explode(rows).alias("r")).select("r.*")
+    if len(cols) <= WIDE_COLUMNS:
+        agg = wide.agg(*[F.corr(q(a), q(b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+        rows = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
+                                  F.col(f"c{i}").alias("corr")) for i, (a, b) in enumerate(pairs)])
+        return agg.select(F.explode(rows).alias("r")).select("r.*")
+    # many columns: one pass for all moments. Values are shifted by the mean (missing:
+    # 0), and masks take part, so every pair uses the rows where both are present
+    n = len(cols)
+    mean = wide.agg(*[F.avg(q(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    import numpy as np
+    shift = np.array([float(x) if x is not None else 0.0 for x in mean])
+
+    def gram(batches):
+        import pyarrow as pa
+        total = np.zeros((3 * n, 3 * n))
+        for batch in batches:
+            x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(n)])
+            present = ~np.isnan(x)
+            x = np.where(present, x - shift, 0.0)
+            full = np.concatenate([x, x * x, present.astype(float)], axis=1)
+            total += full.T @ full
+        yield pa.RecordBatch.from_pydict({"i": np.arange(9 * n * n), "v": total.reshape(-1)})
+
+    parts = (wide.select(*[q(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+             .mapInArrow(gram, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).collect())
+    g = np.zeros(9 * n * n)
+    for r in parts:
+        g[r["i"]] = r["v"]
+    g = g.reshape(3 * n, 3 * n)
+    xy, xm, xxm, nn = g[:n, :n], g[:n, 2 * n:], g[n:2 * n, 2 * n:], g[2 * n:, 2 * n:]
+    with np.errstate(all="ignore"):
+        cov = xy - xm * xm.T / nn
+        var = xxm - xm * xm / nn
+        corr = cov / np.sqrt(var * var.T)
+    at = {c: i for i, c in enumerate(cols)}
+    rows = [(a, b, None if np.isnan(corr[at[a], at[b]]) else float(corr[at[a], at[b]])) for a, b in pairs]
+    return wide.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, corr double")
 
 
 def value_corr(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -164,8 +211,11 @@ def factorize(df: DataFrame, key_col: str, columns: Sequence[str],
 
     Per (column, value) the first key is found by an aggregate; codes are a
     distributed row number over those firsts; rows get them back by an
-    equi-join on (column, value) and one ``groupBy(key)`` pivot.
+    equi-join on (column, value) and one ``groupBy(key)`` pivot. A repeated or null key is
+    an error: codes are given back by key.
     """
+    if df.groupBy(q(key_col)).count().where((F.col("count") > 1) | q(key_col).isNull()).limit(1).collect():
+        raise ValueError(f"{key_col!r} holds repeated or null keys")
     long = (df.select(q(key_col).alias("_key"),
                       *[q(c).cast("string").alias(c) for c in columns])
             .unpivot(["_key"], list(columns), "column", "v"))

@@ -1,15 +1,21 @@
 """SMOTE oversampling on Spark: exact k nearest neighbours inside each class and
 seeded synthetic rows x + u * (neighbour - x).
 
-kNN without pairing every two rows of a class:
-
-1. project every row on a fixed seeded unit vector u; |u.x - u.y| <= |x - y|;
-2. order each class by the projection (distributed row number) and measure the
-   k rows before and after each row: the k-th smallest of those distances, r_x,
-   bounds the true k-th neighbour distance from above;
-3. every true neighbour y of x then has |u.y - u.x| <= r_x: a band join on the
-   projection (equi-join on (class, bucket), each row asking only the buckets its
-   band covers), exact distances, and the k nearest by row_number.
+Neighbours are searched only for rows that a synthetic row starts from, in classes
+that need some:
+
+1. the rows of a class, ordered by a fixed projection, are cut in blocks of about
+   ``BLOCK`` rows; a block is one record of keys and a matrix, with centre, radius and
+   projection range; a query row's k-th distance inside its own block bounds its
+   k-th neighbour from above;
+2. two blocks are compared unless the triangle inequality (centre distance less both
+   radii) or the gap of their projections exceeds the bound of every query row there;
+3. a pair of blocks is one matrix comparison that keeps k rows per query row; the k
+   best over the blocks are the neighbours.
+
+What is stored per query row is k times the number of blocks it met, and a class is as
+many keys as it has block pairs. Where distances separate little (high dimensions),
+few block pairs are skipped: that is the cost of exact neighbours.
 
 Synthetic rows are generated as distributed id ranges (chunks), each picking its
 base row, neighbour and gap from hashes of (seed, class, id), so the result does
@@ -21,14 +27,18 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowguard.functions.columns import hash_unit, q
+from flowguard.plans.joins import checked_broadcast
 from flowguard.plans.prefix import row_number
+from flowguard.session import checkpointed
 
 CHUNK = 50_000
+BLOCK = 1_000
 
 
 def _unit_vector(dim: int, seed: int) -> list[float]:
@@ -41,14 +51,6 @@ def _unit_vector(dim: int, seed: int) -> list[float]:
     return [x / norm for x in v]
 
 
-def _dist(features: Sequence[str], a: str, b: str) -> Column:
-    acc = None
-    for f in features:
-        d = F.col(f"{a}.{f}") - F.col(f"{b}.{f}")
-        acc = d * d if acc is None else acc + d * d
-    return F.sqrt(acc)
-
-
 def class_targets(df: DataFrame, label_col: str, target: int | None = None) -> DataFrame:
     """label, n, need, target: every class raised to the majority count (or to
     ``target``); the majority and classes already there need 0."""
@@ -58,73 +60,118 @@ def class_targets(df: DataFrame, label_col: str, target: int | None = None) -> D
             .withColumn("need", (F.col("target") - F.col("n")).cast("long")))
 
 
+def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Euclidean distances by differences (no cancellation), some rows at a time."""
+    out = np.empty((len(x), len(y)))
+    step = max(1, 4_000_000 // max(1, y.size))
+    for at in range(0, len(x), step):
+        d = x[at:at + step, None, :] - y[None, :, :]
+        out[at:at + step] = np.sqrt((d * d).sum(axis=2))
+    return out
+
+
 def knn_within_class(df: DataFrame, key_col: str, label_col: str, features: Sequence[str],
-                     k: int = 5, seed: int = 42, prefix_method: str = "blocks") -> DataFrame:
+                     k: int = 5, seed: int = 42, prefix_method: str = "blocks",
+                     query_keys: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
     """key, label, nn_rank (1..k_eff), nn_key, dist: exact k nearest rows of the
-    same class (itself excluded; k_eff = min(k, n_class - 1); ties by key)."""
+    same class (itself excluded; k_eff = min(k, n_class - 1); ties by key).
+
+    ``query_keys`` (one column ``key``, distinct) limits the rows that ask, not the rows
+    that may answer. Keys are unique integers; features hold no missing values.
+    """
     feats = list(features)
-    u = _unit_vector(len(feats), seed)
+    dim = len(feats)
+    u = _unit_vector(dim, seed)
     proj = sum((F.lit(w) * q(f).cast("double") for w, f in zip(u, feats)), F.lit(0.0))
-    base = df.select(q(key_col).alias("key"), q(label_col).alias("label"),
-                     *[q(f).cast("double").alias(f) for f in feats], proj.alias("p"))
-    # reused four times below; a lost block is recomputed from the checkpoint
-    # inside row_number, so the positions stay the same
-    ordered = row_number(base, ["p", "key"], ["label"], out="pos",
-                         method=prefix_method).persist(StorageLevel.MEMORY_AND_DISK)
-
-    # 2. upper bound r_x from the k projection neighbours on each side
-    offs = F.explode(F.array(*[F.lit(o) for o in range(-k, k + 1) if o != 0]))
-    probe = (ordered.select("key", "label", "pos", *feats, "p", offs.alias("off"))
-             .withColumn("npos", F.col("pos") + F.col("off")))
-    near = (probe.alias("x").join(ordered.alias("y"),
-                                  (F.col("x.label") == F.col("y.label"))
-                                  & (F.col("x.npos") == F.col("y.pos")))
-            .select(F.col("x.key").alias("key"), F.col("x.label").alias("label"),
-                    _dist(feats, "x", "y").alias("d")))
-    rk = F.row_number().over(Window.partitionBy("key").orderBy("d"))
-    n_cls = ordered.groupBy("label").agg(F.count(F.lit(1)).alias("n_class"))
-    bound = (near.withColumn("r", rk).join(n_cls, "label")
-             .where(F.col("r") == F.least(F.lit(k), F.col("n_class") - 1))
-             .select("key", F.col("d").alias("rx")))
-
-    # 3. band join on the projection; bucket width per class from the median bound
-    xb = ordered.join(bound, "key")
-    width = (xb.groupBy("label").agg(F.percentile_approx("rx", 0.5).alias("w0"))
-             .select("label", F.when(F.col("w0") > 0, F.col("w0")).otherwise(F.lit(1.0))
-                     .alias("w")))
-    # slack of a few ulps so rounding in the projection never drops a true neighbour
-    xb = (xb.join(width, "label").withColumn("rx", F.col("rx") * (1 + 1e-9) + 1e-12)
-          .persist(StorageLevel.MEMORY_AND_DISK))
-    lo = F.floor((F.col("p") - F.col("rx")) / F.col("w")).cast("long")
-    hi = F.floor((F.col("p") + F.col("rx")) / F.col("w")).cast("long")
-    xs = xb.select("key", "label", "p", "rx", *feats,
-                   F.explode(F.sequence(lo, hi)).alias("bucket"))
-    ys = ordered.join(xb.select("label", "w").distinct(), "label").select(
-        "key", "label", "p", *feats,
-        F.floor(F.col("p") / F.col("w")).cast("long").alias("bucket"))
-    cand = (xs.alias("x").join(ys.alias("y"), ["label", "bucket"])
-            .where((F.col("x.key") != F.col("y.key"))
-                   & (F.abs(F.col("x.p") - F.col("y.p")) <= F.col("x.rx")))
-            .select(F.col("x.key").alias("key"), "label", F.col("y.key").alias("nn_key"),
-                    _dist(feats, "x", "y").alias("dist")))
+    base = df.select(q(key_col).cast("long").alias("key"), q(label_col).alias("label"),
+                     F.array(*[q(f).cast("double") for f in feats]).alias("x"), proj.alias("p"))
+    sizes = checkpointed(base.groupBy("label").agg(F.count(F.lit(1)).alias("_n")))
+    asks = F.lit(True)
+    if query_keys is not None:
+        base = base.join(query_keys.select("key", F.lit(True).alias("_q")), "key", "left")
+        asks = F.coalesce("_q", F.lit(False))
+    placed = (row_number(base.withColumn("asks", asks), ["p", "key"], ["label"], out="pos", method=prefix_method)
+              .join(checked_broadcast(sizes), "label"))
+    blocks_of = F.ceil(F.col("_n") / block)
+    placed = placed.withColumn("b", F.floor((F.col("pos") - 1) * blocks_of / F.col("_n")).cast("long"))
+    kind = df.schema[label_col].dataType.simpleString()
+
+    def pack(rows: pa.Table) -> pa.Table:
+        x = np.array(rows.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False)).reshape(-1, dim)
+        key, ask = rows.column("key").to_numpy(), rows.column("asks").to_numpy()
+        order = np.argsort(key)
+        x, key, ask = x[order], key[order], ask[order]
+        centre = x.mean(axis=0)
+        radius = float(np.sqrt(((x - centre) ** 2).sum(axis=1)).max())
+        reach = -1.0                          # no query row: meets no other block
+        if ask.any():
+            reach = float("inf")
+            if len(x) > k:
+                d = _distances(x[ask], x)
+                d[np.arange(int(ask.sum())), np.flatnonzero(ask)] = np.inf
+                reach = float(np.partition(d, k - 1, axis=1)[:, k - 1].max())
+        p = rows.column("p").to_numpy()
+        return pa.table({
+            "label": rows.column("label")[:1], "b": rows.column("b")[:1],
+            "keys": [key.tobytes()], "asks": [np.packbits(ask).tobytes()], "mat": [x.tobytes()],
+            "centre": pa.array([centre.tolist()], pa.list_(pa.float64())), "radius": [radius], "reach": [reach],
+            "low": [float(p.min())], "high": [float(p.max())]})
+
+    packed = checkpointed(placed.select("label", "b", "key", "x", "p", "asks").groupBy("label", "b").applyInArrow(
+        pack, f"label {kind}, b long, keys binary, asks binary, mat binary, centre array<double>, radius double, "
+              "reach double, low double, high double"))
+    side = packed.select("label", "b", "centre", "radius", "low", "high")
+    x, y = packed.where("reach >= 0").alias("x"), side.alias("y")
+    slack = F.col("x.reach") * (1 + 1e-9) + 1e-9
+    apart = F.sqrt(F.aggregate(F.zip_with("x.centre", "y.centre", lambda a, c: (a - c) * (a - c)), F.lit(0.0),
+                               lambda a, v: a + v))
+    pairs = (x.join(y, F.col("x.label").eqNullSafe(F.col("y.label"))
+                    & (F.col("y.low") - F.col("x.high") <= slack) & (F.col("x.low") - F.col("y.high") <= slack))
+             .where(apart - F.col("x.radius") - F.col("y.radius") <= slack)
+             .select(F.col("x.label").alias("label"), F.col("x.b").alias("b"), F.col("y.b").alias("other")))
+    left = packed.select("label", "b", F.col("keys").alias("k1"), "asks", F.col("mat").alias("m1"))
+    right = packed.select(F.col("label").alias("_l"), F.col("b").alias("other"), F.col("keys").alias("k2"),
+                          F.col("mat").alias("m2"))
+    met = (pairs.join(left.withColumnRenamed("label", "_l0"), F.col("label").eqNullSafe(F.col("_l0"))
+                      & (pairs["b"] == left["b"])).drop("_l0").drop(left["b"])
+           .join(right.withColumnRenamed("other", "_o"), F.col("label").eqNullSafe(F.col("_l"))
+                 & (F.col("other") == F.col("_o"))).select("label", "k1", "asks", "m1", "k2", "m2"))
+
+    def nearest(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                k1, k2 = np.frombuffer(r["k1"], np.int64), np.frombuffer(r["k2"], np.int64)
+                ask = np.unpackbits(np.frombuffer(r["asks"], np.uint8), count=len(k1)).astype(bool)
+                a = np.frombuffer(r["m1"]).reshape(-1, dim)[ask]
+                k1 = k1[ask]
+                d = _distances(a, np.frombuffer(r["m2"]).reshape(-1, dim))
+                d[k1[:, None] == k2[None, :]] = np.inf
+                # keys ascend in a block, so a stable sort breaks ties by key
+                best = np.argsort(d, axis=1, kind="stable")[:, :k]
+                dist = np.take_along_axis(d, best, axis=1)
+                ok = np.isfinite(dist)
+                n = ok.sum(axis=1)
+                yield pa.RecordBatch.from_pydict({
+                    "key": np.repeat(k1, n), "label": pa.array([r["label"]] * int(n.sum()), batch.schema.field("label").type),
+                    "nn_key": k2[best][ok], "dist": dist[ok]})
+
+    found = met.mapInArrow(nearest, f"key long, label {kind}, nn_key long, dist double")
     rank = F.row_number().over(Window.partitionBy("key").orderBy("dist", "nn_key"))
-    return (cand.withColumn("nn_rank", rank).where(F.col("nn_rank") <= k)
+    return (found.withColumn("nn_rank", rank).where(F.col("nn_rank") <= k)
             .select("key", "label", "nn_rank", "nn_key", "dist"))
 
 
-def smote(df: DataFrame, key_col: str, label_col: str, features: Sequence[str], k: int = 5,
-          seed: int = 42, target: int | None = None, synthetic_col: str = "synthetic",
-          prefix_method: str = "blocks") -> DataFrame:
-    """Input rows plus synthetic rows raising each class to the majority count.
+def synthetic_rows(df: DataFrame, key_col: str, label_col: str, features: Sequence[str], k: int = 5,
+                   seed: int = 42, target: int | None = None, prefix_method: str = "blocks",
+                   block: int = BLOCK) -> DataFrame:
+    """label, j, base_key, nn_key, gap and the features of every synthetic row.
 
     Synthetic row j of class c: base = the row of rank 1 + floor(h_b * n_c) in
     key order, neighbour = its (1 + floor(h_n * k_eff))-th nearest, gap u = h_u,
     with h_* = hash(seed, c, j, *) in [0, 1). A class of one row repeats it.
-    Synthetic keys are null; ``synthetic_col`` marks them.
     """
     feats = list(features)
-    targets = class_targets(df, label_col, target)
-    plan = targets.where(F.col("need") > 0)
+    plan = checkpointed(class_targets(df, label_col, target).where(F.col("need") > 0))
     # id chunks: each row of ``chunks`` expands to at most CHUNK synthetic ids
     chunks = plan.select("label", "n", "need", F.explode(F.sequence(
         F.lit(0), F.floor((F.col("need") - 1) / CHUNK).cast("int"))).alias("chunk"))
@@ -139,27 +186,36 @@ def smote(df: DataFrame, key_col: str, label_col: str, features: Sequence[str],
                      hash_unit(seed, lab, "j", F.lit("n")).alias("hn"),
                      hash_unit(seed, lab, "j", F.lit("u")).alias("gap"))
 
-    ranked = row_number(df.select(q(key_col).alias("key"), q(label_col).alias("label"),
-                                  *[q(f).cast("double").alias(f) for f in feats]),
-                        ["key"], ["label"], out="rank", method=prefix_method)
-    knn = knn_within_class(df, key_col, label_col, feats, k, seed, prefix_method)
-    k_eff = knn.groupBy("key").agg(F.max("nn_rank").alias("k_eff"))
-    bases = (ids.join(ranked.select("label", F.col("rank").alias("base_rank"),
-                                    F.col("key").alias("base_key"), *feats),
-                      ["label", "base_rank"])
-             .join(k_eff.withColumnRenamed("key", "base_key"), "base_key", "left")
-             .withColumn("nn_rank", (F.floor(F.col("hn") * F.coalesce("k_eff", F.lit(1))) + 1)
-                         .cast("int")))
+    # rows of the classes that need synthetic ones
+    few = df.select(q(key_col).cast("long").alias("key"), q(label_col).alias("label"),
+                    *[q(f).cast("double").alias(f) for f in feats]).join(
+        checked_broadcast(plan.select("label")), "label")
+    rank_of = checkpointed(row_number(few.select("label", "key"), ["key"], ["label"], out="base_rank",
+                                      method=prefix_method))
+    drawn = checkpointed(ids.join(rank_of.withColumnRenamed("key", "base_key"), ["label", "base_rank"]))
+    knn = checkpointed(knn_within_class(few, "key", "label", feats, k, seed, prefix_method,
+                                        drawn.select(F.col("base_key").alias("key")).distinct(), block))
+    k_eff = plan.select(F.col("label").alias("_label"), F.least(F.lit(k), F.col("n") - 1).alias("k_eff"))
+    bases = (drawn.join(checked_broadcast(k_eff), F.col("label") == F.col("_label"))
+             .withColumn("nn_rank", (F.floor(F.col("hn") * F.greatest("k_eff", F.lit(1))) + 1).cast("int")))
     nn = knn.select(F.col("key").alias("base_key"), "nn_rank", "nn_key")
-    with_nn = bases.join(nn, ["base_key", "nn_rank"], "left")
-    nn_feats = ranked.select(F.col("key").alias("nn_key"),
-                             *[F.col(f).alias(f"_nn_{f}") for f in feats])
-    synth = with_nn.join(nn_feats, "nn_key", "left").select(
+    own = few.select(F.col("key").alias("base_key"), *feats)
+    other = few.select(F.col("key").alias("nn_key"), *[F.col(f).alias(f"_nn_{f}") for f in feats])
+    return (bases.join(nn, ["base_key", "nn_rank"], "left").join(own, "base_key").join(other, "nn_key", "left")
+            .select("label", "j", "base_key", "nn_key", "gap", *[
+                (F.col(f) + F.col("gap") * (F.coalesce(F.col(f"_nn_{f}"), F.col(f)) - F.col(f))).alias(f)
+                for f in feats]))
+
+
+def smote(df: DataFrame, key_col: str, label_col: str, features: Sequence[str], k: int = 5,
+          seed: int = 42, target: int | None = None, synthetic_col: str = "synthetic",
+          prefix_method: str = "blocks") -> DataFrame:
+    """Input rows plus the ``synthetic_rows`` that raise each class to the majority count.
+    Synthetic keys are null; ``synthetic_col`` marks them."""
+    feats = list(features)
+    synth = synthetic_rows(df, key_col, label_col, feats, k, seed, target, prefix_method).select(
         F.lit(None).cast(df.schema[key_col].dataType).alias(key_col),
-        F.col("label").alias(label_col),
-        *[(F.col(f) + F.col("gap") * (F.coalesce(F.col(f"_nn_{f}"), F.col(f)) - F.col(f)))
-          .alias(f) for f in feats],
-        F.lit(True).alias(synthetic_col))
+        F.col("label").alias(label_col), *feats, F.lit(True).alias(synthetic_col))
     orig = df.select(q(key_col), q(label_col), *[q(f).cast("double").alias(f) for f in feats],
                      F.lit(False).alias(synthetic_col))
     return orig.unionByName(synth)

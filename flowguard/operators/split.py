@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from flowguard.functions.columns import q, seeded_hash
 from flowguard.operators.clean import require_rows
+from flowguard.plans.joins import checked_broadcast
 from flowguard.plans.prefix import row_number
+from flowguard.session import checkpointed
 
 
 def class_quotas(df: DataFrame, label_col: str, test_size: float = 0.3) -> DataFrame:
@@ -27,7 +29,9 @@ def class_quotas(df: DataFrame, label_col: str, test_size: float = 0.3) -> DataF
     one each to the classes with the largest remainders (ties by label). A class
     with fewer than 2 rows is an error. The window runs over the class table.
     """
-    counts = df.groupBy(q(label_col).alias("label")).agg(F.count(F.lit(1)).alias("n_class"))
+    counts = checkpointed(df.groupBy(q(label_col).alias("label")).agg(F.count(F.lit(1)).alias("n_class")))
+    if counts.where(F.col("label").isNull()).limit(1).collect():
+        raise ValueError(f"{label_col!r} holds null labels; a stratified split needs a class for every row")
     small = counts.where(F.col("n_class") < 2).limit(1).collect()
     if small:
         raise ValueError(f"class {small[0]['label']!r} has fewer than 2 rows")
@@ -58,8 +62,8 @@ def stratified_split(df: DataFrame, label_col: str, key_col: str, test_size: flo
     (largest-remainder quotas), rows picked by the seeded hash order."""
     quotas = class_quotas(df, label_col, test_size)
     ranked = _ranked(df, label_col, key_col, seed, prefix_method)
-    # one row per class: AQE broadcasts it on its measured size
-    joined = ranked.join(quotas.select(F.col("label").alias(label_col), "n_test"), label_col)
+    # one row per class, broadcast by its count: no data row moves for it
+    joined = ranked.join(checked_broadcast(quotas.select(F.col("label").alias(label_col), "n_test")), label_col)
     return (joined.withColumn(split_col, F.when(F.col("_rank") <= F.col("n_test"), "test")
                               .otherwise("train"))
             .drop("_h", "_rank", "n_test"))
@@ -126,7 +130,10 @@ def permute_column(df: DataFrame, key_col: str, col: str, seed: int | str = 42,
                    out: str | None = None, prefix_method: str = "blocks") -> DataFrame:
     """Add ``out`` = ``col`` shuffled over the whole table: the row at position i
     in key order receives the value of the row at position i in seeded-hash
-    order. Two distributed row numbers and one equi-join on the position."""
+    order. Two distributed row numbers and one equi-join on the position. A repeated
+    or null key is an error: values are given back by key."""
+    if df.groupBy(q(key_col)).count().where((F.col("count") > 1) | q(key_col).isNull()).limit(1).collect():
+        raise ValueError(f"{key_col!r} holds repeated or null keys")
     out = out or f"{col}_perm"
     base = df.select(q(key_col).alias("_k"), q(col).alias("_v"))
     by_key = row_number(base.select("_k"), ["_k"], out="_pos", method=prefix_method)

@@ -3,8 +3,9 @@ cross-validation, walk-forward by day, importance selection, recursive feature
 elimination, permutation importance, method comparison and random search.
 
 The loop itself stays on the driver (a few fits, 2-4 at a time from a thread
-pool); the data never does. Scores come from ``metrics.macro_metrics`` over a
-tagged union of scored tables, one aggregate per loop level.
+pool); the data never does. A scored side is reduced to its count table
+(``metrics.cells``) at once, so a model runs once per side; every score of the loop
+comes from the union of those small tables.
 """
 
 from __future__ import annotations
@@ -18,9 +19,10 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowguard.functions.columns import q, seeded_hash
+from flowguard.functions.columns import q
 from flowguard.operators import metrics, models, split
 from flowguard.plans.prefix import row_number
+from flowguard.session import checkpointed
 
 EstimatorFactory = Callable[[], object]
 SCORE_COLS = ["accuracy", "precision_macro", "recall_macro", "f1_macro"]
@@ -39,9 +41,23 @@ def _fit(train, features, label_col, factory, scale=False):
     return models.fit_pipeline(train, features, label_col, factory(), scale)
 
 
-def _scored(model, df, label_col):
-    return models.score(model, df, label_col).select(
-        q(label_col).cast("string").alias("label"), F.col(models.PRED_LABEL).alias("pred"))
+def _counts(model, df, label_col, **tags) -> DataFrame:
+    """Count table of a scored side: tags..., label, prediction, count."""
+    c = metrics.cells(models.score(model, df, label_col), label_col, models.PRED_LABEL)
+    for name, value in tags.items():
+        c = c.withColumn(name, F.lit(value))
+    return c
+
+
+def check_scoring(scoring: str) -> str:
+    if scoring not in SCORE_COLS:
+        raise ValueError(f"unknown scoring {scoring!r}; one of {SCORE_COLS}")
+    return scoring
+
+
+def _score_of(counts: DataFrame, scoring: str) -> float:
+    row = metrics.macro_metrics(None, counts=counts).first()
+    return float(row[scoring]) if row is not None and row[scoring] is not None else 0.0
 
 
 # ------------------------------------------------------------ V5 cross-validation
@@ -52,17 +68,18 @@ def cross_validate(df: DataFrame, key_col: str, label_col: str, features: Sequen
     """(per-fold scores, summary): fold, n, accuracy, precision_macro,
     recall_macro, f1_macro; then metric, mean, std (population), n_folds.
     Same seed, same folds, same numbers."""
-    folded = folded if folded is not None else split.stratified_folds(
-        df, label_col, key_col, k, seed)
-    folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
+    own = folded is None
+    if own:
+        folded = split.stratified_folds(df, label_col, key_col, k, seed).persist(StorageLevel.MEMORY_AND_DISK)
 
     def one(i):
         m = _fit(folded.where(F.col("fold") != i), features, label_col, factory)
-        return _scored(m, folded.where(F.col("fold") == i), label_col).withColumn(
-            "fold", F.lit(i))
+        return _counts(m, folded.where(F.col("fold") == i), label_col, fold=i)
 
-    scored = _union(_pmap(one, list(range(k))))
-    per_fold = metrics.macro_metrics(scored, "label", "pred", by=["fold"])
+    counts = _union(_pmap(one, list(range(k))))
+    if own:
+        folded.unpersist()
+    per_fold = metrics.macro_metrics(None, by=["fold"], counts=counts)
     return per_fold, metrics.fold_summary(per_fold, SCORE_COLS)
 
 
@@ -70,37 +87,33 @@ def cross_validate(df: DataFrame, key_col: str, label_col: str, features: Sequen
 
 def walk_forward_scores(df: DataFrame, day_col: str, label_col: str, features: Sequence[str],
                         factory: EstimatorFactory, min_train_days: int = 2,
-                        scoring: str = "f1_macro", max_days: int = 10_000
-                        ) -> tuple[DataFrame, DataFrame]:
+                        scoring: str = "f1_macro") -> tuple[DataFrame, DataFrame]:
     """(steps, summary). Step i trains on the i sorted days before day i and
     scores that day; ``scoring`` 'f1_macro', anything else accuracy. Summary:
-    mean and population std of the step scores (0 if no step)."""
+    mean and population std of the step scores (0 if no step). The days are the steps
+    of the loop, one fit each, so their list is on the driver."""
     for c in (day_col, label_col):
         if c not in df.columns:
             raise ValueError(f"column {c!r} not found")
-    days = [r[0] for r in df.select(q(day_col)).distinct().limit(max_days + 1).collect()]
-    if len(days) > max_days:
-        raise ValueError(f"more than {max_days} days")
-    days = sorted(d for d in days if d is not None)
+    days = [r[0] for r in df.where(q(day_col).isNotNull()).select(q(day_col)).distinct().orderBy(q(day_col)).collect()]
     steps = list(range(min_train_days, len(days)))
     metric = "f1_macro" if scoring == "f1_macro" else "accuracy"
-    data = df.persist(StorageLevel.MEMORY_AND_DISK)
-
-    def one(i):
-        tr = data.where(q(day_col).isin(days[:i]))
-        te = data.where(q(day_col) == days[i])
-        m = _fit(tr, features, label_col, factory)
-        return _scored(m, te, label_col).withColumn("step", F.lit(i - min_train_days + 1))
-
     spark = df.sparkSession
     if not steps:
         empty = spark.createDataFrame([], "step int, test_day long, train_size long, "
                                           "test_size long, score double")
         return empty, spark.createDataFrame([(0.0, 0.0, 0)], "mean double, std double, n_steps int")
-    scored = _union(_pmap(one, steps))
-    per = metrics.macro_metrics(scored, "label", "pred", by=["step"])
-    folds = split.walk_forward_folds(df, day_col, min_train_days).select(
-        "step", "test_day", "train_size", "test_size")
+    data = df.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def one(i):
+        m = _fit(data.where(q(day_col) < days[i]), features, label_col, factory)
+        return _counts(m, data.where(q(day_col) == days[i]), label_col, step=i - min_train_days + 1)
+
+    counts = _union(_pmap(one, steps))
+    per = metrics.macro_metrics(None, by=["step"], counts=counts)
+    folds = checkpointed(split.walk_forward_folds(data.where(q(day_col).isNotNull()), day_col, min_train_days).select(
+        "step", "test_day", "train_size", "test_size"))
+    data.unpersist()
     out = folds.join(per.select("step", F.col(metric).alias("score")), "step")
     summary = out.agg(F.avg("score").alias("mean"), F.stddev_pop("score").alias("std"),
                       F.count(F.lit(1)).alias("n_steps"))
@@ -118,12 +131,14 @@ def importance_table(model, features: Sequence[str]) -> list[tuple[str, float]]:
 
 def select_by_importance(train: DataFrame, label_col: str, features: Sequence[str],
                          n_trees: int = 100, max_depth: int = 15, seed: int = 42,
-                         threshold: str | float = "median") -> DataFrame:
-    """feature, importance, selected: forest importances fitted on the training
-    side; keep importance >= median (or >= a number)."""
+                         threshold: str | float = "median",
+                         factory: EstimatorFactory | None = None) -> DataFrame:
+    """feature, importance, selected: importances of a forest (or of ``factory``'s
+    learner) fitted on the training side; keep importance >= median (or >= a number)."""
     import statistics
-    model = models.fit_pipeline(train, features, label_col, models.make_estimator(
-        "forest", numTrees=n_trees, maxDepth=max_depth, seed=seed))
+    learner = factory() if factory is not None else models.make_estimator(
+        "forest", numTrees=n_trees, maxDepth=max_depth, seed=seed)
+    model = models.fit_pipeline(train, features, label_col, learner)
     imp = importance_table(model, features)
     cut = statistics.median(v for _, v in imp) if threshold == "median" else float(threshold)
     rows = [(f, v, v >= cut) for f, v in imp]
@@ -134,12 +149,13 @@ def select_by_importance(train: DataFrame, label_col: str, features: Sequence[st
 # ------------------------------------------------------------ F2 RFECV
 
 def rfecv(df: DataFrame, key_col: str, label_col: str, features: Sequence[str],
-          factory: EstimatorFactory, min_features: int = 5, cv: int = 3, seed: int = 42
-          ) -> tuple[DataFrame, DataFrame]:
+          factory: EstimatorFactory, min_features: int = 5, cv: int = 3, seed: int = 42,
+          scoring: str = "f1_macro") -> tuple[DataFrame, DataFrame]:
     """(ranking, scores). In each fold the weakest feature (lowest importance)
-    is dropped one at a time down to ``min_features``, scoring macro F1 on the
+    is dropped one at a time down to ``min_features``, scoring ``scoring`` on the
     held-out fold at each size; the best mean size wins (smaller on a tie); a
     final elimination on all rows gives the ranking (1 = kept)."""
+    check_scoring(scoring)
     feats = list(features)
     min_features = max(1, min(min_features, len(feats)))
     folded = split.stratified_folds(df, label_col, key_col, cv, seed).persist(
@@ -150,8 +166,7 @@ def rfecv(df: DataFrame, key_col: str, label_col: str, features: Sequence[str],
         while True:
             m = _fit(train, cur, label_col, factory)
             if test is not None:
-                s = metrics.macro_metrics(_scored(m, test, label_col), "label", "pred").first()
-                out.append((len(cur), float(s["f1_macro"])))
+                out.append((len(cur), _score_of(_counts(m, test, label_col), scoring)))
             if len(cur) <= min_features:
                 return out, order, cur
             imp = importance_table(m, cur)
@@ -161,11 +176,12 @@ def rfecv(df: DataFrame, key_col: str, label_col: str, features: Sequence[str],
 
     per_fold = _pmap(lambda i: path(folded.where(F.col("fold") != i),
                                     folded.where(F.col("fold") == i))[0], list(range(cv)))
+    folded.unpersist()
     rows = [(i, n, s) for i, res in enumerate(per_fold) for n, s in res]
     spark = df.sparkSession
-    scores = (spark.createDataFrame(rows, "fold int, n_features int, f1_macro double")
-              .groupBy("n_features").agg(F.avg("f1_macro").alias("mean_score"),
-                                         F.stddev_pop("f1_macro").alias("std_score")))
+    scores = (spark.createDataFrame(rows, "fold int, n_features int, score double")
+              .groupBy("n_features").agg(F.avg("score").alias("mean_score"),
+                                         F.stddev_pop("score").alias("std_score")))
     best = scores.orderBy(F.desc("mean_score"), "n_features").first()["n_features"]
     # final elimination on all rows down to the best size
     cur, order = list(feats), []
@@ -184,42 +200,57 @@ def rfecv(df: DataFrame, key_col: str, label_col: str, features: Sequence[str],
 
 # ------------------------------------------------------------ F3 permutation importance
 
+#: Permuted copies of the table that are scored in one job.
+PAIR_BLOCK = 16
+
+
+def position_map(n: int, seed: int, feature: str, repeat: int) -> tuple[int, int]:
+    """(a, c) of the one-to-one map i -> (a*i + c) mod n of 0..n-1, drawn from the md5 of
+    seed, feature and repeat; a is the first number from the draw on that is coprime
+    to n."""
+    import hashlib
+    import math
+    h = hashlib.md5(f"{seed}:{feature}:{repeat}".encode()).hexdigest()
+    a, c = int(h[:12], 16) % n, int(h[12:24], 16) % n
+    while math.gcd(a, n) != 1:
+        a += 1
+    return a, c
+
+
 def permutation_importance(model, df: DataFrame, key_col: str, label_col: str,
                            features: Sequence[str], n_repeats: int = 10, seed: int = 42,
                            threshold: float = 0.001) -> DataFrame:
     """feature, importance_mean, importance_std (population), rank, selected.
 
-    All (feature, repeat) permutations in one job: each row is expanded to the
-    (feature, repeat) pairs (bounded by the arguments), ranked by
-    md5(seed:feature:repeat:key) inside each pair with one distributed row number,
-    and given the value of the row at that position in key order; one transform
-    scores them all, one aggregate gives the accuracy of each pair.
+    Rows are ranked by key once. A (feature, repeat) pair is a seeded one-to-one map of
+    positions: the row at position i gets the feature's value from position
+    (a*i + c) mod n, so a pair needs a join on the position and no sort. Pairs are
+    scored in blocks of PAIR_BLOCK.
     """
     feats = list(features)
-    base = df.select(q(key_col).alias("_k"), q(label_col).cast("string").alias(label_col),
-                     *[q(f) for f in feats])
-    by_key = row_number(base, ["_k"], out="_pos")
-    pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.lit(r).alias("r"))
-                                for f in feats for r in range(n_repeats)]))
-    vals = base.select("_k", pairs.alias("fr")).select("_k", "fr.f", "fr.r")
-    val_of = F.coalesce(*[F.when(F.col("f") == f, F.col(f"_v_{i}")) for i, f in enumerate(feats)])
-    vals = (vals.join(base.select("_k", *[q(f).cast("double").alias(f"_v_{i}")
-                                          for i, f in enumerate(feats)]), "_k")
-            .select("_k", "f", "r", val_of.alias("_val"),
-                    seeded_hash(seed, F.col("f"), F.col("r"), F.col("_k")).alias("_h")))
-    hpos = row_number(vals, ["_h", "_k"], ["f", "r"], out="_pos")
-    perm = (hpos.select("f", "r", "_pos", F.col("_val").alias("_perm"))
-            .join(by_key.select("_pos", "_k"), "_pos"))
-    rows = perm.join(by_key.drop("_pos"), "_k")
-    rows = rows.select("f", "r", label_col, *[
-        F.when(F.col("f") == f, F.col("_perm").cast(df.schema[f].dataType)).otherwise(q(f)).alias(f)
-        for f in feats])
-    scored = models.score(model, rows, label_col)
+    base = df.select(q(key_col).alias("_k"), q(label_col).cast("string").alias(label_col), *[q(f) for f in feats])
+    ranked = checkpointed(row_number(base, ["_k"], out="_pos").withColumn("_pos", F.col("_pos") - 1))
+    n = ranked.count()
+    if not n:
+        raise ValueError("no rows")
     hit = (F.col(models.PRED_LABEL) == q(label_col)).cast("double")
-    acc = scored.groupBy("f", "r").agg(F.avg(hit).alias("acc"))
-    base_acc = models.score(model, df, label_col).select(
-        F.avg((F.col(models.PRED_LABEL) == q(label_col).cast("string")).cast("double"))).first()[0]
-    imp = (acc.groupBy(F.col("f").alias("feature"))
+    base_acc = models.score(model, ranked, label_col).select(F.avg(hit)).first()[0]
+    pairs = [(f, r) for f in feats for r in range(n_repeats)]
+    accs = []
+    for at in range(0, len(pairs), PAIR_BLOCK):
+        block = [(f, r, *position_map(n, seed, f, r)) for f, r in pairs[at:at + PAIR_BLOCK]]
+        each = F.explode(F.array(*[F.struct(
+            F.lit(f).alias("f"), F.lit(r).alias("r"),
+            F.expr(f"CAST((CAST({a} AS DECIMAL(20,0)) * _pos + {c}) % {n} AS BIGINT)").alias("to"))
+            for f, r, a, c in block]))
+        asked = ranked.select("*", each.alias("p")).select("*", "p.f", "p.r", "p.to").drop("p", "_pos")
+        own = sorted({f for f, *_ in block}, key=feats.index)
+        values = ranked.select(F.col("_pos").alias("to"), *[q(f).alias(f"_v{feats.index(f)}") for f in own])
+        rows = asked.join(values, "to").select("f", "r", label_col, *[
+            F.when(F.col("f") == f, F.col(f"_v{feats.index(f)}")).otherwise(q(f)).alias(f) if f in own else q(f)
+            for f in feats])
+        accs.append(checkpointed(models.score(model, rows, label_col).groupBy("f", "r").agg(F.avg(hit).alias("acc"))))
+    imp = (_union(accs).groupBy(F.col("f").alias("feature"))
            .agg(F.avg(F.lit(base_acc) - F.col("acc")).alias("importance_mean"),
                 F.stddev_pop(F.lit(base_acc) - F.col("acc")).alias("importance_std")))
     from pyspark.sql import Window
@@ -232,24 +263,27 @@ def permutation_importance(model, df: DataFrame, key_col: str, label_col: str,
 
 def compare_selectors(df: DataFrame, key_col: str, label_col: str, features: Sequence[str],
                       factory: EstimatorFactory, cv: int = 3, seed: int = 42,
-                      min_features: int = 5, n_repeats: int = 3) -> DataFrame:
+                      min_features: int = 5, n_repeats: int = 10) -> DataFrame:
     """method, n_features, cv_f1 (macro F1 over ``cv`` folds, rounded to 4) for
-    the importance-median, RFECV and permutation selections."""
+    the importance-median, RFECV and permutation selections, each with ``factory``'s
+    learner. A method that keeps no feature has 0 features and a null score."""
     sel_imp = [r["feature"] for r in select_by_importance(
-        df, label_col, features, n_trees=20, max_depth=5, seed=seed)
-        .where("selected").collect()]
+        df, label_col, features, seed=seed, factory=factory).where("selected").collect()]
     ranking, _ = rfecv(df, key_col, label_col, features, factory, min_features, cv, seed)
     sel_rfe = [r["feature"] for r in ranking.where("selected").collect()]
     m = _fit(df, features, label_col, factory)
     pi = permutation_importance(m, df, key_col, label_col, features, n_repeats, seed)
-    sel_pi = [r["feature"] for r in pi.where("selected").collect()] or list(features)
-    folded = split.stratified_folds(df, label_col, key_col, cv, seed)
+    sel_pi = [r["feature"] for r in pi.where("selected").collect()]
+    folded = split.stratified_folds(df, label_col, key_col, cv, seed).persist(StorageLevel.MEMORY_AND_DISK)
     rows = []
-    for name, sel in (("importance_median", sel_imp), ("rfecv", sel_rfe),
-                      ("permutation", sel_pi)):
+    for name, sel in (("importance_median", sel_imp), ("rfecv", sel_rfe), ("permutation", sel_pi)):
+        if not sel:
+            rows.append((name, 0, None))
+            continue
         _, summ = cross_validate(df, key_col, label_col, sel, factory, cv, seed, folded)
         f1 = summ.where(F.col("metric") == "f1_macro").first()["mean"]
         rows.append((name, len(sel), round(float(f1), 4)))
+    folded.unpersist()
     return df.sparkSession.createDataFrame(rows, "method string, n_features int, cv_f1 double")
 
 
@@ -318,45 +352,49 @@ def draw_settings(space: Mapping[str, Sequence], n_iter: int, seed: int = 42) ->
 
 
 def random_search(df: DataFrame, key_col: str, label_col: str, features: Sequence[str],
-                  kind: str, space: Mapping[str, Sequence], n_iter: int = 20, cv: int = 3,
-                  seed: int = 42, overrides: Mapping | None = None
+                  kind: str | Callable[..., object], space: Mapping[str, Sequence], n_iter: int = 20, cv: int = 3,
+                  seed: int = 42, overrides: Mapping | None = None, scoring: str = "f1_macro"
                   ) -> tuple[DataFrame, object]:
     """(results, best model). Results: setting_id, params (JSON), mean and std of
-    validation macro F1, mean train macro F1, gap (train - validation), rank.
-    The best setting (highest validation mean) is refitted on all rows."""
+    the validation score, mean train score, gap (train - validation), rank.
+    The best setting (highest validation mean) is refitted on all rows.
+
+    ``kind`` is 'forest' or 'boosting' (settings mapped by ``spark_params``) or any
+    callable that makes a learner from a setting's names and values."""
     import json
+    check_scoring(scoring)
     settings = draw_settings(space, n_iter, seed)
-    folded = split.stratified_folds(df, label_col, key_col, cv, seed).persist(
-        StorageLevel.MEMORY_AND_DISK)
+
+    def learner(setting: Mapping):
+        if callable(kind):
+            return kind(**{**setting, **(overrides or {})})
+        return models.make_estimator(kind, **{**spark_params(kind, setting), **(overrides or {})})
+
+    folded = split.stratified_folds(df, label_col, key_col, cv, seed).persist(StorageLevel.MEMORY_AND_DISK)
 
     def one(job):
         sid, fold = job
-        p = spark_params(kind, settings[sid])
-        p.update(overrides or {})
         tr = folded.where(F.col("fold") != fold)
-        m = models.fit_pipeline(tr, features, label_col, models.make_estimator(kind, **p))
-        val = _scored(m, folded.where(F.col("fold") == fold), label_col)
-        trn = _scored(m, tr, label_col)
-        return (val.withColumn("side", F.lit("val")).unionByName(trn.withColumn("side", F.lit("train")))
-                .withColumn("setting_id", F.lit(sid)).withColumn("fold", F.lit(fold)))
+        m = models.fit_pipeline(tr, features, label_col, learner(settings[sid]))
+        tags = {"setting_id": sid, "fold": fold}
+        return _counts(m, folded.where(F.col("fold") == fold), label_col, side="val", **tags).unionByName(
+            _counts(m, tr, label_col, side="train", **tags))
 
     jobs = [(s, f) for s in range(len(settings)) for f in range(cv)]
-    scored = _union(_pmap(one, jobs))
-    per = metrics.macro_metrics(scored, "label", "pred", by=["setting_id", "fold", "side"])
-    agg = per.groupBy("setting_id").agg(
-        F.avg(F.when(F.col("side") == "val", F.col("f1_macro"))).alias("mean_val"),
-        F.stddev_pop(F.when(F.col("side") == "val", F.col("f1_macro"))).alias("std_val"),
-        F.avg(F.when(F.col("side") == "train", F.col("f1_macro"))).alias("mean_train"))
+    counts = checkpointed(_union(_pmap(one, jobs)))
+    folded.unpersist()
+    per = metrics.macro_metrics(None, by=["setting_id", "fold", "side"], counts=counts)
+    val, trn = F.when(F.col("side") == "val", F.col(scoring)), F.when(F.col("side") == "train", F.col(scoring))
+    agg = per.groupBy("setting_id").agg(F.avg(val).alias("mean_val"), F.stddev_pop(val).alias("std_val"),
+                                        F.avg(trn).alias("mean_train"))
     spark = df.sparkSession
     params = spark.createDataFrame([(i, json.dumps(s, sort_keys=True, default=str))
                                     for i, s in enumerate(settings)], "setting_id int, params string")
     from pyspark.sql import Window
-    res = (agg.join(params, "setting_id")
-           .withColumn("gap", F.col("mean_train") - F.col("mean_val"))
-           .withColumn("rank", F.row_number().over(
-               Window.partitionBy().orderBy(F.desc("mean_val"), "setting_id"))))
+    res = checkpointed(agg.join(params, "setting_id")
+                       .withColumn("gap", F.col("mean_train") - F.col("mean_val"))
+                       .withColumn("rank", F.row_number().over(
+                           Window.partitionBy().orderBy(F.desc("mean_val"), "setting_id"))))
     best_id = res.where(F.col("rank") == 1).first()["setting_id"]
-    p = spark_params(kind, settings[best_id])
-    p.update(overrides or {})
-    best = models.fit_pipeline(df, features, label_col, models.make_estimator(kind, **p))
+    best = models.fit_pipeline(df, features, label_col, learner(settings[best_id]))
     return res, best

@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowguard.operators import (clean, drift, metrics, models, profile, resample, scale,
+from flowguard.operators import (clean, drift, jobs, metrics, models, profile, resample, scale,
                                  split, validate)
 from flowguard.plans.standins import (FLOW_DAY, FLOW_FEATURES, FLOW_KEY, FLOW_LABEL,
                                       DOC_FEATURES, EMB_FEATURES, PERIOD, REFERENCE_DAYS,
                                       dirty_flows, doc_quality, flows_by_period,
-                                      embedding_rows, flows, scored_flows,
+                                      RULE_SQL, embedding_rows, flows, scored_flows,
                                       table)
 from flowguard.sources import files
 
@@ -90,20 +90,28 @@ def chi2_drift(spark, sf_dir):
 
 # ---------------------------------------------------------- sources, cleaning (S, P)
 
+def _mixed_csv(spark, sf_dir):
+    """One folder of CSV files with two headers: the second lacks user_id and has its
+    columns in another order."""
+    fl = flows(spark, sf_dir)
+    path = files.scratch_path(spark, "csv")
+    files.write_csv(fl.where(F.col(FLOW_DAY) < 15), path)
+    files.write_csv(fl.where(F.col(FLOW_DAY) >= 15).select("Label", "k", "value", FLOW_DAY, FLOW_KEY), path, "append")
+    return path, fl.schema
+
+
 @register
 def csv_union(spark, sf_dir):
-    """Two CSV folders with different headers (the second lacks user_id and has
-    its columns in another order) read back as one table united by name."""
-    fl = flows(spark, sf_dir)
-    base = files.scratch_path(spark, "csv")
-    files.write_csv(fl.where(F.col(FLOW_DAY) < 15), f"{base}/a")
-    files.write_csv(fl.where(F.col(FLOW_DAY) >= 15)
-                    .select("Label", "k", "value", FLOW_DAY, FLOW_KEY), f"{base}/b")
-    a = files.load_csv_files(spark, f"{base}/a")
-    b = files.load_csv_files(spark, f"{base}/b")
-    both = a.withColumn("part", F.lit("a")).unionByName(
-        b.withColumn("part", F.lit("b")), allowMissingColumns=True)
-    return finalize(both.drop(files.SOURCE_FILE))
+    """CSV files of one folder with different headers, united by name; types found."""
+    path, _ = _mixed_csv(spark, sf_dir)
+    return finalize(files.load_csv_files(spark, path, keep_source=False))
+
+
+@register
+def csv_union_schema(spark, sf_dir):
+    """The same folder read with a schema, which is applied by name."""
+    path, schema = _mixed_csv(spark, sf_dir)
+    return finalize(files.load_csv_files(spark, path, schema=schema, keep_source=False))
 
 
 @register
@@ -208,7 +216,7 @@ def binned_kde(spark, sf_dir):
 
 @register
 def box_stats(spark, sf_dir):
-    return finalize(profile.box_stats(flows(spark, sf_dir), FLOW_LABEL, ["value", "k"]))
+    return finalize(profile.box_stats(flows(spark, sf_dir), FLOW_LABEL, FLOW_FEATURES))
 
 
 @register
@@ -285,6 +293,12 @@ def classification_report(spark, sf_dir):
                                                   "prediction"))
 
 
+@register
+def evaluate(spark, sf_dir):
+    """Evaluation bundle: matrix, per-class report and macro scores from one count table."""
+    return finalize(metrics.evaluate(scored_flows(spark, sf_dir), FLOW_LABEL, "prediction"))
+
+
 @register
 def train_test_gap(spark, sf_dir):
     sp = split.stratified_split(scored_flows(spark, sf_dir), FLOW_LABEL, FLOW_KEY, 0.3, 42)
@@ -337,17 +351,18 @@ def smote_knn(spark, sf_dir):
 
 @register
 def smote_rows(spark, sf_dir):
-    """Class counts after SMOTE: every class at the majority count."""
-    out = resample.smote(embedding_rows(spark, sf_dir), "vec_id", "label", EMB_FEATURES, 5, 42)
-    return finalize(out.groupBy("label").agg(
-        F.sum((~F.col("synthetic")).cast("long")).alias("n_original"),
-        F.sum(F.col("synthetic").cast("long")).alias("n_synthetic"),
-        F.count(F.lit(1)).alias("n_total")))
+    """The synthetic rows that raise every class to the majority count."""
+    out = resample.synthetic_rows(embedding_rows(spark, sf_dir), "vec_id", "label", EMB_FEATURES, 5, 42)
+    return finalize(out)
 
 
 # ------------------------------------------------------ models, scoring (M, S4-S7)
-# Seeded fits: no SQL twin; the driver checks rows and schema, tests check the
-# invariants (probabilities sum to 1, round trip equal, class counts).
+# Seeded fits: the queries run the whole job and return what SQL can state about it
+# (rows, supports, sizes, sums, ranges); tests look at the scores themselves. The
+# *_rule queries run the same loops with a fixed rule as the learner, exactly.
+#
+# Learners are smaller than the operators' defaults (100 trees of depth 15; 100 rounds)
+# where a query fits many of them, so that one ends in minutes on one machine.
 
 def _forest(**kw):
     p = {"numTrees": 20, "maxDepth": 8, "seed": 42}
@@ -355,17 +370,38 @@ def _forest(**kw):
     return lambda: models.make_estimator("forest", **p)
 
 
+#: The forest at the operator's defaults.
+FULL_FOREST = {"numTrees": 100, "maxDepth": 15}
+
+
+def _in_unit(*cols):
+    ok = F.lit(True)
+    for c in cols:
+        ok = ok & F.coalesce(F.col(c).between(0, 1), F.lit(True))
+    return ok
+
+
 def _report(model, test, label_col):
-    scored = models.score(model, test, label_col)
-    return metrics.classification_report(scored, label_col, models.PRED_LABEL)
+    """row, support of the classification report and whether its scores lie in [0, 1]."""
+    counts = metrics.cells(models.score(model, test, label_col), label_col, models.PRED_LABEL)
+    rep = metrics.classification_report(None, counts=counts)
+    return rep.select("row", "support", _in_unit("precision", "recall", "f1").alias("scores_valid"))
+
+
+def _split_kept(df, label_col, key_col):
+    """Both sides of the split, computed once (the learner passes over train many times)."""
+    sp = split.stratified_split(df, label_col, key_col)
+    path = files.scratch_path(df.sparkSession, "split")
+    sp.write.parquet(path)
+    return split.train_test(df.sparkSession.read.parquet(path))
 
 
 def _flow_split(spark, sf_dir):
-    return split.train_test(split.stratified_split(flows(spark, sf_dir), FLOW_LABEL, FLOW_KEY))
+    return _split_kept(flows(spark, sf_dir), FLOW_LABEL, FLOW_KEY)
 
 
 def _doc_split(spark, sf_dir):
-    return split.train_test(split.stratified_split(doc_quality(spark, sf_dir), "quality", "doc_id"))
+    return _split_kept(doc_quality(spark, sf_dir), "quality", "doc_id")
 
 
 @register
@@ -379,7 +415,7 @@ def train_logreg(spark, sf_dir):
 @register
 def train_forest(spark, sf_dir):
     tr, te = _flow_split(spark, sf_dir)
-    m = models.fit_pipeline(tr, FLOW_FEATURES, FLOW_LABEL, _forest()())
+    m = models.fit_pipeline(tr, FLOW_FEATURES, FLOW_LABEL, _forest(**FULL_FOREST)())
     return finalize(_report(m, te, FLOW_LABEL))
 
 
@@ -392,12 +428,14 @@ def train_smote_forest(spark, sf_dir):
     """SMOTE on the training side only, then the forest; scored on the untouched
     test side."""
     tr, te = _doc_split(spark, sf_dir)
-    m = models.fit_pipeline(_smote_train(tr), DOC_FEATURES, "quality", _forest()())
+    m = models.fit_pipeline(_smote_train(tr), DOC_FEATURES, "quality", _forest(**FULL_FOREST)())
     return finalize(_report(m, te, "quality"))
 
 
 @register
 def train_boosting(spark, sf_dir):
+    """Boosting, 10 rounds for each of the five classes (the operator's default is 100:
+    500 dependent fits)."""
     tr, te = _flow_split(spark, sf_dir)
     est = models.make_estimator("boosting", maxIter=10, maxDepth=3)
     m = models.fit_pipeline(tr, FLOW_FEATURES, FLOW_LABEL, est)
@@ -432,29 +470,31 @@ def _saved_forest(spark, sf_dir):
 
 @register
 def score_table(spark, sf_dir):
-    """Scoring job: load a saved model, score flows written as CSV, write the
-    input rows plus the prediction as CSV, and summarise the predictions."""
+    """Scoring job: load a saved model, score flows written as CSV, write the input rows
+    plus the prediction as CSV and summarise: rows scored, rows in the summary and in
+    the written file, and the sum of its percentages."""
     path = _saved_forest(spark, sf_dir)
-    model, _ = models.load_model(path)
     fl = flows(spark, sf_dir).drop(FLOW_LABEL)
-    csv_dir = files.scratch_path(spark, "input")
+    csv_dir, out_dir = files.scratch_path(spark, "input"), files.scratch_path(spark, "predictions")
     files.write_csv(fl, csv_dir)
-    # a scoring job knows its input schema: no inference pass over the data
-    data = files.load_csv_files(spark, csv_dir, schema=fl.schema, keep_source=False)
-    scored = models.score(model, data)
-    out_dir = files.scratch_path(spark, "predictions")
-    out = scored.select(*data.columns, F.col(models.PRED_LABEL).alias("prediction"))
-    files.write_csv(out, out_dir)
-    written = files.load_csv_files(spark, out_dir, schema=out.schema, keep_source=False)
-    return finalize(profile.prediction_summary(written, "prediction"))
+    scored, summary = jobs.score_job(spark, path, csv_dir, out_dir, schema=fl.schema, features=FLOW_FEATURES)
+    written = files.load_csv_files(spark, out_dir, schema=scored.schema, keep_source=False)
+    total = summary.agg(F.sum("count").alias("n_summary"), F.round(F.sum("percent"), 4).alias("percent_total")).first()
+    return finalize(written.agg(F.count("prediction").alias("n_written"))
+                    .withColumn("n_summary", F.lit(total["n_summary"]))
+                    .withColumn("percent_total", F.lit(total["percent_total"])))
 
 
 @register
 def score_probabilities(spark, sf_dir):
-    path = _saved_forest(spark, sf_dir)
-    model, _ = models.load_model(path)
+    """For every flow the number of class probabilities, their sum, and whether each lies
+    in [0, 1]."""
+    model, _ = models.load_model(_saved_forest(spark, sf_dir))
     scored = models.score(model, flows(spark, sf_dir))
-    return finalize(models.class_probabilities(model, scored, [FLOW_KEY]))
+    probs = models.class_probabilities(model, scored, [FLOW_KEY])
+    return finalize(probs.groupBy(FLOW_KEY).agg(
+        F.count(F.lit(1)).alias("n_classes"), F.sum("probability").alias("probability_sum"),
+        F.min(F.col("probability").between(0, 1)).alias("in_range")))
 
 
 @register
@@ -476,83 +516,131 @@ def model_roundtrip(spark, sf_dir):
 
 @register
 def prepared_dataset(spark, sf_dir):
-    """The prepared bundle: cleaned rows, stratified split, features kept by
-    forest importance (fitted on train), population scaling fitted on train; one
-    Parquet table with a split column, read back."""
+    """The prepared bundle: cleaned rows, stratified split, features kept by forest
+    importance, population scaling, table and fitted pipeline written and read back.
+    Returns every row's key, label and side."""
     cl = clean.clean_dataframe(dirty_flows(spark, sf_dir))
-    sp = split.stratified_split(cl, FLOW_LABEL, FLOW_KEY)
-    tr, te = split.train_test(sp)
-    imp = validate.select_by_importance(tr, FLOW_LABEL, FLOW_FEATURES, 20, 8)
-    keep = [r["feature"] for r in imp.where("selected").collect()]
-    a, b, _ = scale.scale_features(tr.select(FLOW_KEY, *keep, FLOW_LABEL),
-                                   te.select(FLOW_KEY, *keep, FLOW_LABEL), keep)
-    both = a.withColumn("split", F.lit("train")).unionByName(b.withColumn("split", F.lit("test")))
     path = files.scratch_path(spark, "prepared")
-    files.write_parquet(both, path, ["split"])
-    return finalize(files.read_parquet(spark, path))
+    jobs.prepare_bundle(cl, FLOW_KEY, FLOW_LABEL, FLOW_FEATURES, path)
+    data, _ = jobs.load_bundle(spark, path)
+    return finalize(data.select(FLOW_KEY, FLOW_LABEL, "split"))
 
 
 # ------------------------------------------------------ loops (V4, V5, F1-F4, F6-F7)
-WIDE = EMB_FEATURES[:8]
+# The selection loops run over all rows and all features of the labelled documents.
+
+def rule_learner():
+    """The fixed stand-in classifier in the place of a learner: class index (alphabetical)
+    from bands of ``value``."""
+    from pyspark.ml.feature import SQLTransformer
+    return SQLTransformer(statement="""SELECT *, CAST(CASE WHEN value < 5 THEN 4 WHEN value < 10 THEN 0
+        WHEN value < 20 THEN 2 WHEN value < 40 THEN 3 ELSE 1 END AS DOUBLE) AS prediction FROM __THIS__""")
 
 
 @register
 def cross_validate(spark, sf_dir):
+    """Five folds of a forest of 20 trees of depth 8: fold sizes, scores in [0, 1]."""
+    per_fold, _ = validate.cross_validate(flows(spark, sf_dir), FLOW_KEY, FLOW_LABEL,
+                                          FLOW_FEATURES, _forest(), k=5, seed=42)
+    return finalize(per_fold.select("fold", "n", _in_unit(*validate.SCORE_COLS).alias("scores_valid")))
+
+
+@register
+def cross_validate_rule(spark, sf_dir):
+    """The same loop with the fixed rule: exact scores of every fold."""
     per_fold, _ = validate.cross_validate(flows(spark, sf_dir), FLOW_KEY, FLOW_LABEL,
-                                          FLOW_FEATURES, _forest(), k=3, seed=42)
+                                          FLOW_FEATURES, rule_learner, k=5, seed=42)
     return finalize(per_fold)
 
 
 @register
 def walk_forward_scores(spark, sf_dir):
+    """Each later period scored by a forest (20 trees, depth 8) trained on those before it."""
     steps, _ = validate.walk_forward_scores(flows_by_period(spark, sf_dir), PERIOD, FLOW_LABEL,
                                             FLOW_FEATURES, _forest(), 2, "f1_macro")
+    return finalize(steps.select("step", "test_day", "train_size", "test_size",
+                                 _in_unit("score").alias("scores_valid")))
+
+
+@register
+def walk_forward_rule(spark, sf_dir):
+    """The same loop with the fixed rule: exact scores of every step."""
+    steps, _ = validate.walk_forward_scores(flows_by_period(spark, sf_dir), PERIOD, FLOW_LABEL,
+                                            FLOW_FEATURES, rule_learner, 2, "f1_macro")
     return finalize(steps)
 
 
 @register
 def select_by_importance(spark, sf_dir):
-    tr, _ = split.train_test(split.stratified_split(embedding_rows(spark, sf_dir), "label",
-                                                    "vec_id"))
-    return finalize(validate.select_by_importance(tr, "label", WIDE, 20, 8))
+    """Importances of the full forest over all document features: how many, how many are
+    kept at the median or above, and their sum."""
+    tr, _ = _doc_split(spark, sf_dir)
+    imp = validate.select_by_importance(tr, "quality", DOC_FEATURES)
+    return finalize(imp.agg(F.count(F.lit(1)).alias("n_features"),
+                            (F.sum(F.col("selected").cast("int")) * 2 >= F.count(F.lit(1))).alias("half_kept"),
+                            F.round(F.sum("importance"), 6).alias("importance_sum")))
 
 
 @register
 def rfecv(spark, sf_dir):
-    ranking, _ = validate.rfecv(embedding_rows(spark, sf_dir), "vec_id", "label", WIDE,
-                                _forest(numTrees=10, maxDepth=5), min_features=5, cv=3)
-    return finalize(ranking)
+    """Elimination down to two features, three folds, forest of 20 trees of depth 8 (a fit
+    for each fold and size): features ranked, one kept at least, ranks without gaps."""
+    ranking, _ = validate.rfecv(doc_quality(spark, sf_dir), "doc_id", "quality", DOC_FEATURES,
+                                _forest(), min_features=2, cv=3)
+    kept = F.sum(F.col("selected").cast("int"))
+    return finalize(ranking.agg(F.count(F.lit(1)).alias("n_features"), (kept >= 2).alias("kept_enough"),
+                                (F.max("ranking") == F.count(F.lit(1)) - kept + 1).alias("ranks_whole")))
 
 
 @register
 def permutation_importance(spark, sf_dir):
-    emb = embedding_rows(spark, sf_dir)
-    m = models.fit_pipeline(emb, WIDE, "label", _forest(numTrees=10, maxDepth=5)())
-    return finalize(validate.permutation_importance(m, emb, "vec_id", "label", WIDE, 3, 42))
+    """Ten repeats for every document feature under a forest of 20 trees of depth 8."""
+    docs = doc_quality(spark, sf_dir)
+    m = models.fit_pipeline(docs, DOC_FEATURES, "quality", _forest()())
+    imp = validate.permutation_importance(m, docs, "doc_id", "quality", DOC_FEATURES)
+    return finalize(imp.select("feature", F.col("importance_mean").between(-1, 1).alias("valid"),
+                               (F.col("selected") == (F.col("importance_mean") >= 0.001)).alias("threshold_applied")))
+
+
+@register
+def permutation_rule(spark, sf_dir):
+    """The same operator with the fixed rule as the model: exact importances."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
+    rule = SQLTransformer(statement=f"SELECT *, {RULE_SQL} AS {models.PRED_LABEL} FROM __THIS__")
+    # the first stage stands for the label indexer, which scoring skips
+    model = PipelineModel([rule, rule])
+    return finalize(validate.permutation_importance(model, flows(spark, sf_dir), FLOW_KEY, FLOW_LABEL,
+                                                    FLOW_FEATURES, n_repeats=3).drop("rank"))
 
 
 @register
 def compare_selectors(spark, sf_dir):
-    return finalize(validate.compare_selectors(
-        embedding_rows(spark, sf_dir), "vec_id", "label", WIDE,
-        _forest(numTrees=10, maxDepth=5), cv=3, min_features=5, n_repeats=2))
+    """The three selections at their default repeats, forest of 10 trees of depth 5 (about
+    forty fits)."""
+    res = validate.compare_selectors(doc_quality(spark, sf_dir), "doc_id", "quality", DOC_FEATURES,
+                                     _forest(numTrees=10, maxDepth=5), cv=3, min_features=2)
+    n = len(DOC_FEATURES)
+    return finalize(res.select("method", F.col("n_features").between(0, n).alias("count_valid"),
+                               _in_unit("cv_f1").alias("scores_valid")))
 
 
 @register
 def random_search(spark, sf_dir):
-    res, _ = validate.random_search(embedding_rows(spark, sf_dir), "vec_id", "label", WIDE,
-                                    "forest", validate.FOREST_SPACE, n_iter=2, cv=2, seed=42)
-    return finalize(res)
+    """Two of the 20 default settings of the forest space, three folds (a setting is up to
+    300 trees of depth 30)."""
+    res, _ = validate.random_search(doc_quality(spark, sf_dir), "doc_id", "quality", DOC_FEATURES,
+                                    "forest", validate.FOREST_SPACE, n_iter=2, cv=3, seed=42)
+    return finalize(res.select("setting_id", _in_unit("mean_val", "mean_train").alias("scores_valid"),
+                               F.col("rank").between(1, 2).alias("ranked")))
 
 
 # ---------------------------------------------------------------- streaming (D4)
 
-@register
-def drift_stream(spark, sf_dir):
+def _stream_reports(spark, sf_dir):
     """Flows written one file per day, streamed a few files per micro-batch; each
-    micro-batch is checked against the first seven days, per day. Same numbers
-    as drift_by_day."""
-    from flowguard.streaming.drift_stream import read_reports, start_drift_stream
+    micro-batch is checked against the first seven days, per day."""
+    from flowguard.streaming.drift_stream import start_drift_stream
     ref, cur = _ref_cur(spark, sf_dir)
     src = files.scratch_path(spark, "stream-src")
     cur.repartition(FLOW_DAY).write.mode("overwrite").partitionBy(FLOW_DAY).parquet(src)
@@ -560,9 +648,23 @@ def drift_stream(spark, sf_dir):
               .option("maxFilesPerTrigger", 4).parquet(src))
     reports = files.scratch_path(spark, "stream-reports")
     q_ = start_drift_stream(stream, ref, FLOW_FEATURES, FLOW_DAY, reports,
-                            files.scratch_path(spark, "stream-ckpt"))
+                            files.scratch_path(spark, "stream-ckpt"), label_col=FLOW_LABEL)
     q_.awaitTermination()
-    return finalize(read_reports(spark, reports).drop("epoch"))
+    return reports
+
+
+@register
+def drift_stream(spark, sf_dir):
+    """Feature drift of the stream: the same numbers as drift_by_day."""
+    from flowguard.streaming.drift_stream import read_reports
+    return finalize(read_reports(spark, _stream_reports(spark, sf_dir)).drop("epoch"))
+
+
+@register
+def drift_stream_batches(spark, sf_dir):
+    """Batch reports of the stream: data drift, class drift and needs_retraining by day."""
+    from flowguard.streaming.drift_stream import read_reports
+    return finalize(read_reports(spark, _stream_reports(spark, sf_dir), "batches").drop("epoch"))
 
 
 @register

@@ -105,9 +105,9 @@ FLOW_COLS_SQL = "CAST(flow_id AS BIGINT) AS flow_id, CAST(Day AS BIGINT) AS Day,
 
 ORACLE["csv_union"] = f"""WITH {FLOWS_SQL}
 SELECT CAST(flow_id AS BIGINT) AS flow_id, CAST(Day AS BIGINT) AS Day, value,
-       CASE WHEN Day < 15 THEN user_id END AS user_id, k, Label,
-       CASE WHEN Day < 15 THEN 'a' ELSE 'b' END AS part
+       CASE WHEN Day < 15 THEN user_id END AS user_id, k, Label
 FROM flows"""
+ORACLE["csv_union_schema"] = ORACLE["csv_union"]
 
 ORACLE["clean_flows"] = f"""WITH {FLOWS_SQL}, {DIRTY_SQL}, {CLEAN_SQL}
 SELECT {FLOW_COLS_SQL} FROM clean"""
@@ -201,8 +201,9 @@ _DIRTY_COLS = [(" flow_id", "bigint"), ("Day ", "int"), ("  value", "double"),
                ("user_id ", "double"), ("k", "double"), (" Label ", "string")]
 ORACLE["column_profile"] = f"""WITH {FLOWS_SQL}, {DIRTY_SQL}
 """ + "\nUNION ALL\n".join(
-    f"""SELECT '{c}' AS column, '{t}' AS dtype, CAST(COUNT("{c}") AS BIGINT) AS non_null,
-       CAST(COUNT(*) - COUNT("{c}") AS BIGINT) AS nulls FROM dirty""" for c, t in _DIRTY_COLS)
+    f"""SELECT '{c}' AS column, '{t}' AS dtype, CAST(COUNT({v}) AS BIGINT) AS non_null,
+       CAST(COUNT(*) - COUNT({v}) AS BIGINT) AS nulls FROM dirty""" for c, t in _DIRTY_COLS
+    for v in [f'CASE WHEN NOT isnan("{c}") THEN 1 END' if t == "double" else f'"{c}"'])
 
 _LOG_HIST = f"""{FLOWS_SQL}, {FLOW_LONG},
 ll AS (SELECT feature, log10(v) AS lv FROM flow_long WHERE v > 0),
@@ -233,7 +234,7 @@ d AS (SELECT g.feature, g.gi, g.mn + g.gi * g.step AS x,
 SELECT feature, CAST(gi AS BIGINT) AS grid_index, ROUND(x, 6) AS x, ROUND(density, 6) AS density FROM d"""
 
 ORACLE["box_stats"] = f"""WITH {FLOWS_SQL}, {FLOW_LONG},
-lv AS (SELECT Label AS label, feature, v FROM flow_long WHERE feature IN ('value', 'k')),
+lv AS (SELECT Label AS label, feature, v FROM flow_long),
 qs AS (SELECT label, feature, COUNT(*) AS n, quantile_cont(v, 0.25) AS q1,
          quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3 FROM lv GROUP BY label, feature),
 fe AS (SELECT *, q1 - 1.5 * (q3 - q1) AS fence_lo, q3 + 1.5 * (q3 - q1) AS fence_hi FROM qs),
@@ -421,13 +422,38 @@ r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, nn_vec_id)
 SELECT CAST(vec_id AS BIGINT) AS vec_id, CAST(label AS BIGINT) AS label, CAST(nn_rank AS BIGINT) AS nn_rank,
        CAST(nn_vec_id AS BIGINT) AS nn_vec_id, ROUND(dist, 6) AS dist FROM r WHERE nn_rank <= 5"""
 
-ORACLE["smote_rows"] = """WITH c AS (SELECT label, COUNT(*) AS n FROM embeddings GROUP BY label)
-SELECT CAST(label AS BIGINT) AS label, CAST(n AS BIGINT) AS n_original,
-       CAST(MAX(n) OVER () - n AS BIGINT) AS n_synthetic, CAST(MAX(n) OVER () AS BIGINT) AS n_total FROM c"""
+def _unit(kind: str) -> str:
+    return (f"CAST(CAST('0x' || substr(md5('42:' || CAST(label AS VARCHAR) || ':' || CAST(j AS VARCHAR) || ':{kind}'), 1, 13)"
+            f" AS BIGINT) AS DOUBLE) / {float(16 ** 13)}")
+
+
+_NN = ORACLE["smote_knn"].split("\nSELECT")[0]
+ORACLE["smote_rows"] = _NN + f""",
+c AS (SELECT label, COUNT(*) AS n FROM embeddings GROUP BY label),
+need AS (SELECT label, n, (SELECT MAX(n) FROM c) - n AS need FROM c),
+ids AS (SELECT label, n, unnest(range(1, need + 1)) AS j FROM need WHERE need > 0),
+drawn AS (SELECT label, j, CAST(floor({_unit("b")} * n) AS BIGINT) + 1 AS base_rank,
+            CAST(floor({_unit("n")} * greatest(least(5, n - 1), 1)) AS BIGINT) + 1 AS nn_rank, {_unit("u")} AS gap FROM ids),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS base_rank FROM e),
+joined AS (SELECT d.label, d.j, x.vec_id AS base_key, r.nn_vec_id AS nn_key, d.gap, x.v AS xv, coalesce(y.v, x.v) AS yv
+  FROM drawn d JOIN ranked x ON x.label = d.label AND x.base_rank = d.base_rank
+  LEFT JOIN r ON r.vec_id = x.vec_id AND r.nn_rank = d.nn_rank LEFT JOIN e y ON y.vec_id = r.nn_vec_id)
+SELECT CAST(label AS BIGINT) AS label, CAST(j AS BIGINT) AS j, CAST(base_key AS BIGINT) AS base_key,
+  CAST(nn_key AS BIGINT) AS nn_key, ROUND(gap, 6) AS gap,
+  {", ".join(f"ROUND(xv[{i + 1}] + gap * (yv[{i + 1}] - xv[{i + 1}]), 6) AS e{i}" for i in range(64))}
+FROM joined"""
 
 
 # ---------------------------------------------------------------- streaming
 ORACLE["drift_stream"] = ORACLE["drift_by_day"]
+ORACLE["drift_stream_batches"] = f"""WITH ks AS ({_ks_sql(f"Day < {REFERENCE_DAYS}", f"Day >= {REFERENCE_DAYS}", "Day")}),
+chi AS ({ORACLE["chi2_drift"]}),
+d AS (SELECT Day, CAST(COUNT(*) AS BIGINT) AS n_features, CAST(SUM(CAST(is_drifted AS BIGINT)) AS BIGINT) AS n_drifted
+      FROM ks GROUP BY Day)
+SELECT d.Day, n_features, n_drifted, ROUND(CAST(n_drifted AS DOUBLE) / n_features, 6) AS drift_ratio,
+  n_drifted > 0 AS data_drift, chi.statistic AS chi2_statistic, chi.p_value AS chi2_p_value,
+  chi.has_drift AS prediction_drift, n_drifted > 0 OR chi.has_drift AS needs_retraining
+FROM d JOIN chi ON chi.Day = d.Day"""
 
 
 # ---------------------------------------------------------------- monitor, round trip
@@ -469,3 +495,102 @@ ORACLE["drift_monitor"] = "\nUNION ALL\n".join([
 # Saving and loading must not change a single prediction: all rows equal.
 ORACLE["model_roundtrip"] = """SELECT CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(COUNT(*) AS BIGINT) AS n_same,
   'forest' AS name, true AS has_saved_at FROM events"""
+
+
+# ------------------------------------------------- evaluation bundle, fits and loops
+ORACLE["evaluate"] = f"""WITH {_CM}, {_per_class("scored")},
+l AS (SELECT class AS row, precision, recall, f1, CAST(n_true AS DOUBLE) AS support FROM pf),
+t AS (SELECT CAST(SUM(n_true) AS DOUBLE) AS n, CAST(SUM(tp) AS DOUBLE) / SUM(n_true) AS acc, AVG(precision) AS mp,
+        AVG(recall) AS mr, AVG(f1) AS mf, SUM(precision * n_true) / SUM(n_true) AS wp,
+        SUM(recall * n_true) / SUM(n_true) AS wr, SUM(f1 * n_true) / SUM(n_true) AS wf FROM pf)
+SELECT 'matrix' AS section, label AS row, prediction AS col, ROUND(CAST(count AS DOUBLE), 6) AS value FROM cm
+UNION ALL SELECT 'class', row, unnest(['precision', 'recall', 'f1', 'support']),
+  ROUND(unnest([precision, recall, f1, support]), 6) FROM l
+UNION ALL SELECT 'average', 'accuracy', unnest(['f1', 'support']), ROUND(unnest([acc, n]), 6) FROM t
+UNION ALL SELECT 'average', 'macro avg', unnest(['precision', 'recall', 'f1', 'support']), ROUND(unnest([mp, mr, mf, n]), 6) FROM t
+UNION ALL SELECT 'average', 'weighted avg', unnest(['precision', 'recall', 'f1', 'support']), ROUND(unnest([wp, wr, wf, n]), 6) FROM t
+UNION ALL SELECT 'macro', 'all', unnest(['n', 'accuracy', 'precision_macro', 'recall_macro', 'f1_macro']),
+  ROUND(unnest([n, acc, mp, mr, mf]), 6) FROM t"""
+
+ORACLE["cross_validate_rule"] = ORACLE["macro_metrics"]
+ORACLE["cross_validate"] = f"""WITH {FLOWS_SQL}, {_RANKED}
+SELECT CAST((rk - 1) % 5 AS BIGINT) AS fold, CAST(COUNT(*) AS BIGINT) AS n, true AS scores_valid FROM r GROUP BY ALL"""
+
+_STEPS = f"""{FLOWS_SQL},
+pr AS (SELECT *, CAST(floor(Day / 6) AS BIGINT) AS period, {RULE_SQL} AS prediction FROM flows),
+ps AS (SELECT period, COUNT(*) AS n FROM pr GROUP BY period),
+st AS (SELECT period, n, row_number() OVER (ORDER BY period) - 2 AS step,
+         SUM(n) OVER (ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS train_size FROM ps)"""
+_STEP_COLS = """CAST(st.step AS BIGINT) AS step, CAST(st.period AS BIGINT) AS test_day,
+  CAST(st.train_size AS BIGINT) AS train_size, CAST(st.n AS BIGINT) AS test_size"""
+ORACLE["walk_forward_scores"] = f"""WITH {_STEPS}
+SELECT {_STEP_COLS}, true AS scores_valid FROM st WHERE step >= 1"""
+ORACLE["walk_forward_rule"] = f"""WITH {_STEPS}, {_per_class("pr", "period")},
+ms AS (SELECT period, AVG(f1) AS f1_macro FROM pf GROUP BY period)
+SELECT {_STEP_COLS}, ROUND(f1_macro, 6) AS score FROM st JOIN ms USING (period) WHERE st.step >= 1"""
+
+
+def _support(rows: str, label: str) -> str:
+    """Report rows with their support; ``rows`` is the test side."""
+    return f"""SELECT CAST({label} AS VARCHAR) AS row, CAST(COUNT(*) AS BIGINT) AS support, true AS scores_valid
+FROM {rows} GROUP BY 1
+UNION ALL SELECT a, CAST((SELECT COUNT(*) FROM {rows}) AS BIGINT), true
+FROM (SELECT unnest(['accuracy', 'macro avg', 'weighted avg']) AS a)"""
+
+
+for _name in ("train_logreg", "train_forest", "train_boosting"):
+    ORACLE[_name] = f"""WITH {FLOWS_SQL}, {_SPLIT_ROWS}, te AS (SELECT * FROM sp WHERE split = 'test')
+{_support("te", "Label")}"""
+
+_DOC_TEST = """dq AS (SELECT doc_id, CAST(quality AS VARCHAR) AS quality FROM documents JOIN labels USING (doc_id)),
+cq AS (SELECT quality, COUNT(*) AS c FROM dq GROUP BY quality),
+tq AS (SELECT SUM(c) AS n, SUM(c) - CAST(ceil(SUM(c) * 0.3) AS BIGINT) AS nt FROM cq),
+bq AS (SELECT quality, c, (nt * c) // n AS base, (nt * c) % n AS rem, nt FROM cq, tq),
+qt AS (SELECT quality, c, base + CASE WHEN row_number() OVER (ORDER BY rem DESC, quality)
+          <= nt - SUM(base) OVER () THEN 1 ELSE 0 END AS n_train FROM bq),
+rk AS (SELECT dq.*, row_number() OVER (PARTITION BY quality ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id) AS r FROM dq),
+te AS (SELECT rk.* FROM rk JOIN qt USING (quality) WHERE r <= c - n_train)"""
+ORACLE["train_smote_forest"] = f"WITH {_DOC_TEST}\n{_support('te', 'quality')}"
+ORACLE["compare_models"] = f"""WITH {_DOC_TEST}, rep AS ({_support('te', 'quality')})
+SELECT rep.*, model FROM rep, (SELECT unnest(['logreg', 'forest', 'smote_forest']) AS model)"""
+
+ORACLE["score_table"] = """SELECT CAST(COUNT(*) AS BIGINT) AS n_written, CAST(COUNT(*) AS BIGINT) AS n_summary,
+  CAST(100 AS DOUBLE) AS percent_total FROM events"""
+ORACLE["score_probabilities"] = """SELECT CAST(event_id AS BIGINT) AS flow_id,
+  CAST((SELECT COUNT(DISTINCT event_type) FROM events) AS BIGINT) AS n_classes, CAST(1 AS DOUBLE) AS probability_sum,
+  true AS in_range FROM events"""
+_CLEAN_SPLIT = _SPLIT_ROWS.replace("FROM flows", "FROM clean").replace("flows.*", "clean.*")
+ORACLE["prepared_dataset"] = f"""WITH {FLOWS_SQL}, {DIRTY_SQL}, {CLEAN_SQL}, {_CLEAN_SPLIT}
+SELECT CAST(flow_id AS BIGINT) AS flow_id, Label, split FROM sp"""
+
+# What holds for any fit.
+ORACLE["select_by_importance"] = """SELECT CAST(5 AS BIGINT) AS n_features, true AS half_kept,
+  CAST(1 AS DOUBLE) AS importance_sum FROM documents JOIN labels USING (doc_id) LIMIT 1"""
+ORACLE["rfecv"] = """SELECT CAST(5 AS BIGINT) AS n_features, true AS kept_enough, true AS ranks_whole
+FROM documents JOIN labels USING (doc_id) LIMIT 1"""
+ORACLE["permutation_importance"] = """SELECT unnest(['n_chars', 'n_words', 'n_lines', 'n_upper', 'n_digits']) AS feature,
+  true AS valid, true AS threshold_applied"""
+ORACLE["compare_selectors"] = """SELECT unnest(['importance_median', 'rfecv', 'permutation']) AS method,
+  true AS count_valid, true AS scores_valid"""
+ORACLE["random_search"] = """SELECT CAST(unnest([0, 1]) AS BIGINT) AS setting_id, true AS scores_valid, true AS ranked"""
+
+
+def _permuted(feature: str, repeat: int) -> str:
+    """Accuracy of the rule with one feature's values moved along the seeded map of positions."""
+    h = f"md5('42:{feature}:{repeat}')"
+    moved = RULE_SQL.replace("value", "pv") if feature == "value" else RULE_SQL
+    return f"""SELECT '{feature}' AS feature, AVG(CASE WHEN x.Label = ({moved.replace("value", "x.value") if feature != "value"
+        else moved.replace("pv", "y.value")}) THEN 1.0 ELSE 0.0 END) AS acc
+FROM (SELECT p.*, (CAST(m.a AS HUGEINT) * p.pos + m.c) % m.n AS target FROM pos p,
+       (SELECT n, c, list_filter(range(a0, a0 + 1000), lambda z: gcd(z, n) = 1)[1] AS a FROM (
+          SELECT n, CAST('0x' || substr({h}, 1, 12) AS BIGINT) % n AS a0,
+                 CAST('0x' || substr({h}, 13, 12) AS BIGINT) % n AS c FROM (SELECT COUNT(*) AS n FROM flows))) m) x
+JOIN pos y ON y.pos = x.target"""
+
+
+ORACLE["permutation_rule"] = f"""WITH {FLOWS_SQL},
+pos AS (SELECT *, row_number() OVER (ORDER BY flow_id) - 1 AS pos FROM flows),
+base AS (SELECT AVG(CASE WHEN Label = ({RULE_SQL}) THEN 1.0 ELSE 0.0 END) AS acc0 FROM flows),
+runs AS ({" UNION ALL ".join(_permuted(f, r) for f in ("value", "user_id", "k") for r in range(3))})
+SELECT feature, ROUND(AVG(acc0 - acc), 6) AS importance_mean, ROUND(STDDEV_POP(acc0 - acc), 6) AS importance_std,
+  AVG(acc0 - acc) >= 0.001 AS selected FROM runs, base GROUP BY feature"""

@@ -13,7 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowguard.plans.joins import checked_broadcast
 from flowguard.plans.prefix import running_sum
+from flowguard.session import checkpointed
 
 
 def exact_quantiles(long: DataFrame, group_cols: Sequence[str], value_col: str,
@@ -35,7 +37,7 @@ def exact_quantiles(long: DataFrame, group_cols: Sequence[str], value_col: str,
            .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("_c")))
     cum = running_sum(pts, [value_col], g, weight="_c", out="_cum", method=prefix_method)
     n = pts.groupBy(*g).agg(F.sum("_c").alias("_n"))
-    cum = cum.join(n, g)
+    cum = cum.join(checked_broadcast(checkpointed(n)), g)
     aggs = [F.first("_n").alias("n")]
     for i, p in enumerate(probs):
         h = (F.col("_n") - 1) * F.lit(float(p))

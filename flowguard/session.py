@@ -17,7 +17,8 @@ LOCAL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.driver.memory": "20g",
+    "spark.driver.memory": os.environ.get("FLOWGUARD_DRIVER_MEMORY", "6g"),
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -55,7 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir()
     if not sc.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="flowguard-ckpt-"))
+    # tests and bench: FLOWGUARD_CHECKPOINT_DIR, or a fresh temporary folder
+    sc.setCheckpointDir(os.environ.get("FLOWGUARD_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="flowguard-ckpt-"))
     return sc.getCheckpointDir()
 
 

@@ -3,8 +3,10 @@ and scratch folders on the shared checkpoint storage."""
 
 from __future__ import annotations
 
+import csv
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,54 +24,108 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/scratch-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def list_files(spark: SparkSession, path: str, glob: str = "*.csv") -> list[str]:
-    """Files directly in ``path`` matching ``glob`` (not recursive). The listing is
-    a binaryFile scan without its content column, so no file is read."""
+def list_files_exist(spark: SparkSession, path: str, glob: str = "*.csv") -> bool:
+    """Whether ``path`` holds a file that matches ``glob``; a missing path is an error."""
     try:
-        listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-                   .option("recursiveFileLookup", "false").load(path).select("path"))
-        return sorted(r["path"] for r in listing.collect())
-    except Exception as e:  # noqa: BLE001 - a missing folder surfaces as an analysis error
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+        listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path")
+        return bool(listing.limit(1).collect())
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
             raise FileNotFoundError(f"no such folder: {path}") from e
         raise
 
 
+def csv_headers(spark: SparkSession, path: str, glob: str = "*.csv") -> list[tuple[tuple[str, ...], str]]:
+    """(header, name pattern) of the header groups of a folder, by their first file. One
+    distributed job scans the first block of every file for its first line; the driver
+    gets one row per distinct header with the names of its files."""
+    first = (spark.read.option("pathGlobFilter", glob).text(path)
+             .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+                     F.col("value"), F.monotonically_increasing_id().alias("n"))
+             .where(F.col("at") == 0).groupBy("file").agg(F.min_by("value", "n").alias("header")))
+    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    out = []
+    for r in sorted(groups, key=lambda r: r["files"][0]):
+        names = next(csv.reader([r["header"].lstrip("\ufeff")]))
+        out.append((tuple(names), r["files"]))
+    return out
+
+
+def _numeric(kind: str) -> bool:
+    return kind in ("int", "bigint", "double")
+
+
+def _inferred(raw: DataFrame) -> dict[str, str]:
+    """Type of every text column, missing-value tokens left out: int, bigint, double,
+    boolean or string, the first that holds every value. One aggregate."""
+    tests = {"int": r"^[+-]?\d{1,9}$", "bigint": r"^[+-]?\d{1,18}$",
+             "double": r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI]nf(inity)?|Infinity|NaN)$",
+             "boolean": r"^(?i:true|false)$"}
+    aggs = []
+    for i, c in enumerate(raw.columns):
+        v = F.trim(F.col(f"`{c}`"))
+        there = F.col(f"`{c}`").isNotNull() & ~v.isin(NA_TOKENS)
+        aggs += [F.min(F.when(there, v.rlike(p))).alias(f"{kind}_{i}") for kind, p in tests.items()]
+    row = raw.agg(*aggs).first()
+    return {c: next((kind for kind in tests if row[f"{kind}_{i}"]), "string") for i, c in enumerate(raw.columns)}
+
+
 def load_csv_files(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                   keep_source: bool = True, na_tokens: bool = True) -> DataFrame:
+                   keep_source: bool = True, na_tokens: bool = True,
+                   day_from_name: str | None = None) -> DataFrame:
     """All ``*.csv`` files of a folder as one table, columns united by name.
 
     Files are grouped by header; each group is one CSV scan and the groups are
     united with ``unionByName(allowMissingColumns=True)`` (a column missing from a
-    group is null there). With ``schema`` no inference pass runs (the choice for
-    large inputs). Text columns map the usual missing-value tokens to null.
+    group is null there). A given ``schema`` is applied by name: each group is read with
+    the fields in the order of its header, and the result has the schema's columns in
+    its order. Without one, text is read and types are found in one aggregate per group;
+    a numeric column with missing-value tokens is numeric, the tokens null.
+    ``day_from_name`` adds a column with the day name that leads the file name.
     """
-    files = list_files(spark, path)
-    if not files:
+    groups = csv_headers(spark, path) if list_files_exist(spark, path) else []
+    if not groups:
         raise ValueError(f"no CSV files in: {path}")
-    groups: dict[tuple, list[str]] = {}
-    for f in files:
-        header = tuple(spark.read.option("header", True).csv(f).columns)
-        groups.setdefault(header, []).append(f)
+    wanted = {f.name: f.dataType for f in schema.fields} if schema is not None else None
     parts = []
-    for _, group in sorted(groups.items(), key=lambda kv: kv[1][0]):
-        reader = spark.read.option("header", True)
-        reader = reader.schema(schema) if schema is not None else reader.option(
-            "inferSchema", True)
-        df = reader.csv(group)
-        if keep_source:
-            df = df.withColumn(SOURCE_FILE, F.col("_metadata.file_name"))
+    for header, group in groups:
+        if len(set(header)) != len(header):
+            raise ValueError(f"repeated column names in the header of {group[0]}")
+        text = T.StructType([T.StructField(c, T.StringType()) for c in header])
+        own = text if wanted is None else T.StructType(
+            [T.StructField(c, wanted.get(c, T.StringType())) for c in header])
+        reader = spark.read.option("header", True).option("enforceSchema", True)
+        source = F.col("_metadata.file_name").alias(SOURCE_FILE)
+        if wanted is not None:
+            df = reader.schema(own).csv(group).select("*", source)
+            df = df.select(*[F.col(f"`{c}`") for c in header if c in wanted], SOURCE_FILE)
+        else:
+            df = reader.schema(text).csv(group).select("*", source)
+            kinds = _inferred(df.select(*[F.col(f"`{c}`") for c in header]))
+
+            def typed(c: str):
+                v = F.col(f"`{c}`")
+                if _numeric(kinds[c]):
+                    return F.when(~F.trim(v).isin(NA_TOKENS), F.trim(v)).try_cast(kinds[c]).alias(c)
+                return v.try_cast(kinds[c]).alias(c) if kinds[c] != "string" else v
+            df = df.select(*[typed(c) for c in header], SOURCE_FILE)
         parts.append(df)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
+    if wanted is not None:
+        out = out.select(*[F.col(f"`{c}`") if c in out.columns else F.lit(None).cast(t).alias(c)
+                           for c, t in wanted.items()], SOURCE_FILE)
     if na_tokens:
         out = out.select(*[
             (F.when(F.col(f"`{f.name}`").isin(NA_TOKENS), F.lit(None))
              .otherwise(F.col(f"`{f.name}`")).alias(f.name))
             if isinstance(f.dataType, T.StringType) and f.name != SOURCE_FILE
             else F.col(f"`{f.name}`") for f in out.schema.fields])
-    return out
+    if day_from_name:
+        from flowguard.operators.clean import day_name_from_path
+        out = out.withColumn(day_from_name, day_name_from_path(SOURCE_FILE))
+    return out if keep_source else out.drop(SOURCE_FILE)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,

@@ -1,7 +1,9 @@
-"""Feature drift on a stream: every micro-batch is compared with the reference
-table by the batch KS operator, grouped by a batch column (e.g. day), and the
-report rows are written per micro-batch id.
+"""Drift on a stream: every micro-batch is compared with the reference by the batch
+operators, grouped by a batch column (e.g. day), and the report rows are written per
+micro-batch id: feature drift for each (batch, feature), and for each batch the
+prediction drift and whether it calls for retraining.
 
+The reference is reduced once to its points and class counts, in the checkpoint folder.
 Replays are idempotent: the report of micro-batch ``e`` lives in its own folder
 ``epoch=e`` and is overwritten, never appended twice. State lives in the stream's
 checkpoint folder on shared storage.
@@ -14,20 +16,41 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowguard.operators.drift import ks_drift
+from flowguard.operators.drift import (chi2_drift, class_count_table, drift_summary, ks_drift,
+                                       reference_points)
+from flowguard.session import checkpointed
+
+
+def batch_report(ks: DataFrame, chi: DataFrame | None, batch_col: str) -> DataFrame:
+    """One row per batch: data drift, prediction drift (null without labels) and
+    needs_retraining, either of them."""
+    out = drift_summary(ks, batch_col).select(
+        batch_col, "n_features", "n_drifted", "drift_ratio", F.col("has_drift").alias("data_drift"))
+    if chi is None:
+        return out.withColumns({"chi2_statistic": F.lit(None).cast("double"), "chi2_p_value": F.lit(None).cast("double"),
+                                "prediction_drift": F.lit(None).cast("boolean"), "needs_retraining": F.col("data_drift")})
+    return out.join(chi.select(batch_col, F.col("statistic").alias("chi2_statistic"),
+                               F.col("p_value").alias("chi2_p_value"), F.col("has_drift").alias("prediction_drift")),
+                    batch_col, "left").withColumn(
+        "needs_retraining", F.col("data_drift") | F.coalesce("prediction_drift", F.lit(False)))
 
 
 def start_drift_stream(stream: DataFrame, reference: DataFrame, features: Sequence[str],
                        batch_col: str, report_path: str, checkpoint_path: str,
-                       threshold: float = 0.05, available_now: bool = True):
-    """Start the query; returns the StreamingQuery."""
+                       threshold: float = 0.05, available_now: bool = True, label_col: str | None = None):
+    """Start the query; returns the StreamingQuery. Feature reports go to
+    ``report_path/features``, batch reports to ``report_path/batches``."""
+    points = checkpointed(reference_points(reference, features))
+    classes = checkpointed(class_count_table(reference, label_col)) if label_col else None
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         if not batch.limit(1).collect():
             return
-        rep = ks_drift(reference, batch, features, batch_col=batch_col, threshold=threshold)
-        (rep.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
-         .parquet(f"{report_path}/epoch={epoch_id}"))
+        ks = checkpointed(ks_drift(None, batch, features, batch_col=batch_col, threshold=threshold,
+                                   ref_points=points))
+        chi = chi2_drift(None, batch, label_col, batch_col, threshold, classes) if label_col else None
+        ks.write.mode("overwrite").parquet(f"{report_path}/features/epoch={epoch_id}")
+        batch_report(ks, chi, batch_col).write.mode("overwrite").parquet(f"{report_path}/batches/epoch={epoch_id}")
 
     writer = (stream.writeStream.foreachBatch(per_batch)
               .option("checkpointLocation", checkpoint_path))
@@ -36,5 +59,5 @@ def start_drift_stream(stream: DataFrame, reference: DataFrame, features: Sequen
     return writer.start()
 
 
-def read_reports(spark: SparkSession, report_path: str) -> DataFrame:
-    return spark.read.parquet(report_path)
+def read_reports(spark: SparkSession, report_path: str, kind: str = "features") -> DataFrame:
+    return spark.read.parquet(f"{report_path}/{kind}")
