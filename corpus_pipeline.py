@@ -15,7 +15,7 @@ from flowguard.llm.decontaminate import drop_contaminated
 from flowguard.llm.quality_classifier import THRESHOLD, fit_classifier, held_out, score_documents
 from flowguard.llm.queries import MODEL
 from flowguard.llm.secret_scan import redact, scan_secrets
-from flowguard.llm.sentencepiece_scan import round_trip
+from flowguard.llm.sentencepiece_scan import encode
 from flowguard.llm.simhash import near_dedup
 from flowguard.sources.files import scratch_path
 
@@ -50,7 +50,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every document and whether decoding them gives the text back."""
-    return round_trip(docs, MODEL).select(
+    return encode(docs, MODEL, keep_text=False).select(
         "doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "round_trip")
 
 

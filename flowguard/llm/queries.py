@@ -12,7 +12,7 @@ from flowguard.llm.html_extract import extract_pages
 from flowguard.llm.quality_classifier import THRESHOLD, fit_classifier, held_out, score_documents
 from flowguard.llm.quality_rules import quality_rules
 from flowguard.llm.secret_scan import joined, scan_secrets
-from flowguard.llm.sentencepiece_scan import round_trip
+from flowguard.llm.sentencepiece_scan import encode
 from flowguard.llm.sharding import interleaved_shards
 from flowguard.llm.simhash import simhash_components
 from flowguard.llm.substring_dedup import substring_dedup
@@ -77,7 +77,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every document and whether decoding gives the text back."""
-    out = round_trip(table(spark, sf_dir, "documents"), MODEL)
+    out = encode(table(spark, sf_dir, "documents"), MODEL, keep_text=False)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "round_trip")
 
 

@@ -250,9 +250,26 @@ def _giant_ids(texts: DataFrame, sent, chunk_chars: int) -> DataFrame:
         "key", F.flatten(F.col("all.ids")).alias("ids"))
 
 
+def _same(surface: list[bytes], text: str | None, ids) -> bool:
+    """Decoding the ids gives the text again (U+2581 is what the model writes for a space;
+    null counts as empty)."""
+    return decode(surface, ids) == (text or "").replace(SPACE, " ")
+
+
+def _checked(batches: Iterator[pa.RecordBatch], surface: list[bytes]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            ok = [_same(surface, t, i.values.to_numpy().tolist()) for t, i in zip(
+                part.column("text").to_pylist(), part.column("ids"))]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ok)], [*part.schema.names, "round_trip"])
+
+
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
-           giant_chars: int = GIANT_CHARS, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """``doc_id``, ``text``, ``ids`` of every row: the piece ids of the whole text.
+           giant_chars: int = GIANT_CHARS, chunk_chars: int = CHUNK_CHARS, keep_text: bool = True) -> DataFrame:
+    """``doc_id``, ``text`` (if ``keep_text``), ``ids`` and ``round_trip`` of every row: the piece
+    ids of the whole text, and whether decoding them gives the text again (U+2581 counts
+    as a space, null as empty).
 
     Null or empty text: no ids. Repeated rows are encoded each, null ids kept. Only the
     two named columns are read. An empty table gives no rows. Texts above
@@ -261,22 +278,32 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     sent = docs.sparkSession.sparkContext.broadcast(read_vocabulary(model_path))
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     giant = F.coalesce(F.length("text") > giant_chars, F.lit(False))
+    kind = docs.schema[id_col].dataType.simpleString()
+    names = ["doc_id", *(["text"] if keep_text else []), "ids", "round_trip"]
+    schema = f"doc_id {kind}, " + "text string, " * keep_text + "ids array<int>, round_trip boolean"
 
     def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Unigram(sent.value)
+        surface = sent.value.surface
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                ids = [np.array(model.encode(t), np.int32) for t in part.column("text").to_pylist()]
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
+                texts = part.column("text").to_pylist()
+                packed = [model.encode_packed(t) for t in texts]
+                ids = [np.frombuffer(p, "<i4") for p in packed]
+                ends = np.cumsum([0] + [len(i) for i in ids]).astype(np.int32)
+                ok = [_same(surface, t, i.tolist()) for t, i in zip(texts, ids)]
+                column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(
+                    np.frombuffer(b"".join(packed), "<i4"), pa.int32()))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("text"), pa.array(ids, pa.list_(pa.int32()))],
-                    ["doc_id", "text", "ids"])
+                    [part.column("doc_id"), *([part.column("text")] if keep_text else []), column, pa.array(ok)], names)
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    small = src.where(~giant).mapInArrow(plain, f"doc_id {kind}, text string, ids array<int>")
+    small = src.where(~giant).mapInArrow(plain, schema)
     large = src.where(giant).withColumn("key", F.sha2("text", 256))
     found = _giant_ids(large.select("key", "text").dropDuplicates(["key"]), sent, chunk_chars)
-    return small.unionByName(large.join(found, "key").select("doc_id", "text", "ids"))
+    checked = large.join(found, "key").select("doc_id", "text", "ids").mapInArrow(
+        lambda b: _checked(b, sent.value.surface), f"doc_id {kind}, text string, ids array<int>, round_trip boolean")
+    return small.unionByName(checked.select(names))
 
 
 def decoded(ids_table: DataFrame, model_path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
@@ -288,11 +315,3 @@ def decoded(ids_table: DataFrame, model_path: str, ids_col: str = "ids", out: st
         return ids.map(lambda x: None if x is None else decode(sent.value, x.tolist()))
 
     return ids_table.withColumn(out, back(F.col(ids_col)))
-
-
-def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """``encode`` with ``round_trip``: decoding the ids gives the text again (U+2581, which
-    the model writes for a space, counts as a space; null counts as empty)."""
-    out = decoded(encode(docs, model_path, id_col, text_col, **kw), model_path)
-    same = F.coalesce(F.replace(F.col("text"), F.lit(SPACE), F.lit(" ")), F.lit("")) == F.col("decoded")
-    return out.withColumn("round_trip", same).drop("decoded")

@@ -52,7 +52,7 @@ def prepare(text: str | None) -> str:
 class Unigram:
     """Segmentation with one vocabulary; made once per task."""
 
-    def __init__(self, vocabulary: Vocabulary, cached: int = 300_000):
+    def __init__(self, vocabulary: Vocabulary, cached: int = 100_000):
         import ahocorasick
         self.v = vocabulary
         self.auto = ahocorasick.Automaton()
@@ -75,6 +75,7 @@ class Unigram:
         self.cached = cached
         self._counts: dict[str, int] = {}
         self._ids: dict[str, tuple] = {}
+        self._packed: dict[str, bytes] = {}
         self._spell: dict[str, list[int]] = {}
 
     def matches(self, text: str):
@@ -174,8 +175,24 @@ class Unigram:
             total += s
         return ids, total
 
+    def encode_packed(self, text: str | None) -> bytes:
+        """Ids of the best path as 32-bit little-endian integers."""
+        text = prepare(text)
+        known, out = self._packed, []
+        for part in (self.parts.findall(text) if self.parts else [text] if text else []):
+            got = known.get(part)
+            if got is None:
+                best, back = self.forward(part, {0: 0.0})
+                got = np.array(self.trace(part, back, len(part))[0], "<i4").tobytes()
+                if len(part) <= 64:
+                    if len(known) >= self.cached:
+                        known.clear()
+                    known[part] = got
+            out.append(got)
+        return b"".join(out)
+
     def encode(self, text: str | None) -> list[int]:
-        return self.prepared_path(prepare(text))[0]
+        return np.frombuffer(self.encode_packed(text), "<i4").tolist()
 
 
 def decode(surface: list[bytes], ids) -> str:

@@ -6,7 +6,7 @@ import pytest
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
 from flowguard.llm.queries import MODEL, op8_token_counts, op9_sentencepiece  # noqa: E402
-from flowguard.llm.sentencepiece_scan import _Chunk, encode, product, round_trip  # noqa: E402
+from flowguard.llm.sentencepiece_scan import _Chunk, decoded, encode, product  # noqa: E402
 from flowguard.llm.token_counts import count_tokens  # noqa: E402
 from flowguard.llm.unigram import Unigram, Vocabulary, decode, prepare, read_vocabulary  # noqa: E402
 from tests.llm.util import SF, SF01, read  # noqa: E402
@@ -128,11 +128,14 @@ def test_giant_texts_in_spark(spark, vocabulary):
     rows = [(1, long), (2, "x" * 9000), (3, "short"), (None, long), (4, None), (5, ""), (1, long), (6, " " * 700),
             (7, "a▁b"), (8, "\x00퟿")]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS key", "2 AS ids", "3 AS n")
-    got = round_trip(df, MODEL, giant_chars=600, chunk_chars=40).collect()   # 2 levels of the scan
+    out = encode(df, MODEL, giant_chars=600, chunk_chars=40)
+    got = out.collect()   # 2 levels of the scan
     assert len(got) == len(rows) and all(r["round_trip"] for r in got)
     want = sorted([(str(i), sequential(model, t) if t else []) for i, t in rows])
     assert sorted([(str(r["doc_id"]), list(r["ids"])) for r in got]) == want
     assert encode(df.limit(0), MODEL).collect() == [] and count_tokens(df.limit(0), MODEL).collect() == []
+    back = decoded(out, MODEL).where("decoded <> replace(coalesce(text, ''), '\u2581', ' ')")
+    assert back.count() == 0
     assert {(str(r["doc_id"]), r["n_tokens"]) for r in count_tokens(df, MODEL).collect()} == {
         (i, len(x)) for i, x in want}
 
