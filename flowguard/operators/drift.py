@@ -102,7 +102,7 @@ def ks_drift(reference: DataFrame, current: DataFrame, features: Sequence[str],
     out = stat.select(
         F.col(b), "feature", F.col("n_ref").cast("long").alias("n_ref"),
         F.col("n_cur").cast("long").alias("n_cur"), "statistic",
-        p.alias("p_value")).withColumn(
+        F.when(F.col("statistic").isNotNull(), p).alias("p_value")).withColumn(
             "is_drifted", F.coalesce(F.col("p_value") < F.lit(threshold), F.lit(False)))
     return out if batch_col else out.drop(b)
 
