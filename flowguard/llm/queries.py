@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from flowguard.llm.common import table
 from flowguard.llm.decontaminate import contaminated
 from flowguard.llm.html_extract import extract_pages
+from flowguard.llm.oracle import SECRET_SCAN, SUBSTRING_DEDUP
 from flowguard.llm.quality_classifier import THRESHOLD, fit_classifier, held_out, score_documents
 from flowguard.llm.quality_rules import quality_rules
 from flowguard.llm.secret_scan import joined, scan_secrets
@@ -99,4 +100,7 @@ QUERIES = {
     "op10_html_extraction": op10_html_extraction,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_secret_scan": SECRET_SCAN,
+    "op3_substring_dedup": SUBSTRING_DEDUP,
+}
