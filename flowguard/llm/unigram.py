@@ -12,6 +12,7 @@ place the one that starts first wins. Scores are summed exactly (the library sum
 from __future__ import annotations
 
 import re
+from array import array
 from typing import NamedTuple
 
 import numpy as np
@@ -52,7 +53,7 @@ def prepare(text: str | None) -> str:
 class Unigram:
     """Segmentation with one vocabulary; made once per task."""
 
-    def __init__(self, vocabulary: Vocabulary, cached: int = 100_000):
+    def __init__(self, vocabulary: Vocabulary, cached: int = 300_000):
         import ahocorasick
         self.v = vocabulary
         self.auto = ahocorasick.Automaton()
@@ -102,6 +103,8 @@ class Unigram:
     # -- counts only ---------------------------------------------------------
     def _count_part(self, text: str) -> int:
         """Best score and number of pieces are carried for the last few places only."""
+        if len(text) <= 256 and self._known(text):
+            return len(self._part_ids(text))
         ring = self.longest + 1
         score, count = [_LEAST] * ring, [0] * ring
         score[0] = 0.0
@@ -175,6 +178,32 @@ class Unigram:
             total += s
         return ids, total
 
+    def _known(self, text: str) -> bool:
+        """Whether every character is a piece, so that no unknown piece is needed."""
+        return self.single.issuperset(text)
+
+    def _part_ids(self, part: str) -> list[int]:
+        """Ids of the best path over a part; a plain loop where every character is known."""
+        n = len(part)
+        if not self._known(part):
+            _, back = self.forward(part, {0: 0.0})
+            return self.trace(part, back, n)[0]
+        best = [_LEAST] * (n + 1)
+        best[0] = 0.0
+        back: list = [None] * (n + 1)
+        for last, piece in self.auto.iter(part):
+            total = best[last + 1 - piece[0]] + piece[1]
+            if total > best[last + 1]:
+                best[last + 1] = total
+                back[last + 1] = piece
+        out = []
+        while n:
+            size, _, i = back[n]
+            out.append(i)
+            n -= size
+        out.reverse()
+        return out
+
     def encode_packed(self, text: str | None) -> bytes:
         """Ids of the best path as 32-bit little-endian integers."""
         text = prepare(text)
@@ -182,8 +211,7 @@ class Unigram:
         for part in (self.parts.findall(text) if self.parts else [text] if text else []):
             got = known.get(part)
             if got is None:
-                best, back = self.forward(part, {0: 0.0})
-                got = np.array(self.trace(part, back, len(part))[0], "<i4").tobytes()
+                got = array("i", self._part_ids(part)).tobytes()
                 if len(part) <= 64:
                     if len(known) >= self.cached:
                         known.clear()
