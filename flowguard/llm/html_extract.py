@@ -1,9 +1,8 @@
 """Main text of web pages by wrapper induction.
 
-Pages of one host come side by side: rows are range-partitioned and sorted by (host, a
-hash of the page), which splits a large host over partitions, and each task reads
-runs of ``GROUP`` to 2 x ``GROUP`` pages of one host. Of each page a tree of block
-elements is made, with runs of like siblings (paragraphs, menu items) as one repeated
+A host's distinct pages are counted first (hashes only) and dealt by their hash to groups
+of about ``GROUP`` to 2 x ``GROUP``, whatever the number of partitions; rows are shuffled
+once, by (host, group). Of each page a tree of block elements is made, with runs of like siblings (paragraphs, menu items) as one repeated
 node. Within a group every tree is aligned with a reference page by simple tree
 matching: the largest common top-down mapping that keeps sibling order. Aligned nodes
 whose text is the same on nearly all distinct pages are template; slots that vary are
@@ -25,12 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import text_bytes
+from flowguard.llm.common import checked_broadcast
+from flowguard.session import checkpointed
 
 GROUP = 24
 PARTITION_BYTES = 16 << 20
 MIN_PAGES = 5
 CONSTANT_SHARE = 0.9
+COPIES = 8
+COPY_ROWS = 1000
 
 # Fixed values of the HTML language: elements by role.
 _RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp", "noembed", "noframes"}
@@ -286,53 +288,112 @@ def extract_group(pages: list[str]) -> list[str]:
     return [main_text(t, template) for t in trees]
 
 
+def _groups(src: DataFrame, group: int, copies: int) -> tuple[DataFrame, int]:
+    """``src`` (page_id, url, html, host, h) with ``bucket``, the group of a page inside its
+    host, and ``salts``, which is null unless the page has more than ``copies`` copies;
+    and the bytes of all pages.
+
+    A host of n distinct pages has n // group buckets, dealt by the hash of the page, so
+    the groups do not depend on partitions. A bucket with too few pages to align is
+    added to its host's largest. Only hosts of two groups and more need an entry.
+    """
+    counts = checkpointed(src.groupBy("host", "h").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.octet_length("html")).alias("b")))
+    total = int(counts.select(F.sum(F.col("n") * F.col("b")).alias("b")).first()["b"] or 0)
+    hosts = (counts.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= 2 * group)
+             .select("host", F.floor(F.col("pages") / group).cast("long").alias("k")))
+    dealt = (counts.select("host", F.col("h").alias("h")).join(checked_broadcast(hosts), "host")
+             .groupBy("host", "k", F.pmod("h", F.col("k")).alias("bucket")).agg(F.count(F.lit(1)).alias("pages")))
+    plan = dealt.groupBy("host", "k").agg(
+        F.max_by("bucket", F.struct("pages", "bucket")).alias("largest"),
+        F.collect_list(F.when(F.col("pages") < MIN_PAGES, F.col("bucket"))).alias("short"))
+    hot = counts.where(F.col("n") > copies).select(
+        "host", "h", F.ceil(F.col("n") / COPY_ROWS).cast("long").alias("salts"))
+    out = src.join(checked_broadcast(plan), "host", "left").join(checked_broadcast(hot), ["host", "h"], "left")
+    bucket = F.pmod("h", F.col("k"))
+    bucket = F.when(F.col("k").isNull(), F.lit(0)).when(F.array_contains("short", bucket), F.col("largest")).otherwise(bucket)
+    return out.withColumn("bucket", bucket.cast("long")).drop("k", "largest", "short"), total
+
+
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-                  group: int = GROUP, partition_bytes: int = PARTITION_BYTES) -> DataFrame:
+                  group: int = GROUP, partition_bytes: int = PARTITION_BYTES, copies: int = COPIES) -> DataFrame:
     """``page_id``, ``url``, ``text`` (blocks joined by a line feed, empty if none) and
     ``n_chars`` (code points) of every row.
 
     Null html counts as empty. Pages without a host (null or relative url) are not
     aligned with others; neither are hosts with fewer than MIN_PAGES different pages:
-    element and class names alone decide there. Repeated rows are extracted
-    each and count as one page in the alignment. Only the three named columns are read.
-    An empty table gives no rows. The host's pages that share a task form the groups, so
-    a host's border between partitions may change which of its pages are aligned.
+    element and class names alone decide there. Copies of a page on a host are extracted
+    once for a group, count as one page in the alignment and get the same text; of
+    more than ``copies`` copies one goes to the group and its text is joined back.
+    Only the three named columns are read. An empty table gives no rows.
     """
-    src = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"),
-                       F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)", 1))
+    url = F.col(url_col).cast("string")
+    page = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
+    host = F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)", 1))
+    src = pages.select(F.col(id_col).alias("page_id"), url.alias("url"), page.alias("html"), host.alias("host"),
+                       F.xxhash64(page).alias("h"))
     spark = pages.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                math.ceil(text_bytes(src, F.col("html")) / partition_bytes))
-    placed = (src.withColumn("host", host).withColumn("dice", F.xxhash64("page_id", "url"))
-              .repartitionByRange(parts, "host", "dice").sortWithinPartitions("host", "dice"))
-
-    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(rows: list[tuple]) -> pa.RecordBatch:
-            if rows[0][3]:
-                texts = extract_group([r[2] for r in rows])
-            else:
-                texts = [extract_group([r[2]])[0] for r in rows]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], kind), pa.array([r[1] for r in rows], pa.string()),
-                 pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
-                ["page_id", "url", "text", "n_chars"])
-
-        held: list[tuple] = []
-        for batch in batches:
-            kind = batch.schema.field("page_id").type
-            for at in range(0, batch.num_rows, 4 * group):
-                part = batch.slice(at, 4 * group)
-                for row in zip(*[part.column(c).to_pylist() for c in ("page_id", "url", "html", "host")]):
-                    if held and row[3] != held[-1][3]:
-                        yield done(held)
-                        held = []
-                    held.append(row)
-                    if len(held) == 2 * group:      # never leaves a short rest behind
-                        yield done(held[:group])
-                        held = held[group:]
-        if held:
-            yield done(held)
-
+    rows, total = _groups(src, group, copies)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / partition_bytes))
     kind = pages.schema[id_col].dataType.simpleString()
-    return placed.mapInArrow(extract, f"page_id {kind}, url string, text string, n_chars long")
+    digest = F.sha2(F.concat_ws("\n", "host", "html"), 256)
+    few = rows.where(F.col("salts").isNull()).select(
+        "host", "bucket", "h", "page_id", "url", "html", F.lit(None).cast("string").alias("digest"))
+    many = rows.where(F.col("salts").isNotNull()).withColumn("digest", digest)
+    some = not many.limit(1).isEmpty()
+    if some:
+        ones = many.groupBy("host", "bucket", "h", "digest").agg(F.first("html").alias("html"))
+        few = few.unionByName(ones.select(
+            "host", "bucket", "h", F.lit(None).cast(kind).alias("page_id"), F.lit(None).cast("string").alias("url"),
+            "html", "digest"))
+    placed = few.repartition(parts, "host", "bucket").sortWithinPartitions("host", "bucket", "h")
+
+    def extractor(repeated: bool):
+        """Texts of the rows themselves, or of the pages that stand for many copies."""
+        def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def done() -> pa.RecordBatch:
+                wanted = [r for r in held if (r[3] is not None) == repeated]
+                if not wanted:
+                    texts = []
+                elif key[0]:
+                    texts = extract_group(list(distinct))
+                else:
+                    texts = [extract_group([p])[0] for p in distinct]
+                out = [texts[r[2]] for r in wanted]
+                return pa.RecordBatch.from_arrays(
+                    [pa.array([r[0] for r in wanted], id_type), pa.array([r[1] for r in wanted], pa.string()),
+                     pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64()),
+                     pa.array([r[3] for r in wanted], pa.string())],
+                    ["page_id", "url", "text", "n_chars", "digest"])
+
+            held: list[tuple] = []
+            distinct: dict[str, int] = {}
+            key = None
+            for batch in batches:
+                id_type = batch.schema.field("page_id").type
+                for at in range(0, batch.num_rows, 4 * group):
+                    part = batch.slice(at, 4 * group)
+                    for h, b, i, u, p, d in zip(*[part.column(c).to_pylist() for c in (
+                            "host", "bucket", "page_id", "url", "html", "digest")]):
+                        if held and ((h, b) != key or not h and len(held) >= 2 * group):
+                            yield done()
+                            held, distinct = [], {}
+                        key = (h, b)
+                        held.append((i, u, distinct.setdefault(p, len(distinct)), d))
+            if held:
+                yield done()
+
+        return extract
+
+    schema = f"page_id {kind}, url string, text string, n_chars long, digest string"
+    out = placed.mapInArrow(extractor(False), schema).drop("digest")
+    if some:
+        # a page's text is there once for every COPY_ROWS of its copies, so no task gets them all
+        texts = placed.mapInArrow(extractor(True), schema).select("digest", "text", "n_chars")
+        salts = many.groupBy("digest").agg(F.max("salts").alias("salts"))
+        texts = texts.join(salts, "digest").select(
+            "digest", "text", "n_chars", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+        salt = F.pmod(F.xxhash64("page_id", "url", F.spark_partition_id()), F.col("salts"))
+        back = many.select("page_id", "url", "digest", salt.alias("salt")).join(texts, ["digest", "salt"])
+        out = out.unionByName(back.select("page_id", "url", "text", "n_chars"))
+    return out

@@ -78,3 +78,24 @@ def test_edge_rows(spark):
     hot = spark.createDataFrame([(i, f"http://one.example/{i}", f"<body><div>Menu</div><p>text {i}</p></body>")
                                  for i in range(500)], "page_id long, url string, html string")
     assert {(r["page_id"], r["text"]) for r in extract_pages(hot).collect()} == {(i, f"text {i}") for i in range(500)}
+
+
+def test_groups_do_not_depend_on_partitions(spark):
+    hot = spark.createDataFrame([(i, f"http://one.example/{i}", f"<body><div>Menu</div><p>text {i}</p></body>")
+                                 for i in range(500)], "page_id long, url string, html string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        got = {(r["page_id"], r["text"]) for r in extract_pages(hot).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == {(i, f"text {i}") for i in range(500)}
+
+
+def test_many_copies_count_once_and_get_their_text(spark):
+    rows = [(i, f"http://one.example/{i}", f"<body><div>Menu</div><p>text {i % 3 if i < 60 else i}</p></body>")
+            for i in range(90)] + [(None, None, "<p>same</p>")] * 30
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted([tuple(r) for r in extract_pages(df).collect()], key=str)
+    want = [(i, u, f"text {i % 3 if i < 60 else i}") if u else (i, u, "same") for i, u, _ in rows]
+    assert got == sorted([(*w, len(w[2])) for w in want], key=str)
