@@ -8,8 +8,9 @@ matching: the largest common top-down mapping that keeps sibling order. Aligned
 whose text is the same on nearly all distinct pages are template; slots that vary are
 content, unless their element or class says menu, footer, advert and the like.
 
-Headings and paragraphs inside the article element stay even when constant, so that
-copies of a page on one host do not become template.
+Inside an article element the alignment decides as well; only the title stays when it is
+constant, and pages with one title vote once, so that copies of a page on one host do not
+become template.
 """
 
 from __future__ import annotations
@@ -57,7 +58,9 @@ _FURNITURE_WORDS = {
     "pager", "pagination", "popup", "promo", "promotion", "recommended", "related", "replies", "reply", "respond",
     "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget"}
 _FURNITURE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "dialog", "menu"}
-_KEPT_TAGS = {"h1", "h2", "h3", "h4", "h5", "h6", "p", "ul", "ol", "li", "table", "blockquote", "pre", "article", "main"}
+# Headings; and elements whose lines are prose, not cells or items that may be alike by chance.
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+_PROSE = {"p", "div", "section", "article", "main", "blockquote"}
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
@@ -218,33 +221,81 @@ def _texts(node: Node) -> str:
     return "\n".join(x if isinstance(x, str) else _texts(x) for x in node.items)
 
 
-def template_nodes(trees: list[Node]) -> set[int]:
-    """ids of the nodes whose own text is template: aligned over the pages of a host,
-    the same on nearly all of at least MIN_PAGES distinct pages."""
+def _is_article(node: Node) -> bool:
+    return node.tag in ("article", "main") or node.label[2] == "main"
+
+
+def _inside(node: Node, inside: bool = False) -> Iterator[bool]:
+    """In the order of _walk: whether a node lies in an article or main element."""
+    inside = inside or _is_article(node)
+    yield inside
+    for k in node.kids():
+        yield from _inside(k, inside)
+
+
+def _title(region: Node) -> Node | None:
+    """The first heading."""
+    return next((n for n in _walk(region) if n.tag in _HEADINGS and _own(n)), None)
+
+
+def _page_title(tree: Node) -> str:
+    region = next((n for n in _walk(tree) if _is_article(n)), None)
+    title = _title(region) if region else None
+    return _own(title) if title else ""
+
+
+def _most(votes: dict) -> str | None:
+    """The value of nearly all of at least MIN_PAGES votes, if there is one."""
+    if len(votes) < MIN_PAGES:
+        return None
+    value, n = Counter(votes.values()).most_common(1)[0]
+    return value if value and n >= CONSTANT_SHARE * len(votes) else None
+
+
+def template_nodes(trees: list[Node]) -> dict[int, set[str] | None]:
+    """The nodes that hold template, by id, aligned over the pages of a host: None if all of
+    a node's own text is template, else the lines of it that are.
+
+    A slot is template if it is the same on nearly all of at least MIN_PAGES distinct
+    pages. Inside an article pages with the same title have one vote (near copies of a
+    page are no template) unless the host's pages have fewer than MIN_PAGES titles;
+    with that many, a line that is on nearly all pages is template in a run of
+    paragraphs that varies, too.
+    """
     whole = [_texts(t) for t in trees]
     if len(set(whole)) < MIN_PAGES:
-        return set()
+        return {}
     shapes = [_skeleton(t) for t in trees]
     common = Counter(shapes).most_common(1)[0][0]
     reference = trees[shapes.index(common)]
     order = {id(n): i for i, n in enumerate(_walk(reference))}
+    inside = list(_inside(reference))
+    titled = [_page_title(t) or w for t, w in zip(trees, whole)]
+    by_title = len(set(titled)) >= MIN_PAGES
     slots: list[dict] = [{} for _ in order]
     aligned: list[list[tuple[int, Node]]] = []
-    for tree, shape, text in zip(trees, shapes, whole):
+    for tree, shape, text, title in zip(trees, shapes, whole, titled):
         if shape == common:
             pairs = list(enumerate(_walk(tree)))
         else:
             pairs = [(order[id(r)], n) for r, n in simple_tree_matching(reference, tree)[1]]
         aligned.append(pairs)
         for i, n in pairs:
-            slots[i].setdefault(text, _own(n))      # one vote for each distinct page
-    constant = {}
-    for i, votes in enumerate(slots):
-        if len(votes) >= MIN_PAGES:
-            value, n = Counter(votes.values()).most_common(1)[0]
-            if value and n >= CONSTANT_SHARE * len(votes):
-                constant[i] = value
-    return {id(n) for pairs in aligned for i, n in pairs if i in constant and _own(n) == constant[i]}
+            slots[i].setdefault(title if inside[i] and by_title else text, _own(n))
+    constant = {i: value for i, votes in enumerate(slots) if (value := _most(votes))}
+    lines: dict[int, set[str]] = {}
+    for (i, n), votes in zip(enumerate(_walk(reference)), slots):
+        if i not in constant and inside[i] and by_title and n.tag in _PROSE and len(votes) >= MIN_PAGES:
+            seen = Counter(line for own in votes.values() for line in set(own.split("\n")) if line)
+            lines[i] = {line for line, k in seen.items() if k >= CONSTANT_SHARE * len(votes)}
+    out: dict[int, set[str] | None] = {}
+    for pairs in aligned:
+        for i, n in pairs:
+            if i in constant and _own(n) == constant[i]:
+                out[id(n)] = None
+            elif lines.get(i):
+                out[id(n)] = lines[i]
+    return out
 
 
 def _find_articles(node: Node, tags: set, out: list) -> None:
@@ -257,34 +308,33 @@ def _find_articles(node: Node, tags: set, out: list) -> None:
             _find_articles(k, tags, out)
 
 
-def main_text(tree: Node, template: set[int]) -> str:
-    """Blocks of the content region that are neither furniture nor template."""
-    region, inside = tree, False
-    for tags in ({"article"}, {"main"}):
-        found: list[Node] = []
-        _find_articles(tree, tags, found)
-        if found:
-            region, inside = max(found, key=lambda n: len(_texts(n))), True
-            break
-    blocks: list[str] = []
+def main_text(tree: Node, template: dict[int, set[str] | None]) -> str:
+    """Blocks of the content regions that are neither furniture nor template: the
+    articles with text of their own, else such main elements, else the page."""
 
-    def take(node: Node) -> None:
-        skip = id(node) in template and not (inside and node.tag in _KEPT_TAGS)
+    def take(node: Node, inside: bool, title: Node | None, blocks: list[str]) -> list[str]:
+        skip = template.get(id(node), ()) if node is not title else ()
         for x in node.items:
             if isinstance(x, str):
-                if not skip:
+                if skip is not None and x not in skip:
                     blocks.append(x)
             elif not x.furniture and (inside or not x.header):
-                take(x)
+                take(x, inside, title, blocks)
+        return blocks
 
-    take(region)
-    return "\n".join(blocks)
+    for tags in ({"article"}, {"main"}):
+        found: list[Node] = []
+        _find_articles(tree, tags, found)
+        found = [n for n in found if take(n, True, None, [])]
+        if found:
+            return "\n".join(x for n in found for x in take(n, True, _title(n), []))
+    return "\n".join(take(tree, False, None, []))
 
 
 def extract_group(pages: list[str]) -> list[str]:
     """Texts of pages of one host."""
     trees = [parse(p) for p in pages]
-    template = template_nodes(trees) if len(trees) >= MIN_PAGES else set()
+    template = template_nodes(trees) if len(trees) >= MIN_PAGES else {}
     return [main_text(t, template) for t in trees]
 
 

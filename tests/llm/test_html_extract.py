@@ -99,3 +99,24 @@ def test_many_copies_count_once_and_get_their_text(spark):
     got = sorted([tuple(r) for r in extract_pages(df).collect()], key=str)
     want = [(i, u, f"text {i % 3 if i < 60 else i}") if u else (i, u, "same") for i, u, _ in rows]
     assert got == sorted([(*w, len(w[2])) for w in want], key=str)
+
+
+def test_constant_blocks_inside_an_article_are_template():
+    pages = [f"<article><h1>Title {i}</h1><ul><li>Home<li>About</ul><p>text {i}</p><p>Get our letter</p>"
+             f"<table><tr><td>Yes<td>{i}</table><h2>Note</h2><p>Read the rules</p></article>" for i in range(30)]
+    assert of(pages) == [f"Title {i}\ntext {i}\nYes\n{i}" for i in range(30)]
+    untitled = [f"<main><ul><li>Home<li>About</ul><p>text {i}</p><p>Get our letter</p></main>" for i in range(30)]
+    assert of(untitled) == [f"text {i}" for i in range(30)]
+
+
+def test_near_copies_inside_a_host_stay():
+    near = [f"<article><h1>One title</h1><p>Long words</p><h2>Part</h2><p>text</p><p>edit {i}</p></article>" for i in range(40)]
+    other = [f"<article><h1>Title {i}</h1><p>word {i}</p><h2>Part {i}</h2><p>a{i}</p><p>b{i}</p></article>" for i in range(8)]
+    assert of(near + other)[:40] == [f"One title\nLong words\nPart\ntext\nedit {i}" for i in range(40)]
+
+
+def test_every_varying_article_stays():
+    pages = [f"<body><article><h2>Teaser</h2><p>A constant teaser that is longer than the others</p></article>"
+             f"<article><h2>A {i}</h2><p>one {i}</p></article><article><h2>B {i}</h2><p>two {i}</p></article></body>"
+             for i in range(9)]
+    assert of(pages) == [f"A {i}\none {i}\nB {i}\ntwo {i}" for i in range(9)]
