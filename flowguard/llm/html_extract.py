@@ -57,6 +57,7 @@ _FURNITURE_WORDS = {
     "gdpr", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices",
     "pager", "pagination", "popup", "promo", "promotion", "recommended", "related", "replies", "reply", "respond",
     "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget"}
+_NEVER_NAMED = {"html", "body", "main", "article"}
 _FURNITURE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "dialog", "menu"}
 # Headings; and elements whose lines are prose, not cells or items that may be alike by chance.
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
@@ -70,10 +71,10 @@ _ATTR = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\
 
 class Node:
     """A block element: ``items`` are texts (blocks) and child nodes in page order."""
-    __slots__ = ("tag", "label", "items", "furniture", "header")
+    __slots__ = ("tag", "label", "items", "furniture", "header", "named")
 
-    def __init__(self, tag: str, label, furniture: bool, header: bool):
-        self.tag, self.label, self.furniture, self.header = tag, label, furniture, header
+    def __init__(self, tag: str, label, furniture: bool, header: bool, named: int = 0):
+        self.tag, self.label, self.furniture, self.header, self.named = tag, label, furniture, header, named
         self.items: list = []
 
     def kids(self) -> list["Node"]:
@@ -90,10 +91,13 @@ def _element(tag: str, attrs: str) -> Node:
         role = found.get("role", "").lower()
         hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get(
             "style", "").replace(" ", "").lower()
-    words = set(re.split(r"[^a-z0-9]+", names)) if names else set()
-    furniture = (tag in _FURNITURE_TAGS or role in _FURNITURE_ROLES or hidden or bool(words & _FURNITURE_WORDS))
+    # 2: every name is made of furniture words only; 1: some word is one
+    words = re.findall(r"[a-z0-9]+", names)
+    hits = sum(w in _FURNITURE_WORDS for w in words)
+    named = 0 if tag in _NEVER_NAMED or not hits else 2 if hits == len(words) else 1
+    furniture = tag in _FURNITURE_TAGS or role in _FURNITURE_ROLES or hidden
     label = (tag, re.sub(r"\d+", "0", names), role)
-    return Node(tag, label, furniture, tag == "header" or "header" in words)
+    return Node(tag, label, furniture, tag == "header" or (words == ["header"] and tag not in _NEVER_NAMED), named)
 
 
 def parse(page: str) -> Node:
@@ -252,9 +256,10 @@ def _most(votes: dict) -> str | None:
     return value if value and n >= CONSTANT_SHARE * len(votes) else None
 
 
-def template_nodes(trees: list[Node]) -> dict[int, set[str] | None]:
+def template_nodes(trees: list[Node]) -> tuple[dict[int, set[str] | None], set[int]]:
     """The nodes that hold template, by id, aligned over the pages of a host: None if all of
-    a node's own text is template, else the lines of it that are.
+    a node's own text is template, else the lines of it that are. And the ids of the
+    nodes whose text varies.
 
     A slot is template if it is the same on nearly all of at least MIN_PAGES distinct
     pages. Inside an article pages with the same title have one vote (near copies of a
@@ -264,7 +269,7 @@ def template_nodes(trees: list[Node]) -> dict[int, set[str] | None]:
     """
     whole = [_texts(t) for t in trees]
     if len(set(whole)) < MIN_PAGES:
-        return {}
+        return {}, set()
     shapes = [_skeleton(t) for t in trees]
     common = Counter(shapes).most_common(1)[0][0]
     reference = trees[shapes.index(common)]
@@ -289,28 +294,75 @@ def template_nodes(trees: list[Node]) -> dict[int, set[str] | None]:
             seen = Counter(line for own in votes.values() for line in set(own.split("\n")) if line)
             lines[i] = {line for line, k in seen.items() if k >= CONSTANT_SHARE * len(votes)}
     out: dict[int, set[str] | None] = {}
+    varying: set[int] = set()
     for pairs in aligned:
         for i, n in pairs:
             if i in constant and _own(n) == constant[i]:
                 out[id(n)] = None
-            elif lines.get(i):
+                continue
+            if i not in constant and len(slots[i]) >= MIN_PAGES and _own(n):
+                varying.add(id(n))
+            if lines.get(i):
                 out[id(n)] = lines[i]
+    return out, varying
+
+
+def furniture_nodes(tree: Node, template: dict[int, set[str] | None], varying: set[int]) -> set[int]:
+    """ids of the elements that are left out with all they hold.
+
+    A name never speaks against an element with an article in it. Names made of furniture
+    words only (``sidebar``, ``cookie-notice``) hold otherwise; where such a word is but a part
+    (``page-with-sidebar``), the alignment has the say: an element with text that varies
+    stays, and so does one with half of the page's text or more. If a page has no other text,
+    elements whose text varies stay whatever their name.
+    """
+    out: set[int] = set()
+    named: set[int] = set()
+    doubtful: list[tuple[Node, int, bool]] = []
+
+    def measure(node: Node) -> tuple[int, bool, bool]:
+        """Characters that are not template, whether an article is inside, whether text varies."""
+        size, article, varies = 0, _is_article(node), id(node) in varying
+        skip = template.get(id(node), ())
+        for x in node.items:
+            if isinstance(x, str):
+                size += len(x) if skip is not None and x not in skip else 0
+            else:
+                n, a, v = measure(x)
+                size, article, varies = size + n, article or a, varies or v
+        if node.furniture and not (article and node.tag in ("form", "fieldset")):
+            out.add(id(node))
+            return 0, False, False
+        if node.named == 2 and not article:
+            out.add(id(node))
+            if varies:
+                named.add(id(node))
+            return 0, False, varies
+        if node.named and not article:
+            doubtful.append((node, size, varies))
+        return size, article, varies
+
+    total = measure(tree)[0]
+    if not total:
+        out -= named
+    out.update(id(n) for n, size, varies in doubtful if not varies and (not size or 2 * size < total))
     return out
 
 
-def _find_articles(node: Node, tags: set, out: list) -> None:
+def _find_articles(node: Node, tags: set, dropped: set[int], out: list) -> None:
     for k in node.kids():
-        if k.furniture:
+        if id(k) in dropped:
             continue
         if k.tag in tags or (tags == {"main"} and k.label[2] == "main"):
             out.append(k)
         else:
-            _find_articles(k, tags, out)
+            _find_articles(k, tags, dropped, out)
 
 
-def main_text(tree: Node, template: dict[int, set[str] | None]) -> str:
+def main_text(tree: Node, template: dict[int, set[str] | None], varying: set[int]) -> str:
     """Blocks of the content regions that are neither furniture nor template: the
     articles with text of their own, else such main elements, else the page."""
+    dropped = furniture_nodes(tree, template, varying)
 
     def take(node: Node, inside: bool, title: Node | None, blocks: list[str]) -> list[str]:
         skip = template.get(id(node), ()) if node is not title else ()
@@ -318,13 +370,13 @@ def main_text(tree: Node, template: dict[int, set[str] | None]) -> str:
             if isinstance(x, str):
                 if skip is not None and x not in skip:
                     blocks.append(x)
-            elif not x.furniture and (inside or not x.header):
+            elif id(x) not in dropped and (inside or not x.header):
                 take(x, inside, title, blocks)
         return blocks
 
     for tags in ({"article"}, {"main"}):
         found: list[Node] = []
-        _find_articles(tree, tags, found)
+        _find_articles(tree, tags, dropped, found)
         found = [n for n in found if take(n, True, None, [])]
         if found:
             return "\n".join(x for n in found for x in take(n, True, _title(n), []))
@@ -334,8 +386,8 @@ def main_text(tree: Node, template: dict[int, set[str] | None]) -> str:
 def extract_group(pages: list[str]) -> list[str]:
     """Texts of pages of one host."""
     trees = [parse(p) for p in pages]
-    template = template_nodes(trees) if len(trees) >= MIN_PAGES else {}
-    return [main_text(t, template) for t in trees]
+    template, varying = template_nodes(trees) if len(trees) >= MIN_PAGES else ({}, set())
+    return [main_text(t, template, varying) for t in trees]
 
 
 def _groups(src: DataFrame, group: int, copies: int) -> tuple[DataFrame, int]:

@@ -120,3 +120,20 @@ def test_every_varying_article_stays():
              f"<article><h2>A {i}</h2><p>one {i}</p></article><article><h2>B {i}</h2><p>two {i}</p></article></body>"
              for i in range(9)]
     assert of(pages) == [f"A {i}\none {i}\nB {i}\ntwo {i}" for i in range(9)]
+
+
+def test_names_do_not_drop_what_holds_the_article():
+    for page in ("<body class='has-sidebar fixed-header'><article><p>{}</p></article></body>",
+                 "<div id='page-with-sidebar'><article><p>{}</p></article></div>",
+                 "<div class='widget'><article class='post comments-open'><p>{}</p></article></div>",
+                 "<main class='nav'><p>{}</p></main>",
+                 "<form><article><p>{}</p></article></form>",
+                 "<div role='main' class='content share-buttons-on'><p>{}</p></div>",
+                 "<div class='content share-buttons-on'><p>{}</p></div><div class='sidebar-left'><p>side</p></div>"):
+        assert of([page.format("the article itself")]) == ["the article itself"]
+        assert of([page.format(f"text {i}") for i in range(9)]) == [f"text {i}" for i in range(9)]
+    pages = [f"<div class='post share-on'><p>{i}</p></div><div class='sidebar'><p>a longer comment of page {i}</p></div>"
+             "<div class='footer-links'><p>links</p></div>" for i in range(9)]
+    assert of(pages) == [f"{i}" for i in range(9)]
+    only = [f"<div class='widget'><p>text {i}</p></div><footer>f</footer>" for i in range(9)]
+    assert of(only) == [f"text {i}" for i in range(9)]
