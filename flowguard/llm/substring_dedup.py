@@ -4,17 +4,23 @@ A window of ``window`` consecutive words always contains one whole block of a
 document cut into non-overlapping blocks of ``(window + 1) // 2`` words. So:
 
 1. **index** the blocks (anchors) of every document and **probe** them with every
-   rolling run of the same length. Texts are grouped in chunks by a hash of the
-   document id; a chunk sends its distinct hashes, sorted and packed, to hash
+   rolling run of the same length. Texts are grouped in chunks by a hash of id and
+   text; a chunk sends its distinct hashes, sorted and packed, to hash
    buckets; a bucket answers with one bit per hash: seen in another chunk, with an
    anchor among the places. A run repeated within one chunk is found there.
 2. **extend**: windows that contain a hit run are the only ones that can repeat.
-   Their full hashes go to buckets with the least document id of the chunk; a
+   Their full hashes go to buckets with the least place (id, rank) of the chunk; a
    bucket answers with one bit per hash: starts earlier in another chunk. Windows
    that overlap merge to maximal repeats, whose words go.
 
-What moves is one shuffle of the texts (reused by the three passes), a few bytes
-for each rolling run, and bits. A run that occurs in many documents is sent once
+A document's place in the order is its id and, where an id repeats, the rank of its text
+among the id's distinct texts (``plans/prefix.py``), so rows that share an id (or have
+none) spread over chunks. Wholly equal rows are one row here; the others are repeats from
+end to end and are written beside.
+
+What moves is one shuffle of the texts (reused by the three passes; rows whose id repeats
+are shuffled twice more, to be counted and ranked), a few bytes for each rolling run, and
+bits. A run that occurs in many documents is sent once
 per chunk, so no key gathers rows with its frequency.
 
 Runs are compared by hash: 48 bits in step 1, where a collision only costs work,
@@ -28,27 +34,34 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import (Words, pack_signed, pack_sorted, pieces_for, text_bytes,
+from flowguard.llm.common import (GAP, Words, checked_broadcast, pack_signed, pack_sorted, pieces_for, text_bytes,
                                   unpack_signed, unpack_sorted, window_hashes)
+from flowguard.plans.prefix import row_number
 
 CHUNK_BYTES = 4 << 20
 BUCKET_RUNS = 1 << 20
 _BITS = 48
 _LAST = (1 << 63) - 1
+_NULLS = 1 << 62                # rank of the first row without an id, behind id _LAST
+_COPIES = 1000
+_RANK_BYTES = 256 << 20
 
 _REQUEST = "chunk long, bucket long, step int, first binary, second binary"
 
 
 class _Chunk:
-    """The texts of one chunk in the order (id, text) with their words' hashes."""
+    """The texts of one chunk in the order (id, rank) with their words' hashes."""
 
     def __init__(self, rows: pa.Table, window: int):
         ids = rows.column("_id").to_pylist()
         texts = rows.column("_text").to_pylist()
-        both = sorted(((_LAST if i is None else i), t or "", i is None) for i, t in zip(ids, texts))
-        self.ids = [None if null else i for i, _, null in both]
-        self.order = np.array([i for i, _, _ in both], dtype=np.int64)
-        self.words = Words([t.encode("utf-8") for _, t, _ in both])
+        ranks = rows.column("_rank").to_pylist()
+        both = sorted((_LAST if i is None else i, r + _NULLS if i is None else r, t or "", i is None)
+                      for i, r, t in zip(ids, ranks, texts))
+        self.ids = [None if null else i for i, _, _, null in both]
+        self.order = np.array([i for i, _, _, _ in both], dtype=np.int64)
+        self.rank = np.array([r for _, r, _, _ in both], dtype=np.int64)
+        self.words = Words([t.encode("utf-8") for _, _, t, _ in both])
         self.window, self.block = window, (window + 1) // 2
         self.hash = self.words.hashes()
 
@@ -105,6 +118,16 @@ def _answers(right: pa.Table, step: int, cuts: np.ndarray) -> np.ndarray:
     return out
 
 
+def _pack_places(ids: np.ndarray, ranks: np.ndarray) -> bytes:
+    first = pack_signed(ids)
+    return len(first).to_bytes(8, "little") + first + pack_signed(ranks)
+
+
+def _unpack_places(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    cut = 8 + int.from_bytes(blob[:8], "little")
+    return unpack_signed(blob[8:cut]), unpack_signed(blob[cut:])
+
+
 def _groups(blobs: list[np.ndarray]):
     """Equal hashes of several sorted arrays side by side: the order that sorts
     all, and the group number of each sorted entry."""
@@ -115,6 +138,44 @@ def _groups(blobs: list[np.ndarray]):
     return order, group
 
 
+def _chunked(rows: DataFrame, chunks: int) -> DataFrame:
+    return rows.withColumn("chunk", F.pmod(F.xxhash64("_id", "_text"), F.lit(chunks)).cast("long"))
+
+
+def _ranked(src: DataFrame, total: int) -> tuple[DataFrame, DataFrame | None]:
+    """Every distinct row once with its ``_rank`` among the texts of its id; and the rows that
+    occur more than once with their number ``_n``, or None if every id is there once.
+    ``total`` is the bytes of all texts: the ranking's range bounds are texts, sampled for each
+    block, so its blocks are large."""
+    repeated = src.groupBy("_id").count().where(F.col("count") > 1).select(F.col("_id").alias("_rid"), F.lit(1).alias("_rep"))
+    if repeated.limit(1).isEmpty():
+        return src.withColumn("_rank", F.lit(0).cast("long")), None
+    marked = src.join(checked_broadcast(repeated), F.col("_id").eqNullSafe(F.col("_rid")), "left")
+    single = marked.where(F.col("_rep").isNull()).select("_id", "_text", F.lit(0).cast("long").alias("_rank"))
+    distinct = (marked.where(F.col("_rep").isNotNull())
+                .groupBy("_id", F.coalesce("_text", F.lit("")).alias("_text")).agg(F.count(F.lit(1)).alias("_n")))
+    blocks = min(int(src.sparkSession.conf.get("spark.sql.shuffle.partitions")), pieces_for(total, _RANK_BYTES))
+    ranks = row_number(distinct, ["_text"], ["_id"], out="_rank", num_blocks=blocks)
+    return single.unionByName(ranks.select("_id", "_text", "_rank")), ranks.where(F.col("_n") > 1).select("_id", "_text", "_n")
+
+
+def _copies(equal: DataFrame, window: int) -> DataFrame:
+    """The result rows of all but one of wholly equal rows: repeated from end to end."""
+    words = F.filter(F.split("_text", GAP), lambda w: w != "")
+    rows = (equal.select("_id", "_n", words.alias("_words"))
+            .select("_id", "_n", F.size("_words").cast("long").alias("n_words"), "_words")
+            .withColumn("kept_text", F.when(F.col("n_words") >= window, "").otherwise(F.array_join("_words", " ")))
+            .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 2) / _COPIES))))
+            .drop("_words"))
+    n = int(equal.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (rows.repartition(n, "_id", "_part", "kept_text")
+            .withColumn("_copy", F.explode(F.sequence(
+                F.lit(1).cast("long"), F.least(F.lit(_COPIES).cast("long"), F.col("_n") - 1 - F.col("_part") * _COPIES))))
+            .select(F.col("_id").alias("doc_id"), "n_words",
+                    F.when(F.col("n_words") >= window, F.col("n_words")).otherwise(F.lit(0)).cast("long").alias("n_removed"),
+                    "kept_text"))
+
+
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     window: int = 20, chunk_bytes: int = CHUNK_BYTES,
                     bucket_runs: int = BUCKET_RUNS) -> DataFrame:
@@ -136,7 +197,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     total = text_bytes(src, F.col("_text"))
     chunks = pieces_for(total, chunk_bytes)
     buckets = pieces_for(total // 6, bucket_runs)
-    texts = src.withColumn("chunk", F.pmod(F.xxhash64("_id"), F.lit(chunks)).cast("long"))
+    rows, equal = _ranked(src, total)
+    texts = _chunked(rows, chunks)
 
     def ask_blocks(rows: pa.Table) -> pa.Table:
         c = rows.column("chunk")[0].as_py()
@@ -177,22 +239,28 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         c = left.column("chunk")[0].as_py()
         chunk = _Chunk(left, window)
         at, distinct, first, _ = _windows(chunk, right)
-        # starts ascend in (id, text, position), so the first one is the least
-        least = chunk.order[chunk.words.doc[at[first]]]
+        # starts ascend in (id, rank, position), so the first one is the least
+        least = chunk.words.doc[at[first]]
+        ids, ranks = chunk.order[least], chunk.rank[least]
         cuts = _cuts(distinct, buckets, 64)
-        return _table([(c, b, 1, pack_sorted(distinct[lo:hi]), pack_signed(least[lo:hi]))
+        return _table([(c, b, 1, pack_sorted(distinct[lo:hi]), _pack_places(ids[lo:hi], ranks[lo:hi]))
                        for b, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])) if hi > lo])
 
     def answer_windows(rows: pa.Table) -> pa.Table:
         b = rows.column("bucket")[0].as_py()
         from_chunk = rows.column("chunk").to_pylist()
         blobs = [unpack_sorted(x) for x in rows.column("first").to_pylist()]
-        ids = np.concatenate([unpack_signed(x) for x in rows.column("second").to_pylist()])
+        places = [_unpack_places(x) for x in rows.column("second").to_pylist()]
         order, group = _groups(blobs)
+        ids = np.concatenate([i for i, _ in places])[order]
+        ranks = np.concatenate([r for _, r in places])[order]
         least = np.full(int(group[-1]) + 1, _LAST, dtype=np.int64)
-        np.minimum.at(least, group, ids[order])
+        np.minimum.at(least, group, ids)
+        same = ids == least[group]
+        lowest = np.full(len(least), _LAST, dtype=np.int64)
+        np.minimum.at(lowest, group[same], ranks[same])
         later = np.zeros(len(order), dtype=bool)
-        later[order] = ids[order] > least[group]
+        later[order] = ~same | (ranks > lowest[group])
         return _split(later, from_chunk, [len(x) for x in blobs], b, 1)
 
     def remove(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -224,5 +292,6 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .groupBy("bucket").applyInArrow(answer_blocks, _REQUEST))
     earlier = (by_chunk.cogroup(hits.groupBy("chunk")).applyInArrow(ask_windows, _REQUEST)
                .groupBy("bucket").applyInArrow(answer_windows, _REQUEST))
-    return by_chunk.cogroup(hits.unionByName(earlier).groupBy("chunk")).applyInArrow(
+    out = by_chunk.cogroup(hits.unionByName(earlier).groupBy("chunk")).applyInArrow(
         remove, "doc_id long, n_words long, n_removed long, kept_text string")
+    return out if equal is None else out.unionByName(_copies(equal, window))

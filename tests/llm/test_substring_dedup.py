@@ -67,3 +67,32 @@ def test_empty_table_and_clashing_columns(spark):
     df = spark.createDataFrame([(1, "a b", 5, "q"), (2, "a b", 6, None)],
                                "doc_id long, text string, chunk long, bucket string")
     assert sorted(map(tuple, substring_dedup(df, window=2).collect())) == [(1, 2, 0, "a b"), (2, 2, 2, "")]
+
+
+def _repeated_ids():
+    rnd = random.Random(8)
+    vocab = [f"w{i}" for i in range(30)]
+    passages = [[rnd.choice(vocab) for _ in range(rnd.randint(4, 20))] for _ in range(10)]
+    rows = []
+    for i in range(240):
+        words = [w for _ in range(rnd.randint(0, 4)) for w in rnd.choice(passages) + [rnd.choice(vocab)]]
+        rows.append((None if i % 3 == 0 else 7 if i % 3 == 1 else i, " ".join(words)))
+    return rows + [(None, rows[0][1])] * 5 + [(9, "a b c d e f")] * 2500 + [(9, "a  b")] * 3 + [(11, None), (11, "")]
+
+
+def test_rows_that_share_an_id(spark):
+    rows = _repeated_ids()
+    for window in (4, 5):
+        assert run(spark, rows, window, chunk_bytes=300, bucket_runs=50) == brute(rows, window)
+    top = [((1 << 63) - 1, "p q r s"), (None, "p q r s"), (None, "p q r s t")]
+    assert run(spark, top, 3) == brute(top, 3)
+
+
+def test_rows_that_share_an_id_spread_over_chunks(spark):
+    """No group of the grouped passes gets the rows of a key."""
+    from pyspark.sql import functions as F
+    from flowguard.llm.substring_dedup import _chunked, _ranked
+    src = spark.createDataFrame([(None, f"t {i}") for i in range(500)] + [(None, "same")] * 300, "_id long, _text string")
+    rows, equal = _ranked(src, 5000)
+    assert rows.count() == 501 and equal.collect() == [(None, "same", 300)]
+    assert _chunked(rows, 64).groupBy("chunk").count().agg(F.max("count")).first()[0] < 50
