@@ -5,8 +5,9 @@ small network over hashed words, hashed word shapes and text statistics; gated
 attention, learned from the labels of whole documents alone, weighs the passages;
 the weighted sum is the document's representation, which a logistic unit scores.
 
-Training uses a sample of at most ``sample`` labelled documents (a parameter: the
-sample bounds what the driver holds), chosen by a hash of the id. Every document is
+Training uses a sample of at most ``sample`` labelled documents with at most ``passages``
+passages in all (parameters of the fit only: they bound what the driver holds), chosen by
+a hash of the id; one row of an id that repeats. Every document is
 scored on its whole text, without any shuffle.
 """
 
@@ -21,9 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowguard.llm.common import Words, mix64, window_hashes
+from flowguard.session import checkpointed
 
 PASSAGE_WORDS = 100
 SAMPLE = 3000
+PASSAGES = 100_000
 WORD_BUCKETS = 256
 SHAPE_BUCKETS = 64
 HIDDEN = 32
@@ -178,14 +181,20 @@ def score_texts(m: Model, texts: list[str | None], passage_words: int = PASSAGE_
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    label_id_col: str = "doc_id", label_col: str = "quality", sample: int = SAMPLE,
-                   passage_words: int = PASSAGE_WORDS) -> Model | None:
-    """The model, fitted on the labelled rows given; None without labelled texts."""
+                   passage_words: int = PASSAGE_WORDS, passages: int = PASSAGES) -> Model | None:
+    """The model, fitted on the labelled rows given; None without labelled texts.
+
+    Of rows that share a chosen id the one with the least text hash is taken. Documents are
+    taken in the order of their id's hash while their passages fit in ``passages``; one
+    that does not fit is passed over (the shortest is taken if none fits).
+    """
     chosen = (labels.where(F.col(label_id_col).isNotNull() & F.col(label_col).isNotNull())
               .groupBy(F.col(label_id_col).alias("_label_id")).agg(F.max(label_col).cast("int").alias("_label"))
               .orderBy(F.xxhash64("_label_id"), "_label_id").limit(sample))
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # at most `sample` narrow rows are sent to the tasks
-    rows = src.join(F.broadcast(chosen), F.col("doc_id") == F.col("_label_id")).select("_label_id", "_label", "text")
+    rows = (src.join(F.broadcast(chosen), F.col("doc_id") == F.col("_label_id"))
+            .groupBy("_label_id", "_label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,14 +203,23 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
                 x, owner = passage_features(part.column("text").to_pylist(), passage_words)
                 cut = np.append(_segments(owner), len(owner)) if len(owner) else np.zeros(1, int)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("_label_id"), part.column("_label"),
+                    [part.column("_label_id"), part.column("_label"), pa.array(np.diff(cut), pa.int64()),
                      pa.array([x[a:b].astype(np.float16).tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())],
-                    ["doc_id", "label", "x"])
+                    ["doc_id", "label", "n", "x"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    got = rows.mapInArrow(encode, f"doc_id {kind}, label int, x binary").collect()
-    if not got:
+    encoded = checkpointed(rows.mapInArrow(encode, f"doc_id {kind}, label int, n long, x binary"))
+    sizes = encoded.select("doc_id", "n", F.xxhash64("doc_id").alias("h")).collect()     # at most `sample` rows
+    if not sizes:
         return None
+    taken, left = [], passages
+    for r in sorted(sizes, key=lambda r: (r["h"], r["doc_id"])):
+        if r["n"] <= left:
+            taken.append(r["doc_id"])
+            left -= r["n"]
+    if len(taken) < len(sizes):
+        encoded = encoded.where(F.col("doc_id").isin(taken or [min(sizes, key=lambda r: (r["n"], r["h"]))["doc_id"]]))
+    got = encoded.select("doc_id", "label", "x").collect()
     got.sort(key=lambda r: (r["doc_id"], bytes(r["x"])))
     parts = [np.frombuffer(r["x"], np.float16).reshape(-1, N_FEATURES) for r in got]
     owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])

@@ -63,3 +63,16 @@ def test_edge_rows_and_no_labels(spark):
 def test_passages():
     x, owner = passage_features(["a " * 250, "", "b"], 100)
     assert owner.tolist() == [0, 0, 0, 1, 2] and not x[3].any()
+
+
+def test_training_set_is_bounded(spark, monkeypatch):
+    """Rows that repeat an id give one bag, and long texts do not exceed the passages."""
+    from flowguard.llm import quality_classifier as q
+    seen = []
+    monkeypatch.setattr(q, "train", lambda x, owner, label: seen.append((len(x), len(label))))
+    rows = [(1, f"copy {i}") for i in range(400)] + [(2, "a " * 250), (3, "b " * 100), (4, "c " * 900), (5, "d")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 6)], "doc_id long, quality int")
+    fit_classifier(df, labels)
+    fit_classifier(df, labels, passages=6)
+    assert seen == [(15, 5), (6, 4)]
