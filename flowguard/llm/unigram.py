@@ -103,11 +103,11 @@ class Unigram:
     # -- counts only ---------------------------------------------------------
     def _count_part(self, text: str) -> int:
         """Best score and number of pieces are carried for the last few places only."""
-        if len(text) <= 256 and self._known(text):
-            return len(self._part_ids(text))
         ring = self.longest + 1
         score, count = [_LEAST] * ring, [0] * ring
         score[0] = 0.0
+        if self._known(text):
+            return self._count_known(text, ring, score, count)
         now = 0
         for end, start, s, i in self.matches(text):
             if end != now:
@@ -119,6 +119,20 @@ class Unigram:
                 count[end % ring] = count[start % ring] + (1 if i >= 0 else len(self.spelled(text[start])))
         return count[len(text) % ring]
 
+    def _count_known(self, text: str, ring: int, score: list[float], count: list[int]) -> int:
+        """The same in a plain loop where every character is known."""
+        now = 0
+        for last, (n, s, _) in self.auto.iter(text):
+            end = last + 1
+            at, start = end % ring, (end - n) % ring
+            if end != now:
+                score[at] = _LEAST
+                now = end
+            total = score[start] + s
+            if total > score[at]:
+                score[at], count[at] = total, count[start] + 1
+        return count[len(text) % ring]
+
     def count(self, text: str | None) -> int:
         text = prepare(text)
         if self.parts is None:

@@ -143,3 +143,13 @@ def test_giant_texts_in_spark(spark, vocabulary):
 def test_query_round_trip(spark):
     got = op9_sentencepiece(spark, SF).collect()
     assert got and all(r["round_trip"] and r["n_pieces"] == len(r["ids"]) for r in got)
+
+
+def test_counts_keep_no_paths(vocabulary, monkeypatch):
+    """Words of known and unknown characters are counted in the ring, without back pointers."""
+    texts = ["a few known words", "x" * 40 + " internationalisation", "ab \U0001f9ff cd", "z" * 300, "", " "]
+    model = Unigram(vocabulary)
+    want = [len(sequential(model, t)) if t else 0 for t in texts]
+    for name in ("_part_ids", "forward", "trace"):
+        monkeypatch.setattr(Unigram, name, None)
+    assert [model.count(t) for t in texts] == want
