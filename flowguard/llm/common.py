@@ -7,6 +7,7 @@ text itself.
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
@@ -25,7 +26,10 @@ _RNG = np.random.default_rng(20240229)
 _BYTE_VALUE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE_BASE = np.uint64(0x9E3779B97F4A7C15)
 _WORD_BASE = 0xD1342543DE82EF95
-_MASK = (1 << 64) - 1
+_LANE = np.uint64(0x9E3779B97F4A7C15)
+_PAIR = np.uint64(0xD1342543DE82EF95)
+#: Words of more bytes get their key one by one.
+_LONG_WORD = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,7 +79,8 @@ class Words:
         self.pos = np.arange(len(self.start)) - self.first[self.doc] if len(self.start) else self.start
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word (equal words, equal hashes)."""
+        """A 64-bit hash of each word (equal words, equal hashes), for features and filters; a
+        polynomial, so words can be built that collide. ``keys`` are for comparisons."""
         if not len(self.start):
             return np.zeros(0, dtype=np.uint64)
         size = self.end - self.start
@@ -88,6 +93,56 @@ class Words:
         total = np.add.reduceat(_BYTE_VALUE[solid] * power[inside], at)
         return mix64(total + size.astype(np.uint64))
 
+    def keys(self) -> np.ndarray:
+        """A 64-bit key of each word (equal words, equal keys): its length and its bytes,
+        eight at a time, through a finalizer each; long words by BLAKE2b."""
+        if not len(self.start):
+            return np.zeros(0, dtype=np.uint64)
+        size = self.end - self.start
+        eight = np.ndarray((len(self.raw) + 1,), "<u8", self.raw + b"\0" * 8, strides=(1,))
+        h = mix64(size.astype(np.uint64) * _LANE)
+        todo, at, left = np.arange(len(size)), self.start, size
+        while len(todo):
+            lane = eight[at]
+            part = np.flatnonzero(left < 8)
+            lane[part] &= (np.uint64(1) << (left[part] * 8).astype(np.uint64)) - np.uint64(1)
+            h[todo] = mix64(h[todo] ^ lane) + _LANE
+            more = (left > 8) & (size[todo] <= _LONG_WORD)
+            todo, at, left = todo[more], at[more] + 8, left[more] - 8
+        for i in np.flatnonzero(size > _LONG_WORD).tolist():
+            word = self.raw[int(self.start[i]):int(self.end[i])]
+            h[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        return h
+
+
+def pair_hashes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each ordered pair of hashes."""
+    return mix64(mix64(a + _PAIR) * _LANE + b)
+
+
+def run_keys(words: np.ndarray, k: int) -> np.ndarray:
+    """Key of every run of ``k`` consecutive entries: out[i] covers i..i+k-1. Runs of
+    1, 2, 4 ... entries are paired, so no algebra of the words makes two runs alike."""
+    n = len(words)
+    if n < k:
+        return np.zeros(0, dtype=np.uint64)
+    out, done = None, 0          # hash of the run of `done` entries starting at i
+    block, size, left = words, 1, k
+    while left:
+        if left & 1:
+            if out is None:
+                out, done = block, size
+            else:
+                m = min(len(out), len(block) - done)
+                out = pair_hashes(out[:m], block[done:done + m])
+                done += size
+        left >>= 1
+        if left:
+            m = len(block) - size
+            block = pair_hashes(block[:m], block[size:size + m])
+            size *= 2
+    return mix64(out[:n - k + 1])
+
 
 def window_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """Hash of every run of ``k`` consecutive entries: out[i] covers i..i+k-1."""

@@ -107,3 +107,41 @@ folded AS (SELECT *, list_reduce(list_prepend(claim, path), lambda a, s: sha256(
             WHEN s[1] = 'R' THEN a || s[2:] ELSE a END)) AS folded_root FROM whole)
 SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: s[2:]), '')) AS proof_sha256,
        folded_root, folded_root = root AS verified FROM folded"""
+
+
+def _discounts(source: str, count: str) -> str:
+    """One row d1, d2, d3 of modified Kneser-Ney discounts of the counts in a table."""
+    y = "(n1 / (n1 + 2.0 * n2))"
+    found = [f"least(greatest({k} - {k + 1}.0 * {y} * n{k + 1} / n{k}, 0), {k})" for k in (1, 2, 3)]
+    some = "n1 > 0 AND n2 > 0 AND n3 > 0 AND n4 > 0"
+    cols = ", ".join(f"CASE WHEN {some} THEN {f} ELSE {0.5 * k} END AS d{k}" for k, f in enumerate(found, 1))
+    counts = ", ".join(f"COUNT(*) FILTER (WHERE {count} = {k}) AS n{k}" for k in (1, 2, 3, 4))
+    return f"SELECT {cols} FROM (SELECT {counts} FROM {source})"
+
+
+def _less(n: str, d: str) -> str:
+    return f"({n} - CASE WHEN {n} = 0 THEN 0 WHEN {n} = 1 THEN {d}.d1 WHEN {n} = 2 THEN {d}.d2 ELSE {d}.d3 END)"
+
+
+# the end of a text is the token ' ', its start '': no words
+LM_SCORING = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_crc32("CAST(doc_id AS VARCHAR)")} % 5 = 1 AS held_out,
+  list_append(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                 {_quoted(WORD)}), ' ') AS ws FROM documents),
+t AS MATERIALIZED (SELECT r, held_out, unnest(list_prepend('', ws[:-2])) AS v, unnest(ws) AS w FROM d),
+pairs AS MATERIALIZED (SELECT v, w, COUNT(*) AS n FROM t WHERE NOT held_out GROUP BY v, w),
+words AS MATERIALIZED (SELECT w, CAST(SUM(n) AS BIGINT) AS c, COUNT(*) AS a FROM pairs GROUP BY w),
+ctx AS MATERIALIZED (SELECT v, SUM(n) AS total, COUNT(*) FILTER (WHERE n = 1) AS n1, COUNT(*) FILTER (WHERE n = 2) AS n2,
+  COUNT(*) FILTER (WHERE n > 2) AS n3 FROM pairs GROUP BY v),
+up AS ({_discounts("pairs", "n")}), low AS ({_discounts("words", "a")}),
+whole AS (SELECT CAST(SUM(c) AS BIGINT) AS tokens, COUNT(*) AS vocabulary, SUM(a) AS types,
+  SUM(CASE WHEN a = 1 THEN low.d1 WHEN a = 2 THEN low.d2 ELSE low.d3 END) / SUM(a) / (COUNT(*) + 1) AS spare FROM words, low),
+asked AS (SELECT DISTINCT v, w FROM t),
+found AS (SELECT q.v, q.w, coalesce(c, 0) AS c, coalesce(a, 0) AS a, coalesce(n, 0) AS n, total, n1, n2, n3
+  FROM asked q LEFT JOIN words USING (w) LEFT JOIN pairs p ON p.v = q.v AND p.w = q.w LEFT JOIN ctx ON ctx.v = q.v),
+lower AS (SELECT found.*, {_less("a", "low")} / types + spare AS p1, log10((c + 0.5) / (tokens + 0.5 * (vocabulary + 1))) AS base
+  FROM found, low, whole),
+p AS (SELECT v, w, c, base, log10(CASE WHEN total IS NULL THEN p1
+    ELSE {_less("n", "up")} / total + (up.d1 * n1 + up.d2 * n2 + up.d3 * n3) / total * p1 END) AS logp FROM lower, up),
+sums AS (SELECT r, COUNT(*) AS n_tokens, COUNT(*) FILTER (WHERE c > 0) AS n_known, SUM(base) AS base_score, SUM(logp) AS score
+  FROM t JOIN p USING (v, w) GROUP BY r)
+SELECT doc_id, held_out, n_tokens, n_known, tokens AS train_tokens, base_score, score FROM d JOIN sums USING (r), whole"""

@@ -6,11 +6,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowguard.llm import kneser_ney
 from flowguard.llm.common import table
 from flowguard.llm.decontaminate import contaminated
 from flowguard.llm.html_extract import extract_pages
+
 from flowguard.llm.merkle import fold, leaf_digest, merkle_manifest, siblings
-from flowguard.llm.oracle import MERKLE_MANIFEST, SECRET_SCAN, SUBSTRING_DEDUP
+from flowguard.llm.oracle import LM_SCORING, MERKLE_MANIFEST, SECRET_SCAN, SUBSTRING_DEDUP
 from flowguard.llm.quality_classifier import THRESHOLD, fit_classifier, held_out, score_documents
 from flowguard.llm.quality_rules import quality_rules
 from flowguard.llm.secret_scan import joined, scan_secrets
@@ -100,6 +102,15 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("verified", F.col("folded_root") == F.col("root")))
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document under a model of those outside one fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = kneser_ney.train(docs.where(~kneser_ney.held_out()))
+    return kneser_ney.score_documents(docs, model).select(
+        "doc_id", kneser_ney.held_out().alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontaminate": op2_decontaminate,
@@ -112,10 +123,12 @@ QUERIES = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_html_extraction": op10_html_extraction,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_lm_scoring": op12_lm_scoring,
 }
 
 ORACLE: dict[str, str] = {
     "op1_secret_scan": SECRET_SCAN,
     "op3_substring_dedup": SUBSTRING_DEDUP,
     "op11_merkle_manifest": MERKLE_MANIFEST,
+    "op12_lm_scoring": LM_SCORING,
 }

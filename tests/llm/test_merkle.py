@@ -23,14 +23,23 @@ def leaf(doc_id, source, lang, n_chars, text):
     return h(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in (doc_id, source, lang, n_chars, text)])
 
 
-def climb(nodes, at):
-    """Top of a list of nodes and the (side, sibling) steps of one of them."""
+def grow(nodes):
+    """Levels of the tree above a list of nodes."""
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        below = levels[-1]
+        levels.append([h(*below[i:i + 2]) for i in range(0, len(below), 2)])
+    return levels
+
+
+def climb(levels, at):
+    """The (side, sibling) steps from node ``at`` to the top, None without a sibling."""
     steps = []
-    while len(nodes) > 1:
+    for nodes in levels[:-1]:
         run = nodes[at // 2 * 2:at // 2 * 2 + 2]
         steps.append(None if len(run) == 1 else (at % 2, run[1 - at % 2]))
-        nodes, at = [h(*nodes[i:i + 2]) for i in range(0, len(nodes), 2)], at // 2
-    return nodes[0], steps
+        at //= 2
+    return steps
 
 
 def brute(rows):
@@ -40,17 +49,17 @@ def brute(rows):
         bad = i is not None and zlib.crc32(str(i).encode()) % 7 == 0 and n is not None
         by_lang[lang].append((i is not None, i or 0, leaf(i, s, lang, n, t), leaf(i, s, lang, n + bad if bad else n, t), i))
     order = sorted(by_lang, key=lambda g: (g is not None, (g or "").encode()))
-    leaves = {g: sorted(by_lang[g]) for g in order}
-    tops = [climb([x[2] for x in leaves[g]], 0)[0] for g in order]
+    leaves = {g: sorted(by_lang[g], key=lambda x: x[:4]) for g in order}
+    trees = {g: grow([x[2] for x in leaves[g]]) for g in order}
+    top = grow([trees[g][-1][0] for g in order])
     out = []
     for k, g in enumerate(order):
+        up, root = climb(top, k), top[-1][0]
         for at, (_, _, own, claim, i) in enumerate(leaves[g]):
-            path = climb([x[2] for x in leaves[g]], at)[1]
-            root, up = climb(tops, k)
-            node = claim
-            for step in path + up:
+            path, node = climb(trees[g], at) + up, claim
+            for step in path:
                 node = h(node) if step is None else h(step[1], node) if step[0] else h(node, step[1])
-            out.append((i, own, tops[k], root, h(*[s[1] for s in path + up if s]), node, node == root))
+            out.append((i, own, trees[g][-1][0], root, h(*[s[1] for s in path if s]), node, node == root))
     return Counter(out)
 
 
