@@ -17,6 +17,7 @@ are the operating system's to keep or drop. Texts stay where they are.
 
 from __future__ import annotations
 
+import math
 import os
 import uuid
 from collections.abc import Iterator
@@ -34,12 +35,12 @@ from flowguard.llm.common import (Words, pack_signed, pack_sorted, pair_hashes,
                                   unpack_sorted)
 from flowguard.sources.files import scratch_path
 
-CHUNK_BYTES = 16 << 20
+#: Text that a task counts, and scores, at a time.
+CHUNK_BYTES = 12 << 20
+SCORE_BYTES = 8 << 20
 BUCKET_BYTES = 12 << 20
 #: Longer texts are taken in pieces, cut behind a word.
 PIECE_BYTES = 4 << 20
-#: Parts of the grid along the second word of a pair.
-SECOND = 4
 
 #: Keys of the start and the end of a text (no word hashes to them but by chance, 1 in 2^64).
 BOS, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
@@ -52,8 +53,8 @@ class Model:
     """Where the arrays lie, totals, and the discounts of both orders (for counts of 1, 2 and
     3 or more)."""
     folder: str
-    first: int
-    words: int
+    grid: tuple[int, int]       # parts of the pairs' buckets along the first and the second word
+    words: int                  # word buckets
     tokens: int                 # N: training tokens, ends included
     vocabulary: int             # V: distinct ones
     pairs: int                  # distinct pairs
@@ -62,8 +63,8 @@ class Model:
     lower_types: tuple[int, int, int]       # words that follow 1, 2, 3 or more words
 
 
-def _cell(first: np.ndarray, second: np.ndarray, rows: int) -> np.ndarray:
-    return _part(first, rows) * SECOND + _part(second, SECOND)
+def _cell(first: np.ndarray, second: np.ndarray, grid: tuple[int, int]) -> np.ndarray:
+    return _part(first, grid[0]) * grid[1] + _part(second, grid[1])
 
 
 def _part(keys: np.ndarray, parts: int) -> np.ndarray:
@@ -227,8 +228,10 @@ def train(docs: DataFrame, text_col: str = "text", chunk_bytes: int = CHUNK_BYTE
     src = docs.select(F.col(text_col).cast("string").alias("_text"))
     folder = folder or _local_folder(scratch_path(spark, "word-pairs"))
     buckets = pieces_for(text_bytes(src, F.col("_text")), bucket_bytes, 64)
-    first = -(-buckets // SECOND)
-    words = max(1, first // 2)
+    # a word's pairs lie in as many buckets as the grid has columns, which grow with the input
+    columns = math.isqrt(buckets)
+    grid = -(-buckets // columns), columns
+    words = max(1, buckets // 8)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = BOS
@@ -237,7 +240,7 @@ def train(docs: DataFrame, text_col: str = "text", chunk_bytes: int = CHUNK_BYTE
             before = tokens.after
             code, n = np.unique(tokens.code, return_counts=True)
             a, b = (tokens.known[x] for x in tokens.split(code))
-            cell = _cell(a, b, first)
+            cell = _cell(a, b, grid)
             order = np.argsort(cell, kind="stable")
             cuts = np.flatnonzero(np.concatenate(([True], np.diff(cell[order]) > 0, [True]))) if len(cell) else []
             for lo, hi in zip(cuts[:-1], cuts[1:]):
@@ -301,7 +304,7 @@ def train(docs: DataFrame, text_col: str = "text", chunk_bytes: int = CHUNK_BYTE
                       axis=0).tolist()
     pairs, *upper = totals(2, 5)
     tokens, vocabulary, _, t1, t2, t3, t4, more = totals(3, 8)
-    return Model(folder, first, words, tokens, vocabulary, pairs, _discounts(*upper), _discounts(t1, t2, t3, t4), (t1, t2, more))
+    return Model(folder, grid, words, tokens, vocabulary, pairs, _discounts(*upper), _discounts(t1, t2, t3, t4), (t1, t2, more))
 
 
 def _lookup(folder: str, kind: str, bucket: int, keys: np.ndarray, names: tuple[str, ...]) -> list[np.ndarray]:
@@ -341,7 +344,7 @@ def pair_probabilities(model: Model, first: np.ndarray, second: np.ndarray, know
     spare = (u1 * t1 + u2 * t2 + u3 * t3) / model.pairs if model.pairs else 1.0
     lower = _weight(a, model.lower) / max(model.pairs, 1) + spare / (model.vocabulary + 1)
     keys = pair_hashes(known[first], known[second])
-    n, = _look_up_all(model, "pairs", keys, _cell(known[first], known[second], model.first), ("n",))
+    n, = _look_up_all(model, "pairs", keys, _cell(known[first], known[second], model.grid), ("n",))
     # every occurrence of a word is followed by a token; texts start as often as they end
     ends = int(_look_up_all(model, "words", np.array([END]), _part(np.array([END]), model.words), ("c",))[0][0])
     total = np.where(known == BOS, ends, c)[first].astype(np.float64)
@@ -355,7 +358,7 @@ def pair_probabilities(model: Model, first: np.ndarray, second: np.ndarray, know
 
 
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
-                    chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+                    chunk_bytes: int = SCORE_BYTES) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``n_known``, ``base_score``, ``score`` and ``perplexity`` of every row.
 
     ``score`` is the log10 probability of the tokens (words with A-Z in lower case, then one
