@@ -145,3 +145,55 @@ p AS (SELECT v, w, c, base, log10(CASE WHEN total IS NULL THEN p1
 sums AS (SELECT r, COUNT(*) AS n_tokens, COUNT(*) FILTER (WHERE c > 0) AS n_known, SUM(base) AS base_score, SUM(logp) AS score
   FROM t JOIN p USING (v, w) GROUP BY r)
 SELECT doc_id, held_out, n_tokens, n_known, tokens AS train_tokens, base_score, score FROM d JOIN sums USING (r), whole"""
+
+
+# The cheapest edits turn by turn: way holds, for each state of (s?(ua)+)? behind turn i, the
+# least (cost, audit) as one string and the lines it leaves. States 0 start, 1 s, 2 u, 3 a.
+_INSERTS = ", ".join(f"({s}, {k}, {t}, {lines})" for s, ways in {
+    0: [(0, []), (2, ["user:"]), (3, ["user:", "assistant:"]), (2, ["user:", "assistant:", "user:"])],
+    1: [(1, []), (2, ["user:"]), (3, ["user:", "assistant:"]), (2, ["user:", "assistant:", "user:"])],
+    2: [(2, []), (3, ["assistant:"]), (2, ["assistant:", "user:"]), (3, ["assistant:", "user:", "assistant:"])],
+    3: [(3, []), (2, ["user:"]), (3, ["user:", "assistant:"]), (2, ["user:", "assistant:", "user:"])],
+}.items() for k, (t, lines) in enumerate(ways))
+CONVERSATION_REPAIR = f"""WITH RECURSIVE raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS k FROM conversations),
+damaged AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN k = 1 THEN '' WHEN k = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE WHEN k = 3 THEN [1, 2] ELSE [1] END) AS copy FROM raw WHERE k <> 0),
+placed AS (SELECT *, coalesce(CAST(conv_id AS VARCHAR), '') AS c, row_number() OVER w AS i, row_number() OVER same AS nth,
+    lag(role) OVER w AS before FROM damaged
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, encode(role), encode(text), copy),
+         same AS (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy)),
+r AS MATERIALIZED (SELECT *, left(role, 1) AS x, CASE WHEN NOT regexp_matches(text, {_quoted(WORD)}) THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 'truncated' ELSE '' END AS fault FROM placed),
+ins AS MATERIALIZED (SELECT * FROM (VALUES {_INSERTS}) v(s, k, t, lines)),
+edges AS MATERIALIZED (SELECT * FROM (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)) v(s, x, t)),
+way(c, i, s, best, lines) AS (
+  SELECT DISTINCT c, CAST(0 AS BIGINT), 0, '000000000', CAST([] AS VARCHAR[]) FROM r
+  UNION ALL
+  SELECT c, i, s, min(best), arg_min(lines, best) FROM (
+    SELECT way.c, r.i AS i, e.t AS s,
+        lpad(CAST(CAST(left(best, 9) AS INTEGER) + 3 * k + e.cost AS VARCHAR), 9, '0') || best[10:] || repeat('I', k) || e.edit AS best,
+        list_concat(list_concat(way.lines, ins.lines), e.lines) AS lines
+    FROM way JOIN r ON r.c = way.c AND r.i = way.i + 1 JOIN ins ON ins.s = way.s,
+      LATERAL (
+        SELECT 'D' AS edit, 4 AS cost, ins.t AS t, CAST([] AS VARCHAR[]) AS lines
+        UNION ALL SELECT 'K', CASE WHEN r.fault = 'truncated' THEN 3 ELSE 0 END, edges.t, [r.role || ':' || r.text] FROM edges
+          WHERE edges.s = ins.t AND edges.x = r.x AND r.fault IN ('', 'truncated')
+        UNION ALL SELECT 'R', CASE WHEN r.fault = 'truncated' THEN 6 ELSE 3 END, CASE WHEN ins.t = 2 THEN 3 ELSE 2 END,
+          [CASE WHEN ins.t = 2 THEN 'assistant:' ELSE 'user:' END || r.text] WHERE r.fault IN ('', 'truncated')) e)
+  GROUP BY c, i, s),
+last AS (SELECT c, MAX(i) AS i FROM r GROUP BY c),
+whole AS (SELECT way.c, min(full_best) AS best, arg_min(full_lines, full_best) AS lines FROM (
+    SELECT way.c, way.i, lpad(CAST(CAST(left(best, 9) AS INTEGER) + 3 * k AS VARCHAR), 9, '0') || best[10:] || repeat('I', k) AS full_best,
+           list_concat(way.lines, ins.lines) AS full_lines FROM way JOIN ins ON ins.s = way.s AND ins.t IN (0, 3)) way
+  JOIN last ON last.c = way.c AND last.i = way.i GROUP BY way.c),
+nums AS (SELECT c, coalesce(MAX(turn) - MIN(turn) + 1 - COUNT(DISTINCT turn), 0) AS gaps, COUNT(*) FILTER (WHERE fault = 'blank') AS blank,
+    COUNT(*) FILTER (WHERE fault = 'duplicate') AS duplicate, COUNT(*) FILTER (WHERE fault = 'truncated') AS truncated,
+    COUNT(*) FILTER (WHERE i > 1 AND left(before, 1) || x NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY c)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(CAST(left(best, 9) AS BIGINT), 0) AS cost, coalesce(best[10:], '') AS audit,
+       sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN whole ON whole.c = coalesce(CAST(o.conv_id AS VARCHAR), '') LEFT JOIN nums ON nums.c = coalesce(CAST(o.conv_id AS VARCHAR), '')"""

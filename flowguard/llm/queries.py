@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from flowguard.llm import kneser_ney
 from flowguard.llm.common import table
+from flowguard.llm.conversation_repair import damage, repair_conversations, summarise
 from flowguard.llm.decontaminate import contaminated
 from flowguard.llm.html_extract import extract_pages
 
 from flowguard.llm.merkle import fold, leaf_digest, merkle_manifest, siblings
-from flowguard.llm.oracle import LM_SCORING, MERKLE_MANIFEST, SECRET_SCAN, SUBSTRING_DEDUP
+from flowguard.llm.oracle import CONVERSATION_REPAIR, LM_SCORING, MERKLE_MANIFEST, SECRET_SCAN, SUBSTRING_DEDUP
 from flowguard.llm.quality_classifier import THRESHOLD, fit_classifier, held_out, score_documents
 from flowguard.llm.quality_rules import quality_rules
 from flowguard.llm.secret_scan import joined, scan_secrets
@@ -111,6 +112,17 @@ def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest repair of every conversation after seeded damage."""
+    rows = table(spark, sf_dir, "conversations")
+    found = summarise(repair_conversations(damage(rows))).withColumnRenamed("conv_id", "_conv")
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return (rows.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").select(
+        "conv_id", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.sha2(F.coalesce("repaired", F.lit("")).cast("binary"), 256).alias("repaired_sha256")))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontaminate": op2_decontaminate,
@@ -124,6 +136,7 @@ QUERIES = {
     "op10_html_extraction": op10_html_extraction,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_lm_scoring": op12_lm_scoring,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE: dict[str, str] = {
@@ -131,4 +144,5 @@ ORACLE: dict[str, str] = {
     "op3_substring_dedup": SUBSTRING_DEDUP,
     "op11_merkle_manifest": MERKLE_MANIFEST,
     "op12_lm_scoring": LM_SCORING,
+    "op13_conversation_repair": CONVERSATION_REPAIR,
 }
