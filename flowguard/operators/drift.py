@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowguard.functions.columns import ks_pvalue, q
-from flowguard.functions.stats import chi2_sf
+from flowguard.functions.stats import EXACT_ROWS, chi2_sf, ks_exact_sf
 from flowguard.plans.joins import checked_broadcast
 from flowguard.plans.prefix import running_sum
 from flowguard.session import checkpointed
@@ -39,6 +39,13 @@ def reference_points(reference: DataFrame, features: Sequence[str]) -> DataFrame
     return to_long(reference, features).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("rc"))
 
 
+def batch_points(current: DataFrame, features: Sequence[str], batch_col: str) -> DataFrame:
+    """batch, feature, value, cc: how often each value occurs in each batch. Counts of parts of
+    a batch add up to those of the batch."""
+    return to_long(current, features, id_cols=[batch_col]).groupBy(batch_col, "feature", "value").agg(
+        F.count(F.lit(1)).alias("cc"))
+
+
 def ks_drift(reference: DataFrame, current: DataFrame, features: Sequence[str],
              batch_col: str | None = None, threshold: float = 0.05,
              method: str = "ks", prefix_method: str = "blocks",
@@ -48,23 +55,31 @@ def ks_drift(reference: DataFrame, current: DataFrame, features: Sequence[str],
     Returns [batch_col,] feature, n_ref, n_cur, statistic, p_value, is_drifted. A
     feature without values on one side of a batch has count 0 there, a null
     statistic and p-value, and no drift. ``ref_points`` (see ``reference_points``) spares
-    the pass over the reference.
-
-    D = sup |F_ref - F_cur|. F_cur is flat between consecutive points c_j of the
-    batch and F_ref never falls, so the sup is reached at some c_j, either at the
-    point (F_ref(c_j) vs F_cur(c_j)) or just before it (F_ref(c_j-) vs
-    F_cur(c_{j-1})). Running reference counts are therefore needed only at the
-    union of points, computed once for all batches.
+    the pass over the reference. The p-value is exact up to ``EXACT_ROWS`` rows a side and the
+    limit's beyond.
     """
     if method != "ks":
         raise ValueError(f"unsupported drift method: {method}")
     b = batch_col or _BATCH
     cur = current if batch_col else current.withColumn(b, F.lit(0))
     cur = cur.where(q(b).isNotNull())   # a null batch key has no batch to report
-    cur_long = to_long(cur, features, id_cols=[b])
-
     ref_pts = ref_points if ref_points is not None else reference_points(reference, features)
-    cur_pts = cur_long.groupBy(b, "feature", "value").agg(F.count(F.lit(1)).alias("cc"))
+    out = ks_of_counts(ref_pts, batch_points(cur, features, b), cur.select(q(b).alias(b)).distinct(), features, b,
+                       threshold, prefix_method)
+    return out if batch_col else out.drop(b)
+
+
+def ks_of_counts(ref_pts: DataFrame, cur_pts: DataFrame, batches: DataFrame, features: Sequence[str], b: str,
+                 threshold: float = 0.05, prefix_method: str = "blocks") -> DataFrame:
+    """``ks_drift`` from count tables: of the reference (feature, value, rc) and of the batches
+    (batch, feature, value, cc); ``batches`` lists those to report.
+
+    D = sup |F_ref - F_cur|. F_cur is flat between consecutive points c_j of the
+    batch and F_ref never falls, so the sup is reached at some c_j, either at the
+    point (F_ref(c_j) vs F_cur(c_j)) or just before it (F_ref(c_j-) vs
+    F_cur(c_{j-1})). Running reference counts are therefore needed only at the
+    union of points, computed once for all batches.
+    """
     pts = (ref_pts.unionByName(cur_pts.select("feature", "value",
                                               F.lit(0).cast("long").alias("rc")))
            .groupBy("feature", "value").agg(F.sum("rc").alias("rc")))
@@ -94,17 +109,17 @@ def ks_drift(reference: DataFrame, current: DataFrame, features: Sequence[str],
             .join(n_ref, "feature").join(checked_broadcast(n_cur), [b, "feature"])
             .groupBy(b, "feature").agg(F.max(gap).alias("statistic")))
     # a row for every feature of every batch, with or without values
-    every = (cur.select(q(b).alias(b)).distinct()
-             .withColumn("feature", F.explode(F.array(*[F.lit(f) for f in features]))))
+    every = batches.withColumn("feature", F.explode(F.array(*[F.lit(f) for f in features])))
     stat = (every.join(n_ref, "feature", "left").join(n_cur, [b, "feature"], "left")
             .join(stat, [b, "feature"], "left").na.fill(0, ["n_ref", "n_cur"]))
-    p = ks_pvalue("statistic", "n_ref", "n_cur")
-    out = stat.select(
+    few = F.greatest("n_ref", "n_cur") <= EXACT_ROWS
+    exact = ks_exact_sf(F.when(few, F.col("statistic")), F.col("n_ref"), F.col("n_cur"))
+    p = F.when(few, exact).otherwise(ks_pvalue("statistic", "n_ref", "n_cur"))
+    return stat.select(
         F.col(b), "feature", F.col("n_ref").cast("long").alias("n_ref"),
         F.col("n_cur").cast("long").alias("n_cur"), "statistic",
         F.when(F.col("statistic").isNotNull(), p).alias("p_value")).withColumn(
             "is_drifted", F.coalesce(F.col("p_value") < F.lit(threshold), F.lit(False)))
-    return out if batch_col else out.drop(b)
 
 
 def drift_summary(ks: DataFrame, batch_col: str | None = None) -> DataFrame:
@@ -120,13 +135,44 @@ def drift_summary(ks: DataFrame, batch_col: str | None = None) -> DataFrame:
         .withColumn("has_drift", F.col("n_drifted") > 0))
 
 
+def class_count_table(reference: DataFrame, label_col: str) -> DataFrame:
+    return reference.groupBy(q(label_col).alias("label")).agg(F.count(F.lit(1)).alias("ref_count"))
+
+
+def batch_classes(current: DataFrame, label_col: str, batch_col: str) -> DataFrame:
+    """batch, label, cur_count; counts of parts of a batch add up."""
+    return current.groupBy(q(batch_col).alias(batch_col), q(label_col).alias("label")).agg(
+        F.count(F.lit(1)).alias("cur_count"))
+
+
+def _present(ref_counts: DataFrame, cur_counts: DataFrame, b: str) -> tuple[DataFrame, int, int]:
+    """The (batch, class) cells with rows: counts of both sides, the batch's total and whether
+    the class is new; and rows and classes of the reference."""
+    ref_counts = checkpointed(ref_counts)
+    size = ref_counts.agg(F.sum("ref_count").alias("n"), F.count(F.lit(1)).alias("k")).first()
+    if not size["n"]:
+        raise ValueError("reference side is empty")
+    totals = cur_counts.groupBy(F.col(b).alias("_b")).agg(F.sum("cur_count").alias("cur_total"))
+    ref = ref_counts.select(F.col("label").alias("_label"), "ref_count")
+    cells = (cur_counts.join(ref, F.col("label").eqNullSafe(F.col("_label")), "left")
+             .join(totals, F.col(b).eqNullSafe(F.col("_b"))).select(
+                 b, "label", "cur_count", "cur_total", F.coalesce("ref_count", F.lit(0)).alias("ref_count"),
+                 F.col("ref_count").isNull().alias("is_new")))
+    return cells, int(size["n"]), int(size["k"])
+
+
+#: Classes of one block of the class list.
+CLASS_BLOCK = 1000
+
+
 def class_shift_counts(reference: DataFrame, current: DataFrame, label_col: str,
                        batch_col: str | None = None, ref_counts: DataFrame | None = None) -> DataFrame:
     """Counts and shares of each class on both sides over the union of classes.
 
     With ``batch_col`` every batch is compared with the whole reference. Both sides are
     counted first; everything after works on one row per (batch, class). A class of the
-    reference missing from a batch still gets a row (count 0). A null label is a class
+    reference missing from a batch still gets a row (count 0): the class list is dealt to blocks
+    of about CLASS_BLOCK and each batch meets every block. A null label is a class
     like any other, on both sides. ``ref_counts`` (label, ref_count) may be given to
     spare the pass over the reference.
     """
@@ -135,35 +181,26 @@ def class_shift_counts(reference: DataFrame, current: DataFrame, label_col: str,
     if ref_counts is None:
         ref_counts = class_count_table(reference, label_col)
     ref_counts = checkpointed(ref_counts)
-    total = ref_counts.agg(F.sum("ref_count")).first()[0]
-    if not total:
-        raise ValueError("reference side is empty")
-    cur_counts = checkpointed(cur.groupBy(q(b).alias(b), q(label_col).alias("label")).agg(
-        F.count(F.lit(1)).alias("cur_count")))
+    cur_counts = checkpointed(batch_classes(cur, label_col, b))
+    cells, total, classes = _present(ref_counts, cur_counts, b)
+    blocks = -(-classes // CLASS_BLOCK)
+    block = F.pmod(F.xxhash64(F.coalesce(F.col("label").cast("string"), F.lit(""))), F.lit(blocks)).alias("_block")
+    listed = ref_counts.groupBy(block).agg(F.collect_list(F.struct("label", "ref_count")).alias("_classes"))
     batches = cur_counts.groupBy(b).agg(F.sum("cur_count").alias("cur_total"))
-    # classes and batches meet in one aggregated row of both lists
-    side = (ref_counts.select(F.struct("label", "ref_count").alias("r"), F.lit(None).cast(
-                f"struct<b:{batches.schema[b].dataType.simpleString()}>").alias("x"))
-            .unionByName(batches.select(F.lit(None).cast(
-                f"struct<label:{ref_counts.schema['label'].dataType.simpleString()},ref_count:bigint>").alias("r"),
-                F.struct(F.col(b).alias("b")).alias("x"))))
-    both = side.agg(F.collect_list("r").alias("rs"), F.collect_list("x").alias("xs"))
-    grid = (both.select("xs", F.explode("rs").alias("r")).select("r", F.explode("xs").alias("x"))
-            .select(F.col("x.b").alias(b), F.col("r.label").alias("label"), F.col("r.ref_count").alias("ref_count"),
-                    F.lit(0).cast("long").alias("cur_count"))
-            .unionByName(cur_counts.select(b, "label", F.lit(0).cast("long").alias("ref_count"), "cur_count")))
-    summed = grid.groupBy(b, "label").agg(F.sum("ref_count").alias("ref_count"), F.sum("cur_count").alias("cur_count"))
-    out = (summed.join(batches.withColumnRenamed(b, "_b"), F.col(b).eqNullSafe(F.col("_b"))).drop("_b")
-           .withColumn("ref_share", F.col("ref_count") / F.lit(float(total)))
-           .withColumn("cur_share", F.col("cur_count") / F.col("cur_total"))
-           .select(b, "label", "ref_count", "cur_count", "ref_share", "cur_share", "cur_total"))
+    zero = (batches.select(b, "cur_total", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("_block"))
+            .join(listed, "_block").select(b, "cur_total", F.explode("_classes").alias("_c"))
+            .select(b, F.col("_c.label").alias("label"), F.col("_c.ref_count").alias("ref_count"),
+                    F.lit(0).cast("long").alias("cur_count"), "cur_total"))
+    new = cells.where("is_new").select(b, "label", "ref_count", "cur_count", "cur_total")
+    seen = cells.where(~F.col("is_new")).select(b, "label", F.lit(0).cast("long").alias("ref_count"), "cur_count", "cur_total")
+    out = (zero.unionByName(seen).unionByName(new).groupBy(b, "label").agg(
+        F.sum("ref_count").alias("ref_count"), F.sum("cur_count").alias("cur_count"), F.max("cur_total").alias("cur_total"))
+        .withColumn("ref_share", F.col("ref_count") / F.lit(float(total)))
+        .withColumn("cur_share", F.col("cur_count") / F.col("cur_total"))
+        .select(b, "label", "ref_count", "cur_count", "ref_share", "cur_share", "cur_total"))
     return out if batch_col else out.drop(b)
 
 
-def class_count_table(reference: DataFrame, label_col: str) -> DataFrame:
-    return reference.groupBy(q(label_col).alias("label")).agg(F.count(F.lit(1)).alias("ref_count"))
-
-
 def chi2_drift(reference: DataFrame, current: DataFrame, label_col: str,
                batch_col: str | None = None, threshold: float = 0.05,
                ref_counts: DataFrame | None = None) -> DataFrame:
@@ -175,20 +212,30 @@ def chi2_drift(reference: DataFrame, current: DataFrame, label_col: str,
     """
     b = batch_col or _BATCH
     cur = current if batch_col else current.withColumn(b, F.lit(0))
-    counts = class_shift_counts(reference, cur, label_col, b, ref_counts)
-    exp = F.col("ref_share") * F.col("cur_total")
-    exp = F.when(exp == 0, F.lit(1e-10)).otherwise(exp)
-    res = (counts.groupBy(b).agg(
-        F.count(F.lit(1)).alias("n_classes"),
-        F.sum(F.pow(F.col("cur_count") - exp, 2) / exp).alias("statistic"))
-        .withColumn("dof", (F.col("n_classes") - 1).cast("long")))
-    res = (res.withColumn("p_value", F.when(F.col("dof") > 0,
-                                            chi2_sf(F.col("statistic"), F.col("dof"))))
-           .withColumn("has_drift", F.coalesce(F.col("p_value") < F.lit(threshold),
-                                               F.lit(False))))
+    if ref_counts is None:
+        ref_counts = class_count_table(reference, label_col)
+    res = chi2_of_counts(ref_counts, batch_classes(cur, label_col, b), b, threshold)
     return res if batch_col else res.drop(b)
 
 
+def chi2_of_counts(ref_counts: DataFrame, cur_counts: DataFrame, b: str, threshold: float = 0.05) -> DataFrame:
+    """``chi2_drift`` from count tables (label, ref_count) and (batch, label, cur_count).
+
+    Only cells with rows are formed. A class that a batch lacks adds its expected count, and
+    those of all such classes are the batch's total times the share of the reference that
+    lies in classes the batch lacks.
+    """
+    cells, n, classes = _present(ref_counts, cur_counts, b)
+    exp = F.when(F.col("is_new"), F.lit(1e-10)).otherwise(F.col("ref_count") / F.lit(float(n)) * F.col("cur_total"))
+    res = cells.groupBy(b).agg(
+        (F.lit(classes) + F.count_if("is_new")).alias("n_classes"),
+        (F.sum(F.pow(F.col("cur_count") - exp, 2) / exp)
+         + F.max("cur_total") * ((F.lit(n) - F.sum("ref_count")) / F.lit(float(n)))).alias("statistic"))
+    res = res.withColumn("dof", (F.col("n_classes") - 1).cast("long"))
+    return (res.withColumn("p_value", F.when(F.col("dof") > 0, chi2_sf(F.col("statistic"), F.col("dof"))))
+            .withColumn("has_drift", F.coalesce(F.col("p_value") < F.lit(threshold), F.lit(False))))
+
+
 class DriftMonitor:
     """Batch-by-batch drift checks against a fixed reference table.
 

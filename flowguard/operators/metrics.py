@@ -91,18 +91,23 @@ def classification_report(df: DataFrame | None, label_col: str = "label", pred_c
     return per.unionByName(tot.select(F.explode(rows).alias("r")).select("r.*"))
 
 
+#: Classes of one block of the class list.
+CLASS_BLOCK = 1000
+
+
 def confusion_matrix(df: DataFrame | None, label_col: str = "label", pred_col: str = "prediction",
                      counts: DataFrame | None = None) -> DataFrame:
-    """label, prediction, count over the union of classes; zero cells kept. The class
-    list is one aggregated row that is exploded twice, so the grid needs no join of
-    classes with classes; a null label or prediction is a class of its own."""
+    """label, prediction, count over the union of classes; zero cells kept. The class list is
+    dealt to blocks of about CLASS_BLOCK; every class meets every block once, so no row or
+    task holds all classes. A null label or prediction is a class of its own."""
     c = counts if counts is not None else cells(df, label_col, pred_col)
     name = lambda x: F.struct(F.col(x).isNull().alias("none"), F.col(x).alias("name"))
-    classes = c.select(F.explode(F.array(name("label"), name("prediction"))).alias("c")).agg(
-        F.collect_set("c").alias("all"))
-    grid = (classes.select("all", F.explode("all").alias("l")).select("l", F.explode("all").alias("p"))
-            .select(F.col("l.name").alias("label"), F.col("p.name").alias("prediction"),
-                    F.lit(0).cast("long").alias("count")))
+    classes = c.select(F.explode(F.array(name("label"), name("prediction"))).alias("c")).distinct()
+    blocks = max(1, -(-classes.count() // CLASS_BLOCK))
+    listed = classes.groupBy(F.pmod(F.xxhash64("c"), F.lit(blocks)).alias("_block")).agg(F.collect_list("c").alias("_known"))
+    grid = (classes.select("c", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("_block"))
+            .join(listed, "_block").select("c", F.explode("_known").alias("p"))
+            .select(F.col("c.name").alias("label"), F.col("p.name").alias("prediction"), F.lit(0).cast("long").alias("count")))
     return (grid.unionByName(c.select("label", "prediction", "count")).groupBy("label", "prediction")
             .agg(F.sum("count").alias("count")))
 

@@ -638,14 +638,14 @@ def random_search(spark, sf_dir):
 # ---------------------------------------------------------------- streaming (D4)
 
 def _stream_reports(spark, sf_dir):
-    """Flows written one file per day, streamed a few files per micro-batch; each
-    micro-batch is checked against the first seven days, per day."""
+    """Flows dealt to files by their key, so that every file holds rows of every day, streamed a
+    few files per micro-batch: a day is whole only after the last one."""
     from flowguard.streaming.drift_stream import start_drift_stream
     ref, cur = _ref_cur(spark, sf_dir)
     src = files.scratch_path(spark, "stream-src")
-    cur.repartition(FLOW_DAY).write.mode("overwrite").partitionBy(FLOW_DAY).parquet(src)
+    cur.repartition(6, FLOW_KEY).write.mode("overwrite").parquet(src)
     stream = (spark.readStream.schema(spark.read.parquet(src).schema)
-              .option("maxFilesPerTrigger", 4).parquet(src))
+              .option("maxFilesPerTrigger", 2).parquet(src))
     reports = files.scratch_path(spark, "stream-reports")
     q_ = start_drift_stream(stream, ref, FLOW_FEATURES, FLOW_DAY, reports,
                             files.scratch_path(spark, "stream-ckpt"), label_col=FLOW_LABEL)
@@ -655,16 +655,16 @@ def _stream_reports(spark, sf_dir):
 
 @register
 def drift_stream(spark, sf_dir):
-    """Feature drift of the stream: the same numbers as drift_by_day."""
+    """Feature drift of the stream after its last micro-batch: the same numbers as drift_by_day."""
     from flowguard.streaming.drift_stream import read_reports
-    return finalize(read_reports(spark, _stream_reports(spark, sf_dir)).drop("epoch"))
+    return finalize(read_reports(spark, _stream_reports(spark, sf_dir), batch_col=FLOW_DAY))
 
 
 @register
 def drift_stream_batches(spark, sf_dir):
     """Batch reports of the stream: data drift, class drift and needs_retraining by day."""
     from flowguard.streaming.drift_stream import read_reports
-    return finalize(read_reports(spark, _stream_reports(spark, sf_dir), "batches").drop("epoch"))
+    return finalize(read_reports(spark, _stream_reports(spark, sf_dir), "batches", FLOW_DAY))
 
 
 @register

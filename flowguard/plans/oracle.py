@@ -4,6 +4,7 @@ rounding floats to 6 places."""
 
 from __future__ import annotations
 
+from flowguard.functions.stats import EXACT_ROWS
 from flowguard.plans.standins import (CLEAN_SQL, DIRTY_SQL, FLOWS_SQL, REFERENCE_DAYS,
                                       RULE_SQL)
 
@@ -26,10 +27,25 @@ FLOW_LONG = """flow_long AS (
   WHERE v IS NOT NULL AND NOT isnan(v))"""
 
 
+# Exact two-sample tail: the chance v that a random lattice path to (n, m) comes to i on
+# diagonal k and has kept |i*m - j*n| < h so far, one diagonal a step.
+KS_EXACT = f"""few AS (SELECT b, feature, row_number() OVER () AS r, n_ref AS n, n_cur AS m,
+    CAST(round(statistic * n_ref * n_cur) AS BIGINT) AS h FROM st WHERE greatest(n_ref, n_cur) <= {EXACT_ROWS}),
+walk(r, k, i, v) AS (
+  SELECT r, CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(1 AS DOUBLE) FROM few WHERE h > 0
+  UNION ALL
+  SELECT r, k + 1, i, SUM(v) FROM (
+    SELECT w.r, w.k, few.n, few.m, few.h, unnest([w.i, w.i + 1]) AS i,
+           unnest([w.v * (1 - CAST(few.n - w.i AS DOUBLE) / (few.n + few.m - w.k)), w.v * CAST(few.n - w.i AS DOUBLE) / (few.n + few.m - w.k)]) AS v
+    FROM walk w JOIN few ON few.r = w.r WHERE w.k < few.n + few.m)
+  WHERE i <= n AND k + 1 - i <= m AND abs(i * (n + m) - (k + 1) * n) < h GROUP BY r, k, i),
+whole AS (SELECT walk.r, SUM(v) AS inside FROM walk JOIN few ON few.r = walk.r AND walk.k = few.n + few.m GROUP BY walk.r)"""
+
+
 def _ks_sql(ref_pred: str, cur_pred: str, batch: str | None) -> str:
     bsel = f"{batch} AS b" if batch else "0 AS b"
     out_b = f"CAST(b AS BIGINT) AS {batch}, " if batch else ""
-    return f"""WITH {FLOWS_SQL}, {FLOW_LONG},
+    return f"""WITH RECURSIVE {FLOWS_SQL}, {FLOW_LONG},
 rp AS (SELECT feature, v, COUNT(*) AS rc FROM flow_long WHERE {ref_pred} GROUP BY feature, v),
 cp AS (SELECT {bsel}, feature, v, COUNT(*) AS cc FROM flow_long WHERE {cur_pred} GROUP BY ALL),
 pts AS (SELECT feature, v, SUM(rc) AS rc FROM (
@@ -48,7 +64,10 @@ st AS (SELECT c.b, c.feature, CAST(nr.n_ref AS BIGINT) AS n_ref, CAST(nc.n_cur A
        FROM ccdf c JOIN rcdf r ON c.feature = r.feature AND c.v = r.v
        JOIN nr ON nr.feature = c.feature JOIN nc ON nc.b = c.b AND nc.feature = c.feature
        GROUP BY c.b, c.feature, nr.n_ref, nc.n_cur),
-pv AS (SELECT *, {ks_pvalue_sql('statistic', 'n_ref', 'n_cur')} AS p FROM st)
+{KS_EXACT},
+pv AS (SELECT st.*, CASE WHEN greatest(n_ref, n_cur) > {EXACT_ROWS} THEN {ks_pvalue_sql('statistic', 'n_ref', 'n_cur')}
+         WHEN h = 0 THEN 1 ELSE least(greatest(1 - coalesce(inside, 0), 0), 1) END AS p
+       FROM st LEFT JOIN few ON few.b = st.b AND few.feature = st.feature LEFT JOIN whole ON whole.r = few.r)
 SELECT {out_b}feature, n_ref, n_cur, ROUND(statistic, 6) AS statistic, ROUND(p, 6) AS p_value,
        p < 0.05 AS is_drifted
 FROM pv"""

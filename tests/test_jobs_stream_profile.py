@@ -134,3 +134,42 @@ def test_stream_reports_and_replay(spark, labelled):
     days = {r["day"]: (r["data_drift"], r["prediction_drift"], r["needs_retraining"])
             for r in read_reports(spark, out, "batches").collect()}
     assert days == {1: (False, False, False), 2: (True, True, True)}
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 0, 1)])
+def test_a_day_over_three_micro_batches(spark, order):
+    """Parts of both days in every file: the last report of a day equals the batch check of the
+    whole day, whatever the order; earlier ones do not stand."""
+    ref = spark.range(100).selectExpr("CAST(id AS DOUBLE) AS x", "CAST(id % 3 AS STRING) AS y")
+    cur = ref.selectExpr("x", "y", "1 AS day", "CAST(x / 34 AS INT) AS part").unionByName(
+        ref.selectExpr("x + 60 AS x", "'0' AS y", "2 AS day", "CAST(x / 34 AS INT) AS part")).unionByName(
+        spark.createDataFrame([(1.0, "0", None, 1)], "x double, y string, day int, part int"))
+    src, out, ck = (files.scratch_path(spark, f"t-parts{i}") for i in range(3))
+    for p in order:
+        cur.where(f"part = {p}").drop("part").coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(cur.drop("part").schema).parquet(src)
+        start_drift_stream(stream, ref, ["x"], "day", out, ck, label_col="y", compact_every=2).awaitTermination()
+    got = read_reports(spark, out, batch_col="day")
+    want = drift.ks_drift(ref, cur, ["x"], batch_col="day")
+    assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+    assert read_reports(spark, out).count() == 6
+    batches = {r["day"]: r for r in read_reports(spark, out, "batches", "day").collect()}
+    chi = {r["day"]: r for r in drift.chi2_drift(ref, cur.where("day is not null"), "y", "day").collect()}
+    assert {d: (r["data_drift"], r["needs_retraining"]) for d, r in batches.items()} == {1: (False, False), 2: (True, True)}
+    assert all(abs(batches[d]["chi2_statistic"] - chi[d]["statistic"]) < 1e-9 for d in (1, 2))
+
+
+def test_count_state_replays_and_compacts(spark):
+    from flowguard.streaming.drift_stream import CountState
+    path = files.scratch_path(spark, "t-state")
+    state = CountState(spark, path, "day", ["label"], "n", compact_every=2)
+
+    def add(epoch, rows):
+        df = spark.createDataFrame(rows, "day int, label string, n long")
+        return sorted(map(tuple, state.add(epoch, df, df.select("day").distinct()).collect()))
+    assert add(0, [(1, "a", 2), (2, None, 5)]) == [(1, "a", 2), (2, None, 5)]
+    assert add(1, [(1, "a", 1), (1, "b", 1)]) == [(1, "a", 3), (1, "b", 1)]
+    assert add(2, [(2, None, 1)]) == [(2, None, 6)]
+    assert add(1, [(1, "a", 1), (1, "b", 1)]) == [(1, "a", 3), (1, "b", 1)]      # replayed after epoch 2
+    assert add(3, [(1, "b", 4)]) == [(1, "a", 3), (1, "b", 5)]
+    assert state._folders("upto") == [1, 3]

@@ -36,3 +36,14 @@ def test_normalized_rows_sum_to_one(spark):
     rows = metrics.confusion_matrix_norm(cm).collect()
     for lab in "abc":
         assert abs(sum(r["share"] for r in rows if r["label"] == lab) - 1.0) < 1e-12
+
+
+def test_matrix_from_blocks_of_the_class_list(spark, monkeypatch):
+    from flowguard.operators import metrics
+    monkeypatch.setattr(metrics, "CLASS_BLOCK", 2)
+    rows = [("a", "b"), ("a", "a"), ("c", None), ("d", "e"), ("a", "b")]
+    got = {(r["label"], r["prediction"]): r["count"] for r in metrics.confusion_matrix(
+        spark.createDataFrame(rows, "y string, p string"), "y", "p").collect()}
+    names = ["a", "b", "c", "d", "e", None]
+    assert got == {(x, y): rows.count((x, y)) for x in names for y in names}
+    assert metrics.confusion_matrix(spark.createDataFrame([], "y string, p string"), "y", "p").collect() == []
