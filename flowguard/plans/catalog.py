@@ -91,12 +91,25 @@ def chi2_drift(spark, sf_dir):
 # ---------------------------------------------------------- sources, cleaning (S, P)
 
 def _mixed_csv(spark, sf_dir):
-    """One folder of CSV files with two headers: the second lacks user_id and has its
-    columns in another order."""
+    """One folder of CSV files with three headers: the second lacks user_id and has its
+    columns in another order; the third names ``value`` twice."""
     fl = flows(spark, sf_dir)
     path = files.scratch_path(spark, "csv")
     files.write_csv(fl.where(F.col(FLOW_DAY) < 15), path)
-    files.write_csv(fl.where(F.col(FLOW_DAY) >= 15).select("Label", "k", "value", FLOW_DAY, FLOW_KEY), path, "append")
+    some = ["Label", "k", "value", FLOW_DAY, FLOW_KEY]
+    files.write_csv(fl.where(F.col(FLOW_DAY).between(15, 21)).select(*some), path, "append")
+    # a header with a repeated name ahead of the lines of every file
+    header = ",".join([*some, "value"])
+
+    def headed(batches):
+        import pyarrow as pa
+        yield pa.RecordBatch.from_pydict({"value": [header]})
+        yield from batches
+    last = fl.where(F.col(FLOW_DAY) > 21).withColumn("more", F.col("k") * 2)
+    lines = last.select(F.to_csv(F.struct(*some, "more")).alias("value")).mapInArrow(headed, "value string")
+    # the unquoted, delimiter-free CSV writer passes lines on as they are
+    (lines.write.mode("append").option("header", False).option("quote", "").option("delimiter", "\u0001")
+     .option("escapeQuotes", False).csv(path))
     return path, fl.schema
 
 

@@ -127,6 +127,9 @@ SELECT CAST(flow_id AS BIGINT) AS flow_id, CAST(Day AS BIGINT) AS Day, value,
        CASE WHEN Day < 15 THEN user_id END AS user_id, k, Label
 FROM flows"""
 ORACLE["csv_union_schema"] = ORACLE["csv_union"]
+# with types found every column is kept, the second "value" of the last files under its own name
+ORACLE["csv_union"] = ORACLE["csv_union"].replace(
+    "k, Label", 'k, Label, CASE WHEN Day > 21 THEN k * 2 END AS "value.1"')
 
 ORACLE["clean_flows"] = f"""WITH {FLOWS_SQL}, {DIRTY_SQL}, {CLEAN_SQL}
 SELECT {FLOW_COLS_SQL} FROM clean"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import csv
 import uuid
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -35,10 +36,28 @@ def list_files_exist(spark: SparkSession, path: str, glob: str = "*.csv") -> boo
         raise
 
 
+def distinct_names(header: Sequence[str]) -> list[str]:
+    """Column names of a header in which names may repeat: the first keeps its name, later ones
+    become ``name.1``, ``name.2`` and so on, past names that the header has itself."""
+    out, taken = [], set(header)
+    seen: set[str] = set()
+    for name in header:
+        if name in seen:
+            k = 1
+            while f"{name}.{k}" in taken:
+                k += 1
+            name = f"{name}.{k}"
+            taken.add(name)
+        seen.add(name)
+        out.append(name)
+    return out
+
+
 def csv_headers(spark: SparkSession, path: str, glob: str = "*.csv") -> list[tuple[tuple[str, ...], str]]:
     """(header, name pattern) of the header groups of a folder, by their first file. One
     distributed job scans the first block of every file for its first line; the driver
-    gets one row per distinct header with the names of its files."""
+    gets one row per distinct header with the names of its files. Repeated names are told
+    apart by ``distinct_names``; a header that goes on in the next line is an error."""
     first = (spark.read.option("pathGlobFilter", glob).text(path)
              .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
                      F.col("value"), F.monotonically_increasing_id().alias("n"))
@@ -46,8 +65,10 @@ def csv_headers(spark: SparkSession, path: str, glob: str = "*.csv") -> list[tup
     groups = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
     out = []
     for r in sorted(groups, key=lambda r: r["files"][0]):
-        names = next(csv.reader([r["header"].lstrip("\ufeff")]))
-        out.append((tuple(names), r["files"]))
+        line = r["header"].lstrip("\ufeff")
+        if line.count('"') % 2:
+            raise ValueError(f"the header of {r['files'][0]} goes on in the next line")
+        out.append((tuple(distinct_names(next(csv.reader([line])))), r["files"]))
     return out
 
 
@@ -80,7 +101,8 @@ def load_csv_files(spark: SparkSession, path: str, schema: T.StructType | None =
     group is null there). A given ``schema`` is applied by name: each group is read with
     the fields in the order of its header, and the result has the schema's columns in
     its order. Without one, text is read and types are found in one aggregate per group;
-    a numeric column with missing-value tokens is numeric, the tokens null.
+    a numeric column with missing-value tokens is numeric, the tokens null. Columns are read by
+    position under the names of ``distinct_names``, so a header may repeat a name.
     ``day_from_name`` adds a column with the day name that leads the file name.
     """
     groups = csv_headers(spark, path) if list_files_exist(spark, path) else []
@@ -89,8 +111,6 @@ def load_csv_files(spark: SparkSession, path: str, schema: T.StructType | None =
     wanted = {f.name: f.dataType for f in schema.fields} if schema is not None else None
     parts = []
     for header, group in groups:
-        if len(set(header)) != len(header):
-            raise ValueError(f"repeated column names in the header of {group[0]}")
         text = T.StructType([T.StructField(c, T.StringType()) for c in header])
         own = text if wanted is None else T.StructType(
             [T.StructField(c, wanted.get(c, T.StringType())) for c in header])

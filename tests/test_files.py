@@ -71,3 +71,24 @@ def test_unknown_days_are_all_listed(spark):
     with pytest.raises(ValueError) as e:
         add_day_column(df, "d")
     assert all(f"day{i:02d}" in str(e.value) for i in range(30))
+
+
+def test_header_with_repeated_names(spark):
+    path = files.scratch_path(spark, "t-rep")
+    put(spark, path, "a.csv", "Len,x,Len,Len,Len.1\n1,a,2,3,4\n5,b,NA,7,8\n")
+    put(spark, path, "b.csv", "x,Len\nc,9\n")
+    got = files.load_csv_files(spark, path, keep_source=False)
+    assert got.columns == ["Len", "x", "Len.2", "Len.3", "Len.1"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [(1, "a", 2, 3, 4), (5, "b", None, 7, 8), (9, "c", None, None, None)], key=str)
+    schema = T.StructType([T.StructField("Len.2", T.LongType()), T.StructField("x", T.StringType())])
+    assert {tuple(r) for r in files.load_csv_files(spark, path, schema=schema, keep_source=False).collect()} == {
+        (2, "a"), (None, "b"), (None, "c")}
+    assert files.distinct_names(["a", "a", "b", "a"]) == ["a", "a.1", "b", "a.2"]
+
+
+def test_header_over_two_lines_is_an_error(spark):
+    path = files.scratch_path(spark, "t-lines")
+    put(spark, path, "a.csv", 'a,"b\nc"\n1,2\n')
+    with pytest.raises(ValueError, match="next line"):
+        files.load_csv_files(spark, path)
