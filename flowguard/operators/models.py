@@ -2,8 +2,8 @@
 scaling, the learners the reference uses, scoring, class probabilities, and
 saving / loading with metadata.
 
-The learners are MLlib's; this module is the table work around them. Labels are
-indexed in sorted order (as the reference's library sorts classes) and mapped
+Logistic regression and forests are MLlib's, joint boosting is ``operators/boosting.py``;
+this module is the table work around them. Labels are indexed in sorted order (as the reference's library sorts classes) and mapped
 back to names after prediction.
 """
 
@@ -15,8 +15,7 @@ from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression, OneVsRest,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, Param, Params, TypeConverters
@@ -25,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowguard.functions.columns import q
+from flowguard.operators.boosting import SoftmaxBoosting
 
 LABEL_IDX = "label_idx"
 FEATURES = "features"
@@ -95,11 +95,7 @@ def make_estimator(kind: str, n_rows: int | None = None, **p):
                                       featureSubsetStrategy=p.pop("featureSubsetStrategy", "sqrt"),
                                       seed=p.pop("seed", 42), **common, **p)
     if kind == "boosting":
-        gbt = GBTClassifier(maxIter=p.pop("maxIter", 100), maxDepth=p.pop("maxDepth", 3),
-                            stepSize=p.pop("stepSize", 0.1),
-                            subsamplingRate=p.pop("subsamplingRate", 1.0),
-                            seed=p.pop("seed", 42), **p)
-        return OneVsRest(classifier=gbt, **common)
+        return SoftmaxBoosting(**{"maxIter": 100, "maxDepth": 3, "stepSize": 0.1, "seed": 42, **common, **p})
     raise ValueError(f"unknown model kind: {kind}")
 
 
@@ -139,7 +135,9 @@ def score(model: PipelineModel, df: DataFrame, label_col: str | None = None) ->
 def class_probabilities(model: PipelineModel, scored: DataFrame, key_cols: Sequence[str]
                         ) -> DataFrame:
     """key..., class, probability: one row per (row, class), from the probability
-    vector and the class names of the model."""
+    vector and the class names of the model. A learner without probabilities is an error."""
+    if "probability" not in scored.columns:
+        raise ValueError(f"{type(model.stages[-2]).__name__} gives no class probabilities")
     names = F.array(*[F.lit(c) for c in model_classes(model)])
     probs = vector_to_array(F.col("probability"))
     return (scored.select(*[q(k) for k in key_cols],

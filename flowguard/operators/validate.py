@@ -10,11 +10,13 @@ comes from the union of those small tables.
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -122,24 +124,69 @@ def walk_forward_scores(df: DataFrame, day_col: str, label_col: str, features: S
 
 # ------------------------------------------------------------ F1 importance selection
 
-def importance_table(model, features: Sequence[str]) -> list[tuple[str, float]]:
-    """(feature, importance) from the fitted learner (one number per feature)."""
+def _spread(model, features: Sequence[str], train: DataFrame | None) -> list[float]:
+    """Population std of every feature as the learner saw it: 1 behind the pipeline's scaler, and
+    where no table is given."""
+    if train is None or any(isinstance(s, models.PopulationScalerModel) for s in model.stages):
+        return [1.0] * len(features)
+    row = train.agg(*[F.stddev_pop(q(f)).alias(f"s{i}") for i, f in enumerate(features)]).first()
+    return [float(v or 0.0) for v in row]
+
+
+def _learner_importances(learner, spread: Sequence[float]) -> list[float] | None:
+    """One number a feature: the learner's own importances; of a linear one the norm over classes
+    of its coefficients, each for a step of one std; of a one-against-rest learner the
+    mean of its members' shares. None if it has none of these."""
+    if hasattr(learner, "models"):
+        members = [_learner_importances(m, spread) for m in learner.models]
+        if not members or any(m is None for m in members):
+            return None
+        shares = [[v / (sum(m) or 1.0) for v in m] for m in members]
+        return [sum(col) / len(shares) for col in zip(*shares)]
+    if hasattr(learner, "featureImportances"):
+        return [float(x) for x in learner.featureImportances.toArray()]
+    if hasattr(learner, "coefficientMatrix"):
+        rows = learner.coefficientMatrix.toArray()
+    elif hasattr(learner, "coefficients"):
+        rows = [learner.coefficients.toArray()]
+    else:
+        return None
+    return [float(sum((r[i] * s) ** 2 for r in rows) ** 0.5) for i, s in enumerate(spread)]
+
+
+def importance_table(model, features: Sequence[str], train: DataFrame | None = None, key_col: str | None = None,
+                     label_col: str | None = None, n_repeats: int = 5, seed: int = 42) -> list[tuple[str, float]]:
+    """(feature, importance) of any fitted pipeline, one number per feature.
+
+    ``train`` gives linear learners the features' spread (without it their coefficients are taken
+    as they are). A learner with neither importances nor coefficients gets permutation
+    importances on ``train``, for which ``key_col`` and ``label_col`` are needed.
+    """
     learner = model.stages[-2]
-    imp = learner.featureImportances.toArray()
-    return list(zip(features, [float(x) for x in imp]))
+    linear = not hasattr(learner, "featureImportances")
+    imp = _learner_importances(learner, _spread(model, features, train if linear else None))
+    if imp is None:
+        if train is None or key_col is None or label_col is None:
+            raise ValueError(f"{type(learner).__name__} has no importances; give the table, key and label to permute")
+        rows = permutation_importance(model, train, key_col, label_col, features, n_repeats, seed).collect()
+        found = {r["feature"]: float(r["importance_mean"]) for r in rows}
+        imp = [found[f] for f in features]
+    return list(zip(features, imp))
 
 
 def select_by_importance(train: DataFrame, label_col: str, features: Sequence[str],
                          n_trees: int = 100, max_depth: int = 15, seed: int = 42,
-                         threshold: str | float = "median",
-                         factory: EstimatorFactory | None = None) -> DataFrame:
+                         threshold: str | float = "median", factory: EstimatorFactory | None = None,
+                         key_col: str | None = None, model=None) -> DataFrame:
     """feature, importance, selected: importances of a forest (or of ``factory``'s
-    learner) fitted on the training side; keep importance >= median (or >= a number)."""
+    learner, or of a fitted ``model``) on the training side; keep importance >= median (or >= a
+    number). ``key_col`` is needed for learners whose importances are permuted."""
     import statistics
-    learner = factory() if factory is not None else models.make_estimator(
-        "forest", numTrees=n_trees, maxDepth=max_depth, seed=seed)
-    model = models.fit_pipeline(train, features, label_col, learner)
-    imp = importance_table(model, features)
+    if model is None:
+        learner = factory() if factory is not None else models.make_estimator(
+            "forest", numTrees=n_trees, maxDepth=max_depth, seed=seed)
+        model = models.fit_pipeline(train, features, label_col, learner)
+    imp = importance_table(model, features, train, key_col, label_col, seed=seed)
     cut = statistics.median(v for _, v in imp) if threshold == "median" else float(threshold)
     rows = [(f, v, v >= cut) for f, v in imp]
     return train.sparkSession.createDataFrame(rows, "feature string, importance double, "
@@ -150,11 +197,13 @@ def select_by_importance(train: DataFrame, label_col: str, features: Sequence[st
 
 def rfecv(df: DataFrame, key_col: str, label_col: str, features: Sequence[str],
           factory: EstimatorFactory, min_features: int = 5, cv: int = 3, seed: int = 42,
-          scoring: str = "f1_macro") -> tuple[DataFrame, DataFrame]:
-    """(ranking, scores). In each fold the weakest feature (lowest importance)
+          scoring: str = "f1_macro", full_model=None) -> tuple[DataFrame, DataFrame]:
+    """(ranking, scores). In each fold the weakest feature (lowest importance, whatever the
+    learner: see ``importance_table``)
     is dropped one at a time down to ``min_features``, scoring ``scoring`` on the
     held-out fold at each size; the best mean size wins (smaller on a tie); a
-    final elimination on all rows gives the ranking (1 = kept)."""
+    final elimination on all rows gives the ranking (1 = kept). ``full_model`` spares its first
+    fit, of all features on all rows."""
     check_scoring(scoring)
     feats = list(features)
     min_features = max(1, min(min_features, len(feats)))
@@ -169,11 +218,13 @@ def rfecv(df: DataFrame, key_col: str, label_col: str, features: Sequence[str],
                 out.append((len(cur), _score_of(_counts(m, test, label_col), scoring)))
             if len(cur) <= min_features:
                 return out, order, cur
-            imp = importance_table(m, cur)
-            weakest = min(imp, key=lambda t: (t[1], t[0]))[0]
+            weakest = weakest_of(m, cur, train)
             order.append(weakest)
             cur = [f for f in cur if f != weakest]
 
+    def weakest_of(m, cur, rows):
+        return min(importance_table(m, cur, rows, key_col, label_col, seed=seed), key=lambda t: (t[1], t[0]))[0]
+
     per_fold = _pmap(lambda i: path(folded.where(F.col("fold") != i),
                                     folded.where(F.col("fold") == i))[0], list(range(cv)))
     folded.unpersist()
@@ -186,8 +237,8 @@ def rfecv(df: DataFrame, key_col: str, label_col: str, features: Sequence[str],
     # final elimination on all rows down to the best size
     cur, order = list(feats), []
     while len(cur) > best:
-        m = _fit(df, cur, label_col, factory)
-        weakest = min(importance_table(m, cur), key=lambda t: (t[1], t[0]))[0]
+        m = full_model if full_model is not None and len(cur) == len(feats) else _fit(df, cur, label_col, factory)
+        weakest = weakest_of(m, cur, df)
         order.append(weakest)
         cur = [f for f in cur if f != weakest]
     rank = {f: 1 for f in cur}
@@ -204,17 +255,51 @@ def rfecv(df: DataFrame, key_col: str, label_col: str, features: Sequence[str],
 PAIR_BLOCK = 16
 
 
-def position_map(n: int, seed: int, feature: str, repeat: int) -> tuple[int, int]:
-    """(a, c) of the one-to-one map i -> (a*i + c) mod n of 0..n-1, drawn from the md5 of
-    seed, feature and repeat; a is the first number from the draw on that is coprime
-    to n."""
+#: Rounds of a seeded permutation of positions, and the prime its round function counts by.
+ROUNDS, PRIME = 6, 2 ** 31 - 1
+
+
+def position_keys(seed: int, feature: str, repeat: int) -> list[int]:
+    """Round keys of a (feature, repeat): five hex digits each of an md5."""
     import hashlib
-    import math
     h = hashlib.md5(f"{seed}:{feature}:{repeat}".encode()).hexdigest()
-    a, c = int(h[:12], 16) % n, int(h[12:24], 16) % n
-    while math.gcd(a, n) != 1:
-        a += 1
-    return a, c
+    return [int(h[5 * i:5 * i + 5], 16) for i in range(ROUNDS)]
+
+
+def permuted_positions(pos, n: int, keys: Sequence[int]):
+    """A seeded one-to-one map of 0..n-1 onto itself, without a sort: a Feistel network on the
+    two digits of a position in a number system of a x b >= n places; places of n and
+    more are mapped on until they fall below n. Numpy arrays of 64-bit integers."""
+    import numpy as np
+    a = math.isqrt(max(n - 1, 0)) + 1
+    b = -(-n // a)
+
+    def mixed(x, key):
+        y = (x * 1103515245 + key * 12345 + 1) % PRIME
+        z = y * y % PRIME
+        return (z * 69069 + y) % PRIME
+
+    out = np.array(pos, dtype=np.int64)
+    todo = np.arange(len(out))
+    while len(todo):
+        left, right = out[todo] // b, out[todo] % b
+        for i, key in enumerate(keys):
+            if i % 2:
+                right = (right + mixed(left, key)) % b
+            else:
+                left = (left + mixed(right, key)) % a
+        out[todo] = left * b + right
+        todo = todo[out[todo] >= n]
+    return out
+
+
+def _moves(n: int, keys: list[list[int]]):
+    """Column function: the (pair, position) a position is mapped to, for every pair's keys."""
+    @F.pandas_udf("array<struct<pair:int,to:bigint>>")
+    def moves(pos: pd.Series) -> pd.Series:
+        to = [permuted_positions(pos.to_numpy(), n, k).tolist() for k in keys]
+        return pd.Series([[{"pair": i, "to": v} for i, v in enumerate(row)] for row in zip(*to)])
+    return moves
 
 
 def permutation_importance(model, df: DataFrame, key_col: str, label_col: str,
@@ -222,9 +307,10 @@ def permutation_importance(model, df: DataFrame, key_col: str, label_col: str,
                            threshold: float = 0.001) -> DataFrame:
     """feature, importance_mean, importance_std (population), rank, selected.
 
-    Rows are ranked by key once. A (feature, repeat) pair is a seeded one-to-one map of
-    positions: the row at position i gets the feature's value from position
-    (a*i + c) mod n, so a pair needs a join on the position and no sort. Pairs are
+    Rows are ranked by key once. A (feature, repeat) pair is a seeded random permutation of
+    positions (``permuted_positions``): the row at position i gets the feature's value from the
+    position i is mapped to, so a pair needs a join on the position and no sort. What is
+    joined are (pair, row, position) and the values, and they meet the rows again by row. Pairs are
     scored in blocks of PAIR_BLOCK.
     """
     feats = list(features)
@@ -238,18 +324,20 @@ def permutation_importance(model, df: DataFrame, key_col: str, label_col: str,
     pairs = [(f, r) for f in feats for r in range(n_repeats)]
     accs = []
     for at in range(0, len(pairs), PAIR_BLOCK):
-        block = [(f, r, *position_map(n, seed, f, r)) for f, r in pairs[at:at + PAIR_BLOCK]]
-        each = F.explode(F.array(*[F.struct(
-            F.lit(f).alias("f"), F.lit(r).alias("r"),
-            F.expr(f"CAST((CAST({a} AS DECIMAL(20,0)) * _pos + {c}) % {n} AS BIGINT)").alias("to"))
-            for f, r, a, c in block]))
-        asked = ranked.select("*", each.alias("p")).select("*", "p.f", "p.r", "p.to").drop("p", "_pos")
-        own = sorted({f for f, *_ in block}, key=feats.index)
-        values = ranked.select(F.col("_pos").alias("to"), *[q(f).alias(f"_v{feats.index(f)}") for f in own])
-        rows = asked.join(values, "to").select("f", "r", label_col, *[
-            F.when(F.col("f") == f, F.col(f"_v{feats.index(f)}")).otherwise(q(f)).alias(f) if f in own else q(f)
-            for f in feats])
-        accs.append(checkpointed(models.score(model, rows, label_col).groupBy("f", "r").agg(F.avg(hit).alias("acc"))))
+        block = [(i, f, r, position_keys(seed, f, r)) for i, (f, r) in enumerate(pairs[at:at + PAIR_BLOCK])]
+        moved = F.explode(_moves(n, [keys for *_, keys in block])(F.col("_pos")))
+        asked = ranked.select("_pos", moved.alias("m")).select("_pos", "m.pair", "m.to")
+        own = sorted({f for _, f, _, _ in block}, key=feats.index)
+        values = ranked.select(F.col("_pos").alias("to"), *[q(f).cast("double").alias(f"_v{feats.index(f)}") for f in own])
+        new = F.coalesce(*[F.when(F.col("pair").isin([i for i, g, _, _ in block if g == f]), F.col(f"_v{feats.index(f)}"))
+                           for f in own])
+        sent = asked.join(values, "to").select("_pos", "pair", new.alias("_new"))
+        rows = sent.join(ranked, "_pos").select("pair", label_col, *[
+            F.when(F.col("pair").isin([i for i, g, _, _ in block if g == f]), F.col("_new")).otherwise(q(f)).alias(f)
+            if f in own else q(f) for f in feats])
+        names = df.sparkSession.createDataFrame([(i, f, r) for i, f, r, _ in block], "pair int, f string, r int")
+        accs.append(checkpointed(models.score(model, rows, label_col).groupBy("pair").agg(F.avg(hit).alias("acc"))
+                                 .join(F.broadcast(names), "pair").select("f", "r", "acc")))
     imp = (_union(accs).groupBy(F.col("f").alias("feature"))
            .agg(F.avg(F.lit(base_acc) - F.col("acc")).alias("importance_mean"),
                 F.stddev_pop(F.lit(base_acc) - F.col("acc")).alias("importance_std")))
@@ -267,11 +355,11 @@ def compare_selectors(df: DataFrame, key_col: str, label_col: str, features: Seq
     """method, n_features, cv_f1 (macro F1 over ``cv`` folds, rounded to 4) for
     the importance-median, RFECV and permutation selections, each with ``factory``'s
     learner. A method that keeps no feature has 0 features and a null score."""
+    m = _fit(df, features, label_col, factory)      # one fit on all rows and features for all three
     sel_imp = [r["feature"] for r in select_by_importance(
-        df, label_col, features, seed=seed, factory=factory).where("selected").collect()]
-    ranking, _ = rfecv(df, key_col, label_col, features, factory, min_features, cv, seed)
+        df, label_col, features, seed=seed, key_col=key_col, model=m).where("selected").collect()]
+    ranking, _ = rfecv(df, key_col, label_col, features, factory, min_features, cv, seed, full_model=m)
     sel_rfe = [r["feature"] for r in ranking.where("selected").collect()]
-    m = _fit(df, features, label_col, factory)
     pi = permutation_importance(m, df, key_col, label_col, features, n_repeats, seed)
     sel_pi = [r["feature"] for r in pi.where("selected").collect()]
     folded = split.stratified_folds(df, label_col, key_col, cv, seed).persist(StorageLevel.MEMORY_AND_DISK)
@@ -308,13 +396,15 @@ BOOSTING_SPACE = {
 
 
 def spark_params(kind: str, setting: Mapping) -> dict:
-    """Map a reference-style setting to MLlib parameters: depth None -> 30 (the
-    MLlib limit); min_samples_split has no MLlib twin, so the leaf minimum is
-    raised to ceil(split / 2) (stricter, never looser)."""
+    """Map a reference-style setting to the learner's parameters: depth None -> 30 (the
+    MLlib limit). MLlib's forest has no min_samples_split, so its leaf minimum is
+    raised to ceil(split / 2) (stricter, never looser); boosting has it."""
     p = {}
     leaf = int(setting.get("min_samples_leaf", 1))
-    if "min_samples_split" in setting:
+    if "min_samples_split" in setting and kind == "forest":
         leaf = max(leaf, -(-int(setting["min_samples_split"]) // 2))
+    elif "min_samples_split" in setting:
+        p["minSamplesSplit"] = int(setting["min_samples_split"])
     p["minInstancesPerNode"] = leaf
     if "max_depth" in setting:
         p["maxDepth"] = 30 if setting["max_depth"] is None else min(int(setting["max_depth"]), 30)

@@ -617,14 +617,13 @@ def permutation_importance(spark, sf_dir):
 
 @register
 def permutation_rule(spark, sf_dir):
-    """The same operator with the fixed rule as the model: exact importances."""
+    """The same operator with the fixed rule as the model, ten repeats: exact importances and ranks."""
     from pyspark.ml import PipelineModel
     from pyspark.ml.feature import SQLTransformer
     rule = SQLTransformer(statement=f"SELECT *, {RULE_SQL} AS {models.PRED_LABEL} FROM __THIS__")
     # the first stage stands for the label indexer, which scoring skips
     model = PipelineModel([rule, rule])
-    return finalize(validate.permutation_importance(model, flows(spark, sf_dir), FLOW_KEY, FLOW_LABEL,
-                                                    FLOW_FEATURES, n_repeats=3).drop("rank"))
+    return finalize(validate.permutation_importance(model, flows(spark, sf_dir), FLOW_KEY, FLOW_LABEL, FLOW_FEATURES))
 
 
 @register

@@ -597,22 +597,31 @@ ORACLE["compare_selectors"] = """SELECT unnest(['importance_median', 'rfecv', 'p
 ORACLE["random_search"] = """SELECT CAST(unnest([0, 1]) AS BIGINT) AS setting_id, true AS scores_valid, true AS ranked"""
 
 
-def _permuted(feature: str, repeat: int) -> str:
-    """Accuracy of the rule with one feature's values moved along the seeded map of positions."""
-    h = f"md5('42:{feature}:{repeat}')"
-    moved = RULE_SQL.replace("value", "pv") if feature == "value" else RULE_SQL
-    return f"""SELECT '{feature}' AS feature, AVG(CASE WHEN x.Label = ({moved.replace("value", "x.value") if feature != "value"
-        else moved.replace("pv", "y.value")}) THEN 1.0 ELSE 0.0 END) AS acc
-FROM (SELECT p.*, (CAST(m.a AS HUGEINT) * p.pos + m.c) % m.n AS target FROM pos p,
-       (SELECT n, c, list_filter(range(a0, a0 + 1000), lambda z: gcd(z, n) = 1)[1] AS a FROM (
-          SELECT n, CAST('0x' || substr({h}, 1, 12) AS BIGINT) % n AS a0,
-                 CAST('0x' || substr({h}, 13, 12) AS BIGINT) % n AS c FROM (SELECT COUNT(*) AS n FROM flows))) m) x
-JOIN pos y ON y.pos = x.target"""
-
-
-ORACLE["permutation_rule"] = f"""WITH {FLOWS_SQL},
-pos AS (SELECT *, row_number() OVER (ORDER BY flow_id) - 1 AS pos FROM flows),
+def _walk_step() -> str:
+    """One pass of the position map: six rounds on the digits l, r of base b, keys in a list."""
+    def mixed(x: str, i: int) -> str:
+        y = f"(({x} * 1103515245 + keys[{i + 1}] * 12345 + 1) % 2147483647)"
+        return f"((({y} * {y} % 2147483647) * 69069 + {y}) % 2147483647)"
+    inner = "SELECT f, rep, i, keys, n, a, b, x // b AS l, x % b AS r FROM walk WHERE NOT done"
+    for i in range(6):
+        new = f"l, (r + {mixed('l', i)}) % b AS r" if i % 2 else f"(l + {mixed('r', i)}) % a AS l, r"
+        inner = f"SELECT f, rep, i, keys, n, a, b, {new} FROM ({inner})"
+    return f"SELECT f, rep, i, keys, n, a, b, l * b + r AS x, l * b + r < n AS done FROM ({inner})"
+
+
+_MOVED = {f: RULE_SQL.replace("value", "y.value") if f == "value" else RULE_SQL.replace("value", "p.value")
+          for f in ("value", "user_id", "k")}
+ORACLE["permutation_rule"] = f"""WITH RECURSIVE {FLOWS_SQL},
+pos AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY flow_id) - 1 AS i FROM flows),
 base AS (SELECT AVG(CASE WHEN Label = ({RULE_SQL}) THEN 1.0 ELSE 0.0 END) AS acc0 FROM flows),
-runs AS ({" UNION ALL ".join(_permuted(f, r) for f in ("value", "user_id", "k") for r in range(3))})
+size AS (SELECT n, a, (n + a - 1) // a AS b FROM (SELECT n, CAST(ceil(sqrt(n)) AS BIGINT) AS a FROM (SELECT COUNT(*) AS n FROM flows))),
+pairs AS (SELECT f, rep, list_transform(range(0, 6), lambda j: CAST('0x' || substr(h, 5 * j + 1, 5) AS BIGINT)) AS keys FROM (
+  SELECT f, rep, md5('42:' || f || ':' || rep) AS h FROM (SELECT unnest(['value', 'user_id', 'k']) AS f), range(0, 10) t(rep))),
+walk(f, rep, i, keys, n, a, b, x, done) AS (
+  SELECT f, rep, i, keys, n, a, b, i, false FROM pos, pairs, size
+  UNION ALL {_walk_step()}),
+runs AS (SELECT w.f AS feature, w.rep, AVG(CASE WHEN p.Label = (CASE w.f {" ".join(f"WHEN '{f}' THEN {m}" for f, m in _MOVED.items())} END)
+    THEN 1.0 ELSE 0.0 END) AS acc FROM walk w JOIN pos p ON p.i = w.i JOIN pos y ON y.i = w.x WHERE done GROUP BY ALL)
 SELECT feature, ROUND(AVG(acc0 - acc), 6) AS importance_mean, ROUND(STDDEV_POP(acc0 - acc), 6) AS importance_std,
+  CAST(row_number() OVER (ORDER BY AVG(acc0 - acc) DESC, feature) AS BIGINT) AS rank,
   AVG(acc0 - acc) >= 0.001 AS selected FROM runs, base GROUP BY feature"""

@@ -64,8 +64,7 @@ def test_permutation_importance_equals_brute_force(spark, wide):
     base = np.mean((f0 > 1.5) == truth)
     drops = []
     for r in range(4):
-        a, c = validate.position_map(240, 9, "f0", r)
-        order = (a * np.arange(240) + c) % 240
+        order = validate.permuted_positions(np.arange(240), 240, validate.position_keys(9, "f0", r))
         assert sorted(order) == list(range(240))
         drops.append(base - np.mean((f0[order] > 1.5) == truth))
     assert abs(got["f0"]["importance_mean"] - np.mean(drops)) < 1e-9
@@ -73,6 +72,26 @@ def test_permutation_importance_equals_brute_force(spark, wide):
     assert all(got[f]["importance_mean"] == 0 and not got[f]["selected"] for f in FEATS[1:])
 
 
+def test_positions_are_permuted_at_random():
+    keys = validate.position_keys(42, "f", 0)
+    for n in (0, 1, 2, 3, 7, 10, 100, 101, 5000):
+        assert sorted(validate.permuted_positions(np.arange(n), n, keys)) == list(range(n))
+    n = 4000
+    # a value that grows with the position, and one with a period, are shuffled: no correlation
+    # with the value before, and neighbours do not stay at one distance
+    corr, steps = [], set()
+    for r in range(20):
+        to = validate.permuted_positions(np.arange(n), n, validate.position_keys(1, "f", r))
+        corr.append(np.corrcoef(np.arange(n), to)[0, 1])
+        wave = np.sin(np.arange(n) / 50)
+        corr.append(np.corrcoef(wave, wave[to])[0, 1])
+        steps.add(len(set(np.diff(to).tolist())))
+    assert max(map(abs, corr)) < 0.08 and abs(np.mean(corr)) < 0.02 and min(steps) > 1500
+    # places are hit evenly: the mean of where one position goes is the middle
+    first = [int(validate.permuted_positions(np.array([0]), n, validate.position_keys(2, "g", r))[0]) for r in range(300)]
+    assert abs(np.mean(first) - n / 2) < n / 8 and len(set(first)) > 250
+
+
 def test_compare_reports_no_features(spark, wide, monkeypatch):
     monkeypatch.setattr(validate, "permutation_importance", lambda *a, **k: spark.createDataFrame(
         [("f0", False)], "feature string, selected boolean"))
