@@ -6,7 +6,9 @@ once, by (host, group). Of each page a tree of block elements is made, with runs
 node. Within a group every tree is aligned with a reference page by simple tree
 matching: the largest common top-down mapping that keeps sibling order. Aligned nodes
 whose text is the same on nearly all distinct pages are template; slots that vary are
-content, unless their element or class says menu, footer, advert and the like.
+content, unless their element or class says menu, footer, comments, advert and the like.
+Reading a page and aligning two takes time in proportion to their size: see ``_tokens``,
+``MAX_DEPTH`` and ``MAX_PAIRS``.
 
 Inside an article element the alignment decides as well; only the title stays when it is
 constant, and pages with one title vote once, so that copies of a page on one host do not
@@ -37,7 +39,6 @@ COPY_ROWS = 1000
 
 # Fixed values of the HTML language: elements by role.
 _RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp", "noembed", "noframes"}
-_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _BLOCK = {"address", "article", "aside", "blockquote", "body", "button", "caption", "center", "dd", "details",
           "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3",
           "h4", "h5", "h6", "head", "header", "hgroup", "html", "legend", "li", "main", "menu", "nav", "object", "ol",
@@ -57,30 +58,70 @@ _FURNITURE_WORDS = {
     "gdpr", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices",
     "pager", "pagination", "popup", "promo", "promotion", "recommended", "related", "replies", "reply", "respond",
     "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget"}
-_NEVER_NAMED = {"html", "body", "main", "article"}
+# Furniture that other people write or that leads to other articles: an article in it is not the page's.
+_OTHERS_WORDS = {"comment", "comments", "commentlist", "disqus", "replies", "reply", "respond", "related", "recommended",
+                 "sponsored", "ad", "ads", "advert", "advertisement"}
+# Words that say what an element is, and words that make a name a state or a property of it.
+_CONTENT_WORDS = {"content", "post", "article", "entry", "main", "story", "text", "page", "body"}
+_STATE_WORDS = {"on", "off", "open", "closed", "enabled", "disabled", "active", "visible", "has", "with", "without", "no", "is"}
+_NEVER_NAMED = {"html", "body", "main"}
 _FURNITURE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "dialog", "menu"}
 # Headings; and elements whose lines are prose, not cells or items that may be alike by chance.
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _PROSE = {"p", "div", "section", "article", "main", "blockquote"}
 
-_TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
-    r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[^<]+|<""", re.S)
+_TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_QUOTED_END = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>""")
 _ATTR = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_RAW_ENDS = {tag: re.compile(f"</{tag}(?=[\\s/>])", re.I) for tag in _RAW}
+#: Block elements inside each other that become nodes; deeper ones only end blocks.
+MAX_DEPTH = 150
+#: Pairs of nodes that the alignment of two pages compares one by one.
+MAX_PAIRS = 20_000
+#: How far apart like siblings are sought beyond that.
+WINDOW = 64
 
 
 class Node:
     """A block element: ``items`` are texts (blocks) and child nodes in page order."""
-    __slots__ = ("tag", "label", "items", "furniture", "header", "named")
+    __slots__ = ("tag", "label", "items", "furniture", "header", "named", "others", "shape")
 
-    def __init__(self, tag: str, label, furniture: bool, header: bool, named: int = 0):
+    def __init__(self, tag: str, label, furniture: bool, header: bool, named: int = 0, others: bool = False):
         self.tag, self.label, self.furniture, self.header, self.named = tag, label, furniture, header, named
+        self.others = others
         self.items: list = []
+        self.shape = 0
 
     def kids(self) -> list["Node"]:
         return [x for x in self.items if isinstance(x, Node)]
 
 
+def _named(tag: str, names: list[str]) -> tuple[int, bool]:
+    """What class and id names say: 2 if one of them is a furniture word, alone or as the first
+    or last word of a compound (``comment-list``, ``site-footer``) and none says content; 1 if such a word is
+    in some other place; 0. And whether the word is one of _OTHERS_WORDS. Names like
+    ``has-sidebar`` or ``comments-open`` are properties of an element, not its kind."""
+    if tag in _NEVER_NAMED:
+        return 0, False
+    firm = hint = others = content = False
+    for name in names:
+        words = re.findall(r"[a-z0-9]+", name)
+        if not words:
+            continue
+        hits = [w for w in words if w in _FURNITURE_WORDS]
+        if not hits:
+            content |= words[0] in _CONTENT_WORDS
+            continue
+        hint = True
+        ends = [w for w in (words[0], words[-1]) if w in _FURNITURE_WORDS]
+        if ends and not any(w in _STATE_WORDS for w in words):
+            firm = True
+            others |= any(w in _OTHERS_WORDS for w in ends)
+    if tag == "article":
+        return (2, True) if firm and others and not content else (0, False)
+    return (2 if firm and not content else 1 if hint else 0), others
+
+
 def _element(tag: str, attrs: str) -> Node:
     names, role, hidden = "", "", False
     if attrs:
@@ -91,20 +132,62 @@ def _element(tag: str, attrs: str) -> Node:
         role = found.get("role", "").lower()
         hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get(
             "style", "").replace(" ", "").lower()
-    # 2: every name is made of furniture words only; 1: some word is one
-    words = re.findall(r"[a-z0-9]+", names)
-    hits = sum(w in _FURNITURE_WORDS for w in words)
-    named = 0 if tag in _NEVER_NAMED or not hits else 2 if hits == len(words) else 1
+    named, others = _named(tag, names.split()) if names else (0, False)
     furniture = tag in _FURNITURE_TAGS or role in _FURNITURE_ROLES or hidden
     label = (tag, re.sub(r"\d+", "0", names), role)
-    return Node(tag, label, furniture, tag == "header" or (words == ["header"] and tag not in _NEVER_NAMED), named)
+    return Node(tag, label, furniture, tag == "header" or (names == "header" and tag not in _NEVER_NAMED), named, others)
+
+
+def _tokens(page: str) -> Iterator[tuple[str, str, str]]:
+    """("text", text, ""), ("open", tag, attributes) and ("close", tag, "") in page order. Every
+    character is looked at a bounded number of times: beyond the last ``>`` all is text, a
+    comment or raw element that never ends takes the rest, and after a tag whose
+    quotes never close, quotes protect no ``>`` any more."""
+    at, end, last = 0, len(page), page.rfind(">")
+    quotes = True
+    while at < end:
+        lt = page.find("<", at)
+        if lt < 0 or lt > last:
+            # a comment that never ends is none of the text
+            cut = page.find("<!--", at)
+            yield "text", page[at:cut if cut >= 0 else end], ""
+            return
+        if lt > at:
+            yield "text", page[at:lt], ""
+        if page.startswith("<!--", lt):
+            stop = page.find("-->", lt + 4)
+            at = stop + 3 if stop >= 0 else end
+            continue
+        if page.startswith(("<!", "<?"), lt):
+            at = page.find(">", lt) + 1
+            continue
+        m = _TAG.match(page, lt)
+        if not m:
+            yield "text", "<", ""
+            at = lt + 1
+            continue
+        stop = _QUOTED_END.match(page, m.end()) if quotes else None
+        quotes = stop is not None
+        at = stop.end() if stop else page.find(">", m.end()) + 1
+        tag = m.group(1).lower()
+        if page[lt + 1] == "/":
+            yield "close", tag, ""
+            continue
+        if tag in _RAW:
+            found = _RAW_ENDS[tag].search(page, at)
+            gt = page.find(">", found.end()) if found else -1
+            at = gt + 1 if gt >= 0 else end
+            continue
+        yield "open", tag, page[m.end():at - 1]
 
 
 def parse(page: str) -> Node:
     """Tree of block elements; inline elements are part of their block's text, a line
-    break ends a block, and unclosed elements end where HTML says."""
+    break ends a block, and unclosed elements end where HTML says. Blocks inside more than
+    MAX_DEPTH others belong to the last of these."""
     root = Node("html", ("html", "", ""), False, False)
     stack, text = [root], []
+    opened: Counter = Counter()
 
     def flush() -> None:
         if text:
@@ -114,55 +197,51 @@ def parse(page: str) -> Node:
                 stack[-1].items.append(line)
 
     def close(tags: set, fence: set) -> None:
+        if not any(opened[t] for t in tags):
+            return
         for at in range(len(stack) - 1, 0, -1):
             if stack[at].tag in tags:
                 flush()
+                opened.subtract(n.tag for n in stack[at:])
                 del stack[at:]
                 return
             if stack[at].tag in fence:
                 return
 
-    at, end = 0, len(page)
-    while at < end:
-        m = _TOKEN.match(page, at)
-        at = m.end()
-        tag = m.group(2) or m.group(5)
-        if tag is None:
-            if page[m.start()] != "<" or m.end() - m.start() == 1:
-                text.append(m.group())
-            continue
-        tag = tag.lower()
-        if m.group(1) or m.group(4):
+    for kind, tag, rest in _tokens(page):
+        if kind == "text":
+            text.append(tag)
+        elif kind == "close":
             if tag in _BLOCK:
                 close({tag}, set())
             elif tag == "br":
                 flush()
-            continue
-        if tag in _RAW:
-            stop = re.compile(f"</{tag}\\b[^>]*>", re.I).search(page, at)
-            at = stop.end() if stop else end
-            continue
-        if tag in ("br", "hr"):
+        elif tag in ("br", "hr"):
             flush()
         elif tag in _BLOCK:
             flush()
-            if tag in ("html", "body") and any(n.tag == tag for n in stack[1:]):
+            if tag in ("html", "body") and opened[tag]:
                 continue
             if tag in _CLOSES_P:
                 close({"p"}, _FENCE)
             if tag in _CLOSES:
                 close(_CLOSES[tag], _FENCE - {"div", "section"} if tag != "li" else {"ul", "ol"})
-            node = _element(tag, m.group(3) if m.group(3) is not None else m.group(6))
-            stack[-1].items.append(node)
-            if not (m.group(0).endswith("/>") and tag in ("svg", "object")):
+            node = _element(tag, rest)
+            if len(stack) < MAX_DEPTH:
+                stack[-1].items.append(node)
+            else:
+                node.items = stack[-1].items
+            if not (rest.endswith("/") and tag in ("svg", "object")):
                 stack.append(node)
+                opened[tag] += 1
     flush()
     _fold(root)
     return root
 
 
 def _fold(node: Node) -> None:
-    """Runs of like children that hold text only become one repeated node."""
+    """Runs of like children that hold text only become one repeated node; every node gets
+    the hash of its skeleton."""
     out: list = []
     for x in node.items:
         if isinstance(x, Node):
@@ -174,27 +253,55 @@ def _fold(node: Node) -> None:
                     last.items += x.items
                     continue
                 x.label = (*x.label, "*")
+                x.shape = hash((x.label, ()))
         out.append(x)
     node.items = out
+    node.shape = hash((node.label, tuple(k.shape for k in node.kids())))
 
 
-def simple_tree_matching(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
+def simple_tree_matching(a: Node, b: Node, budget: list[int] | None = None) -> tuple[int, list[tuple[Node, Node]]]:
     """Size and pairs of the largest top-down mapping of two trees that keeps the order
-    of siblings and pairs equal labels only."""
+    of siblings and pairs equal labels only.
+
+    Trees of one shape map node by node, and so do equal first and last children; only what
+    is between is compared pair by pair, while that makes no more than MAX_PAIRS pairs for the
+    whole page. Beyond, a child takes the next like sibling within WINDOW.
+    """
+    budget = [MAX_PAIRS] if budget is None else budget
     if a.label != b.label:
         return 0, []
+    if a.shape == b.shape:
+        pairs = list(zip(_walk(a), _walk(b)))
+        return len(pairs), pairs
     ka, kb = a.kids(), b.kids()
+    head = 0
+    while head < min(len(ka), len(kb)) and ka[head].shape == kb[head].shape:
+        head += 1
+    tail = 0
+    while tail < min(len(ka), len(kb)) - head and ka[-1 - tail].shape == kb[-1 - tail].shape:
+        tail += 1
+    pairs = [(a, b)]
+    for x, y in [*zip(ka[:head], kb[:head]), *zip(ka[len(ka) - tail:], kb[len(kb) - tail:])]:
+        pairs += zip(_walk(x), _walk(y))
+    ka, kb = ka[head:len(ka) - tail], kb[head:len(kb) - tail]
+    budget[0] -= len(ka) * len(kb)
+    pairs += _in_order(ka, kb, budget) if budget[0] >= 0 else _nearby(ka, kb, budget)
+    return len(pairs), pairs
+
+
+def _in_order(ka: list[Node], kb: list[Node], budget: list[int]) -> list[tuple[Node, Node]]:
+    """The pairs of the best order-keeping mapping of two lists of siblings."""
     best = [[(0, None)] * (len(kb) + 1) for _ in range(len(ka) + 1)]
     for i, x in enumerate(ka, 1):
         for j, y in enumerate(kb, 1):
             up, left = best[i - 1][j][0], best[i][j - 1][0]
-            n, pairs = simple_tree_matching(x, y)
+            n, pairs = simple_tree_matching(x, y, budget)
             both = best[i - 1][j - 1][0] + n
             if n and both >= up and both >= left:
                 best[i][j] = (both, pairs)
             else:
                 best[i][j] = (up, "up") if up >= left else (left, "left")
-    pairs, i, j = [(a, b)], len(ka), len(kb)
+    pairs, i, j = [], len(ka), len(kb)
     while i and j:
         step = best[i][j][1]
         if step == "up":
@@ -204,11 +311,19 @@ def simple_tree_matching(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]
         else:
             pairs += step or []
             i, j = i - 1, j - 1
-    return best[len(ka)][len(kb)][0] + 1, pairs
+    return pairs
 
 
-def _skeleton(node: Node):
-    return (node.label, tuple(_skeleton(k) for k in node.kids()))
+def _nearby(ka: list[Node], kb: list[Node], budget: list[int]) -> list[tuple[Node, Node]]:
+    """Pairs of very long lists: each child with the next of its shape, or else of its label."""
+    pairs, at = [], 0
+    for x in ka:
+        ahead = range(at, min(len(kb), at + WINDOW))
+        j = next((j for j in ahead if kb[j].shape == x.shape), next((j for j in ahead if kb[j].label == x.label), None))
+        if j is not None:
+            pairs += simple_tree_matching(x, kb[j], budget)[1]
+            at = j + 1
+    return pairs
 
 
 def _walk(node: Node) -> Iterator[Node]:
@@ -226,7 +341,7 @@ def _texts(node: Node) -> str:
 
 
 def _is_article(node: Node) -> bool:
-    return node.tag in ("article", "main") or node.label[2] == "main"
+    return (node.tag in ("article", "main") or node.label[2] == "main") and node.named < 2
 
 
 def _inside(node: Node, inside: bool = False) -> Iterator[bool]:
@@ -270,7 +385,7 @@ def template_nodes(trees: list[Node]) -> tuple[dict[int, set[str] | None], set[i
     whole = [_texts(t) for t in trees]
     if len(set(whole)) < MIN_PAGES:
         return {}, set()
-    shapes = [_skeleton(t) for t in trees]
+    shapes = [t.shape for t in trees]
     common = Counter(shapes).most_common(1)[0][0]
     reference = trees[shapes.index(common)]
     order = {id(n): i for i, n in enumerate(_walk(reference))}
@@ -310,39 +425,51 @@ def template_nodes(trees: list[Node]) -> tuple[dict[int, set[str] | None], set[i
 def furniture_nodes(tree: Node, template: dict[int, set[str] | None], varying: set[int]) -> set[int]:
     """ids of the elements that are left out with all they hold.
 
-    A name never speaks against an element with an article in it. Names made of furniture
-    words only (``sidebar``, ``cookie-notice``) hold otherwise; where such a word is but a part
-    (``page-with-sidebar``), the alignment has the say: an element with text that varies
-    stays, and so does one with half of the page's text or more. If a page has no other text,
-    elements whose text varies stay whatever their name.
+    A firm name (see ``_named``) holds whatever the alignment says of the text: comments, adverts
+    and teasers vary from page to page by nature. It does not hold for an element with an
+    article in it, unless it names what others write (``comments``, ``related``). A weak name
+    (``page-sidebar-wrap``) leaves it to the alignment: an element with text that varies stays, and so does one
+    with half of the page's text or more. An article inside one with prose of its own is a
+    comment. If a page has no other text, firmly named elements whose text varies stay, or that hold the
+    only article.
     """
     out: set[int] = set()
     named: set[int] = set()
     doubtful: list[tuple[Node, int, bool]] = []
 
-    def measure(node: Node) -> tuple[int, bool, bool]:
-        """Characters that are not template, whether an article is inside, whether text varies."""
-        size, article, varies = 0, _is_article(node), id(node) in varying
+    def measure(node: Node, inner: list[tuple[int, int]] | None) -> tuple[int, bool, bool, bool]:
+        """Characters that are not template, whether an article is inside, whether text varies,
+        whether some of it is prose. ``inner`` takes the articles inside an article."""
+        size, article, varies, prose = 0, _is_article(node), id(node) in varying, False
         skip = template.get(id(node), ())
+        own: list[tuple[int, int]] | None = [] if node.tag == "article" else inner
         for x in node.items:
             if isinstance(x, str):
-                size += len(x) if skip is not None and x not in skip else 0
+                if skip is not None and x not in skip:
+                    size += len(x)
+                    prose |= node.tag not in _HEADINGS
             else:
-                n, a, v = measure(x)
-                size, article, varies = size + n, article or a, varies or v
+                n, a, v, p = measure(x, own)
+                size, article, varies, prose = size + n, article or a, varies or v, prose or p and not x.header
+        if node.tag == "article" and own and prose:
+            out.update(i for i, _ in own)
+            size -= sum(n for _, n in own)
         if node.furniture and not (article and node.tag in ("form", "fieldset")):
             out.add(id(node))
-            return 0, False, False
-        if node.named == 2 and not article:
+            return 0, False, False, False
+        if node.named == 2 and (not article or node.others):
             out.add(id(node))
-            if varies:
+            if varies or article:
                 named.add(id(node))
-            return 0, False, varies
+            return 0, False, varies, False
         if node.named and not article:
             doubtful.append((node, size, varies))
-        return size, article, varies
+        if node.tag == "article" and inner is not None:
+            inner.append((id(node), size))
+            prose = False
+        return size, article, varies, prose
 
-    total = measure(tree)[0]
+    total = measure(tree, None)[0]
     if not total:
         out -= named
     out.update(id(n) for n, size, varies in doubtful if not varies and (not size or 2 * size < total))

@@ -137,3 +137,94 @@ def test_names_do_not_drop_what_holds_the_article():
     assert of(pages) == [f"{i}" for i in range(9)]
     only = [f"<div class='widget'><p>text {i}</p></div><footer>f</footer>" for i in range(9)]
     assert of(only) == [f"text {i}" for i in range(9)]
+
+
+OTHERS = ["<div id='comments' class='comments-area'><ol class='comment-list'><li><article class='comment-body'><p>C {i}</p></article></ol></div>",
+          "<div class='comment-list'><p>nice {i}</p><p>more {i}</p></div>", "<div class='related-posts'><h3>R {i}</h3><p>read {i}</p></div>",
+          "<div id='disqus_thread'><p>said {i}</p></div>", "<div class='ad-slot'><p>buy {i}</p></div>",
+          "<div class='sidebar-left'><p>side {i}</p></div>", "<div class='cookie-banner-text'><p>cookie {i}</p></div>",
+          "<div class='site-footer'><p>foot {i}</p></div>", "<section class='post-comments'><p>last {i}</p></section>"]
+
+
+def test_what_others_write_goes_though_it_varies():
+    """Under ordinary class names, beside the article, without an article element and inside it,
+    on many pages and on a single one."""
+    for others in OTHERS:
+        for page in ("<body><article><h1>T {i}</h1><p>own {i}</p></article>%s</body>",
+                     "<body>%s<article><h1>T {i}</h1><p>own {i}</p></article></body>",
+                     "<body><div class='wrap'><h1>T {i}</h1><p>own {i}</p></div>%s</body>",
+                     "<body><article><h1>T {i}</h1><p>own {i}</p>%s</article></body>",
+                     "<body><div class='page-with-sidebar'><article><h1>T {i}</h1><p>own {i}</p></article>%s</div></body>"):
+            pages = [(page % others).replace("{i}", str(i)) for i in range(30)]
+            assert of(pages) == [f"T {i}\nown {i}" for i in range(30)], pages[0]
+            assert of(pages[:1]) == ["T 0\nown 0"], pages[0]
+    long = "<body><div class='wrap'><p>short</p></div><div class='comment-list'>" + "<p>a very long comment</p>" * 50 + "</div></body>"
+    assert of([long]) == ["short"]
+    only = [f"<body><div class='comment-list'><p>all there is {i}</p></div></body>" for i in range(9)]
+    assert of(only) == [f"all there is {i}" for i in range(9)]
+
+
+def test_articles_inside_an_article_are_comments():
+    nested = "<article><h1>T</h1><p>own</p><article><p>I disagree</p></article><article><p>So do I</p></article></article>"
+    assert of([nested]) == ["T\nown"]
+    wrapper = "<article><h1>Day</h1><article><p>one</p></article><article><p>two</p></article></article>"
+    assert of([wrapper]) == ["Day\none\ntwo"]
+    assert of(["<div class='widget'><article class='post comments-open'><p>x</p></article></div>"]) == ["x"]
+    assert of(["<div class='related'><article><p>the only one</p></article></div>"]) == ["the only one"]
+
+
+def test_pages_of_any_form_take_time_by_their_size():
+    import time
+    t0 = time.time()
+    assert of(["<div>" * 100_000 + "deep" + "</div>" * 100_000]) == ["deep"]
+    assert of(["<div>" * 50_000 + "x" + "</section>" * 50_000 + "<p>y"]) == ["x\ny"]
+    assert of(["<ul><li>" * 30_000 + "x<p>y</li></ul>" * 30_000])[0].startswith("x\ny")
+    assert of(["start <a \"" * 50_000]) and of(['<p>x</p>' + '<a ">"' * 50_000]) and of(["<!--" * 100_000]) == [""]
+    assert of(["<script>" + "</script " * 50_000]) == [""] and of(["<p>a</p>" + "<" * 300_000])[0].startswith("a")
+    rows = [f"<article><h1>T{p}</h1><table>" + "".join(f"<tr><td>k{i}</td><td><b>v</b> {i + p}</td></tr>" for i in range(3000 + p))
+            + "</table></article>" for p in range(6)]
+    got = of(rows)
+    assert [len(g.split("\n")) for g in got] == [1 + 2 * (3000 + p) for p in range(6)]
+    assert time.time() - t0 < 60
+
+
+def test_text_beyond_the_depth_is_kept_in_order():
+    page = "<div>" * 400 + "<h1>a</h1><p>b<p>c" + "</div>" * 400 + "<p>d</p>"
+    assert of([page]) == ["a\nb\nc\nd"]
+
+
+def brute_matching(a, b):
+    """Largest top-down mapping that keeps sibling order, by trying every choice."""
+    if a.label != b.label:
+        return 0
+
+    def lists(x, y):
+        if not x or not y:
+            return 0
+        return max(lists(x[1:], y), lists(x, y[1:]), (brute_matching(x[0], y[0]) or -9) + lists(x[1:], y[1:]))
+    return 1 + lists(a.kids(), b.kids())
+
+
+def test_matching_equals_brute_force_on_random_trees():
+    import random
+    rnd = random.Random(5)
+
+    def tree(depth):
+        tag = rnd.choice(["div", "section", "ul"])
+        kids = "".join(tree(depth - 1) for _ in range(rnd.randint(0, 3))) if depth else ""
+        return f"<{tag}>{kids}{'<h2>x</h2>' if rnd.random() < 0.5 else ''}</{tag}>"
+    for _ in range(200):
+        a, b = parse(tree(2)), parse(tree(2))
+        n, pairs = simple_tree_matching(a, b)
+        assert n == len(pairs) == brute_matching(a, b)
+        assert all(x.label == y.label for x, y in pairs)
+        assert len({id(x) for x, _ in pairs}) == len({id(y) for _, y in pairs}) == n
+
+
+def test_long_lists_of_siblings_are_matched_nearby():
+    import random
+    rnd = random.Random(6)
+    kinds = ["<ul><li>a<p>b</ul>", "<section><h2>t</h2><p>c</p></section>", "<div class=k><p>x<h3>d</h3></div>"]
+    a, b = (parse("<div>" + "".join(rnd.choice(kinds) for _ in range(400)) + "</div>") for _ in range(2))
+    n, pairs = simple_tree_matching(a, b)
+    assert n == len(pairs) > 500 and all(x.label == y.label for x, y in pairs)
