@@ -36,6 +36,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores behind it until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_bytes(df: DataFrame, col: Column) -> int:
     """UTF-8 bytes of a text column over the whole table (one aggregate row)."""
     row = df.select(F.sum(F.octet_length(col)).alias("b")).first()

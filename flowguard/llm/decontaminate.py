@@ -21,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import text_bytes, window_hashes
+from flowguard.llm.common import checked_broadcast, fresh, text_bytes, window_hashes
+from flowguard.session import checkpointed
 
 MAX_Q = 10
 MAX_ERROR = 0.08
@@ -288,18 +289,43 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
                       item_text_col: str = "text", max_error: float = MAX_ERROR, max_q: int = MAX_Q,
                       min_chars: int = MIN_CHARS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs``, all columns, whose text holds no item (as in ``contaminated``).
-    Rows are judged one by one, so null and repeated ids do not matter."""
-    for rows in _blocks(items, item_col, item_text_col, min_chars, block_bytes):
-        sent = docs.sparkSession.sparkContext.broadcast((rows, max_error, max_q))
+    Rows are judged by their text alone, so null and repeated ids do not matter; null texts stay.
 
-        def clean(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            rows, error, q = sent.value
+    With one block of items the rows are filtered where they lie. With more, each block is a
+    pass of its own that names the texts it hits (128 bits each), and rows with one of these
+    go, so that a task never holds more than one block's index.
+    """
+    sent = [docs.sparkSession.sparkContext.broadcast((rows, max_error, max_q))
+            for rows in _blocks(items, item_col, item_text_col, min_chars, block_bytes)]
+    if not sent:
+        return docs
+
+    def judged(part: pa.RecordBatch, index: Items, column: str) -> list[bool]:
+        hit = {t for t, *_ in match_texts(part.column(column).to_pylist(), index)}
+        return [i in hit for i in range(part.num_rows)]
+
+    def clean(batches: Iterator[pa.RecordBatch], sent=sent[0]) -> Iterator[pa.RecordBatch]:
+        rows, error, q = sent.value
+        index = Items([i for i, _ in rows], [t for _, t in rows], error, q)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                yield part.filter(pa.array([not x for x in judged(part, index, text_col)]))
+
+    if len(sent) == 1:
+        return docs.mapInArrow(clean, docs.schema)
+    key = fresh(docs, "_digest")
+    digest = F.md5(F.col(text_col).cast("string").cast("binary"))
+    src = docs.select(digest.alias(key), F.col(text_col).cast("string").alias("_text"))
+
+    def hits(one):
+        def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rows, error, q = one.value
             index = Items([i for i, _ in rows], [t for _, t in rows], error, q)
             for batch in batches:
                 for at in range(0, batch.num_rows, 256):
                     part = batch.slice(at, 256)
-                    hit = {t for t, *_ in match_texts(part.column(text_col).to_pylist(), index)}
-                    yield part.filter(pa.array([i not in hit for i in range(part.num_rows)]))
-
-        docs = docs.mapInArrow(clean, docs.schema)
-    return docs
+                    yield part.select([key]).filter(pa.array(judged(part, index, "_text")))
+        return find
+    found = reduce(DataFrame.unionByName, [src.mapInArrow(hits(one), f"{key} string") for one in sent])
+    return docs.withColumn(key, digest).join(checked_broadcast(checkpointed(found.distinct())), key, "left_anti").drop(key)

@@ -21,13 +21,13 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowguard.llm.common import fresh, pair_hashes
 from flowguard.llm.components import components
 from flowguard.session import checkpointed
 
@@ -43,6 +43,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     split at space and U+0009..U+000D; each run of ``shingle`` words (all words, if
     fewer), repeats included, is hashed by XXH64 with seed 42 over its space-joined
     UTF-8; a bit is 1 if it is set in over half the hashes. No word: 0."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    if kind not in ("tinyint", "smallint", "int", "bigint"):
+        raise ValueError(f"ids must be whole numbers, {id_col} is {kind}")
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                       _row_key(id_col, text_col).alias("row"))
 
@@ -76,11 +79,14 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(fp, pa.int64())],
                                              ["doc_id", "row", "fp"])
 
-    return src.mapInArrow(encode, "doc_id long, row long, fp long")
+    return src.mapInArrow(encode, "doc_id long, row binary, fp long")
 
 
 def _row_key(id_col: str, text_col: str) -> Column:
-    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+    """128 bits of id and text."""
+    text = F.col(text_col).cast("string")
+    return F.unhex(F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.when(text.isNull(), "-").otherwise(":"),
+                                  F.coalesce(text, F.lit(""))).cast("binary")))
 
 
 class Pivots:
@@ -104,15 +110,23 @@ class Pivots:
         every += [int(x) for x in rng.integers(0, 2**64, RANDOM_PIVOTS, dtype=np.uint64)]
         self.values = np.array(every, dtype=np.uint64)
 
-    def keys(self, fp: Column) -> Column:
-        """One key per choice of blocks: the coordinates of those blocks' pivots
-        relative to the base pivot, six bits each."""
-        def far(i: int) -> Column:
-            return F.bit_count(fp.bitwiseXOR(F.lit(int(self.values[i].astype(np.int64)))))
-        block = [reduce(lambda x, y: x + y, [F.shiftleft((far(i) - far(0) + 32).cast("long"), 7 * k)
-                                            for k, i in enumerate(own)]) for own in self.of_block]
-        return F.array(*[F.xxhash64(F.lit(n), *[block[b] for b in choice])
-                         for n, choice in enumerate(self.choices)])
+    def keys(self, fp: np.ndarray) -> np.ndarray:
+        """One key per choice of blocks (a row for each fingerprint): a hash of the coordinates
+        of those blocks' pivots relative to the base pivot."""
+        far = np.stack([np.bitwise_count(fp ^ p) for p in self.values]).astype(np.int64)
+        block = []
+        for own in self.of_block:
+            place = np.zeros(len(fp), dtype=np.uint64)
+            for k, i in enumerate(own):
+                place += (far[i] - far[0] + 32).astype(np.uint64) << np.uint64(7 * k)
+            block.append(place)
+        out = []
+        for n, choice in enumerate(self.choices):
+            h = np.full(len(fp), n, dtype=np.uint64)
+            for b in choice:
+                h = pair_hashes(h, block[b])
+            out.append(h)
+        return np.stack(out, axis=1).view(np.int64)
 
     def table(self, fp: np.ndarray) -> np.ndarray:
         return np.stack([np.bitwise_count(fp ^ p) for p in self.values], axis=1).astype(np.int8)
@@ -199,7 +213,16 @@ def links(prints: DataFrame, max_bits: int = 4, hot_rows: int = HOT_ROWS,
     while whole < 4 and n > 16 * 2 ** (64 * whole / (max_bits + whole)):
         whole += 1
     pivots = Pivots(max_bits, whole)
-    keyed = prints.select("fp", F.explode(pivots.keys(F.col("fp"))).alias("key"))
+
+    def key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                fp = batch.column("fp").slice(at, 4096).to_numpy(zero_copy_only=False)
+                keys = pivots.keys(fp.view(np.uint64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(fp, keys.shape[1])), pa.array(keys.reshape(-1))], ["fp", "key"])
+
+    keyed = prints.select("fp").mapInArrow(key_rows, "fp long, key long")
     # keys with many fingerprints: their parts are compared two at a time
     hot = (keyed.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
            .select("key", F.ceil(F.col("_n") / hot_rows).cast("long").alias("_parts")))
@@ -227,8 +250,8 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     Null or empty texts have fingerprint zero and link like any other. A null id
     gets the component of its fingerprint and never names one (a component of null
-    ids alone has a null id). Repeated rows share everything. Only the two named
-    columns are read. An empty table gives no rows.
+    ids alone has a null id). Repeated rows share everything. Ids are whole numbers (others are an
+    error). Only the two named columns are read. An empty table gives no rows.
     """
     prints = checkpointed(fingerprints(docs, id_col, text_col, shingle))
     tagged = _rooted(prints, max_bits, hot_rows)
@@ -256,5 +279,6 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id and text); of repeated rows one."""
     tagged = _rooted(checkpointed(fingerprints(docs, id_col, text_col, shingle)), max_bits, hot_rows)
     stay = tagged.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_row"))
-    return (docs.withColumn("_row", _row_key(id_col, text_col)).join(stay, "_row", "left_semi")
-            .dropDuplicates(["_row"]).drop("_row"))
+    row = fresh(docs, "_row")
+    return (docs.withColumn(row, _row_key(id_col, text_col)).join(stay.withColumnRenamed("_row", row), row, "left_semi")
+            .dropDuplicates([row]).drop(row))

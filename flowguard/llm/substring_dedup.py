@@ -24,7 +24,8 @@ bits. A run that occurs in many documents is sent once
 per chunk, so no key gathers rows with its frequency.
 
 Runs are compared by hash: 48 bits in step 1, where a collision only costs work,
-64 bits in step 2 and inside a chunk.
+64 bits in step 2 and inside a chunk. The hash mixes words one into another, so no form of the
+words makes two runs alike; chance does once in 2^64 pairs.
 """
 
 from __future__ import annotations
@@ -34,8 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import (GAP, Words, checked_broadcast, pack_signed, pack_sorted, pieces_for, text_bytes,
-                                  unpack_signed, unpack_sorted, window_hashes)
+from flowguard.llm.common import (GAP, Words, checked_broadcast, pack_signed, pack_sorted, pieces_for, run_keys, text_bytes,
+                                  unpack_signed, unpack_sorted)
 from flowguard.plans.prefix import row_number
 
 CHUNK_BYTES = 4 << 20
@@ -63,11 +64,11 @@ class _Chunk:
         self.rank = np.array([r for _, r, _, _ in both], dtype=np.int64)
         self.words = Words([t.encode("utf-8") for _, _, t, _ in both])
         self.window, self.block = window, (window + 1) // 2
-        self.hash = self.words.hashes()
+        self.hash = self.words.keys()
 
     def runs(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Start index and hash of every run of k words inside one text."""
-        h = window_hashes(self.hash, k)
+        h = run_keys(self.hash, k)
         doc = self.words.doc
         inside = np.flatnonzero(doc[:len(h)] == doc[k - 1:k - 1 + len(h)]) if len(h) else np.zeros(0, np.int64)
         return inside, h[inside]
@@ -186,13 +187,16 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     id, or before it in the same text. Only these two columns are read, so other
     columns and their names do not matter.
 
-    Null or empty text: no words, empty kept text. Fewer words than a window:
+    Ids are whole numbers (cast to long; others are an error). Null or empty text: no words, empty kept text. Fewer words than a window:
     nothing is removed. A null id comes after every other id. Rows that repeat an id
     are ordered by their text; of wholly equal rows one counts as the earlier.
     An empty table gives no rows.
     """
     if window < 2:
         raise ValueError("window must be at least 2 words")
+    kind = docs.schema[id_col].dataType.simpleString()
+    if kind not in ("tinyint", "smallint", "int", "bigint"):
+        raise ValueError(f"ids must be whole numbers, {id_col} is {kind}")
     src = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
     total = text_bytes(src, F.col("_text"))
     chunks = pieces_for(total, chunk_bytes)

@@ -2,7 +2,9 @@ import random
 
 import numpy as np
 
-from flowguard.llm.decontaminate import Items, banded, contaminated, match_texts, normalise
+from pyspark.sql import functions as F
+
+from flowguard.llm.decontaminate import Items, banded, contaminated, drop_contaminated, match_texts, normalise
 from flowguard.llm.queries import op2_decontaminate
 from tests.llm.util import SF, SF01, read
 
@@ -108,3 +110,16 @@ def test_nulls_and_clashing_columns(spark):
     got = sorted([(r["doc_id"], r["item_id"]) for r in contaminated(df, it).collect()], key=str)
     assert got == sorted([(d, i) for d in (None, 3, 3) for i in (7, 7, None)], key=str)
     assert contaminated(df.limit(0), it).collect() == [] and contaminated(df, it.limit(0)).collect() == []
+
+
+def test_items_in_three_blocks(spark):
+    """Blocks of a few hundred bytes: the same rows go as with one block."""
+    docs = read(spark, "documents").limit(60).selectExpr("*", "1 AS _digest", "2 AS _text")
+    items = read(spark, "benchmark")
+    more = docs.unionByName(docs.limit(5)).unionByName(docs.limit(1).withColumn("text", F.lit(None).cast("string")))
+    one = drop_contaminated(more, items)
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0]
+    three = drop_contaminated(more, items, block_bytes=size // 3 + 1)
+    assert sorted(map(str, one.collect())) == sorted(map(str, three.collect()))
+    assert three.columns == docs.columns and 0 < three.count() < more.count()
+    assert drop_contaminated(more, items.limit(0)).count() == more.count()

@@ -53,7 +53,9 @@ def test_stages_handle_odd_rows(spark):
     text = "the secret = abcdefghijklmnop and password: ABCDEFGHIJKLMNOP 0123456789abcdef0123 end"
     rows = [(None, text, "en", None, None, 1), (1, text, None, "s", 9, 2), (1, text, None, "s", 9, 2), (2, None, "en", "s", 0, 3),
             (3, "", "en", "s", 0, 4), (4, "word " * 3000, "en", "s", 15000, 5)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, found int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, found int").selectExpr(
+        "*", *[f"{i} AS {c}" for i, c in enumerate(
+            ["_row", "_quality", "_spans", "_digest", "key", "fp", "row", "score", "_id", "_text", "_k0", "rules", "bin", "first", "root"])])
     for frame in (docs, docs.limit(0)):
         for name, stage in cp.STAGES[:-1]:
             out = stage(spark, frame, SF)

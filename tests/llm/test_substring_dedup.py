@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+import pytest
+
 from flowguard.llm.queries import op3_substring_dedup
 from flowguard.llm.substring_dedup import substring_dedup
 from tests.llm.util import SF, read
@@ -96,3 +98,36 @@ def test_rows_that_share_an_id_spread_over_chunks(spark):
     rows, equal = _ranked(src, 5000)
     assert rows.count() == 501 and equal.collect() == [(None, "same", 300)]
     assert _chunked(rows, 64).groupBy("chunk").count().agg(F.max("count")).first()[0] < 50
+
+
+def test_structured_words_do_not_collide(spark):
+    """Words that a polynomial hash modulo 2^64 cannot tell apart: Thue-Morse and its complement."""
+    bits = "0"
+    while len(bits) < 2048:
+        bits += bits.translate(str.maketrans("01", "10"))
+    a, b = bits.replace("0", "a").replace("1", "b"), bits.replace("0", "b").replace("1", "a")
+    same = " ".join(f"w{i}" for i in range(19))
+    rows = [(1, f"{same} {a}"), (2, f"{same} {b}")]
+    for word_a, word_b in ((a, b), (a[:200], b[:200])):
+        rows = [(1, f"{same} {word_a}"), (2, f"{same} {word_b}"), (3, f"{same} {word_a}")]
+        got = {r["doc_id"]: r["n_removed"] for r in substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert got == {1: 0, 2: 0, 3: 20}
+    # the same pattern in whole words, over windows
+    words = {1: ["a" if c == "0" else "b" for c in bits], 2: ["b" if c == "0" else "a" for c in bits]}
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in words.items()], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in substring_dedup(df, window=1024).collect()}
+    seen, want = set(), {}
+    for i in (1, 2):
+        gone = set()
+        for at in range(len(words[i]) - 1023):
+            w = tuple(words[i][at:at + 1024])
+            if w in seen:
+                gone.update(range(at, at + 1024))
+            seen.add(w)
+        want[i] = len(gone)
+    assert got == want
+
+
+def test_text_ids_are_an_error(spark):
+    with pytest.raises(ValueError, match="whole numbers"):
+        substring_dedup(spark.createDataFrame([("x", "t")], "doc_id string, text string"))
