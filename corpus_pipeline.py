@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import table
+from flowguard.llm.common import fresh, table
 from flowguard.llm.decontaminate import drop_contaminated
 from flowguard.llm.quality_classifier import THRESHOLD, fit_classifier, held_out, score_documents
 from flowguard.llm.queries import MODEL
@@ -23,8 +23,9 @@ from flowguard.sources.files import scratch_path
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the attention classifier accepts."""
     model = fit_classifier(docs, table(spark, sf_dir, "labels").where(~held_out()))
-    scored = score_documents(docs, model, keep=[c for c in docs.columns if c != "doc_id"], out_col="_quality")
-    return scored.where(F.col("_quality") >= THRESHOLD).select(docs.columns)
+    score = fresh(docs, "_quality")
+    scored = score_documents(docs, model, keep=[c for c in docs.columns if c != "doc_id"], out_col=score)
+    return scored.where(F.col(score) >= THRESHOLD).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,11 +40,12 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, secrets blanked out; ``n_chars`` follows the text."""
+    spans = fresh(docs, "_spans")
     found = scan_secrets(docs, keep=[c for c in docs.columns if c not in ("doc_id", "text")],
-                         out="_spans")
-    out = found.withColumn("text", redact(F.col("text"), F.col("_spans")))
+                         out=spans)
+    out = found.withColumn("text", redact(F.col("text"), F.col(spans)))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("_spans") > 0, F.length("text").cast("long")).otherwise(
+        out = out.withColumn("n_chars", F.when(F.size(spans) > 0, F.length("text").cast("long")).otherwise(
             F.col("n_chars")))
     return out.select(docs.columns)
 
