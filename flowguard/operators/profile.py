@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from flowguard.functions.columns import pct_text, q
 from flowguard.operators.drift import to_long
-from flowguard.plans.joins import checked_broadcast
+from flowguard.plans.joins import HOT_ROWS, checked_broadcast, uneven_join
 from flowguard.plans.prefix import row_number
 from flowguard.plans.quantiles import exact_quantiles
 from flowguard.session import checkpointed
@@ -92,39 +92,44 @@ def log_histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> Data
                     F.coalesce("count", F.lit(0)).cast("long").alias("count")))
 
 
-def binned_kde(df: DataFrame, columns: Sequence[str], bins: int = 50, grid: int = 100
+def binned_kde(df: DataFrame, columns: Sequence[str], nodes: int = 1024, grid: int = 100
                ) -> DataFrame:
-    """Gaussian kernel density of log10(value) on ``grid`` even points of its range,
-    from the ``bins``-bin histogram (centres weighted by counts) with Scott's
+    """Gaussian kernel density of log10(value) on ``grid`` even points of its range, with Scott's
     bandwidth std * n^(-1/5).
 
-    Per feature the histogram (``bins`` entries, fixed by the argument) is packed
-    into arrays and the density at each grid point is an array expression: no
-    join, no pairing of rows.
+    Values are binned linearly: each shares its weight between the two nearest of ``nodes`` even
+    places, so the error falls with the square of their distance; kernels end at 8 bandwidths. Per
+    feature the weights are one row of ``nodes`` numbers (fixed by the argument) and the
+    density is an array expression: no join, no pairing of rows. A feature with one value has no
+    bandwidth and null densities.
     """
     ll = _log_long(df, columns)
-    spread = ll.groupBy("feature").agg(F.stddev_samp("lv").alias("sd"),
-                                       F.count(F.lit(1)).alias("n"))
-    hist = log_histogram(df, columns, bins)
-    packed = (hist.groupBy("feature").agg(
-        F.sort_array(F.collect_list(F.struct("bin", "log_lo", "log_hi", "count"))).alias("h"),
-        F.min("log_lo").alias("mn"), F.max("log_hi").alias("mx"))
-        .join(spread, "feature")
-        .withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))))
+    spread = checkpointed(ll.groupBy("feature").agg(
+        F.stddev_samp("lv").alias("sd"), F.count(F.lit(1)).alias("n"), F.min("lv").alias("mn"), F.max("lv").alias("mx")))
+    place = F.coalesce((F.col("lv") - F.col("mn")) / F.nullif(F.col("mx") - F.col("mn"), F.lit(0.0)), F.lit(0.0)) * F.lit(nodes - 1)
+    low = F.least(F.floor(place), F.lit(nodes - 2))
+    share = place - low
+    weights = (ll.join(F.broadcast(spread), "feature")
+               .select("feature", F.inline(F.array(F.struct(low.alias("node"), (1 - share).alias("w")),
+                                                   F.struct((low + 1).alias("node"), share.alias("w")))))
+               .groupBy("feature", "node").agg(F.sum("w").alias("w")))
+    packed = (weights.groupBy("feature").agg(F.sort_array(F.collect_list(F.struct("node", "w"))).alias("h"))
+              .join(F.broadcast(spread), "feature")
+              .withColumn("bw", F.nullif(F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)), F.lit(0.0))))
     step = (F.col("mx") - F.col("mn")) / F.lit(grid - 1)
     pts = packed.select("feature", "h", "n", "bw", "mn", step.alias("step"),
+                        ((F.col("mx") - F.col("mn")) / F.lit(nodes - 1)).alias("apart"),
                         F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("gi"))
     x = F.col("mn") + F.col("gi") * F.col("step")
 
     def term(acc, b):
-        centre = (b["log_lo"] + b["log_hi"]) / 2.0
-        z = (x - centre) / F.col("bw")
-        return acc + b["count"] * F.exp(F.lit(-0.5) * z * z)
+        z = (x - (F.col("mn") + b["node"] * F.col("apart"))) / F.col("bw")
+        return F.when(F.abs(z) > 8, acc).otherwise(acc + b["w"] * F.exp(F.lit(-0.5) * z * z))
 
     dens = F.aggregate("h", F.lit(0.0).cast("double"), term) / (
         F.col("n") * F.col("bw") * F.lit((2.0 * 3.141592653589793) ** 0.5))
     return pts.select("feature", F.col("gi").alias("grid_index"), x.alias("x"),
-                      dens.alias("density"))
+                      F.when(F.col("bw").isNotNull(), dens).alias("density"))
 
 
 def box_stats(df: DataFrame, label_col: str, columns: Sequence[str],
@@ -205,14 +210,14 @@ def value_corr(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def factorize(df: DataFrame, key_col: str, columns: Sequence[str],
-              prefix_method: str = "blocks") -> DataFrame:
+              prefix_method: str = "blocks", hot_rows: int = HOT_ROWS) -> DataFrame:
     """key, and per column the code of its value: 0, 1, 2... in order of first
     appearance by ``key_col``; null -> -1.
 
     Per (column, value) the first key is found by an aggregate; codes are a
-    distributed row number over those firsts; rows get them back by an
-    equi-join on (column, value) and one ``groupBy(key)`` pivot. A repeated or null key is
-    an error: codes are given back by key.
+    distributed row number over those firsts; rows get them back by a join on (column, value)
+    that deals common values to several tasks, and one ``groupBy(key)`` pivot. A repeated or
+    null key is an error: codes are given back by key.
     """
     if df.groupBy(q(key_col)).count().where((F.col("count") > 1) | q(key_col).isNull()).limit(1).collect():
         raise ValueError(f"{key_col!r} holds repeated or null keys")
@@ -222,8 +227,8 @@ def factorize(df: DataFrame, key_col: str, columns: Sequence[str],
     firsts = long.where(F.col("v").isNotNull()).groupBy("column", "v").agg(
         F.min("_key").alias("_first"))
     codes = row_number(firsts, ["_first"], ["column"], out="_rn", method=prefix_method)
-    coded = (long.join(codes.select("column", "v", (F.col("_rn") - 1).alias("code")),
-                       ["column", "v"], "left")
+    coded = (uneven_join(long, codes.select("column", "v", (F.col("_rn") - 1).alias("code")), ["column", "v"], "left",
+                         hot_rows)
              .select("_key", "column", F.coalesce("code", F.lit(-1)).cast("long").alias("code")))
     wide = coded.groupBy("_key").pivot("column", list(columns)).agg(F.first("code"))
     return wide.withColumnRenamed("_key", key_col)
@@ -243,8 +248,11 @@ def redundant_pairs(corr: DataFrame, threshold: float = 0.8) -> DataFrame:
 
 def prediction_summary(scored: DataFrame, pred_col: str = "prediction") -> DataFrame:
     """prediction, count, percent (of all rows), percent_text."""
-    counts = scored.groupBy(q(pred_col).alias("prediction")).agg(
-        F.count(F.lit(1)).alias("count"))
+    return summary_of_counts(scored.groupBy(q(pred_col).alias("prediction")).agg(F.count(F.lit(1)).alias("count")))
+
+
+def summary_of_counts(counts: DataFrame, pred_col: str = "prediction") -> DataFrame:
+    """``prediction_summary`` from the rows of each prediction."""
     share = F.col("count") / F.sum("count").over(Window.partitionBy())
-    return (counts.withColumn("percent", share * 100.0)
+    return (counts.select(q(pred_col).alias("prediction"), "count").withColumn("percent", share * 100.0)
             .withColumn("percent_text", pct_text(share)))

@@ -224,7 +224,7 @@ def log_histogram(spark, sf_dir):
 
 @register
 def binned_kde(spark, sf_dir):
-    return finalize(profile.binned_kde(flows(spark, sf_dir), FLOW_FEATURES, 50, 100))
+    return finalize(profile.binned_kde(flows(spark, sf_dir), FLOW_FEATURES, grid=100))
 
 
 @register
@@ -498,6 +498,45 @@ def score_table(spark, sf_dir):
                     .withColumn("percent_total", F.lit(total["percent_total"])))
 
 
+@register
+def score_stream(spark, sf_dir):
+    """The scoring job on a stream: flows in six files, two a micro-batch. Rows written, rows
+    in the running summary, the sum of its percentages, and flows that are written once."""
+    from flowguard.streaming.score_stream import running_summary, scored_rows, start_score_job
+    path = _saved_forest(spark, sf_dir)
+    fl = flows(spark, sf_dir).drop(FLOW_LABEL)
+    src, out = files.scratch_path(spark, "score-src"), files.scratch_path(spark, "score-out")
+    fl.repartition(6, FLOW_KEY).write.parquet(src)
+    stream = spark.readStream.schema(fl.schema).option("maxFilesPerTrigger", 2).parquet(src)
+    start_score_job(stream, path, out, files.scratch_path(spark, "score-ckpt"), FLOW_FEATURES).awaitTermination()
+    rows = scored_rows(spark, out, fl.withColumn("prediction", F.lit("")).schema)
+    total = running_summary(spark, out).agg(F.sum("count").alias("n"), F.round(F.sum("percent"), 4).alias("p")).first()
+    return finalize(rows.agg(F.count("prediction").alias("n_written"), F.countDistinct(FLOW_KEY).alias("n_flows"))
+                    .withColumn("n_summary", F.lit(total["n"])).withColumn("percent_total", F.lit(total["p"])))
+
+
+@register
+def clustered_write(spark, sf_dir):
+    """Flows written by day with at most 150 rows a part: rows of each day, and whether its files
+    are no more than its rows need."""
+    fl = flows(spark, sf_dir)
+    path = files.write_parquet(fl, files.scratch_path(spark, "clustered"), [FLOW_DAY], file_rows=150)
+    back = spark.read.parquet(path).select(FLOW_DAY, F.col("_metadata.file_path").alias("file"))
+    return finalize(back.groupBy(FLOW_DAY).agg(
+        F.count(F.lit(1)).alias("n"),
+        (F.countDistinct("file") <= F.ceil(F.count(F.lit(1)) / 150)).alias("files_bounded")))
+
+
+@register
+def split_features_target(spark, sf_dir):
+    """Names of the features, and the features' sums by target."""
+    fl = flows(spark, sf_dir).select(*FLOW_FEATURES, FLOW_LABEL)
+    names, target = clean.split_features_target(fl, FLOW_LABEL)
+    return finalize(fl.groupBy(F.col(target).alias("target")).agg(
+        F.lit(",".join(names)).alias("features"), F.count(F.lit(1)).alias("n"),
+        *[F.sum(f).cast("double").alias(f"sum_{f}") for f in names]))
+
+
 @register
 def score_probabilities(spark, sf_dir):
     """For every flow the number of class probabilities, their sum, and whether each lies

@@ -243,16 +243,19 @@ SELECT feature, CAST(bin AS BIGINT) AS bin, ROUND(log_lo, 6) AS log_lo, ROUND(lo
        CAST(count AS BIGINT) AS count FROM hist"""
 
 ORACLE["binned_kde"] = f"""WITH {_LOG_HIST},
-sp AS (SELECT feature, STDDEV_SAMP(lv) AS sd, COUNT(*) AS n FROM ll GROUP BY feature),
-pk AS (SELECT h.feature, MIN(log_lo) AS mn, MAX(log_hi) AS mx FROM hist h GROUP BY h.feature),
-par AS (SELECT pk.feature, mn, mx, n, sd * pow(CAST(n AS DOUBLE), -0.2) AS bw,
-          (mx - mn) / 99 AS step FROM pk JOIN sp ON sp.feature = pk.feature),
+sp AS (SELECT feature, STDDEV_SAMP(lv) AS sd, COUNT(*) AS n, MIN(lv) AS mn, MAX(lv) AS mx FROM ll GROUP BY feature),
+par AS (SELECT *, sd * pow(CAST(n AS DOUBLE), -0.2) AS bw, (mx - mn) / 99 AS step, (mx - mn) / 1023 AS apart FROM sp),
+spot AS (SELECT ll.feature, (lv - mn) / (mx - mn) * 1023 AS place, least(floor((lv - mn) / (mx - mn) * 1023), 1022) AS low
+       FROM ll JOIN par ON par.feature = ll.feature),
+w AS (SELECT feature, node, SUM(w) AS w FROM (
+        SELECT feature, low AS node, 1 - (place - low) AS w FROM spot UNION ALL SELECT feature, low + 1, place - low FROM spot)
+      GROUP BY feature, node),
 g AS (SELECT par.*, unnest(range(0, 100)) AS gi FROM par),
 d AS (SELECT g.feature, g.gi, g.mn + g.gi * g.step AS x,
-        SUM(h.count * exp(-0.5 * ((g.mn + g.gi * g.step - (h.log_lo + h.log_hi) / 2.0) / g.bw)
-                             * ((g.mn + g.gi * g.step - (h.log_lo + h.log_hi) / 2.0) / g.bw)))
+        SUM(CASE WHEN abs((g.mn + g.gi * g.step - (g.mn + w.node * g.apart)) / g.bw) > 8 THEN 0 ELSE
+              w.w * exp(-0.5 * pow((g.mn + g.gi * g.step - (g.mn + w.node * g.apart)) / g.bw, 2)) END)
           / (g.n * g.bw * sqrt(2.0 * pi())) AS density
-      FROM g JOIN hist h ON h.feature = g.feature GROUP BY g.feature, g.gi, g.mn, g.step, g.n, g.bw)
+      FROM g JOIN w ON w.feature = g.feature GROUP BY g.feature, g.gi, g.mn, g.step, g.n, g.bw)
 SELECT feature, CAST(gi AS BIGINT) AS grid_index, ROUND(x, 6) AS x, ROUND(density, 6) AS density FROM d"""
 
 ORACLE["box_stats"] = f"""WITH {FLOWS_SQL}, {FLOW_LONG},
@@ -578,6 +581,12 @@ SELECT rep.*, model FROM rep, (SELECT unnest(['logreg', 'forest', 'smote_forest'
 
 ORACLE["score_table"] = """SELECT CAST(COUNT(*) AS BIGINT) AS n_written, CAST(COUNT(*) AS BIGINT) AS n_summary,
   CAST(100 AS DOUBLE) AS percent_total FROM events"""
+ORACLE["score_stream"] = ORACLE["score_table"].replace("AS n_written,", "AS n_written, CAST(COUNT(*) AS BIGINT) AS n_flows,")
+ORACLE["clustered_write"] = f"""WITH {FLOWS_SQL}
+SELECT CAST(Day AS BIGINT) AS Day, CAST(COUNT(*) AS BIGINT) AS n, true AS files_bounded FROM flows GROUP BY Day"""
+ORACLE["split_features_target"] = f"""WITH {FLOWS_SQL}
+SELECT Label AS target, 'value,user_id,k' AS features, CAST(COUNT(*) AS BIGINT) AS n, ROUND(SUM(CAST(value AS DOUBLE)), 6) AS sum_value,
+  CAST(SUM(user_id) AS DOUBLE) AS sum_user_id, CAST(SUM(k) AS DOUBLE) AS sum_k FROM flows GROUP BY Label"""
 ORACLE["score_probabilities"] = """SELECT CAST(event_id AS BIGINT) AS flow_id,
   CAST((SELECT COUNT(DISTINCT event_type) FROM events) AS BIGINT) AS n_classes, CAST(1 AS DOUBLE) AS probability_sum,
   true AS in_range FROM events"""

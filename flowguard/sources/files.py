@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowguard.functions.columns import NA_TOKENS
-from flowguard.session import ensure_checkpoint_dir
+from flowguard.plans.joins import checked_broadcast
+from flowguard.session import checkpointed, ensure_checkpoint_dir
 
 SOURCE_FILE = "source_file"
 
@@ -149,9 +150,30 @@ def load_csv_files(spark: SparkSession, path: str, schema: T.StructType | None =
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                  mode: str = "overwrite") -> str:
+                  mode: str = "overwrite", file_rows: int | None = None) -> str:
     """Overwrite one Parquet dataset, optionally partitioned (e.g. by day so that
-    day filters prune folders)."""
+    day filters prune folders).
+
+    With ``file_rows`` the rows of a folder (or the whole table) are dealt to ceil(rows / file_rows) parts by a hash
+    of the row, each written by one task: no more files than that a folder, and no folder
+    in one task. Equal rows stay together.
+    """
+    if file_rows:
+        by = list(partition_by or [])
+        counts = df.groupBy(*[F.col(f"`{c}`") for c in by]).agg(F.count(F.lit(1)).alias("_n"))
+        parts = checkpointed(counts.select(*[F.col(f"`{c}`").alias(f"_p{i}") for i, c in enumerate(by)],
+                                           F.ceil(F.col("_n") / file_rows).cast("long").alias("_parts")))
+        total = parts.agg(F.sum("_parts")).first()[0] or 1
+        cond = F.lit(True)
+        for i, c in enumerate(by):
+            cond = cond & F.col(f"`{c}`").eqNullSafe(F.col(f"_p{i}"))
+        if by:
+            dealt = df.join(checked_broadcast(parts), cond)
+        else:
+            dealt = df.withColumn("_parts", F.lit(total).cast("long"))
+        part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.col("_parts"))
+        df = dealt.withColumn("_part", part).repartition(int(total), *[F.col(f"`{c}`") for c in by], "_part").select(
+            *[F.col(f"`{c}`") for c in df.columns])
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -173,3 +173,79 @@ def test_count_state_replays_and_compacts(spark):
     assert add(1, [(1, "a", 1), (1, "b", 1)]) == [(1, "a", 3), (1, "b", 1)]      # replayed after epoch 2
     assert add(3, [(1, "b", 4)]) == [(1, "a", 3), (1, "b", 5)]
     assert state._folders("upto") == [1, 3]
+
+
+def test_density_error_is_below_a_thousandth_of_the_peak(spark):
+    """Against the exact sum over all rows."""
+    rng = np.random.default_rng(8)
+    values = np.concatenate([10 ** rng.normal(0, 0.3, 700), 10 ** rng.normal(2, 0.1, 300)])
+    df = spark.createDataFrame([(float(v), 5.0) for v in values] + [(-1.0, 5.0), (None, 5.0)], "x double, one double")
+    got = profile.binned_kde(df, ["x", "one"]).collect()
+    lv = np.log10(values)
+    bw = lv.std(ddof=1) * len(lv) ** -0.2
+    rows = sorted((r["x"], r["density"]) for r in got if r["feature"] == "x")
+    exact = [np.exp(-0.5 * ((x - lv) / bw) ** 2).sum() / (len(lv) * bw * np.sqrt(2 * np.pi)) for x, _ in rows]
+    assert len(rows) == 100 and max(abs(d - e) for (_, d), e in zip(rows, exact)) < 1e-3 * max(exact)
+    assert all(r["density"] is None for r in got if r["feature"] == "one")
+
+
+def test_factorize_with_one_value_on_half_of_the_rows(spark):
+    """The common value's rows meet its code in several parts; codes are those of the plain join."""
+    rows = [(i, "common" if i % 2 else (None if i % 10 == 0 else f"v{i % 37}")) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k long, v string")
+    plain = {r["k"]: r["v"] for r in profile.factorize(df, "k", ["v"]).collect()}
+    dealt = {r["k"]: r["v"] for r in profile.factorize(df, "k", ["v"], hot_rows=50).collect()}
+    seen, want = {}, {}
+    for k, v in rows:
+        want[k] = -1 if v is None else seen.setdefault(v, len(seen))
+    assert plain == dealt == want
+    from flowguard.plans.joins import uneven_join
+    left = df.withColumnRenamed("v", "key").repartition(3)
+    right = spark.createDataFrame([("common", 1), ("v1", 2), ("none", 3)], "key string, code int")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        out = uneven_join(left, right, ["key"], "left", hot_rows=50)
+        per_task = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert out.count() == 1000 and max(per_task) < 200        # the common value alone has 500 rows
+        assert uneven_join(left, right, ["key"], hot_rows=50).count() == left.join(right, "key").count()
+    finally:
+        for name in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"):
+            spark.conf.unset(name)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    with pytest.raises(ValueError):
+        uneven_join(left, right, ["key"], "right")
+
+
+def test_clustered_write_bounds_files(spark):
+    df = spark.range(2000).selectExpr("id", "CAST(IF(id < 1500, 1, id % 4) AS INT) AS day", "CAST(IF(id = 3, NULL, id) AS STRING) AS s").repartition(7)
+    path = files.write_parquet(df, files.scratch_path(spark, "t-clu"), ["day"], file_rows=100)
+    back = spark.read.parquet(path)
+    per = {r["day"]: (r["n"], r["f"]) for r in back.groupBy("day").agg(
+        F.count("id").alias("n"), F.countDistinct(F.col("_metadata.file_path")).alias("f")).collect()}
+    want = {r["day"]: r["count"] for r in df.groupBy("day").count().collect()}
+    assert {d: n for d, (n, _) in per.items()} == want and back.count() == 2000
+    assert all(f <= -(-n // 100) for n, f in per.values()) and per[1][1] > 5
+    files.write_parquet(df, path, file_rows=500)
+    assert spark.read.parquet(path).select(F.col("_metadata.file_path")).distinct().count() <= 4
+    files.write_parquet(df.limit(0), path, ["day"], file_rows=500)
+
+
+def test_score_stream_replays(spark, labelled, model_path):
+    from flowguard.streaming.score_stream import running_summary, scored_rows, start_score_job
+    src, out = files.scratch_path(spark, "t-ss"), files.scratch_path(spark, "t-so")
+    rows = labelled.drop("y")
+    rows.repartition(4).write.parquet(src)
+    for _ in range(2):      # a start without its checkpoint replays every micro-batch
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(src)
+        start_score_job(stream, model_path, out, files.scratch_path(spark, "t-sc"), FEATS).awaitTermination()
+    batch, summary = jobs.score_job(spark, model_path, rows, files.scratch_path(spark, "t-sb"), features=FEATS)
+    got = scored_rows(spark, out, batch.schema)
+    assert sorted(map(tuple, got.select("id", "prediction").collect())) == sorted(map(tuple, batch.select("id", "prediction").collect()))
+    assert sorted(map(tuple, running_summary(spark, out).collect())) == sorted(map(tuple, summary.collect()))
+    with pytest.raises(ValueError):
+        start_score_job(stream.drop("a"), model_path, out, out + "-c", FEATS)
+    with pytest.raises(FileNotFoundError):
+        start_score_job(stream, model_path + "-no", out, out + "-c", FEATS)
