@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowguard.plans.joins import uneven_join
 from flowguard.session import checkpointed
 
+#: Edges of a node that one task takes: at least this many, and this often the mean of a partition.
+HOT_LEAST, HOT_TIMES = 500, 2
+
 
 def _least_neighbour(pairs: DataFrame) -> DataFrame:
     """u -> the least of u and its neighbours (partial sums run before the shuffle)."""
@@ -19,19 +23,21 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Each round hangs every node's larger neighbours below its least neighbour, then
     the smaller ones; it stops when a round changes no edge. Neighbours are never
-    collected: a node only needs its least one, which is an aggregate joined back,
-    and a node with very many edges is a skewed join that adaptive execution splits.
+    collected: a node only needs its least one, which is an aggregate joined back
+    (``plans/joins.py``: a node with very many edges is dealt to several tasks).
     Every round is written to the checkpoint folder, so lineage stays short.
     """
     now = checkpointed(edges.where(F.col(a) != F.col(b))
                        .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
     state = None
+    parts = int(now.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = max(HOT_LEAST, HOT_TIMES * 2 * now.count() // parts)
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (both.join(_least_neighbour(both), "u").where(F.col("v") > F.col("u"))
+        large = (uneven_join(both, _least_neighbour(both), ["u"], hot_rows=most).where(F.col("v") > F.col("u"))
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         low = _least_neighbour(large)
-        small = large.join(low, "u").select("v", "u", "m")
+        small = uneven_join(large, low, ["u"], hot_rows=most).select("v", "u", "m")
         pairs = (small.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))))
         now = checkpointed(pairs.where(F.col("u") != F.col("v")).distinct())
