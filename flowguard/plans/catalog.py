@@ -447,14 +447,40 @@ def train_smote_forest(spark, sf_dir):
 
 @register
 def train_boosting(spark, sf_dir):
-    """Boosting, 10 rounds for each of the five classes (the operator's default is 100:
-    500 dependent fits)."""
+    """Joint boosting at the operator's defaults: 100 rounds of a tree a class."""
     tr, te = _flow_split(spark, sf_dir)
-    est = models.make_estimator("boosting", maxIter=10, maxDepth=3)
-    m = models.fit_pipeline(tr, FLOW_FEATURES, FLOW_LABEL, est)
+    m = models.fit_pipeline(tr, FLOW_FEATURES, FLOW_LABEL, models.make_estimator("boosting"))
     return finalize(_report(m, te, FLOW_LABEL))
 
 
+def _few_rounds():
+    return models.make_estimator("boosting", maxIter=10)
+
+
+@register
+def learners_rule(spark, sf_dir):
+    """Learners on a label that is a rule of one feature (bands of ``value``), scored on the test
+    side: rows, whether nearly all are right (99 % for trees, better than the
+    commonest class for the linear model), and whether a second fit predicts the same. Boosting
+    has 10 rounds here, the forest 20 trees of depth 8 with 256 bins: the rule needs no more."""
+    ruled = flows(spark, sf_dir).withColumn("band", F.expr(RULE_SQL)).drop(FLOW_LABEL)
+    tr, te = _split_kept(ruled, "band", FLOW_KEY)
+    n_train = tr.count()
+    makers = {"logreg": (lambda: models.make_estimator("logreg", n_rows=n_train, maxIter=100), True),
+              "forest": (_forest(featureSubsetStrategy="all", maxBins=256), False), "boosting": (_few_rounds, False)}
+    n = te.count()
+    most = te.groupBy("band").count().agg(F.max("count")).first()[0]
+    rows = []
+    for name, (make, scale) in makers.items():
+        fits = [models.score(models.fit_pipeline(tr, FLOW_FEATURES, "band", make(), scale=scale), te).select(
+            FLOW_KEY, "band", models.PRED_LABEL) for _ in range(2)]
+        right = fits[0].where(F.col("band") == F.col(models.PRED_LABEL)).count()
+        again = fits[0].join(fits[1].withColumnRenamed(models.PRED_LABEL, "_again"), FLOW_KEY).where(
+            F.col(models.PRED_LABEL) == F.col("_again")).count()
+        rows.append((name, n, right > most if name == "logreg" else right >= 0.99 * n, again == n))
+    return spark.createDataFrame(rows, "model string, n long, learned boolean, same_again boolean")
+
+
 @register
 def compare_models(spark, sf_dir):
     """Per-class reports of the three models on the same split, tagged by model."""
@@ -539,14 +565,23 @@ def split_features_target(spark, sf_dir):
 
 @register
 def score_probabilities(spark, sf_dir):
-    """For every flow the number of class probabilities, their sum, and whether each lies
-    in [0, 1]."""
-    model, _ = models.load_model(_saved_forest(spark, sf_dir))
-    scored = models.score(model, flows(spark, sf_dir))
-    probs = models.class_probabilities(model, scored, [FLOW_KEY])
-    return finalize(probs.groupBy(FLOW_KEY).agg(
-        F.count(F.lit(1)).alias("n_classes"), F.sum("probability").alias("probability_sum"),
-        F.min(F.col("probability").between(0, 1)).alias("in_range")))
+    """For every flow and each of three learners (saved forest, linear, boosting with 10 rounds)
+    the number of class probabilities, their sum, whether each lies in [0, 1], and whether the
+    predicted class is the likeliest."""
+    forest, _ = models.load_model(_saved_forest(spark, sf_dir))
+    fl = flows(spark, sf_dir)
+    linear = models.fit_pipeline(fl, FLOW_FEATURES, FLOW_LABEL, models.make_estimator("logreg", n_rows=fl.count(), maxIter=100), scale=True)
+    boosted = models.fit_pipeline(fl, FLOW_FEATURES, FLOW_LABEL, _few_rounds())
+    parts = []
+    for name, model in (("forest", forest), ("logreg", linear), ("boosting", boosted)):
+        scored = models.score(model, fl)
+        probs = models.class_probabilities(model, scored, [FLOW_KEY, models.PRED_LABEL])
+        own = F.max(F.when(F.col("class") == F.col(models.PRED_LABEL), F.col("probability")))
+        parts.append(probs.groupBy(FLOW_KEY).agg(
+            F.count(F.lit(1)).alias("n_classes"), F.sum("probability").alias("probability_sum"),
+            F.min(F.col("probability").between(0, 1)).alias("in_range"),
+            (own >= F.max("probability")).alias("predicts_likeliest")).withColumn("model", F.lit(name)))
+    return finalize(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
 
 @register
@@ -644,6 +679,18 @@ def rfecv(spark, sf_dir):
                                 (F.max("ranking") == F.count(F.lit(1)) - kept + 1).alias("ranks_whole")))
 
 
+@register
+def rfecv_linear(spark, sf_dir):
+    """The same elimination with a linear learner, by its coefficients for a step of one std."""
+    docs = doc_quality(spark, sf_dir)
+    n = docs.count()
+    ranking, _ = validate.rfecv(docs, "doc_id", "quality", DOC_FEATURES,
+                                lambda: models.make_estimator("logreg", n_rows=n, maxIter=30), min_features=2, cv=3)
+    kept = F.sum(F.col("selected").cast("int"))
+    return finalize(ranking.agg(F.count(F.lit(1)).alias("n_features"), (kept >= 2).alias("kept_enough"),
+                                (F.max("ranking") == F.count(F.lit(1)) - kept + 1).alias("ranks_whole")))
+
+
 @register
 def permutation_importance(spark, sf_dir):
     """Ten repeats for every document feature under a forest of 20 trees of depth 8."""

@@ -589,7 +589,11 @@ SELECT Label AS target, 'value,user_id,k' AS features, CAST(COUNT(*) AS BIGINT)
   CAST(SUM(user_id) AS DOUBLE) AS sum_user_id, CAST(SUM(k) AS DOUBLE) AS sum_k FROM flows GROUP BY Label"""
 ORACLE["score_probabilities"] = """SELECT CAST(event_id AS BIGINT) AS flow_id,
   CAST((SELECT COUNT(DISTINCT event_type) FROM events) AS BIGINT) AS n_classes, CAST(1 AS DOUBLE) AS probability_sum,
-  true AS in_range FROM events"""
+  true AS in_range, true AS predicts_likeliest, unnest(['forest', 'logreg', 'boosting']) AS model FROM events"""
+# Test rows of the stratified split by the rule's bands: the same formula of rows per band.
+ORACLE["learners_rule"] = f"""WITH {FLOWS_SQL.replace("flows AS", "flows0 AS", 1)}, flows AS (SELECT * REPLACE ({RULE_SQL} AS Label) FROM flows0), {_SPLIT_ROWS}
+SELECT unnest(['logreg', 'forest', 'boosting']) AS model, CAST(COUNT(*) AS BIGINT) AS n, true AS learned, true AS same_again
+FROM sp WHERE split = 'test'"""
 _CLEAN_SPLIT = _SPLIT_ROWS.replace("FROM flows", "FROM clean").replace("flows.*", "clean.*")
 ORACLE["prepared_dataset"] = f"""WITH {FLOWS_SQL}, {DIRTY_SQL}, {CLEAN_SQL}, {_CLEAN_SPLIT}
 SELECT CAST(flow_id AS BIGINT) AS flow_id, Label, split FROM sp"""
@@ -599,6 +603,7 @@ ORACLE["select_by_importance"] = """SELECT CAST(5 AS BIGINT) AS n_features, true
   CAST(1 AS DOUBLE) AS importance_sum FROM documents JOIN labels USING (doc_id) LIMIT 1"""
 ORACLE["rfecv"] = """SELECT CAST(5 AS BIGINT) AS n_features, true AS kept_enough, true AS ranks_whole
 FROM documents JOIN labels USING (doc_id) LIMIT 1"""
+ORACLE["rfecv_linear"] = ORACLE["rfecv"]
 ORACLE["permutation_importance"] = """SELECT unnest(['n_chars', 'n_words', 'n_lines', 'n_upper', 'n_digits']) AS feature,
   true AS valid, true AS threshold_applied"""
 ORACLE["compare_selectors"] = """SELECT unnest(['importance_median', 'rfecv', 'permutation']) AS method,
