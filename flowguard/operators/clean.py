@@ -166,6 +166,10 @@ def day_name_from_path(path_col: str | Column) -> Column:
     return F.regexp_extract(F.element_at(F.split(c, "/"), -1), r"^([A-Za-z]+)-", 1)
 
 
+#: Names an error lists.
+UNKNOWN_LISTED = 1000
+
+
 def add_day_column(df: DataFrame, source_column: str | None = None,
                    day_map: Mapping[str, int] | None = None, day_col: str = "Day"
                    ) -> DataFrame:
@@ -173,16 +177,17 @@ def add_day_column(df: DataFrame, source_column: str | None = None,
 
     Without a usable source column an existing ``day_col`` is kept; with neither
     it is an error. Values outside the map are an error listing them (found by
-    one anti-filter, at most 20 names reach the driver).
+    one anti-filter; at most UNKNOWN_LISTED names reach the driver, and whether there are more).
     """
     day_map = dict(day_map or DAY_MAP)
     if source_column and source_column in df.columns:
         unknown = (df.select(q(source_column).alias("v"))
                    .where(q("v").isNull() | ~q("v").isin(list(day_map))).distinct().orderBy("v")
-                   .collect())
+                   .limit(UNKNOWN_LISTED + 1).collect())
         if unknown:
+            more = " and more" if len(unknown) > UNKNOWN_LISTED else ""
             raise ValueError(f"unknown values in {source_column!r}: "
-                             f"{[r['v'] for r in unknown]}; expected {list(day_map)}")
+                             f"{[r['v'] for r in unknown[:UNKNOWN_LISTED]]}{more}; expected {list(day_map)}")
         m = F.create_map(*[x for k, v in day_map.items() for x in (F.lit(k), F.lit(v))])
         return df.withColumn(day_col, F.element_at(m, q(source_column)).cast("int"))
     if day_col in df.columns:

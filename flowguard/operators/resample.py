@@ -4,12 +4,13 @@ seeded synthetic rows x + u * (neighbour - x).
 Neighbours are searched only for rows that a synthetic row starts from, in classes
 that need some:
 
-1. the rows of a class, ordered by a fixed projection, are cut in blocks of about
-   ``BLOCK`` rows; a block is one record of keys and a matrix, with centre, radius and
-   projection range; a query row's k-th distance inside its own block bounds its
-   k-th neighbour from above;
-2. two blocks are compared unless the triangle inequality (centre distance less both
-   radii) or the gap of their projections exceeds the bound of every query row there;
+1. the rows of a class are dealt to a metric tree: a node of more than ``BLOCK`` rows is split
+   by the nearest of ``FANOUT`` of its rows, drawn by a hash. A leaf is a block, one record of keys and
+   a matrix, with centre and radius; a query row's k-th distance inside its own block
+   bounds its k-th neighbour from above;
+2. inner nodes are balls around their blocks. Pairs of nodes are followed from the root down,
+   and left where the triangle inequality (centre distance less both radii) exceeds the bound
+   of every query row there, so that no list of all blocks of a class meets another;
 3. a pair of blocks is one matrix comparison that keeps k rows per query row; the k
    best over the blocks are the neighbours.
 
@@ -29,7 +30,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowguard.functions.columns import hash_unit, q
@@ -39,16 +40,10 @@ from flowguard.session import checkpointed
 
 CHUNK = 50_000
 BLOCK = 1_000
-
-
-def _unit_vector(dim: int, seed: int) -> list[float]:
-    """Fixed pseudo-random direction from the seed (a parameter of the plan, one
-    number per feature)."""
-    import random
-    rnd = random.Random(seed)
-    v = [rnd.gauss(0.0, 1.0) for _ in range(dim)]
-    norm = math.sqrt(sum(x * x for x in v)) or 1.0
-    return [x / norm for x in v]
+#: Children of a tree node, and levels after which rows are split by hash (rows that are all
+#: alike have no nearest pivot).
+FANOUT = 8
+TREE_LEVELS, HASH_LEVELS = 12, 8
 
 
 def class_targets(df: DataFrame, label_col: str, target: int | None = None) -> DataFrame:
@@ -70,6 +65,76 @@ def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
+def _apart(a: Column, b: Column) -> Column:
+    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v))
+
+
+def _tree_leaves(rows: DataFrame, block: int, seed: int) -> DataFrame:
+    """``rows`` (key, label, x, asks) with ``b``, the leaf of their class's metric tree: ids in base
+    FANOUT with a leading 1. A level is a pass over the rows; levels grow with the logarithm
+    of rows / block."""
+    rows = rows.withColumn("b", F.lit(1).cast("long"))
+    for level in range(TREE_LEVELS + HASH_LEVELS):
+        big = rows.groupBy("label", "b").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block).select(
+            F.col("label").alias("_l"), F.col("b").alias("_b"))
+        big = checkpointed(big)
+        if big.limit(1).isEmpty():
+            break
+        same = F.col("label").eqNullSafe(F.col("_l")) & (F.col("b") == F.col("_b"))
+        dice = F.xxhash64(F.lit(seed + level), F.col("key"))
+        part = F.pmod(dice, F.lit(FANOUT)).cast("int")
+        if level < TREE_LEVELS:
+            drawn = (rows.join(checked_broadcast(big), same).groupBy("_l", "_b", part.alias("_i"))
+                     .agg(F.min_by("x", dice).alias("_x")).groupBy("_l", "_b")
+                     .agg(F.sort_array(F.collect_list(F.struct("_i", "_x"))).alias("_s")).select("_l", "_b", F.col("_s._x").alias("_pivots")))
+        else:
+            drawn = big.withColumn("_pivots", F.array(F.array().cast("array<double>")))
+        far = F.transform("_pivots", lambda p: _apart(F.col("x"), p))
+        nearest = F.array_position(far, F.array_min(far)).cast("int") - 1
+        child = F.when(F.lit(level >= TREE_LEVELS), part).otherwise(nearest)
+        rows = checkpointed(rows.join(checked_broadcast(checkpointed(drawn)), same, "left").withColumn(
+            "b", F.when(F.col("_b").isNull(), F.col("b")).otherwise(F.col("b") * FANOUT + child)).drop("_l", "_b", "_pivots"))
+    return rows
+
+
+def _near_blocks(blocks: DataFrame) -> DataFrame:
+    """label, b, other: the pairs of blocks (label, b, centre, radius, reach) in which a row of
+    the first may have a neighbour in the second."""
+    depth = F.floor(F.round(F.log(float(FANOUT), F.col("b").cast("double")), 9)).cast("int")
+    leaves = checkpointed(blocks.withColumn("depth", depth))
+    most = leaves.agg(F.max("depth")).first()[0] or 0
+    # every ancestor of a block, itself at all levels from its own down
+    up = leaves.select("*", F.explode(F.sequence(F.lit(0), F.lit(most))).alias("level")).withColumn(
+        "node", F.expr(f"b div CAST(pow({FANOUT}, greatest(depth - level, 0)) AS BIGINT)"))
+    heart = up.groupBy("label", "level", "node").agg(F.min_by("centre", "b").alias("heart"))
+    up = up.join(heart.withColumnsRenamed({"label": "_l", "level": "_v", "node": "_o"}),
+                 F.col("label").eqNullSafe(F.col("_l")) & (F.col("level") == F.col("_v")) & (F.col("node") == F.col("_o")))
+    nodes = checkpointed(up.groupBy("label", "level", "node").agg(
+        F.min_by("centre", "b").alias("heart"), F.max(_apart(F.col("centre"), F.col("heart")) + F.col("radius")).alias("radius"),
+        F.max("reach").alias("reach"), F.max("depth").alias("deepest"))
+        .withColumn("parent", F.when((F.col("deepest") < F.col("level")), F.col("node")).otherwise(
+            F.expr(f"node div {FANOUT}"))))
+    pairs = nodes.where("level = 0").select("label", F.col("node").alias("x"), F.col("node").alias("y")).where("x = 1")
+    for level in range(most + 1):
+        at = nodes.where(F.col("level") == level)
+        if level:
+            kids = at.select(F.col("label").alias("_l"), "parent", "node")
+            pairs = (pairs.join(kids.withColumnsRenamed({"node": "x1"}), F.col("label").eqNullSafe(F.col("_l")) & (F.col("x") == F.col("parent")))
+                     .select("label", F.col("x1").alias("x"), "y")
+                     .join(kids.withColumnsRenamed({"node": "y1"}), F.col("label").eqNullSafe(F.col("_l")) & (F.col("y") == F.col("parent")))
+                     .select("label", "x", F.col("y1").alias("y")))
+        ball = lambda side: at.select(F.col("label").alias(f"_l{side}"), F.col("node").alias(f"_n{side}"),
+                                      F.col("heart").alias(f"_h{side}"), F.col("radius").alias(f"_r{side}"), F.col("reach").alias(f"_q{side}"))
+        pairs = (pairs.join(ball("x"), F.col("label").eqNullSafe(F.col("_lx")) & (F.col("x") == F.col("_nx")))
+                 .join(ball("y"), F.col("label").eqNullSafe(F.col("_ly")) & (F.col("y") == F.col("_ny")))
+                 .withColumn("_d", _apart(F.col("_hx"), F.col("_hy")))
+                 # room for the rounding of far centres and wide balls
+                 .where((F.col("_qx") >= 0) & (F.col("_d") - F.col("_rx") - F.col("_ry") <= F.col("_qx") * (1 + 1e-9) + 1e-9
+                                               + (F.col("_d") + F.col("_rx") + F.col("_ry")) * 1e-12)).select("label", "x", "y"))
+        pairs = checkpointed(pairs)
+    return pairs.select("label", F.col("x").alias("b"), F.col("y").alias("other"))
+
+
 def knn_within_class(df: DataFrame, key_col: str, label_col: str, features: Sequence[str],
                      k: int = 5, seed: int = 42, prefix_method: str = "blocks",
                      query_keys: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
@@ -81,19 +146,17 @@ def knn_within_class(df: DataFrame, key_col: str, label_col: str, features: Sequ
     """
     feats = list(features)
     dim = len(feats)
-    u = _unit_vector(dim, seed)
-    proj = sum((F.lit(w) * q(f).cast("double") for w, f in zip(u, feats)), F.lit(0.0))
     base = df.select(q(key_col).cast("long").alias("key"), q(label_col).alias("label"),
-                     F.array(*[q(f).cast("double") for f in feats]).alias("x"), proj.alias("p"))
-    sizes = checkpointed(base.groupBy("label").agg(F.count(F.lit(1)).alias("_n")))
+                     F.array(*[q(f).cast("double") for f in feats]).alias("x"))
     asks = F.lit(True)
     if query_keys is not None:
         base = base.join(query_keys.select("key", F.lit(True).alias("_q")), "key", "left")
         asks = F.coalesce("_q", F.lit(False))
-    placed = (row_number(base.withColumn("asks", asks), ["p", "key"], ["label"], out="pos", method=prefix_method)
-              .join(checked_broadcast(sizes), "label"))
-    blocks_of = F.ceil(F.col("_n") / block)
-    placed = placed.withColumn("b", F.floor((F.col("pos") - 1) * blocks_of / F.col("_n")).cast("long"))
+    base = base.withColumn("asks", asks)
+    if query_keys is not None:      # classes without a query row answer nobody
+        some = checkpointed(base.where("asks").select(F.col("label").alias("_l")).distinct())
+        base = base.join(checked_broadcast(some), F.col("label").eqNullSafe(F.col("_l")), "left_semi")
+    placed = _tree_leaves(base.select("key", "label", "x", "asks"), block, seed)
     kind = df.schema[label_col].dataType.simpleString()
 
     def pack(rows: pa.Table) -> pa.Table:
@@ -110,25 +173,14 @@ def knn_within_class(df: DataFrame, key_col: str, label_col: str, features: Sequ
                 d = _distances(x[ask], x)
                 d[np.arange(int(ask.sum())), np.flatnonzero(ask)] = np.inf
                 reach = float(np.partition(d, k - 1, axis=1)[:, k - 1].max())
-        p = rows.column("p").to_numpy()
         return pa.table({
             "label": rows.column("label")[:1], "b": rows.column("b")[:1],
             "keys": [key.tobytes()], "asks": [np.packbits(ask).tobytes()], "mat": [x.tobytes()],
-            "centre": pa.array([centre.tolist()], pa.list_(pa.float64())), "radius": [radius], "reach": [reach],
-            "low": [float(p.min())], "high": [float(p.max())]})
-
-    packed = checkpointed(placed.select("label", "b", "key", "x", "p", "asks").groupBy("label", "b").applyInArrow(
-        pack, f"label {kind}, b long, keys binary, asks binary, mat binary, centre array<double>, radius double, "
-              "reach double, low double, high double"))
-    side = packed.select("label", "b", "centre", "radius", "low", "high")
-    x, y = packed.where("reach >= 0").alias("x"), side.alias("y")
-    slack = F.col("x.reach") * (1 + 1e-9) + 1e-9
-    apart = F.sqrt(F.aggregate(F.zip_with("x.centre", "y.centre", lambda a, c: (a - c) * (a - c)), F.lit(0.0),
-                               lambda a, v: a + v))
-    pairs = (x.join(y, F.col("x.label").eqNullSafe(F.col("y.label"))
-                    & (F.col("y.low") - F.col("x.high") <= slack) & (F.col("x.low") - F.col("y.high") <= slack))
-             .where(apart - F.col("x.radius") - F.col("y.radius") <= slack)
-             .select(F.col("x.label").alias("label"), F.col("x.b").alias("b"), F.col("y.b").alias("other")))
+            "centre": pa.array([centre.tolist()], pa.list_(pa.float64())), "radius": [radius], "reach": [reach]})
+
+    packed = checkpointed(placed.select("label", "b", "key", "x", "asks").groupBy("label", "b").applyInArrow(
+        pack, f"label {kind}, b long, keys binary, asks binary, mat binary, centre array<double>, radius double, reach double"))
+    pairs = _near_blocks(packed.select("label", "b", "centre", "radius", "reach"))
     left = packed.select("label", "b", F.col("keys").alias("k1"), "asks", F.col("mat").alias("m1"))
     right = packed.select(F.col("label").alias("_l"), F.col("b").alias("other"), F.col("keys").alias("k2"),
                           F.col("mat").alias("m2"))

@@ -52,3 +52,35 @@ def test_only_asked_rows_and_needy_classes(spark):
         assert np.allclose([r["f0"], r["f1"]], a + r["gap"] * (b - a))
         if r["label"] == "b":
             assert r["nn_key"] in {v for (i, _), v in want.items() if i == r["base_key"]}
+
+
+def test_tree_skips_most_pairs_in_few_dimensions(spark, capsys):
+    """Share of the block pairs that are compared: small in three dimensions, all in many."""
+    rng = np.random.default_rng(9)
+    shares = {}
+    for dim in (3, 40):
+        pts = rng.random((3000, dim))
+        df = frame(spark, pts, ["a"] * 3000)
+        seen = {}
+        plain = resample._near_blocks
+
+        def counted(blocks):
+            out = plain(blocks)
+            seen["n"], seen["pairs"] = blocks.count(), out.count()
+            return out
+        resample._near_blocks = counted
+        try:
+            got = resample.knn_within_class(df, "id", "c", [f"f{j}" for j in range(dim)], 5, block=60).collect()
+        finally:
+            resample._near_blocks = plain
+        shares[dim] = seen["pairs"] / seen["n"] ** 2
+        d = np.sqrt(np.maximum((pts ** 2).sum(axis=1)[:, None] + (pts ** 2).sum(axis=1) - 2 * pts @ pts.T, 0))
+        np.fill_diagonal(d, np.inf)
+        near = np.sort(d, axis=1)[:, :5]
+        mine = np.zeros_like(near)
+        for r in got:
+            mine[r["key"], r["nn_rank"] - 1] = r["dist"]
+        assert np.allclose(near, mine)
+    with capsys.disabled():
+        print(f" compared block pairs: {shares} ", end="")
+    assert shares[3] < 0.5 and shares[40] <= 1
