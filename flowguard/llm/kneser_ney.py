@@ -36,8 +36,8 @@ from flowguard.llm.common import (Words, pack_signed, pack_sorted, pair_hashes,
 from flowguard.sources.files import scratch_path
 
 #: Text that a task counts, and scores, at a time.
-CHUNK_BYTES = 12 << 20
-SCORE_BYTES = 8 << 20
+CHUNK_BYTES = 10 << 20
+SCORE_BYTES = 5 << 20
 BUCKET_BYTES = 12 << 20
 #: Longer texts are taken in pieces, cut behind a word.
 PIECE_BYTES = 4 << 20
