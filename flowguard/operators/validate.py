@@ -266,10 +266,10 @@ def position_keys(seed: int, feature: str, repeat: int) -> list[int]:
     return [int(h[5 * i:5 * i + 5], 16) for i in range(ROUNDS)]
 
 
-def permuted_positions(pos, n: int, keys: Sequence[int]):
+def permuted_positions(pos, n: int, keys: Sequence[int], inverse: bool = False):
     """A seeded one-to-one map of 0..n-1 onto itself, without a sort: a Feistel network on the
     two digits of a position in a number system of a x b >= n places; places of n and
-    more are mapped on until they fall below n. Numpy arrays of 64-bit integers."""
+    more are mapped on until they fall below n. ``inverse`` maps back. Numpy arrays of 64-bit integers."""
     import numpy as np
     a = math.isqrt(max(n - 1, 0)) + 1
     b = -(-n // a)
@@ -279,27 +279,29 @@ def permuted_positions(pos, n: int, keys: Sequence[int]):
         z = y * y % PRIME
         return (z * 69069 + y) % PRIME
 
+    sign = -1 if inverse else 1
+    rounds = list(enumerate(keys))[::sign]
     out = np.array(pos, dtype=np.int64)
     todo = np.arange(len(out))
     while len(todo):
         left, right = out[todo] // b, out[todo] % b
-        for i, key in enumerate(keys):
+        for i, key in rounds:
             if i % 2:
-                right = (right + mixed(left, key)) % b
+                right = (right + sign * mixed(left, key)) % b
             else:
-                left = (left + mixed(right, key)) % a
+                left = (left + sign * mixed(right, key)) % a
         out[todo] = left * b + right
         todo = todo[out[todo] >= n]
     return out
 
 
-def _moves(n: int, keys: list[list[int]]):
-    """Column function: the (pair, position) a position is mapped to, for every pair's keys."""
-    @F.pandas_udf("array<struct<pair:int,to:bigint>>")
-    def moves(pos: pd.Series) -> pd.Series:
-        to = [permuted_positions(pos.to_numpy(), n, k).tolist() for k in keys]
-        return pd.Series([[{"pair": i, "to": v} for i, v in enumerate(row)] for row in zip(*to)])
-    return moves
+def _takers(n: int, keys: list[list[int]]):
+    """Column function: for every pair's keys the position that takes its value from a position."""
+    @F.pandas_udf("array<bigint>")
+    def takers(pos: pd.Series) -> pd.Series:
+        import numpy as np
+        return pd.Series(list(np.stack([permuted_positions(pos.to_numpy(), n, k, inverse=True) for k in keys], axis=1)))
+    return takers
 
 
 def permutation_importance(model, df: DataFrame, key_col: str, label_col: str,
@@ -309,9 +311,9 @@ def permutation_importance(model, df: DataFrame, key_col: str, label_col: str,
 
     Rows are ranked by key once. A (feature, repeat) pair is a seeded random permutation of
     positions (``permuted_positions``): the row at position i gets the feature's value from the
-    position i is mapped to, so a pair needs a join on the position and no sort. What is
-    joined are (pair, row, position) and the values, and they meet the rows again by row. Pairs are
-    scored in blocks of PAIR_BLOCK.
+    position i is mapped to. Each row sends its values to the positions that take them (the
+    inverse map), where they meet the row. Both sides have all rows, so the join is a merge join
+    whatever its sides' compressed sizes. Pairs are scored in blocks of PAIR_BLOCK.
     """
     feats = list(features)
     base = df.select(q(key_col).alias("_k"), q(label_col).cast("string").alias(label_col), *[q(f) for f in feats])
@@ -325,16 +327,12 @@ def permutation_importance(model, df: DataFrame, key_col: str, label_col: str,
     accs = []
     for at in range(0, len(pairs), PAIR_BLOCK):
         block = [(i, f, r, position_keys(seed, f, r)) for i, (f, r) in enumerate(pairs[at:at + PAIR_BLOCK])]
-        moved = F.explode(_moves(n, [keys for *_, keys in block])(F.col("_pos")))
-        asked = ranked.select("_pos", moved.alias("m")).select("_pos", "m.pair", "m.to")
-        own = sorted({f for _, f, _, _ in block}, key=feats.index)
-        values = ranked.select(F.col("_pos").alias("to"), *[q(f).cast("double").alias(f"_v{feats.index(f)}") for f in own])
-        new = F.coalesce(*[F.when(F.col("pair").isin([i for i, g, _, _ in block if g == f]), F.col(f"_v{feats.index(f)}"))
-                           for f in own])
-        sent = asked.join(values, "to").select("_pos", "pair", new.alias("_new"))
-        rows = sent.join(ranked, "_pos").select("pair", label_col, *[
-            F.when(F.col("pair").isin([i for i, g, _, _ in block if g == f]), F.col("_new")).otherwise(q(f)).alias(f)
-            if f in own else q(f) for f in feats])
+        takers = _takers(n, [keys for *_, keys in block])(F.col("_pos"))
+        given = F.array(*[q(f).cast("double") for _, f, _, _ in block])
+        sent = ranked.select(F.posexplode(F.arrays_zip(takers.alias("to"), given.alias("new"))).alias("pair", "m")).select(
+            "pair", F.col("m.to").alias("_pos"), F.col("m.new").alias("new"))
+        rows = sent.join(ranked.hint("merge"), "_pos").select("pair", label_col, *[
+            F.when(F.col("pair").isin([i for i, f, _, _ in block if f == g]), F.col("new")).otherwise(q(g)).alias(g) for g in feats])
         names = df.sparkSession.createDataFrame([(i, f, r) for i, f, r, _ in block], "pair int, f string, r int")
         accs.append(checkpointed(models.score(model, rows, label_col).groupBy("pair").agg(F.avg(hit).alias("acc"))
                                  .join(F.broadcast(names), "pair").select("f", "r", "acc")))
