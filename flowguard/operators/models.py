@@ -2,7 +2,7 @@
 scaling, the learners the reference uses, scoring, class probabilities, and
 saving / loading with metadata.
 
-Logistic regression and forests are MLlib's, joint boosting is ``operators/boosting.py``;
+Logistic regression is MLlib's, forests are ``operators/forest.py``, joint boosting is ``operators/boosting.py``;
 this module is the table work around them. Labels are indexed in sorted order (as the reference's library sorts classes) and mapped
 back to names after prediction.
 """
@@ -15,7 +15,7 @@ from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, Param, Params, TypeConverters
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from flowguard.functions.columns import q
 from flowguard.operators.boosting import SoftmaxBoosting
+from flowguard.operators.forest import Forest
 
 LABEL_IDX = "label_idx"
 FEATURES = "features"
@@ -81,7 +82,7 @@ class PopulationScaler(Estimator, _ScalerParams, DefaultParamsReadable, DefaultP
 # ------------------------------------------------------------ learners
 
 def make_estimator(kind: str, n_rows: int | None = None, **p):
-    """Learners of the reference, mapped to MLlib (see README for the mapping)."""
+    """Learners of the reference (see README for the mapping)."""
     common = {"featuresCol": p.pop("featuresCol", FEATURES), "labelCol": LABEL_IDX}
     if kind == "logreg":
         c = p.pop("C", 1.0)
@@ -90,10 +91,7 @@ def make_estimator(kind: str, n_rows: int | None = None, **p):
                                   regParam=reg, elasticNetParam=0.0, standardization=False,
                                   **common, **p)
     if kind == "forest":
-        return RandomForestClassifier(numTrees=p.pop("numTrees", 100),
-                                      maxDepth=p.pop("maxDepth", 15),
-                                      featureSubsetStrategy=p.pop("featureSubsetStrategy", "sqrt"),
-                                      seed=p.pop("seed", 42), **common, **p)
+        return Forest(**{"numTrees": 100, "maxDepth": 15, "featureSubsetStrategy": "sqrt", "seed": 42, **common, **p})
     if kind == "boosting":
         return SoftmaxBoosting(**{"maxIter": 100, "maxDepth": 3, "stepSize": 0.1, "seed": 42, **common, **p})
     raise ValueError(f"unknown model kind: {kind}")
