@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowguard.functions.columns import NA_TOKENS
-from flowguard.plans.joins import checked_broadcast
-from flowguard.session import checkpointed, ensure_checkpoint_dir
+from flowguard.plans.prefix import row_number
+from flowguard.session import ensure_checkpoint_dir
 
 SOURCE_FILE = "source_file"
+#: Rows that a task writes, in as many files as they make.
+TASK_ROWS = 50_000
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -154,27 +156,22 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     """Overwrite one Parquet dataset, optionally partitioned (e.g. by day so that
     day filters prune folders).
 
-    With ``file_rows`` the rows of a folder (or the whole table) are dealt to ceil(rows / file_rows) parts by a hash
-    of the row, each written by one task: no more files than that a folder, and no folder
-    in one task. Equal rows stay together.
+    With ``file_rows`` the rows of a folder (or the whole table) are ranked by a hash of the row
+    and every ``file_rows`` of them are a file: ceil(rows / file_rows) files a folder, none
+    larger. A task writes the files of about TASK_ROWS rows one after the other, so that the number of tasks
+    does not grow with the number of files, and no folder is in one task.
     """
     if file_rows:
         by = list(partition_by or [])
-        counts = df.groupBy(*[F.col(f"`{c}`") for c in by]).agg(F.count(F.lit(1)).alias("_n"))
-        parts = checkpointed(counts.select(*[F.col(f"`{c}`").alias(f"_p{i}") for i, c in enumerate(by)],
-                                           F.ceil(F.col("_n") / file_rows).cast("long").alias("_parts")))
-        total = parts.agg(F.sum("_parts")).first()[0] or 1
-        cond = F.lit(True)
-        for i, c in enumerate(by):
-            cond = cond & F.col(f"`{c}`").eqNullSafe(F.col(f"_p{i}"))
-        if by:
-            dealt = df.join(checked_broadcast(parts), cond)
-        else:
-            dealt = df.withColumn("_parts", F.lit(total).cast("long"))
-        part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.col("_parts"))
-        df = dealt.withColumn("_part", part).repartition(int(total), *[F.col(f"`{c}`") for c in by], "_part").select(
-            *[F.col(f"`{c}`") for c in df.columns])
+        ranked = row_number(df.withColumn("_h", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])), ["_h"], by, out="_rn")
+        a_task = max(1, TASK_ROWS // file_rows) * file_rows
+        tasks = ranked.groupBy(*[F.col(f"`{c}`") for c in by]).agg(F.ceil(F.max("_rn") / a_task).alias("_t")).agg(F.sum("_t")).first()[0] or 1
+        # whole files go together: only the last task of a folder has a file with fewer rows
+        df = (ranked.withColumn("_chunk", F.floor((F.col("_rn") - 1) / a_task)).repartition(int(tasks), *[F.col(f"`{c}`") for c in by], "_chunk")
+              .sortWithinPartitions(*[F.col(f"`{c}`") for c in by], "_rn").select(*[F.col(f"`{c}`") for c in df.columns]))
     w = df.write.mode(mode)
+    if file_rows:
+        w = w.option("maxRecordsPerFile", file_rows)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
