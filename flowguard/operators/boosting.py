@@ -32,6 +32,9 @@ from pyspark.sql import functions as F
 from flowguard.session import checkpointed
 
 BLOCK_ROWS = 4096
+#: Rows a task takes of the table, whatever the number of shuffle partitions: a round is a few jobs
+#: over all of them, so that tasks of few rows would cost more to start than to run.
+TASK_ROWS = 100_000
 #: Rounds between two checkpoints of the scores.
 CHECKPOINT_ROUNDS = 10
 _LEAST_GAIN = 1e-12
@@ -142,9 +145,10 @@ def _histograms(trees: list[Tree], open_nodes: list[list[int]], features: int, b
                 rows = np.flatnonzero(node >= 0 if used is None else (node >= 0) & used)
                 r = (y[rows] == k) - p[rows, k]
                 h = p[rows, k] * (1 - p[rows, k])
+                own, every = node[rows] * bins_most, len(rows) == len(y)
+                size = len(nodes) * bins_most
                 for f in range(features):
-                    cell = node[rows] * bins_most + bins[f, rows]
-                    size = len(nodes) * bins_most
+                    cell = own + (bins[f] if every else bins[f, rows])
                     sums[k][f, :, 0] += np.bincount(cell, r, size)
                     sums[k][f, :, 1] += np.bincount(cell, h, size)
                     sums[k][f, :, 2] += np.bincount(cell, minlength=size)
@@ -292,7 +296,7 @@ class SoftmaxBoosting(Estimator, _BoostingParams, DefaultParamsReadable, Default
         gains, loss = np.zeros(first), []
         rate = get(self.stepSize)
         if classes > 1 and bins_most > 1:
-            n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            n = max(-(-total // TASK_ROWS), min(rows.sparkSession.sparkContext.defaultParallelism, -(-total // BLOCK_ROWS)))
             state = checkpointed(rows.withColumn("part", F.spark_partition_id().cast("long"))
                                  .mapInArrow(_pack(cuts, start), _BLOCK).repartition(n, "id"))
             before = None

@@ -20,6 +20,7 @@ from flowguard.plans.standins import (FLOW_DAY, FLOW_FEATURES, FLOW_KEY, FLOW_LA
                                       dirty_flows, doc_quality, flows_by_period,
                                       RULE_SQL, embedding_rows, flows, scored_flows,
                                       table)
+from flowguard.session import checkpointed
 from flowguard.sources import files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -472,8 +473,8 @@ def learners_rule(spark, sf_dir):
     most = te.groupBy("band").count().agg(F.max("count")).first()[0]
     rows = []
     for name, (make, scale) in makers.items():
-        fits = [models.score(models.fit_pipeline(tr, FLOW_FEATURES, "band", make(), scale=scale), te).select(
-            FLOW_KEY, "band", models.PRED_LABEL) for _ in range(2)]
+        fits = [checkpointed(models.score(models.fit_pipeline(tr, FLOW_FEATURES, "band", make(), scale=scale), te).select(
+            FLOW_KEY, "band", models.PRED_LABEL)) for _ in range(2)]
         right = fits[0].where(F.col("band") == F.col(models.PRED_LABEL)).count()
         again = fits[0].join(fits[1].withColumnRenamed(models.PRED_LABEL, "_again"), FLOW_KEY).where(
             F.col(models.PRED_LABEL) == F.col("_again")).count()
