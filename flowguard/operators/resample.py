@@ -11,11 +11,13 @@ that need some:
 2. inner nodes are balls around their blocks. Pairs of nodes are followed from the root down,
    and left where the triangle inequality (centre distance less both radii) exceeds the bound
    of every query row there, so that no list of all blocks of a class meets another;
-3. a pair of blocks is one matrix comparison that keeps k rows per query row; the k
-   best over the blocks are the neighbours.
+3. the blocks of one parent meet the others in slices of about ``SLICE`` blocks, a group each. A pair of
+   blocks is one matrix product, whose rounding is bounded: the rows that may be among the k
+   nearest are compared by differences. A slice keeps k rows per query row, and the k best over the slices are
+   the neighbours.
 
-What is stored per query row is k times the number of blocks it met, and a class is as
-many keys as it has block pairs. Where distances separate little (high dimensions),
+What is stored per query row is k times the number of slices it met; a block is sent once to every
+parent it meets. Where distances separate little (high dimensions),
 few block pairs are skipped: that is the cost of exact neighbours.
 
 Synthetic rows are generated as distributed id ranges (chunks), each picking its
@@ -43,6 +45,8 @@ BLOCK = 1_000
 #: Children of a tree node, and levels after which rows are split by hash (rows that are all
 #: alike have no nearest pivot).
 FANOUT = 8
+#: Blocks that a group of query blocks meets at once.
+SLICE = 32
 TREE_LEVELS, HASH_LEVELS = 12, 8
 
 
@@ -55,14 +59,59 @@ def class_targets(df: DataFrame, label_col: str, target: int | None = None) -> D
             .withColumn("need", (F.col("target") - F.col("n")).cast("long")))
 
 
-def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Euclidean distances by differences (no cancellation), some rows at a time."""
-    out = np.empty((len(x), len(y)))
-    step = max(1, 4_000_000 // max(1, y.size))
-    for at in range(0, len(x), step):
-        d = x[at:at + step, None, :] - y[None, :, :]
-        out[at:at + step] = np.sqrt((d * d).sum(axis=2))
-    return out
+def _squares(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distances by one matrix product, and for each row of ``x`` how far they may be off."""
+    middle = y.mean(axis=0)
+    a, b = x - middle, y - middle
+    na, nb = (a * a).sum(axis=1), (b * b).sum(axis=1)
+    dim, eps = x.shape[1], np.finfo(float).eps
+    # rounding of the product, and of the coordinates less the middle
+    moved = 2 * dim ** 0.5 * eps * (max(np.abs(x).max(initial=0), np.abs(y).max(initial=0)) + np.abs(middle).max(initial=0))
+    size = na ** 0.5 + nb.max(initial=0) ** 0.5
+    return na[:, None] + nb - 2 * (a @ b.T), 4 * (dim + 8) * eps * size ** 2 + 4 * moved * size + moved ** 2
+
+
+def _nearest(x: np.ndarray, kx: np.ndarray, y: np.ndarray, ky: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of x, row of y, distance) of the k nearest rows of ``y`` (keys ``ky``, ascending) for every
+    row of ``x`` but those of its own key; ties by key. Distances by differences (no cancellation)."""
+    found = []
+    # a row with a missing or infinite value is nobody's neighbour and has none
+    rows, cols = np.flatnonzero(np.isfinite(x).all(axis=1)), np.flatnonzero(np.isfinite(y).all(axis=1))
+    x, kx, y, ky = x[rows], kx[rows], y[cols], ky[cols]
+    step = max(1, 4_000_000 // max(1, len(y)))
+    for at in range(0, len(x) if len(y) else 0, step):
+        part, keys = x[at:at + step], kx[at:at + step]
+        with np.errstate(over="ignore", invalid="ignore"):
+            d2, off = _squares(part, y)
+        own = np.zeros(d2.shape, dtype=bool)
+        lo, hi = np.searchsorted(ky, keys, "left"), np.searchsorted(ky, keys, "right")
+        for i in np.flatnonzero(hi > lo):
+            own[i, lo[i]:hi[i]] = True
+        near = ~own
+        if len(y) > k and np.isfinite(off).all():
+            d2[own] = np.inf
+            near &= d2 <= (np.partition(d2, k - 1, axis=1)[:, k - 1] + 2 * off)[:, None]
+        i, j = np.nonzero(near)
+        d = np.empty(len(i))
+        some = max(1, 4_000_000 // max(1, x.shape[1]))
+        with np.errstate(over="ignore"):
+            for a in range(0, len(i), some):
+                e = part[i[a:a + some]] - y[j[a:a + some]]
+                d[a:a + some] = np.sqrt((e * e).sum(axis=1))
+        ok = np.isfinite(d)
+        i, j, d = i[ok], j[ok], d[ok]
+        best = _first(i, d, j, k)
+        found.append((rows[i[best] + at], cols[j[best]], d[best]))
+    return tuple(np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+
+
+def _first(row: np.ndarray, dist: np.ndarray, key: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k least (distance, key) of every row."""
+    order = np.lexsort((key, dist, row))
+    r = row[order]
+    start = np.flatnonzero(np.r_[True, r[1:] != r[:-1]]) if len(r) else np.zeros(0, int)
+    rank = np.arange(len(r)) - np.repeat(start, np.diff(np.r_[start, len(r)]))
+    return order[rank < k]
 
 
 def _apart(a: Column, b: Column) -> Column:
@@ -169,10 +218,17 @@ def knn_within_class(df: DataFrame, key_col: str, label_col: str, features: Sequ
         reach = -1.0                          # no query row: meets no other block
         if ask.any():
             reach = float("inf")
-            if len(x) > k:
-                d = _distances(x[ask], x)
-                d[np.arange(int(ask.sum())), np.flatnonzero(ask)] = np.inf
-                reach = float(np.partition(d, k - 1, axis=1)[:, k - 1].max())
+            whole = np.isfinite(x).all(axis=1)
+            if whole.sum() > k:
+                reach, full = 0.0, x[whole]
+                own = np.searchsorted(np.flatnonzero(whole), np.flatnonzero(whole & ask))
+                step = max(1, 4_000_000 // len(full))
+                for at in range(0, len(own), step):
+                    with np.errstate(over="ignore", invalid="ignore"):
+                        d2, off = _squares(full[own[at:at + step]], full)
+                    d2[np.arange(len(d2)), own[at:at + step]] = np.inf
+                    kth = np.partition(d2, k - 1, axis=1)[:, k - 1] + off
+                    reach = max(reach, float("inf") if np.isnan(kth).any() else float(np.sqrt(np.maximum(kth, 0)).max()))
         return pa.table({
             "label": rows.column("label")[:1], "b": rows.column("b")[:1],
             "keys": [key.tobytes()], "asks": [np.packbits(ask).tobytes()], "mat": [x.tobytes()],
@@ -181,33 +237,43 @@ def knn_within_class(df: DataFrame, key_col: str, label_col: str, features: Sequ
     packed = checkpointed(placed.select("label", "b", "key", "x", "asks").groupBy("label", "b").applyInArrow(
         pack, f"label {kind}, b long, keys binary, asks binary, mat binary, centre array<double>, radius double, reach double"))
     pairs = _near_blocks(packed.select("label", "b", "centre", "radius", "reach"))
-    left = packed.select("label", "b", F.col("keys").alias("k1"), "asks", F.col("mat").alias("m1"))
-    right = packed.select(F.col("label").alias("_l"), F.col("b").alias("other"), F.col("keys").alias("k2"),
-                          F.col("mat").alias("m2"))
-    met = (pairs.join(left.withColumnRenamed("label", "_l0"), F.col("label").eqNullSafe(F.col("_l0"))
-                      & (pairs["b"] == left["b"])).drop("_l0").drop(left["b"])
-           .join(right.withColumnRenamed("other", "_o"), F.col("label").eqNullSafe(F.col("_l"))
-                 & (F.col("other") == F.col("_o"))).select("label", "k1", "asks", "m1", "k2", "m2"))
-
-    def nearest(batches):
-        for batch in batches:
-            for r in batch.to_pylist():
-                k1, k2 = np.frombuffer(r["k1"], np.int64), np.frombuffer(r["k2"], np.int64)
-                ask = np.unpackbits(np.frombuffer(r["asks"], np.uint8), count=len(k1)).astype(bool)
-                a = np.frombuffer(r["m1"]).reshape(-1, dim)[ask]
-                k1 = k1[ask]
-                d = _distances(a, np.frombuffer(r["m2"]).reshape(-1, dim))
-                d[k1[:, None] == k2[None, :]] = np.inf
-                # keys ascend in a block, so a stable sort breaks ties by key
-                best = np.argsort(d, axis=1, kind="stable")[:, :k]
-                dist = np.take_along_axis(d, best, axis=1)
-                ok = np.isfinite(dist)
-                n = ok.sum(axis=1)
-                yield pa.RecordBatch.from_pydict({
-                    "key": np.repeat(k1, n), "label": pa.array([r["label"]] * int(n.sum()), batch.schema.field("label").type),
-                    "nn_key": k2[best][ok], "dist": dist[ok]})
-
-    found = met.mapInArrow(nearest, f"key long, label {kind}, nn_key long, dist double")
+    name = F.to_json(F.struct("label"))         # a key that is never null
+    met = pairs.select(name.alias("c"), "b", F.expr(f"b div {FANOUT}").alias("parent"), "other").groupBy("c", "parent", "other").agg(
+        F.collect_list("b").alias("bs"))
+    slices = checkpointed(met.groupBy("c", "parent").agg(F.ceil(F.count(F.lit(1)) / SLICE).cast("long").alias("slices")))
+    left = (packed.where("reach >= 0").select(name.alias("c"), F.expr(f"b div {FANOUT}").alias("parent"), "label", "b", "keys", "asks", "mat")
+            .join(slices, ["c", "parent"]).withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1))).drop("slices"))
+    right = (met.join(slices, ["c", "parent"]).withColumn("slice", F.pmod(F.xxhash64("other"), F.col("slices"))).drop("slices")
+             .join(packed.select(name.alias("c"), F.col("b").alias("other"), F.col("keys").alias("k2"), F.col("mat").alias("m2")).hint("merge"),
+                   ["c", "other"]).select("c", "parent", "slice", "other", "bs", "k2", "m2"))
+
+    def nearest(mine: pa.Table, others: pa.Table) -> pa.Table:
+        out = []
+        buffers = {c: [v.as_buffer() for v in others.column(c)] for c in ("k2", "m2")}
+        wanted = [set(b) for b in others.column("bs").to_pylist()]
+        for at in range(mine.num_rows):
+            b = mine.column("b")[at].as_py()
+            keys = np.frombuffer(mine.column("keys")[at].as_buffer(), np.int64)
+            ask = np.unpackbits(np.frombuffer(mine.column("asks")[at].as_buffer(), np.uint8), count=len(keys)).astype(bool)
+            x = np.frombuffer(mine.column("mat")[at].as_buffer()).reshape(-1, dim)[ask]
+            keys = keys[ask]
+            found = []
+            for o, bs in enumerate(wanted):
+                if b in bs:
+                    ky = np.frombuffer(buffers["k2"][o], np.int64)
+                    i, j, d = _nearest(x, keys, np.frombuffer(buffers["m2"][o]).reshape(-1, dim), ky, k)
+                    found.append((i, d, ky[j]))
+            if found:
+                i, d, nn = (np.concatenate(c) for c in zip(*found))
+                best = _first(i, d, nn, k)
+                out.append((keys[i[best]], nn[best], d[best]))
+        key, nn, d = (np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        kind_of = mine.schema.field("label").type if mine.num_rows else pa.null()
+        label = mine.column("label")[0].as_py() if mine.num_rows else None
+        return pa.table({"key": key, "label": pa.array([label] * len(key), kind_of), "nn_key": nn, "dist": d})
+
+    by = ["c", "parent", "slice"]
+    found = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(nearest, f"key long, label {kind}, nn_key long, dist double")
     rank = F.row_number().over(Window.partitionBy("key").orderBy("dist", "nn_key"))
     return (found.withColumn("nn_rank", rank).where(F.col("nn_rank") <= k)
             .select("key", "label", "nn_rank", "nn_key", "dist"))
