@@ -97,20 +97,22 @@ def make_estimator(kind: str, n_rows: int | None = None, **p):
     raise ValueError(f"unknown model kind: {kind}")
 
 
+def head_stages(features: Sequence[str], label_col: str, scale: bool = False) -> list:
+    """indexer -> assembler -> [population scaler]: what comes before a learner."""
+    stages = [StringIndexer(inputCol=label_col, outputCol=LABEL_IDX, stringOrderType="alphabetAsc"),
+              VectorAssembler(inputCols=list(features), outputCol="raw_features" if scale else FEATURES,
+                              handleInvalid="keep")]
+    if scale:
+        stages.append(PopulationScaler(inputCol="raw_features", outputCol=FEATURES))
+    return stages
+
+
 def fit_pipeline(train: DataFrame, features: Sequence[str], label_col: str, estimator,
                  scale: bool = False) -> PipelineModel:
     """indexer -> assembler -> [population scaler] -> learner -> index-to-name."""
     if label_col not in train.columns:
         raise ValueError(f"target column {label_col!r} not found; columns: {train.columns}")
-    indexer = StringIndexer(inputCol=label_col, outputCol=LABEL_IDX,
-                            stringOrderType="alphabetAsc")
-    stages = [indexer, VectorAssembler(inputCols=list(features),
-                                       outputCol="raw_features" if scale else FEATURES,
-                                       handleInvalid="keep")]
-    if scale:
-        stages.append(PopulationScaler(inputCol="raw_features", outputCol=FEATURES))
-    stages.append(estimator)
-    fitted = Pipeline(stages=stages).fit(train.withColumn(label_col, q(label_col).cast("string")))
+    fitted = Pipeline(stages=[*head_stages(features, label_col, scale), estimator]).fit(train.withColumn(label_col, q(label_col).cast("string")))
     labels = fitted.stages[0].labels
     return PipelineModel(fitted.stages + [IndexToString(inputCol=PRED, outputCol=PRED_LABEL,
                                                         labels=labels)])

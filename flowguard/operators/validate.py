@@ -18,11 +18,13 @@ from functools import reduce
 
 import pandas as pd
 from pyspark import StorageLevel
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowguard.functions.columns import q
-from flowguard.operators import metrics, models, split
+from flowguard.operators import forest, metrics, models, split
 from flowguard.plans.prefix import row_number
 from flowguard.session import checkpointed
 
@@ -439,6 +441,23 @@ def draw_settings(space: Mapping[str, Sequence], n_iter: int, seed: int = 42) ->
     return out
 
 
+def _forest_counts(folded: DataFrame, fold: int, features: Sequence[str], label_col: str,
+                   learners: Mapping[int, forest.Forest]) -> DataFrame:
+    """Count tables (setting_id, fold, side, label, prediction, count) of a fold's forests, which have as many
+    bins a feature: the rows are indexed and binned once, and rows alike in their bins are scored once a forest."""
+    rows = folded.withColumn(label_col, q(label_col).cast("string"))
+    train = rows.where(F.col("fold") != fold)
+    head = Pipeline(stages=models.head_stages(features, label_col)).fit(train)
+    prepared = next(iter(learners.values())).prepared(head.transform(train))
+    both = head.stages[1].transform(rows).select(
+        vector_to_array(F.col(models.FEATURES)).alias("x"), q(label_col).alias("label"),
+        F.when(F.col("fold") == fold, "val").otherwise("train").alias("side"))
+    cells = forest.counted(both, prepared.cuts)
+    fitted = dict(zip(learners, _pmap(lambda e: e.grown(prepared), list(learners.values()))))
+    return forest.predicted_counts(fitted, head.stages[0].labels, cells).withColumnRenamed(
+        "id", "setting_id").withColumn("fold", F.lit(fold))
+
+
 def random_search(df: DataFrame, key_col: str, label_col: str, features: Sequence[str],
                   kind: str | Callable[..., object], space: Mapping[str, Sequence], n_iter: int = 20, cv: int = 3,
                   seed: int = 42, overrides: Mapping | None = None, scoring: str = "f1_macro"
@@ -448,7 +467,8 @@ def random_search(df: DataFrame, key_col: str, label_col: str, features: Sequenc
     The best setting (highest validation mean) is refitted on all rows.
 
     ``kind`` is 'forest' or 'boosting' (settings mapped by ``spark_params``) or any
-    callable that makes a learner from a setting's names and values."""
+    callable that makes a learner from a setting's names and values. Forests share the rows of a fold
+    (``_forest_counts``); every other learner is fitted and scored by itself."""
     import json
     check_scoring(scoring)
     settings = draw_settings(space, n_iter, seed)
@@ -458,19 +478,24 @@ def random_search(df: DataFrame, key_col: str, label_col: str, features: Sequenc
             return kind(**{**setting, **(overrides or {})})
         return models.make_estimator(kind, **{**spark_params(kind, setting), **(overrides or {})})
 
+    learners = [learner(s) for s in settings]
+    alike: dict[int, dict[int, forest.Forest]] = {}
+    for sid, e in enumerate(learners):
+        if isinstance(e, forest.Forest):
+            alike.setdefault(e.getOrDefault(e.maxBins), {})[sid] = e
     folded = split.stratified_folds(df, label_col, key_col, cv, seed).persist(StorageLevel.MEMORY_AND_DISK)
 
     def one(job):
         sid, fold = job
         tr = folded.where(F.col("fold") != fold)
-        m = models.fit_pipeline(tr, features, label_col, learner(settings[sid]))
+        m = models.fit_pipeline(tr, features, label_col, learners[sid])
         tags = {"setting_id": sid, "fold": fold}
         return _counts(m, folded.where(F.col("fold") == fold), label_col, side="val", **tags).unionByName(
             _counts(m, tr, label_col, side="train", **tags))
 
-    jobs = [(s, f) for s in range(len(settings)) for f in range(cv)]
-    counts = checkpointed(_union(_pmap(one, jobs)))
-    folded.unpersist()
+    jobs = [(s, f) for s, e in enumerate(learners) if not isinstance(e, forest.Forest) for f in range(cv)]
+    found = [_forest_counts(folded, f, features, label_col, forests) for f in range(cv) for forests in alike.values()]
+    counts = checkpointed(_union(found + (_pmap(one, jobs) if jobs else [])))
     per = metrics.macro_metrics(None, by=["setting_id", "fold", "side"], counts=counts)
     val, trn = F.when(F.col("side") == "val", F.col(scoring)), F.when(F.col("side") == "train", F.col(scoring))
     agg = per.groupBy("setting_id").agg(F.avg(val).alias("mean_val"), F.stddev_pop(val).alias("std_val"),
@@ -484,5 +509,6 @@ def random_search(df: DataFrame, key_col: str, label_col: str, features: Sequenc
                        .withColumn("rank", F.row_number().over(
                            Window.partitionBy().orderBy(F.desc("mean_val"), "setting_id"))))
     best_id = res.where(F.col("rank") == 1).first()["setting_id"]
-    best = models.fit_pipeline(df, features, label_col, learner(settings[best_id]))
+    best = models.fit_pipeline(folded.drop("fold"), features, label_col, learners[best_id])
+    folded.unpersist()
     return res, best

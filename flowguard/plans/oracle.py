@@ -608,7 +608,7 @@ ORACLE["permutation_importance"] = """SELECT unnest(['n_chars', 'n_words', 'n_li
   true AS valid, true AS threshold_applied"""
 ORACLE["compare_selectors"] = """SELECT unnest(['importance_median', 'rfecv', 'permutation']) AS method,
   true AS count_valid, true AS scores_valid"""
-ORACLE["random_search"] = """SELECT CAST(unnest([0, 1]) AS BIGINT) AS setting_id, true AS scores_valid, true AS ranked"""
+ORACLE["random_search"] = """SELECT CAST(unnest(range(0, 20)) AS BIGINT) AS setting_id, true AS scores_valid, true AS ranked"""
 
 
 def _walk_step() -> str:

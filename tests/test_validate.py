@@ -127,3 +127,46 @@ def test_split_refuses_null_labels_and_moves_no_rows_for_quotas(spark, wide):
     # rows meet the quotas and the offsets by broadcast; what is exchanged on the label
     # are the (block, class) totals
     assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 2
+
+
+def test_random_search_query_runs_the_whole_search(spark, tmp_path, monkeypatch):
+    """The registered query tries as many settings and folds as the operator does by default; only its trees are
+    made small here."""
+    import duckdb
+    import __spark_entry__ as ent
+    rows = [(i, "a B 1\n" * (1 + i % 7), 6 * (1 + i % 7)) for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, int(i % 7 > 2)) for i in range(60)], "doc_id long, quality long").write.parquet(str(tmp_path / "labels.parquet"))
+    plain, made = models.make_estimator, []
+
+    def small(kind, **p):
+        made.append(p)
+        return plain(kind, **{**p, "numTrees": 1, "maxDepth": 2})
+    monkeypatch.setattr(models, "make_estimator", small)
+    got = ent.queries()["random_search"](spark, str(tmp_path)).orderBy("setting_id")
+    want = duckdb.sql(ent.oracle_sql()["random_search"]).fetchall()
+    assert [tuple(r) for r in got.collect()] == sorted(want) and len(want) == 20
+    drawn = validate.draw_settings(validate.FOREST_SPACE, 20, 42)
+    assert len({str(d) for d in drawn}) == 20 and all(validate.spark_params("forest", d) in made for d in drawn)
+
+
+def test_forests_of_a_search_score_as_single_fits(spark, wide):
+    """Forests that share the rows of a fold have the scores of a forest fitted and scored by itself; a class the
+    fitted rows lack counts as missed."""
+    from pyspark.sql import functions as F
+    from flowguard.operators import metrics
+    rare = wide.withColumn("y", F.when(F.col("id") == 7, "rare").otherwise(F.col("y")))
+    space = {"n_estimators": [3, 5], "max_depth": [2, 4], "min_samples_leaf": [1, 3]}
+    res, best = validate.random_search(rare, "id", "y", FEATS, "forest", space, n_iter=3, cv=2, scoring="accuracy")
+    got = {r["setting_id"]: r for r in res.collect()}
+    folded = split.stratified_folds(rare, "y", "id", 2, 42).cache()
+    for sid, setting in enumerate(validate.draw_settings(space, 3, 42)):
+        scores = {"val": [], "train": []}
+        for i in range(2):
+            tr, te = folded.where(F.col("fold") != i), folded.where(F.col("fold") == i)
+            m = models.fit_pipeline(tr, FEATS, "y", models.make_estimator("forest", **validate.spark_params("forest", setting)))
+            for side, rows in (("val", te), ("train", tr)):
+                scores[side].append(metrics.macro_metrics(models.score(m, rows, "y"), "y", models.PRED_LABEL).first()["accuracy"])
+        assert abs(got[sid]["mean_val"] - np.mean(scores["val"])) < 1e-12
+        assert abs(got[sid]["mean_train"] - np.mean(scores["train"])) < 1e-12
+    assert models.score(best, rare).count() == 240
