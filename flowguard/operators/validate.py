@@ -453,7 +453,10 @@ def _forest_counts(folded: DataFrame, fold: int, features: Sequence[str], label_
         vector_to_array(F.col(models.FEATURES)).alias("x"), q(label_col).alias("label"),
         F.when(F.col("fold") == fold, "val").otherwise("train").alias("side"))
     cells = forest.counted(both, prepared.cuts)
-    fitted = dict(zip(learners, _pmap(lambda e: e.grown(prepared), list(learners.values()))))
+    ids = list(learners)
+    groups = [[ids[i] for i in own] for own in forest.drawn_alike(list(learners.values()), prepared)]
+    grown = _pmap(lambda own: forest.grown_together([learners[i] for i in own], prepared), groups)
+    fitted = {i: m for own, made in zip(groups, grown) for i, m in zip(own, made)}
     return forest.predicted_counts(fitted, head.stages[0].labels, cells).withColumnRenamed(
         "id", "setting_id").withColumn("fold", F.lit(fold))
 
