@@ -150,17 +150,20 @@ def test_random_search_query_runs_the_whole_search(spark, tmp_path, monkeypatch)
     assert len({str(d) for d in drawn}) == 20 and all(validate.spark_params("forest", d) in made for d in drawn)
 
 
-def test_forests_of_a_search_score_as_single_fits(spark, wide):
-    """Forests that share the rows of a fold have the scores of a forest fitted and scored by itself; a class the
-    fitted rows lack counts as missed."""
+@pytest.mark.parametrize("small", [250_000, 60])
+def test_forests_of_a_search_score_as_single_fits(spark, wide, small, monkeypatch):
+    """Forests that share the rows of a fold have the scores of a forest fitted and scored by itself, grown together or
+    (above the bound) each by itself; a class the fitted rows lack counts as missed."""
     from pyspark.sql import functions as F
+    from flowguard.operators import forest as trees
     from flowguard.operators import metrics
+    monkeypatch.setattr(trees, "SMALL_ROWS", small)
     rare = wide.withColumn("y", F.when(F.col("id") == 7, "rare").otherwise(F.col("y")))
     space = {"n_estimators": [3, 5], "max_depth": [2, 4], "min_samples_leaf": [1, 3]}
-    res, best = validate.random_search(rare, "id", "y", FEATS, "forest", space, n_iter=3, cv=2, scoring="accuracy")
+    res, best = validate.random_search(rare, "id", "y", FEATS, "forest", space, n_iter=2, cv=2, scoring="accuracy")
     got = {r["setting_id"]: r for r in res.collect()}
     folded = split.stratified_folds(rare, "y", "id", 2, 42).cache()
-    for sid, setting in enumerate(validate.draw_settings(space, 3, 42)):
+    for sid, setting in enumerate(validate.draw_settings(space, 2, 42)):
         scores = {"val": [], "train": []}
         for i in range(2):
             tr, te = folded.where(F.col("fold") != i), folded.where(F.col("fold") == i)
